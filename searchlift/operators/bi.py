@@ -42,12 +42,9 @@ def clean_bi(rows: DataFrame) -> DataFrame:
 
 def bi_sub(clean: DataFrame) -> DataFrame:
     """One row per (dept, sub): the last in file order, its ticket rounded."""
-    last = F.max_by(F.struct("conversion_rate", "ticket"), "ord").alias("last")
-    return clean.groupBy("dept", "sub").agg(last).select(
-        "dept",
-        "sub",
-        F.col("last.conversion_rate").alias("conversion_rate"),
-        round_to_long(F.col("last.ticket")).alias("avg_ticket"),
+    return clean.groupBy("dept", "sub").agg(
+        F.max_by("conversion_rate", "ord").alias("conversion_rate"),
+        round_to_long(F.max_by("ticket", "ord")).alias("avg_ticket"),
     )
 
 
@@ -108,62 +105,79 @@ def reset_catalog(catalog: DataFrame, marker: str = HOST_MARKER) -> DataFrame:
     )
 
 
-def _fill(df: DataFrame, source: str, set_soft: bool) -> DataFrame:
-    """Takes new_rate and new_ticket where the row has no rate yet and the lookup matched."""
-    take = F.col("conversion_rate").isNull() & F.col("new_rate").isNotNull()
-    columns = {
-        "avg_ticket": F.when(take, F.col("new_ticket")).otherwise(F.col("avg_ticket")),
-        "rate_source": F.when(take, F.lit(source)).otherwise(F.col("rate_source")),
-        "conversion_rate": F.when(take, F.col("new_rate")).otherwise(F.col("conversion_rate")),
-    }
-    if set_soft and "is_blando" in df.columns:
-        soft = is_soft_department(F.col("department"))
-        columns["is_blando"] = F.when(take, soft).otherwise(F.col("is_blando"))
-    return df.withColumns(columns).drop("new_rate", "new_ticket")
-
-
-def _with_source(df: DataFrame) -> DataFrame:
-    return df if "rate_source" in df.columns else df.withColumn("rate_source", F.lit(None).cast("string"))
-
-
-def fill_exact(catalog: DataFrame, pairs: DataFrame) -> DataFrame:
-    """First tier: the rates of the row's own (department, category)."""
+def _with_exact(df: DataFrame, pairs: DataFrame) -> DataFrame:
     lookup = pairs.select(
         F.col("dept").alias("department"),
         F.col("sub").alias("category_l1"),
-        F.col("conversion_rate").alias("new_rate"),
-        F.col("avg_ticket").alias("new_ticket"),
+        F.col("conversion_rate").alias("exact_rate"),
+        F.col("avg_ticket").alias("exact_ticket"),
     )
-    joined = _with_source(catalog).join(lookup, ["department", "category_l1"], "left")
-    return _fill(joined, "exact", set_soft=True)
+    return df.join(lookup, ["department", "category_l1"], "left")
 
 
-def fill_department(catalog: DataFrame, departments: DataFrame) -> DataFrame:
-    """Second tier: the department's mean rates."""
+def _with_department(df: DataFrame, departments: DataFrame) -> DataFrame:
     lookup = departments.select(
         F.col("dept").alias("department"),
-        F.col("conversion_rate").alias("new_rate"),
-        F.col("avg_ticket").alias("new_ticket"),
+        F.col("conversion_rate").alias("department_rate"),
+        F.col("avg_ticket").alias("department_ticket"),
     )
-    joined = _with_source(catalog).join(lookup, "department", "left")
-    return _fill(joined, "department", set_soft=True)
+    return df.join(lookup, "department", "left")
 
 
-def fill_site(catalog: DataFrame, site: DataFrame) -> DataFrame:
-    """Last tier: the site's mean rates, one row read as scalar subqueries; softness stays as it was."""
-    with_site = _with_source(catalog).withColumns(
+def _with_site(df: DataFrame, site: DataFrame) -> DataFrame:
+    """One row, read as scalar subqueries."""
+    return df.withColumns(
         {
-            "new_rate": site.select("conversion_rate").scalar(),
-            "new_ticket": site.select("avg_ticket").scalar(),
+            "site_rate": site.select("conversion_rate").scalar(),
+            "site_ticket": site.select("avg_ticket").scalar(),
         }
     )
-    return _fill(with_site, "site", set_soft=False)
+
+
+def _resolve(df: DataFrame, tiers: tuple[str, ...]) -> DataFrame:
+    """Rows without a rate take the first tier that has one; ``rate_source`` names it.
+
+    The exact and department tiers also set softness; the site tier leaves it as it was.
+    """
+    open_row = F.col("conversion_rate").isNull()
+    source, ticket = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    for tier in reversed(tiers):
+        found = F.col(f"{tier}_rate").isNotNull()
+        source = F.when(found, tier).otherwise(source)
+        ticket = F.when(found, F.col(f"{tier}_ticket")).otherwise(ticket)
+    old_source = F.col("rate_source") if "rate_source" in df.columns else F.lit(None).cast("string")
+    columns = {
+        "conversion_rate": F.coalesce("conversion_rate", *[F.col(f"{tier}_rate") for tier in tiers]),
+        "avg_ticket": F.when(open_row, F.coalesce(ticket, F.col("avg_ticket"))).otherwise(F.col("avg_ticket")),
+        "rate_source": F.when(open_row, source).otherwise(old_source),
+    }
+    if "is_blando" in df.columns:
+        sets_softness = open_row & source.isin("exact", "department")
+        soft = is_soft_department(F.col("department"))
+        columns["is_blando"] = F.when(sets_softness, soft).otherwise(F.col("is_blando"))
+    spent = [f"{tier}_{part}" for tier in tiers for part in ("rate", "ticket")]
+    return df.withColumns(columns).drop(*spent)
+
+
+def fill_exact(catalog: DataFrame, pairs: DataFrame) -> DataFrame:
+    """First tier: the rates of the row's own (department, category)."""
+    return _resolve(_with_exact(catalog, pairs), ("exact",))
+
+
+def fill_department(catalog: DataFrame, departments: DataFrame) -> DataFrame:
+    """Second tier: the department's mean rates."""
+    return _resolve(_with_department(catalog, departments), ("department",))
+
+
+def fill_site(catalog: DataFrame, site: DataFrame) -> DataFrame:
+    """Last tier: the site's mean rates."""
+    return _resolve(_with_site(catalog, site), ("site",))
 
 
 def cascade(catalog: DataFrame, clean: DataFrame) -> DataFrame:
-    """The three tiers in order; rows keep the first match, named in ``rate_source``."""
-    exact = fill_exact(catalog, bi_sub(clean))
-    return fill_site(fill_department(exact, bi_dept(clean)), bi_site(clean))
+    """The three tiers in order, in one pass over the catalog."""
+    tiered = _with_department(_with_exact(catalog, bi_sub(clean)), bi_dept(clean))
+    return _resolve(_with_site(tiered, bi_site(clean)), ("exact", "department", "site"))
 
 
 def with_rates(gaps: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from searchlift.functions.tracking import BACKFILL_FROM, BACKFILL_TO, backfill_dates
 from searchlift.operators import bi, gaps
 from searchlift.operators.filters import ingest_filter
-from searchlift.schemas import GAPS
+from searchlift.schemas import GAPS, RAW_GAPS
 from searchlift.sources.store import on_days, write_days
 
 
@@ -40,19 +41,41 @@ def score_raw(facts: DataFrame, dims: Dimensions) -> DataFrame:
     return gaps.grade(gaps.price(dims.with_rates(projected)))
 
 
-def _gap_columns(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in GAPS.fields])
+def _columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def score(facts: DataFrame, dims: Dimensions) -> DataFrame:
-    """Scored gap rows of every date in the facts; each date is ranked on its own."""
-    return _gap_columns(gaps.normalise(score_raw(facts, dims)))
+def finish(raw: DataFrame) -> DataFrame:
+    """Ranks raw scores within their date."""
+    return _columns(gaps.normalise(raw), GAPS)
 
 
-def score_day(facts: DataFrame, dims: Dimensions, date=None, brands: bool = True) -> DataFrame:
+def stage_raw(raw: DataFrame, stage: str) -> DataFrame:
+    """Raw scores written by date and read back.
+
+    The largest score of a date is needed before any row can be finished. From the stage it is a scan of
+    one column; within a single plan everything before it would run twice.
+    """
+    write_days(_columns(raw, RAW_GAPS), stage)
+    return raw.sparkSession.read.schema(RAW_GAPS).parquet(stage)
+
+
+def score(facts: DataFrame, dims: Dimensions, stage: str | None = None) -> DataFrame:
+    """Scored gap rows of every date in the facts; each date is ranked on its own.
+
+    Without a ``stage`` folder the result is one lazy plan, which reads the facts twice. That is the
+    better choice when the facts are a stored table and the lookups are all broadcast.
+    """
+    raw = score_raw(facts, dims)
+    return finish(stage_raw(raw, stage) if stage else raw)
+
+
+def score_day(
+    facts: DataFrame, dims: Dimensions, date=None, brands: bool = True, stage: str | None = None
+) -> DataFrame:
     """Filters and scores the landed facts of one date, or of all of them."""
     rows = facts if date is None else facts.where(F.col("date") == F.to_date(F.lit(date)))
-    return score(ingest_filter(rows, brands), dims)
+    return score(ingest_filter(rows, brands), dims, stage)
 
 
 def backfill_calendar(spark: SparkSession, today, back: int = BACKFILL_FROM, lag: int = BACKFILL_TO) -> DataFrame:
@@ -62,22 +85,20 @@ def backfill_calendar(spark: SparkSession, today, back: int = BACKFILL_FROM, lag
 
 
 def score_backfill(
-    facts: DataFrame, dims: Dimensions, today, back: int = BACKFILL_FROM, lag: int = BACKFILL_TO
+    facts: DataFrame,
+    dims: Dimensions,
+    today,
+    back: int = BACKFILL_FROM,
+    lag: int = BACKFILL_TO,
+    stage: str | None = None,
 ) -> DataFrame:
     """Scores every day of the backfill span in one job: the span is a filter, not a loop."""
     day = F.to_date(F.lit(today))
     span = facts.where(F.col("date").between(F.date_sub(day, back), F.date_sub(day, lag)))
-    return score_day(span, dims)
+    return score_day(span, dims, stage=stage)
 
 
-def score_to_table(
-    spark: SparkSession, facts: DataFrame, dims: Dimensions, path: str, stage: str, days: list
-) -> None:
-    """Scores days into the gap table through a staged table of raw scores.
-
-    The largest score of a date is needed before any row can be finished. Reading it from the stage
-    scans one column, where a single plan would run every lookup twice.
-    """
-    write_days(score_raw(facts, dims), stage)
-    raw = on_days(spark.read.parquet(stage), days)
-    write_days(_gap_columns(gaps.normalise(raw)), path)
+def score_to_table(facts: DataFrame, dims: Dimensions, path: str, stage: str, days: list) -> None:
+    """Scores days into the gap table, replacing exactly those days."""
+    raw = stage_raw(score_raw(facts, dims), stage)
+    write_days(finish(on_days(raw, days)), path)

@@ -72,6 +72,8 @@ GAPS = T.StructType(
         T.StructField("date", T.DateType()),
     ]
 )
+# The staged form, before a date's scores are scaled.
+RAW_GAPS = T.StructType([f for f in GAPS.fields if f.name != "opportunity_score"])
 GAP_KEYS = ("date", "query", "page_url")
 
 CTR_CURVE = T.StructType(

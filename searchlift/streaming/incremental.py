@@ -31,7 +31,7 @@ def process_batch(batch: DataFrame, tables: Tables, dims: Dimensions) -> None:
         return
     upsert_days(spark, tables.facts, kept, "landing_order", days)
     facts = on_days(read_table(spark, tables.facts, FACTS), days)
-    score_to_table(spark, facts, dims, tables.gaps, tables.stage, days)
+    score_to_table(facts, dims, tables.gaps, tables.stage, days)
 
 
 def run_incremental(

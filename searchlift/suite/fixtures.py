@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = "2024-01-28"
@@ -70,9 +72,10 @@ FROM (VALUES ('NONE', 1.00, 0.00, 0.0, 0, 0), ('CONTENT', 1.20, 0.65, 0.0, 2, 6)
 
 FX_BRANDED = "SELECT term, note FROM (VALUES ('hot', 'test term')) b(term, note)"
 
+# SQL text and the tables or views it reads.
 VIEWS = {
-    "fx_facts": (FX_FACTS, ()),
-    "fx_bi": (FX_BI, ()),
+    "fx_facts": (FX_FACTS, ("lineitem", "part")),
+    "fx_bi": (FX_BI, ("part",)),
     "fx_watch": (FX_WATCH, ("fx_facts",)),
     "fx_ctr_curve": (FX_CTR_CURVE, ()),
     "fx_params": (FX_PARAMS, ()),
@@ -81,20 +84,28 @@ VIEWS = {
 
 
 class Inputs:
-    """The given tables and the derived views of one data folder."""
+    """The given tables and the derived views of one data folder, each opened once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self.frames: dict[str, DataFrame] = {}
+
+    def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self.frames:
+            self.frames[name] = build()
+        return self.frames[name]
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.keep(name, lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def view(self, name: str) -> DataFrame:
         """A derived view; its inputs are registered under the names its SQL uses."""
+        return self.keep(name, lambda: self._view(name))
+
+    def _view(self, name: str) -> DataFrame:
         sql, needs = VIEWS[name]
         for need in needs:
-            self.view(need).createOrReplaceTempView(need)
-        for table in ("lineitem", "part"):
-            self.table(table).createOrReplaceTempView(table)
+            frame = self.view(need) if need in VIEWS else self.table(need)
+            frame.createOrReplaceTempView(need)
         return self.spark.sql(sql)

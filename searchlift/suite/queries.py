@@ -75,7 +75,8 @@ def dims(i: Inputs) -> P.Dimensions:
 
 
 def scored(i: Inputs) -> DataFrame:
-    return P.score_day(facts(i), dims(i))
+    """The scored table of the whole month, its raw scores staged once per query."""
+    return i.keep("scored", lambda: P.score_day(facts(i), dims(i), stage=scratch_folder(i.spark, "stage")))
 
 
 def catalog(i: Inputs) -> DataFrame:
@@ -756,12 +757,13 @@ def _(i):
 
 @register("score_day")
 def _(i):
-    return P.score_day(facts(i), dims(i), AS_OF).select(*GAP_OUT)
+    return P.score_day(facts(i), dims(i), AS_OF, stage=scratch_folder(i.spark, "stage")).select(*GAP_OUT)
 
 
 @register("score_backfill")
 def _(i):
-    return P.score_backfill(facts(i), dims(i), "2024-03-10").select(*GAP_OUT)
+    stage = scratch_folder(i.spark, "stage")
+    return P.score_backfill(facts(i), dims(i), "2024-03-10", stage=stage).select(*GAP_OUT)
 
 
 @register("refresh_catalog")
