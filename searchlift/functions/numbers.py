@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
-from searchlift.functions.text import BLANK
+from searchlift.functions.text import BLANKS
 
 # The longest numeric prefix of a text, as a lenient float parser reads it.
 _NUMBER = r"^[+-]?(?:Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
@@ -50,6 +50,5 @@ def round_to_long(value: Column) -> Column:
 
 def loose_number(text: Column) -> Column:
     """The leading number of a text (``12abc`` is 12, ``0,005`` is 0); 0 where there is none."""
-    stripped = F.regexp_replace(text, f"^{BLANK}+", "")
-    prefix = F.regexp_extract(stripped, _NUMBER, 0)
+    prefix = F.regexp_extract(F.ltrim(text, F.lit(BLANKS)), _NUMBER, 0)
     return F.coalesce(F.nullif(prefix, F.lit("")).try_cast("double"), F.lit(0.0))

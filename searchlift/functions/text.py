@@ -6,8 +6,11 @@ from pyspark.sql import Column, functions as F
 
 from searchlift.schemas import HOST_MARKER
 
-# Any blank, Unicode separators and the byte-order mark included.
-BLANK = r"[\s\p{Z}\x{FEFF}]"
+# The blanks that are trimmed, Unicode separators and the byte-order mark included.
+BLANKS = (
+    "\t\n\v\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
 
 # Brand spellings that may stand anywhere in a query, and the one that must be a whole word.
 BRAND_TERMS = (
@@ -25,7 +28,7 @@ NO_SUBCATEGORY = "(sin subcategoría)"
 
 def normalise_label(text: Column) -> Column:
     """Lowercase without surrounding blanks; null becomes the empty text."""
-    return F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), f"^{BLANK}+|{BLANK}+$", ""))
+    return F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(BLANKS))
 
 
 def path_segment(url: Column, n: int, marker: str = HOST_MARKER) -> Column:
@@ -67,6 +70,10 @@ def is_branded_regex(
 ) -> Column:
     """Whether the text holds a brand spelling anywhere, or ``word`` between ASCII word edges."""
     choices = [_either_case(t) for t in terms]
+    starts = [t[0] for t in terms]
     if word:
         choices.append(f"(?<![A-Za-z0-9_]){_either_case(word)}(?![A-Za-z0-9_])")
-    return text.rlike("(?i)" + "|".join(choices))
+        starts.append(word[0])
+    # The look-ahead rejects most places of a long text on one letter, before any spelling is tried.
+    letters = "".join(sorted({c for start in starts for c in (start.lower(), start.upper())}))
+    return text.rlike(f"(?i)(?=[{letters}])(?:{'|'.join(choices)})")

@@ -29,7 +29,10 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder below the cluster's shared checkpoint folder; a local one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="searchlift-")
-    return f"{base}/searchlift-{label}-{uuid.uuid4().hex}"
+    """A new folder below the shared checkpoint folder; a machine-local one only for a local session without it."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        shared = tempfile.mkdtemp(prefix="searchlift-")
+    return f"{shared.rstrip('/')}/searchlift-{label}-{uuid.uuid4().hex}"

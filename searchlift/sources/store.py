@@ -20,10 +20,16 @@ def last_wins(df: DataFrame, keys: tuple[str, ...], order_col: str) -> DataFrame
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: tuple[str, ...], order_col: str | None = None) -> DataFrame:
-    """Target rows with the updates inserted or overwriting by key; the last update of a key wins."""
-    fresh = last_wins(updates, keys, order_col) if order_col else updates
-    kept = target.join(fresh.select(*keys), list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(fresh.select(*target.columns))
+    """Target rows with the updates inserted or overwriting by key; the last update of a key wins.
+
+    Both sides go through one aggregate in which updates outrank the target, so the rows are shuffled
+    once. A join would shuffle the target, and the updates twice.
+    """
+    order = F.col(order_col) if order_col else F.lit(0)
+    kind = updates.schema[order_col].dataType if order_col else "int"
+    old = target.withColumn("arrival", F.struct(F.lit(0).alias("layer"), F.lit(None).cast(kind).alias("at")))
+    new = updates.select(*target.columns, F.struct(F.lit(1).alias("layer"), order.alias("at")).alias("arrival"))
+    return last_wins(old.unionByName(new), keys, "arrival").select(*target.columns)
 
 
 def seed_gaps(gaps: DataFrame, seeds: DataFrame, keys: tuple[str, ...] = GAP_KEYS) -> DataFrame:
