@@ -32,17 +32,14 @@ def _flag_by_substring(df: DataFrame, terms: DataFrame, text: str, out: str) ->
     # A text contains a term exactly when one of its substrings of the term's length equals it, so
     # containment becomes an equi-join. Each distinct text is cut up once, and only at lengths some
     # term has; the semi join emits no pairs.
-    lengths = terms.agg(F.collect_set(F.length("term"))).scalar()
     texts = df.select(F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct()
-    lowered = F.lower("text")
-
-    def cuts(size):
-        starts = F.sequence(F.lit(1), F.length(lowered) - size + 1)
-        return F.transform(starts, lambda start: F.substring(lowered, start, size))
-
-    usable = F.filter("lengths", lambda size: size <= F.length(lowered))
-    cut = F.explode(F.array_distinct(F.flatten(F.transform(usable, cuts))))
-    pieces = texts.withColumn("lengths", lengths).select("text", cut.alias("term"))
+    lowered = texts.select("text", F.lower("text").alias("lowered"))
+    with_lengths = lowered.withColumn("lengths", terms.agg(F.collect_set(F.length("term"))).scalar())
+    usable = F.filter("lengths", lambda size: size <= F.length("lowered"))
+    sized = with_lengths.select("text", "lowered", F.explode(usable).alias("size"))
+    starts = F.sequence(F.lit(1), F.length("lowered") - F.col("size") + 1)
+    placed = sized.select("text", "lowered", "size", F.explode(starts).alias("start"))
+    pieces = placed.select("text", F.substring("lowered", F.col("start"), F.col("size")).alias("term"))
     hits = pieces.join(terms, "term", "left_semi").select("text").distinct().withColumn(out, F.lit(True))
     flagged = df.join(hits, df[text] == hits["text"], "left").drop(hits["text"])
     return flagged.withColumn(out, F.coalesce(F.col(out), F.lit(False)))

@@ -40,6 +40,8 @@ SELECT * FROM (VALUES
   ('?q', 'b', 0.01, 1000, 2), ('', 'b', 0.01, 1000, 2), ('small', '', 0.01, 1000, 2), ('small', 'cero', 0, 1000, 2)) v(a, b, c, d, e)
 """
 
+# The ids number the whole list in one window; a watch-list is short (here at most 64 queries x 156 pages,
+# whatever the scale) because people keep it.
 FX_WATCH = """
 SELECT CAST(ROW_NUMBER() OVER (ORDER BY query, page_url) AS BIGINT) AS id, w.* FROM (
   SELECT query, page AS page_url, CAST(MAX(position) AS DECIMAL(6,2)) AS baseline_position, MIN(date) AS baseline_date,

@@ -8,16 +8,22 @@ from __future__ import annotations
 
 import re
 
+from searchlift.functions.text import BRAND_TERMS, BRAND_WORD, SOFT_DEPARTMENTS
 from searchlift.suite.fixtures import AS_OF, NOW, VIEWS
 
 CTES: dict[str, str] = {name: sql for name, (sql, _) in VIEWS.items()}
 
-CTES["kept"] = r"""
+_SOFT = "(" + ", ".join(f"'{name}'" for name in SOFT_DEPARTMENTS) + ")"
+
+
+def _branded(text: str) -> str:
+    return f"(regexp_matches({text}, '{'|'.join(BRAND_TERMS)}', 'i') OR regexp_matches({text}, '\\b{BRAND_WORD}\\b', 'i'))"
+
+
+CTES["kept"] = f"""
 SELECT * FROM fx_facts
 WHERE page NOT LIKE '%/listas/%' AND page NOT LIKE '%/search%' AND page NOT LIKE '%.html%'
-  AND NOT COALESCE(position > 20, FALSE)
-  AND NOT regexp_matches(query, 'paris|pars|paeis|paaris|pariw|parus|parid|patis|paros|paria|parís|cenco|almacen|almacenes', 'i')
-  AND NOT regexp_matches(query, '\baris\b', 'i')
+  AND NOT COALESCE(position > 20, FALSE) AND NOT {_branded('query')}
 """
 
 CTES["clean"] = """
@@ -53,11 +59,11 @@ SELECT page AS page_url, lower(split_part(split_part(page, '.cl/', 2), '/', 1))
 FROM (SELECT DISTINCT page FROM fx_facts) d
 """
 
-CTES["fx_catalog"] = """
+CTES["fx_catalog"] = f"""
 SELECT c.*, COALESCE(p.cr, d.cr, s.cr) AS cr, COALESCE(p.tk, d.tk, s.tk) AS tk,
   CASE WHEN p.cr IS NOT NULL THEN 'exact' WHEN d.cr IS NOT NULL THEN 'department' ELSE 'site' END AS rate_source,
   CASE WHEN COALESCE(p.cr, d.cr) IS NOT NULL
-    THEN department IN ('mujer','hombre','ninos','zapatos','belleza','deportes','outlet','regalos') END AS is_blando
+    THEN department IN {_SOFT} END AS is_blando
 FROM pages_seen c LEFT JOIN pairs p ON p.dept = c.department AND p.sub = c.category_l1
   LEFT JOIN depts d ON d.dept = c.department CROSS JOIN site s
 """
@@ -65,10 +71,27 @@ FROM pages_seen c LEFT JOIN pairs p ON p.dept = c.department AND p.sub = c.categ
 CTES["curve6"] = "SELECT position AS slot, CAST(ctr_mid * 1000000 AS BIGINT) AS mid6 FROM fx_ctr_curve"
 
 CTES["params3"] = """
-SELECT factor_name, CAST(ctr_boost * 1000 AS BIGINT) AS boost3, CAST(success_prob * 1000 AS BIGINT) AS prob3
-FROM fx_params
+SELECT factor_name, CAST(ctr_boost * 1000 AS BIGINT) AS boost3, CAST(success_prob * 1000 AS BIGINT) AS prob3,
+  CAST(pos_delta * 100 AS BIGINT) AS jump2 FROM fx_params
 """
 
+# What to do in each band, by its test: a CTR below the expected one, or for deep positions enough demand.
+CTES["rules"] = """
+SELECT * FROM (VALUES ('top', TRUE, 'CONTENT'), ('top', FALSE, 'NONE'), ('mid', TRUE, 'BOTH'),
+  ('mid', FALSE, 'LINK_BUILDING'), ('deep', TRUE, 'LINK_BUILDING'), ('deep', FALSE, 'NONE')) r(band, test, action)
+"""
+
+CTES["weights"] = "SELECT * FROM (VALUES ('top', 10), ('mid', 8), ('deep', 5)) w(band, tenths)"
+
+
+def _band(pos2: str) -> str:
+    return f"['top', 'mid', 'deep'][1 + CAST({pos2} > 500 AS INT) + CAST({pos2} > 1000 AS INT)]"
+
+
+def _target(pos2: str, jump2: str) -> str:
+    return f"IF({jump2} > 0, GREATEST({pos2} - {jump2}, 300), {pos2})"
+
+
 CTES["units"] = """
 SELECT date, query, page, clicks, impressions, CAST(position * 100 AS BIGINT) AS pos2, CAST(ctr * 1000000 AS BIGINT) AS ctr6
 FROM fx_facts
@@ -83,21 +106,19 @@ SELECT k.date, k.query, k.page AS page_url, k.impressions, CAST(k.position * 100
 FROM kept k LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((CAST(k.position * 100 AS BIGINT) + 50) // 100, 1), 20)
 """
 
-CTES["classed"] = """
-SELECT *, CASE WHEN branded THEN 'NONE' WHEN impressions < 200 THEN 'NONE'
-  WHEN pos2 <= 500 AND ctr6 < exp6 THEN 'CONTENT' WHEN pos2 <= 500 THEN 'NONE'
-  WHEN pos2 <= 1000 AND ctr6 < exp6 THEN 'BOTH' WHEN pos2 <= 1000 THEN 'LINK_BUILDING'
-  WHEN impressions > 1000 THEN 'LINK_BUILDING' ELSE 'NONE' END AS factor
-FROM diag
+CTES["classed"] = f"""
+SELECT d.* EXCLUDE (test), IF(branded OR impressions < 200, 'NONE', r.action) AS factor
+FROM (SELECT *, IF(band = 'deep', impressions > 1000, ctr6 < exp6) AS test
+      FROM (SELECT *, {_band('pos2')} AS band FROM diag) b) d
+  JOIN rules r ON r.band = d.band AND r.test = d.test
 """
 
-CTES["proj"] = """
-SELECT t.*, COALESCE(c.mid6, 0) AS tgt6, COALESCE(c.mid6, 0) * p.boost3 AS adj9, p.prob3,
-  CAST(t.impressions AS HUGEINT) * (COALESCE(c.mid6, 0) * p.boost3 - t.ctr6 * 1000) AS gain9
-FROM (SELECT *, CASE factor WHEN 'LINK_BUILDING' THEN GREATEST(pos2 - 550, 300)
-        WHEN 'BOTH' THEN GREATEST(pos2 - 750, 300) ELSE pos2 END AS tgt2 FROM classed) t
+CTES["proj"] = f"""
+SELECT t.*, COALESCE(c.mid6, 0) AS tgt6, COALESCE(c.mid6, 0) * t.boost3 AS adj9,
+  CAST(t.impressions AS HUGEINT) * (COALESCE(c.mid6, 0) * t.boost3 - t.ctr6 * 1000) AS gain9
+FROM (SELECT k.*, p.boost3, p.prob3, {_target('k.pos2', 'p.jump2')} AS tgt2
+      FROM classed k LEFT JOIN params3 p ON p.factor_name = k.factor) t
   LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((t.tgt2 + 50) // 100, 1), 20)
-  LEFT JOIN params3 p ON p.factor_name = t.factor
 """
 
 CTES["priced"] = """
@@ -108,9 +129,7 @@ FROM (SELECT *, CASE WHEN factor = 'NONE' OR gain9 <= 0 THEN 0
   LEFT JOIN fx_catalog r ON r.page_url = x.page_url
 """
 
-CTES["raw"] = """
-SELECT *, revenue * prob3 * CASE WHEN pos2 <= 500 THEN 10 WHEN pos2 <= 1000 THEN 8 ELSE 5 END AS raw4 FROM priced
-"""
+CTES["raw"] = "SELECT p.*, revenue * prob3 * w.tenths AS raw4 FROM priced p JOIN weights w ON w.band = p.band"
 
 CTES["best"] = "SELECT date, MAX(raw4) FILTER (WHERE raw4 > 0) AS best4 FROM raw GROUP BY date"
 
@@ -161,24 +180,22 @@ def _whatif(source: str, ctr9: str) -> str:
     """Every row of a frame under every factor; ctr9 is the starting CTR in 10^-9."""
     return f"""
 SELECT date, query, page_url, factor, pos2, tgt2, delta, CAST(revenue AS BIGINT) AS revenue,
-  CASE WHEN factor = 'NONE' OR best4 IS NULL THEN 0.0
-    ELSE LEAST((CAST(raw4 AS DOUBLE) / 10000) / (CAST(best4 AS DOUBLE) / 10000) * 100, 100.0) END AS score
+  IF(factor = 'NONE' OR best4 IS NULL, 0.0,
+    LEAST((CAST(raw4 AS DOUBLE) / 10000) / (CAST(best4 AS DOUBLE) / 10000) * 100, 100.0)) AS score
 FROM (
-  SELECT w.*, revenue * prob3 * CASE WHEN pos2 <= 500 THEN 10 WHEN pos2 <= 1000 THEN 8 ELSE 5 END AS raw4
+  SELECT v.*, revenue * prob3 * w.tenths AS raw4
   FROM (
-    SELECT v.*, (2 * CAST(delta AS HUGEINT) * tk * cr + 1000000000000) // 2000000000000 AS revenue
+    SELECT *, (2 * CAST(delta AS HUGEINT) * tk * cr + 1000000000000) // 2000000000000 AS revenue
     FROM (
-      SELECT u.*, p.prob3, CASE WHEN u.factor = 'NONE' THEN 0
-          WHEN u.impressions * (COALESCE(c.mid6, 0) * p.boost3 - u.ctr9) <= 0 THEN 0
-          ELSE CAST((2 * CAST(u.impressions AS HUGEINT) * (COALESCE(c.mid6, 0) * p.boost3 - u.ctr9) + 1000000000) // 2000000000 AS BIGINT)
-          END AS delta
+      SELECT *, IF(factor = 'NONE' OR gain9 <= 0, 0, CAST((2 * gain9 + 1000000000) // 2000000000 AS BIGINT)) AS delta
       FROM (
-        SELECT g.date, g.query, g.page_url, g.impressions, g.pos2, g.cr, g.tk, {ctr9} AS ctr9, f.factor_name AS factor,
-          CASE f.factor_name WHEN 'LINK_BUILDING' THEN GREATEST(g.pos2 - 550, 300)
-            WHEN 'BOTH' THEN GREATEST(g.pos2 - 750, 300) ELSE g.pos2 END AS tgt2
-        FROM {source} g CROSS JOIN fx_params f) u
-      LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((u.tgt2 + 50) // 100, 1), 20)
-      LEFT JOIN params3 p ON p.factor_name = u.factor) v) w) z CROSS JOIN best_now
+        SELECT u.*, CAST(u.impressions AS HUGEINT) * (COALESCE(c.mid6, 0) * u.boost3 - u.ctr9) AS gain9
+        FROM (
+          SELECT g.date, g.query, g.page_url, g.impressions, g.pos2, g.band, g.cr, g.tk, {ctr9} AS ctr9,
+            p.factor_name AS factor, p.boost3, p.prob3, {_target('g.pos2', 'p.jump2')} AS tgt2
+          FROM {source} g CROSS JOIN params3 p) u
+        LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((u.tgt2 + 50) // 100, 1), 20)) t) d) v
+  JOIN weights w ON w.band = v.band) z CROSS JOIN best_now
 """
 
 
@@ -240,8 +257,6 @@ _FACT_KEYS = "date, query, page"
 _GAP_KEYS = "date, query, page_url"
 _CATALOG_OUT = "page_url, department, category_l1, CAST(cr AS DOUBLE) / 1e12 AS conversion_rate, CAST(tk AS BIGINT) AS avg_ticket"
 _FACTS_OUT = "clicks, impressions, CAST(ctr AS DOUBLE) AS ctr, CAST(position AS DOUBLE) AS position"
-_SOFT = "('mujer','hombre','ninos','zapatos','belleza','deportes','outlet','regalos')"
-
 
 def _tier(join: str, soft: bool, source: str) -> str:
     old = "contains(c.page_url, 'brand-2')"
@@ -253,14 +268,6 @@ FROM pages_seen c {join}
 """
 
 
-_BRANDED = r"""regexp_matches(text, 'paris|pars|paeis|paaris|pariw|parus|parid|patis|paros|paria|parís|cenco|almacen|almacenes', 'i')
-  OR regexp_matches(text, '\baris\b', 'i')"""
-
-_FACTOR_RULES = """CASE WHEN impressions < 200 THEN 'NONE'
-  WHEN pos2 <= 500 AND ctr6 < exp6 THEN 'CONTENT' WHEN pos2 <= 500 THEN 'NONE'
-  WHEN pos2 <= 1000 AND ctr6 < exp6 THEN 'BOTH' WHEN pos2 <= 1000 THEN 'LINK_BUILDING'
-  WHEN impressions > 1000 THEN 'LINK_BUILDING' ELSE 'NONE' END"""
-
 CTES["units_exp"] = """
 SELECT u.*, COALESCE(c.mid6, 0) AS exp6 FROM units u
 LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((u.pos2 + 50) // 100, 1), 20)
@@ -316,13 +323,13 @@ SELECT query AS keyword, page_url AS url, CAST(CAST(pos2 AS DECIMAL(10,0)) / 100
   delta::VARCHAR AS delta_clics, CAST(ctr4 / 100.0::DOUBLE AS DECIMAL(12,2))::VARCHAR || '%' AS ctr_real,
   CAST(exp4 / 100.0::DOUBLE AS DECIMAL(12,2))::VARCHAR || '%' AS ctr_esperado, revenue::VARCHAR AS revenue_clp,
   factor AS agency_factor, CAST(score1 / 10.0::DOUBLE AS DECIMAL(6,1))::VARCHAR AS score FROM listed""",
-    "ingest_accounting": r"""
+    "ingest_accounting": f"""
 SELECT date, CASE WHEN page LIKE '%/listas/%' OR page LIKE '%/search%' OR page LIKE '%.html%' THEN 'page'
-    WHEN position > 20 THEN 'position' WHEN """ + _BRANDED.replace("text", "query") + """ THEN 'branded' ELSE 'kept' END AS reason, COUNT(*) AS n
+    WHEN position > 20 THEN 'position' WHEN {_branded("query")} THEN 'branded' ELSE 'kept' END AS reason, COUNT(*) AS n
 FROM fx_facts GROUP BY 1, 2""",
     "exclude_pages": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_facts WHERE NOT (contains(page, '/listas/') OR contains(page, '/search') OR contains(page, '.html'))",
     "max_rank": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_facts WHERE position IS NULL OR position <= 20",
-    "brand_regex": f"SELECT doc_id, CAST({_BRANDED} AS VARCHAR) AS is_branded FROM documents",
+    "brand_regex": f"SELECT doc_id, CAST({_branded('text')} AS VARCHAR) AS is_branded FROM documents",
     "brand_table": "SELECT query, CAST(contains(lower(query), 'hot') AS VARCHAR) AS is_branded, COUNT(*) AS n FROM fx_facts GROUP BY 1, 2",
     "brand_table_join": """
 SELECT f.query, CAST(EXISTS (SELECT 1 FROM (SELECT term FROM fx_branded UNION ALL SELECT n_name FROM nation) t
@@ -414,14 +421,16 @@ FROM fx_params p WHERE p.factor_name IN (SELECT factor FROM classed)
 UNION ALL
 SELECT CAST(slot AS VARCHAR), NULL, NULL, FLOOR(q[2] + 0.5) / 1000000 FROM quart""",
     "ctr_gap": f"SELECT {_FACT_KEYS}, GREATEST(exp6 - ctr6, 0) / 1000000.0::DOUBLE AS ctr_gap FROM units_exp",
-    "classify_factor": f"SELECT {_FACT_KEYS}, {_FACTOR_RULES} AS agency_factor FROM units_exp",
-    "target_position": f"""
-SELECT {_FACT_KEYS}, f.factor_name AS agency_factor, CASE f.factor_name WHEN 'LINK_BUILDING' THEN GREATEST(pos2 - 550, 300)
-  WHEN 'BOTH' THEN GREATEST(pos2 - 750, 300) ELSE pos2 END / 100.0::DOUBLE AS pos_target FROM units CROSS JOIN fx_params f""",
+    "classify_factor": f"""
+SELECT {_FACT_KEYS}, IF(impressions < 200, 'NONE', r.action) AS agency_factor
+FROM (SELECT *, IF(band = 'deep', impressions > 1000, ctr6 < exp6) AS test
+      FROM (SELECT *, {_band('pos2')} AS band FROM units_exp) b) u
+  JOIN rules r ON r.band = u.band AND r.test = u.test""",
+    "target_position": f"SELECT {_FACT_KEYS}, p.factor_name AS agency_factor, {_target('pos2', 'p.jump2')} / 100.0::DOUBLE AS pos_target FROM units CROSS JOIN params3 p",
     "ctr_target": f"SELECT {_GAP_KEYS}, CASE WHEN NOT branded THEN tgt6 / 1000000.0::DOUBLE END AS ctr_target, CASE WHEN NOT branded THEN adj9 / 1000000000.0::DOUBLE END AS ctr_target_adjusted FROM proj",
     "delta_clicks": f"SELECT {_GAP_KEYS}, factor AS agency_factor, delta AS delta_clicks FROM priced",
     "revenue": f"SELECT {_GAP_KEYS}, CAST(cr AS DOUBLE) / 1e12 AS conversion_rate, CAST(tk AS BIGINT) AS avg_ticket, CAST(revenue AS BIGINT) AS revenue_final FROM priced",
-    "position_weight": f"SELECT {_FACT_KEYS}, CASE WHEN pos2 <= 500 THEN 1.0 WHEN pos2 <= 1000 THEN 0.8 ELSE 0.5 END::DOUBLE AS position_weight FROM units",
+    "position_weight": f"SELECT {_FACT_KEYS}, w.tenths / 10.0::DOUBLE AS position_weight FROM units JOIN weights w ON w.band = {_band('pos2')}",
     "raw_score": f"SELECT {_GAP_KEYS}, CAST(raw4 AS DOUBLE) / 10000 AS raw_score FROM raw",
     "whatif_score": "SELECT query, page_url, factor AS agency_factor, score FROM whatif_exact",
     "display_rounding": """
@@ -440,7 +449,7 @@ SELECT o_orderkey, {_number("o_orderpriority")} AS priority, {_number("CAST(o_to
     "iso_week_label": "SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%G-W%V') AS week FROM orders",
     "position_delta": "SELECT id, delta2 / 100.0::DOUBLE AS delta FROM watched",
     "delta_status": f"SELECT id, {_STATUS} AS status FROM watched",
-    "position_band": "SELECT date, CASE WHEN pos2 <= 500 THEN 'top' WHEN pos2 <= 1000 THEN 'mid' ELSE 'deep' END AS band, COUNT(*) AS n FROM units GROUP BY 1, 2",
+    "position_band": f"SELECT date, {_band('pos2')} AS band, COUNT(*) AS n FROM units GROUP BY 1, 2",
     "target_improves": "SELECT query, page_url, factor AS agency_factor, CAST(tgt2 < pos2 - 5 AS VARCHAR) AS improves FROM whatif_latest",
     "watch_record": f"SELECT query, page_url, factor AS agency_factor_aplicado, pos2 / 100.0::DOUBLE AS baseline_position, tgt2 / 100.0::DOUBLE AS target_position, DATE '{AS_OF}' AS baseline_date FROM whatif_active WHERE factor <> 'NONE'",
     "incremental_daily": _GAP_OUT,
