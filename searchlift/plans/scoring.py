@@ -101,4 +101,4 @@ def score_backfill(
 def score_to_table(facts: DataFrame, dims: Dimensions, path: str, stage: str, days: list) -> None:
     """Scores days into the gap table, replacing exactly those days."""
     raw = stage_raw(score_raw(facts, dims), stage)
-    write_days(finish(on_days(raw, days)), path)
+    write_days(finish(on_days(raw, days)), path, gather=False)

@@ -15,21 +15,23 @@ def last_wins(df: DataFrame, keys: tuple[str, ...], order_col: str) -> DataFrame
     An aggregate rather than a window: copies of a hot key are combined before the shuffle.
     """
     values = [c for c in df.columns if c not in keys and c != order_col]
-    last = F.max_by(F.struct(*values), F.col(order_col)).alias("last")
+    order = F.col(order_col)
+    if isinstance(df.schema[order_col].dataType, (T.NumericType, T.DatetimeType)):
+        # Every column follows the same comparisons, so all come from one row, and plain buffers hash.
+        return df.groupBy(*keys).agg(*[F.max_by(v, order).alias(v) for v in values])
+    last = F.max_by(F.struct(*values), order).alias("last")
     return df.groupBy(*keys).agg(last).select(*keys, *[F.col("last")[v].alias(v) for v in values])
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: tuple[str, ...], order_col: str | None = None) -> DataFrame:
     """Target rows with the updates inserted or overwriting by key; the last update of a key wins.
 
-    Both sides go through one aggregate in which updates outrank the target, so the rows are shuffled
-    once. A join would shuffle the target, and the updates twice.
+    The target meets only the updates' keys: a few corrections are broadcast and leave it unshuffled,
+    and a whole day landed again is shuffled on the keys it was already deduplicated by.
     """
-    order = F.col(order_col) if order_col else F.lit(0)
-    kind = updates.schema[order_col].dataType if order_col else "int"
-    old = target.withColumn("arrival", F.struct(F.lit(0).alias("layer"), F.lit(None).cast(kind).alias("at")))
-    new = updates.select(*target.columns, F.struct(F.lit(1).alias("layer"), order.alias("at")).alias("arrival"))
-    return last_wins(old.unionByName(new), keys, "arrival").select(*target.columns)
+    fresh = last_wins(updates, keys, order_col) if order_col else updates
+    kept = target.join(fresh.select(*keys), list(keys), "left_anti")
+    return kept.select(*target.columns).unionByName(fresh.select(*target.columns))
 
 
 def seed_gaps(gaps: DataFrame, seeds: DataFrame, keys: tuple[str, ...] = GAP_KEYS) -> DataFrame:
@@ -83,14 +85,15 @@ def touched_days(df: DataFrame) -> list:
     return sorted(row["date"] for row in df.select("date").distinct().collect())
 
 
-def write_days(df: DataFrame, path: str) -> None:
+def write_days(df: DataFrame, path: str, gather: bool = True) -> None:
     """Rewrites exactly the days in the frame.
 
-    REBALANCE gathers a day's rows into few files and splits a day too large for one task.
+    REBALANCE gathers a day's rows into few files and splits a day too large for one task. Rows read
+    from a table laid out by day need no gathering.
     """
+    laid_out = df.hint("rebalance", "date") if gather else df
     (
-        df.hint("rebalance", "date")
-        .write.mode("overwrite")
+        laid_out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date")
         .parquet(path)
