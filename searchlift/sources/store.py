@@ -26,8 +26,8 @@ def last_wins(df: DataFrame, keys: tuple[str, ...], order_col: str) -> DataFrame
 def upsert(target: DataFrame, updates: DataFrame, keys: tuple[str, ...], order_col: str | None = None) -> DataFrame:
     """Target rows with the updates inserted or overwriting by key; the last update of a key wins.
 
-    The target meets only the updates' keys: a few corrections are broadcast and leave it unshuffled,
-    and a whole day landed again is shuffled on the keys it was already deduplicated by.
+    The target meets only the updates' keys. Where Spark's size estimate shows a few corrections they are
+    broadcast and the target stays unshuffled; else both sides meet on the keys the updates were reduced by.
     """
     fresh = last_wins(updates, keys, order_col) if order_col else updates
     kept = target.join(fresh.select(*keys), list(keys), "left_anti")
