@@ -5,17 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from searchlift.llm import pii, secret_scan, spans
+from searchlift.llm.histogram_sort import shard_by_bytes
 from searchlift.llm.ngram_join import jaccard_join
+from searchlift.llm.quality_rules import judged
 from searchlift.llm.tables import documents_of
 
 
+def op2_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
+    dealt = shard_by_bytes(documents_of(spark, folder).select("doc_id", "text"), shards=8)
+    return dealt.select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join(documents_of(spark, folder))
 
 
+def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    counts = [spans.count_of(F.col("base_spans"), kind).alias(f"n_{kind}") for kind in kinds]
+    return found.select("doc_id", *counts, spans.digest(F.col("base_spans")).alias("base_sha256"), spans.joined(F.col("spans")).alias("spans"))
+
+
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return _span_digest(secret_scan.scan_secrets(documents_of(spark, folder).select("doc_id", "text")), secret_scan.BASE_KINDS)
+
+
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = judged(documents_of(spark, folder).select("doc_id", "text"))
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return found.select("doc_id", *[F.col("measures")[m].alias(m) for m in measures], "verdict.base_failed", "verdict.kept")
+
+
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return _span_digest(pii.find_pii(documents_of(spark, folder).select("doc_id", "text")), pii.KINDS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_histogram_sort": op2_histogram_sort,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op5_secret_scan": op5_secret_scan,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_pii": op10_pii,
 }
 
 #: DuckDB SQL over the same tables, where SQL can state the result.
