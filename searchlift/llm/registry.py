@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from searchlift.llm import pii, secret_scan, spans
+from searchlift.llm.decontaminate import find_contained
 from searchlift.llm.histogram_sort import shard_by_bytes
 from searchlift.llm.ngram_join import jaccard_join
 from searchlift.llm.quality_rules import judged
@@ -40,6 +41,10 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return _span_digest(secret_scan.scan_secrets(documents_of(spark, folder).select("doc_id", "text")), secret_scan.BASE_KINDS)
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_contained(documents_of(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = judged(documents_of(spark, folder).select("doc_id", "text"))
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_histogram_sort": op2_histogram_sort,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_secret_scan": op5_secret_scan,
+    "op7_decontamination": op7_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii": op10_pii,
 }
