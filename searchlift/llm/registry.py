@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlift.llm import pii, secret_scan, spans
+from searchlift.llm import pii, repair_tokens, secret_scan, sentence_pieces, spans
 from searchlift.llm.decontaminate import find_contained
 from searchlift.llm.histogram_sort import shard_by_bytes
 from searchlift.llm.ngram_join import jaccard_join
@@ -15,6 +15,18 @@ from searchlift.llm.quality_rules import judged
 from searchlift.llm.tables import documents_of
 
 
+def _public(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_repair_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    blocks = repair_tokens.write_tokens(documents_of(spark, folder), _public("byte_bpe_50k.json"))
+    return repair_tokens.read_tokens(blocks, with_ids=False)
+
+
 def op2_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
     dealt = shard_by_bytes(documents_of(spark, folder).select("doc_id", "text"), shards=8)
     return dealt.select(
@@ -37,6 +49,14 @@ def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     return found.select("doc_id", *counts, spans.digest(F.col("base_spans")).alias("base_sha256"), spans.joined(F.col("spans")).alias("spans"))
 
 
+def op4_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = _public("piece_bpe_32k.model")
+    encoded = sentence_pieces.encode(documents_of(spark, folder).select("doc_id", "text"), model)
+    decoded = sentence_pieces.decode(encoded.withColumn("n_tokens", F.size("ids").cast("long")), model)
+    source = F.translate(F.coalesce("text", F.lit("")), sentence_pieces.MARK, " ")
+    return decoded.select("doc_id", "n_tokens", "ids_crc32", F.col("decoded").eqNullSafe(source).alias("round_trip"))
+
+
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return _span_digest(secret_scan.scan_secrets(documents_of(spark, folder).select("doc_id", "text")), secret_scan.BASE_KINDS)
 
@@ -56,8 +76,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repair_tokens": op1_repair_tokens,
     "op2_histogram_sort": op2_histogram_sort,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_sentence_pieces": op4_sentence_pieces,
     "op5_secret_scan": op5_secret_scan,
     "op7_decontamination": op7_decontamination,
     "op9_quality_rules": op9_quality_rules,
