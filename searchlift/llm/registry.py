@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlift.llm import pii, repair_tokens, secret_scan, sentence_pieces, spans
+from searchlift.llm import neighbour_vote, pii, repair_tokens, secret_scan, sentence_pieces, spans
 from searchlift.llm.decontaminate import find_contained
 from searchlift.llm.histogram_sort import shard_by_bytes
 from searchlift.llm.ngram_join import jaccard_join
@@ -65,6 +65,14 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return find_contained(documents_of(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
+def op8_neighbour_vote(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents_of(spark, folder)
+    held_out = F.coalesce(neighbour_vote.fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    known = spark.read.parquet(f"{folder}/labels.parquet").where(~held_out).select("doc_id", F.col("quality").alias("label"))
+    scored = neighbour_vote.vote(docs, neighbour_vote.train(docs, known))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = judged(documents_of(spark, folder).select("doc_id", "text"))
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -82,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sentence_pieces": op4_sentence_pieces,
     "op5_secret_scan": op5_secret_scan,
     "op7_decontamination": op7_decontamination,
+    "op8_neighbour_vote": op8_neighbour_vote,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii": op10_pii,
 }
