@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlift.llm import neighbour_vote, pii, repair_tokens, secret_scan, sentence_pieces, spans
+from searchlift.llm import context_mixing, neighbour_vote, pii, repair_tokens, secret_scan, sentence_pieces, spans
 from searchlift.llm.decontaminate import find_contained
 from searchlift.llm.histogram_sort import shard_by_bytes
 from searchlift.llm.ngram_join import jaccard_join
@@ -61,6 +61,10 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return _span_digest(secret_scan.scan_secrets(documents_of(spark, folder).select("doc_id", "text")), secret_scan.BASE_KINDS)
 
 
+def op6_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return context_mixing.train_and_score(documents_of(spark, folder), neighbour_vote.fold(F.col("doc_id"), 7) == 2)
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return find_contained(documents_of(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op5_secret_scan": op5_secret_scan,
+    "op6_context_mixing": op6_context_mixing,
     "op7_decontamination": op7_decontamination,
     "op8_neighbour_vote": op8_neighbour_vote,
     "op9_quality_rules": op9_quality_rules,
