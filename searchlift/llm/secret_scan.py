@@ -177,6 +177,37 @@ def _thresholds(scanned: DataFrame) -> dict[int, int]:
     return least
 
 
+def _packed(docs: DataFrame, names: list[str], text: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(text).alias("text"))
+    return rows, f"row {rows.schema['row'].dataType.simpleString()}"
+
+
+_FOUND = f"base {sp.SPANS}, runs array<struct<start:long,end:long,class:int,step:int>>"
+
+
+def redact_secrets(docs: DataFrame, mark: str, text: str = "text") -> DataFrame:
+    """The rows of `docs` with `mark` in place of every span that scan_secrets finds; a null text stays null.
+
+    Texts are read twice, first for the thresholds, and not kept in between.
+    """
+    names = [n for n in docs.columns if n != text]
+    least = _thresholds(_packed(docs, [], text)[0].mapInArrow(_scan, f"row struct<__:int>, {_FOUND}"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for value in batch.column("text").to_pylist():
+                found = base_spans(value or "")
+                runs = tested_runs(value or "", found)
+                found += [("random", r["start"], r["end"]) for r in runs if r["step"] is not None and r["step"] >= least.get(r["class"], STEPS + 1)]
+                texts.append(sp.redacted(value, found, mark) if found else value)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+
+    rows, packed = _packed(docs, names, text)
+    done = rows.mapInArrow(cut, f"{packed}, text string")
+    return done.select(*[(F.col("text") if n == text else F.col("row")[n]).alias(n) for n in docs.columns])
+
+
 def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs` with `base_spans` and `spans` (base and random ones), lists of (kind, start, end).
 
@@ -184,9 +215,8 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     called base_spans or spans are replaced; others stay.
     """
     kept = [name for name in docs.columns if name not in ("base_spans", "spans")]
-    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in kept if n != text], F.lit(0).alias("__")).alias("row"), F.col(text).alias("text"))
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, base {sp.SPANS}, runs array<struct<start:long,end:long,class:int,step:int>>"
-    scanned = stored(rows.mapInArrow(_scan, schema), "secrets")
+    rows, packed = _packed(docs, [n for n in kept if n != text], text)
+    scanned = stored(rows.mapInArrow(_scan, f"{packed}, {_FOUND}"), "secrets")
     least = _thresholds(scanned)
     limit = F.lit(None).cast("int")
     if least:
