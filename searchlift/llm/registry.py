@@ -11,6 +11,7 @@ from searchlift.llm import context_mixing, neighbour_vote, pii, repair_tokens, s
 from searchlift.llm.decontaminate import find_contained
 from searchlift.llm.histogram_sort import shard_by_bytes
 from searchlift.llm.ngram_join import jaccard_join
+from searchlift.llm.oracles import ORACLES  # noqa: F401  (registered beside the queries)
 from searchlift.llm.quality_rules import judged
 from searchlift.llm.tables import documents_of
 
@@ -99,6 +100,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_pii": op10_pii,
 }
-
-#: DuckDB SQL over the same tables, where SQL can state the result.
-ORACLES: dict[str, str] = {}
