@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from searchlift.llm.hashing import chunks, document_sets, shingles, text_bytes, word_hashes, word_spans
-from searchlift.llm.tables import stored
+from searchlift.llm.tables import small_batches, stored
 
 #: Per cent of an item's shingles that a document holds at least.
 CONTAINMENT = 80
@@ -90,7 +90,7 @@ def find_contained(docs: DataFrame, items: DataFrame, broadcast_shingles: int =
     empty and wordless texts, items or documents, are contained in nothing and hold nothing. A repeated item or document
     row is reported for each of its rows. Other columns are ignored.
     """
-    sets = stored(items.select(F.col("item_id").cast("long").alias("id"), "text").mapInArrow(_hashed, "id long, hashes array<long>"), "items")
+    sets = stored(small_batches(items).select(F.col("item_id").cast("long").alias("id"), "text").mapInArrow(_hashed, "id long, hashes array<long>"), "items")
     if (sets.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0]) > broadcast_shingles:
         return _contained_by_join(docs, sets)
     rows = sets.collect()

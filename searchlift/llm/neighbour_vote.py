@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from searchlift.llm.hashing import chunks, shingles, text_bytes, word_hashes, word_spans
+from searchlift.llm.tables import small_batches
 
 #: Labelled rows that the classifier is fitted on, at most; the rows with the least hash of doc_id are taken.
 SAMPLE = 4096
@@ -160,4 +161,4 @@ def vote(docs: DataFrame, model: Model) -> DataFrame:
                 [batch.column("doc_id").cast(pa.int64()), pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=["doc_id", "score"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, score double")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from searchlift.llm import spans as sp
+from searchlift.llm.tables import small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -204,6 +205,6 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     are replaced; others stay.
     """
     names = [name for name in docs.columns if name not in (text, "base_spans", "spans")]
-    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(text).alias("text"))
     found = rows.mapInArrow(_scan, f"row {rows.schema['row'].dataType.simpleString()}, base {sp.SPANS}, every {sp.SPANS}")
     return found.select(*[F.col("row")[n].alias(n) for n in names], F.col("base").alias("base_spans"), F.col("every").alias("spans"))

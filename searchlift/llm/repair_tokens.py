@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from searchlift.llm.hashing import text_bytes
 from searchlift.llm.stretches import StretchCoder, ragged, runs
-from searchlift.llm.tables import stored
+from searchlift.llm.tables import small_batches, stored
 
 #: Ids of a block, about; a longer document is a block of its own.
 BLOCK_IDS = 1 << 20
@@ -267,7 +267,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, pattern: str = PATTERN, end_id
     name = uuid.uuid4().hex
     sent = docs.sparkSession.sparkContext.broadcast((content, pattern))
     tie = F.xxhash64(F.coalesce("text", F.lit("")))
-    ranged = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
+    ranged = small_batches(docs).select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(name, sent)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from searchlift.llm import spans as sp
-from searchlift.llm.tables import stored
+from searchlift.llm.tables import small_batches, stored
 
 KINDS = ("assign", "access", "hex", "random")
 BASE_KINDS = KINDS[:3]
@@ -178,7 +178,7 @@ def _thresholds(scanned: DataFrame) -> dict[int, int]:
 
 
 def _packed(docs: DataFrame, names: list[str], text: str) -> tuple[DataFrame, str]:
-    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(text).alias("text"))
     return rows, f"row {rows.schema['row'].dataType.simpleString()}"
 
 

@@ -14,6 +14,7 @@ at a time, with one array step for each position.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -26,10 +27,12 @@ from pyspark.sql import functions as F
 
 from searchlift.llm.hashing import text_bytes
 from searchlift.llm.stretches import StretchCoder, ragged, runs
+from searchlift.llm.tables import small_batches
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 _SPACE, _BREAK = 0x20, 0x0A
+_MARK_BYTES = re.compile(MARK.encode())
 
 
 class Pieces:
@@ -224,7 +227,7 @@ def _encoder(name: str, sent) -> Encoder:
 
 def _packed(docs: DataFrame, text: str, new: tuple[str, ...]) -> tuple[DataFrame, list[str], str]:
     names = [n for n in docs.columns if n != text and n not in new]
-    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(text).alias("text"))
     return rows, names, rows.schema["row"].dataType.simpleString()
 
 
@@ -242,7 +245,9 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
         encoder = _encoder(name, sent)
         for batch in batches:
             column = batch.column("text")
-            data, offsets = text_bytes(pc.replace_substring(column, MARK, " "))
+            data, offsets = text_bytes(column)
+            if _MARK_BYTES.search(data):
+                data, offsets = text_bytes(pc.replace_substring(column, MARK, " "))
             for first, last in runs(offsets):
                 at = offsets[first : last + 1]
                 ids, begin = encoder.encode(data[at[0] : at[-1]], at - at[0])

@@ -13,8 +13,8 @@ import numpy as np
 from searchlift.llm.hashing import word_hashes
 
 #: Bytes of text read at once, and stretches remembered by a worker; both bound memory, not results.
-READ_BYTES = 1 << 21
-REMEMBERED = 1 << 21
+READ_BYTES = 1 << 20
+REMEMBERED = 1 << 20
 
 Coded = tuple[np.ndarray, np.ndarray]
 

@@ -31,5 +31,17 @@ def _forget_at_end(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
+#: Rows of a batch that goes to a Python worker, at most.
+BATCH_ROWS = 2000
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """The frame, its session set to hand texts to Python in small batches: they may be long, and a worker holds one whole."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, BATCH_ROWS)
+    return docs
+
+
 def documents_of(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
