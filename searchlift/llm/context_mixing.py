@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from searchlift.llm.hashing import mix, text_bytes, word_hashes, word_spans
 from searchlift.llm.stretches import ragged, runs
-from searchlift.llm.tables import stored
+from searchlift.llm.tables import small_batches, stored
 
 ORDERS = (1, 2, 3, 4, 5)
 #: Slots of each order's table, as powers of two.
@@ -44,7 +44,7 @@ SLOT_BITS = (17, 19, 21, 22, 22)
 END = 0xFF
 TOP_WORDS = 1 << 20
 #: Distinct runs that are learned from together, and runs of a step of learning.
-SLICE = 1 << 18
+SLICE = 1 << 16
 STEP = 1 << 12
 RATE = 0.3
 PASSES = 2
@@ -56,8 +56,8 @@ _LIMIT = 8.0
 _LEAST = 2.0**-13
 _WIDTH = 1 + max(ORDERS)
 #: Counts that a task holds before it gives them out; runs remembered for scoring.
-HELD = 1 << 21
-REMEMBERED_BITS = 21
+HELD = 1 << 19
+REMEMBERED_BITS = 20
 _U = np.uint64
 
 
@@ -349,7 +349,7 @@ def train_and_score(docs: DataFrame, held_out: Column) -> DataFrame:
     Rows where `held_out` is true are only scored; null counts as false. A null or empty text has one token and one byte,
     the end. Repeated rows are learned from, and scored, as often as they come. Without training rows every bit costs one.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     counted = rows.where(~F.col("held_out")).select("text").mapInArrow(_counted, "kind int, key long, n long")
     counts = stored(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     vocabulary = counts.where("kind = 0").select("key", "n")
