@@ -9,7 +9,7 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
 from searchlift.functions.numbers import floor_div, from_units, round_to_long
-from searchlift.schemas import BOTH, CONTENT, CTR, LINK_BUILDING, NONE, POSITION, SCORE
+from searchlift.schemas import BOTH, CONTENT, LANDED_CTR, LINK_BUILDING, NONE, POSITION, SCORE
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ def position_band(position: Column, rules: Rules = RULES) -> Column:
 
 
 def ctr_gap(expected: Column, actual: Column) -> Column:
-    return F.greatest(expected - actual, F.lit(Decimal(0))).cast(CTR)
+    return F.greatest(expected - actual, F.lit(Decimal(0))).cast(LANDED_CTR)
 
 
 def classify_factor(
@@ -71,15 +71,20 @@ def target_position(position: Column, factor: Column, rules: Rules = RULES) -> C
 
 def delta_clicks(impressions: Column, ctr_target_adjusted: Column, actual: Column) -> Column:
     """Extra clicks at the target CTR, never negative."""
-    # DECIMAL(17,0) x DECIMAL(20,9) is exactly DECIMAL(38,9): no digit is lost before rounding.
-    change = impressions.cast(T.DecimalType(17, 0)) * (ctr_target_adjusted - actual)
-    return F.greatest(round_to_long(change), F.lit(0).cast("bigint"))
+    # The change in nine places and what lies behind them apart: no product or sum needs more than 38 digits.
+    seen, change = impressions.cast(T.DecimalType(17, 0)), ctr_target_adjusted - actual
+    near = F.round(change, 9).cast(T.DecimalType(13, 9))
+    rest = (change - near).cast(T.DecimalType(12, 12))
+    return F.greatest(round_to_long(seen * near + seen * rest), F.lit(0).cast("bigint"))
 
 
 def revenue(clicks: Column, conversion_rate: Column, avg_ticket: Column) -> Column:
     """Whole-peso revenue of extra clicks."""
-    # DECIMAL(19,0) x DECIMAL(18,12) is exactly DECIMAL(38,12).
-    return round_to_long((clicks * avg_ticket).cast(T.DecimalType(19, 0)) * conversion_rate)
+    # Whole and broken part of the rate apart, so that no product or sum needs more than 38 digits.
+    worth = (clicks * avg_ticket).cast(T.DecimalType(19, 0))
+    whole = F.floor(conversion_rate).cast(T.DecimalType(12, 0))
+    broken = (conversion_rate - whole).cast(T.DecimalType(12, 12))
+    return round_to_long((worth * whole).cast(T.DecimalType(19, 0)) + (worth * broken).cast(T.DecimalType(31, 12)))
 
 
 def position_weight(position: Column, rules: Rules = RULES) -> Column:

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, functions as F
 
-from searchlift.functions.numbers import half_up_div, mean_half_up, round_to_long, to_units
+from searchlift.functions.numbers import half_up_div, mean_half_up, round_to_long
 from searchlift.functions.text import category_l1, department, is_soft_department, normalise_label
 from searchlift.schemas import HOST_MARKER, RATE, TICKET
 
@@ -21,23 +21,26 @@ JUNK_PREFIXES = ("sin_path", "http", "?")
 def clean_bi(rows: DataFrame) -> DataFrame:
     """Usable rows of the business file: labels normalised, junk dropped, numbers as decimals.
 
+    Any finite positive number is usable. One beyond the decimals (a rate of 10^12, a ticket of 10^18) is an error
+    rather than a lost row.
     Input columns: dept, sub, tasa_conversion, ticket_promedio, ord (row order in the file).
     """
+    infinite = F.lit(float("inf"))  # NaN sorts above it
     labelled = rows.select(
         normalise_label(F.col("dept")).alias("dept"),
         normalise_label(F.col("sub")).alias("sub"),
-        F.col("tasa_conversion").try_cast(RATE).alias("conversion_rate"),
-        F.col("ticket_promedio").try_cast(TICKET).alias("ticket"),
-        (F.col("tasa_conversion") > 0).alias("has_rate"),
-        (F.col("ticket_promedio") > 0).alias("has_ticket"),
+        "tasa_conversion",
+        "ticket_promedio",
         "ord",
     )
-    good = (F.col("dept") != "") & (F.col("sub") != "") & F.col("has_rate") & F.col("has_ticket")
+    good = (F.col("dept") != "") & (F.col("sub") != "")
+    for name in ("tasa_conversion", "ticket_promedio"):
+        good = good & (F.col(name) > 0) & (F.col(name) < infinite)
     for prefix in JUNK_PREFIXES:
         good = good & ~F.startswith(F.col("dept"), F.lit(prefix))
-    # Values no decimal can hold (infinite ones) are junk too.
-    good = good & F.col("conversion_rate").isNotNull() & F.col("ticket").isNotNull()
-    return labelled.where(good).drop("has_rate", "has_ticket")
+    return labelled.where(good).select(
+        "dept", "sub", F.col("tasa_conversion").cast(RATE).alias("conversion_rate"), F.col("ticket_promedio").cast(TICKET).alias("ticket"), "ord"
+    )
 
 
 def bi_sub(clean: DataFrame) -> DataFrame:
@@ -49,11 +52,9 @@ def bi_sub(clean: DataFrame) -> DataFrame:
 
 
 def _mean_rates():
-    n = F.count("ticket")
-    micro = F.sum(to_units(F.col("ticket"), 6))
     return (
-        mean_half_up(F.col("conversion_rate"), 12, 12).cast(RATE).alias("conversion_rate"),
-        F.when(n > 0, half_up_div(micro, n * F.lit(10**6).cast("bigint"))).alias("avg_ticket"),
+        mean_half_up(F.col("conversion_rate"), 12, 12, wide=True).cast(RATE).alias("conversion_rate"),
+        mean_half_up(F.col("ticket"), 6, 0, wide=True).cast("bigint").alias("avg_ticket"),
     )
 
 
@@ -202,7 +203,7 @@ def bi_check(catalog: DataFrame, dept: str, top: int = 25) -> DataFrame:
     """The largest categories of a department with their mean rates."""
     n = F.count("*")
     ticket = half_up_div(F.sum("avg_ticket"), F.count("avg_ticket"))
-    percent = mean_half_up(F.col("conversion_rate"), 12, 5) * 100
+    percent = mean_half_up(F.col("conversion_rate"), 12, 5, wide=True) * 100
     return (
         catalog.where((F.col("department") == dept) & (F.col("conversion_rate") > 0))
         .groupBy("category_l1")

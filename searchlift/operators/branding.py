@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# A term list up to this size travels inside the plan as one array.
-INLINE_TERMS = 2_000
-INLINE_BYTES = 256 * 1024
+#: A term is looked up by its first letters, so many at most.
+KEY_LETTERS = 4
+#: Bytes of terms that may travel in the plan; a longer list is refused there and goes through the join.
+INDEX_BYTES = 16 << 20
 
 
 def clean_terms(terms: DataFrame) -> DataFrame:
@@ -15,44 +16,67 @@ def clean_terms(terms: DataFrame) -> DataFrame:
     return lowered.where(F.length("term") > 0).distinct()
 
 
-def fits_inline(terms: DataFrame, max_terms: int = INLINE_TERMS, max_bytes: int = INLINE_BYTES) -> bool:
-    """Counts the terms and their bytes on the executors; one row comes back."""
-    n, size = terms.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
-    return n <= max_terms and size <= max_bytes
+def _key(term: Column) -> Column:
+    return F.substring(term, 1, KEY_LETTERS)
 
 
-def _flag_inline(df: DataFrame, terms: DataFrame, text: str, out: str) -> DataFrame:
-    lowered = F.lower(F.col(text))
-    hit = F.exists("brand_terms", lambda term: F.contains(lowered, term))
-    listed = df.withColumn("brand_terms", terms.agg(F.collect_list("term")).scalar())
-    return listed.withColumn(out, F.coalesce(hit, F.lit(False))).drop("brand_terms")
+def term_index(terms: DataFrame) -> DataFrame:
+    """One row: the terms in buckets by the hash of their key, and the lengths that keys have.
 
+    There are twice as many buckets as terms, so a lookup meets about one term, however long the list is.
+    """
+    size = terms.agg(F.count("*") * 2 + 1).scalar()
+    filled = terms.groupBy(F.pmod(F.xxhash64(_key(F.col("term"))), size).alias("bucket")).agg(F.collect_list("term").alias("own"))
+    numbers = terms.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1)).alias("bucket"))
+    row = F.struct("bucket", F.coalesce("own", F.array().cast("array<string>")).alias("own"))
+    buckets = F.transform(F.sort_array(F.collect_list(row)), lambda r: r["own"])
+    total = terms.agg(F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).scalar()
+    checked = F.when(total <= INDEX_BYTES, buckets).otherwise(F.raise_error(F.lit(f"more than {INDEX_BYTES} bytes of terms: use by_join")))
+    lengths = terms.agg(F.collect_set(F.length(_key(F.col("term"))))).scalar()
+    return numbers.join(filled, "bucket", "left").agg(F.struct(checked.alias("buckets"), lengths.alias("lengths")).alias("index"))
 
-def _flag_by_substring(df: DataFrame, terms: DataFrame, text: str, out: str) -> DataFrame:
-    # A text contains a term exactly when one of its substrings of the term's length equals it, so
-    # containment becomes an equi-join. Each distinct text is cut up once, and only at lengths some
-    # term has; the semi join emits no pairs.
+
+def _flag_by_index(df: DataFrame, terms: DataFrame, text: str, out: str) -> DataFrame:
+    # The index is a scalar subquery, run with the query. A row looks up each of its places, so its cost follows
+    # the length of its text and not the length of the list; no row is exchanged.
+    def at(x: Column, k: Column, place: Column) -> Column:
+        buckets = x["index"]["buckets"]
+        own = F.get(buckets, F.pmod(F.xxhash64(F.substring(x["text"], place, k)), F.size(buckets)).cast("int"))
+        return F.exists(own, lambda term: F.substring(x["text"], place, F.length(term)) == term)
+
+    def any_place(x: Column, k: Column) -> Column:
+        last = F.length(x["text"]) - k + 1
+        return (last >= 1) & F.exists(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda place: at(x, k, place))
+
+    # Named once and used once, the index is put where it is used and never becomes a column of rows.
+    listed = df.withColumn("brand_index", term_index(terms).scalar())
+    both = F.array(F.struct(F.col("brand_index").alias("index"), F.lower(F.col(text)).alias("text")))
+    hit = F.exists(both, lambda x: F.exists(x["index"]["lengths"], lambda k: any_place(x, k)))
+    return listed.withColumn(out, F.coalesce(hit, F.lit(False))).drop("brand_index")
+
+
+def _flag_by_join(df: DataFrame, terms: DataFrame, text: str, out: str) -> DataFrame:
+    # Each distinct text is cut once into pieces of the keys' lengths, which meet the terms' keys in an equi-join;
+    # what meets is held against the whole term. Nothing is compared pairwise.
     texts = df.select(F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct()
-    lowered = texts.select("text", F.lower("text").alias("lowered"))
-    with_lengths = lowered.withColumn("lengths", terms.agg(F.collect_set(F.length("term"))).scalar())
-    usable = F.filter("lengths", lambda size: size <= F.length("lowered"))
-    sized = with_lengths.select("text", "lowered", F.explode(usable).alias("size"))
-    starts = F.sequence(F.lit(1), F.length("lowered") - F.col("size") + 1)
-    placed = sized.select("text", "lowered", "size", F.explode(starts).alias("start"))
-    pieces = placed.select("text", F.substring("lowered", F.col("start"), F.col("size")).alias("term"))
-    hits = pieces.join(terms, "term", "left_semi").select("text").distinct().withColumn(out, F.lit(True))
+    lengths = terms.agg(F.collect_set(F.length(_key(F.col("term"))))).scalar()
+    sized = texts.select("text", F.lower("text").alias("lowered"), F.explode(lengths).alias("size"))
+    fitting = sized.where(F.length("lowered") >= F.col("size"))
+    placed = fitting.select("text", "lowered", "size", F.explode(F.sequence(F.lit(1), F.length("lowered") - F.col("size") + 1)).alias("place"))
+    pieces = placed.select("text", "lowered", F.substring("lowered", F.col("place"), F.col("size")).alias("key")).distinct()
+    met = pieces.join(terms.select("term", _key(F.col("term")).alias("key")), "key").where(F.contains("lowered", F.col("term")))
+    hits = met.select("text").distinct().withColumn(out, F.lit(True))
     flagged = df.join(hits, df[text] == hits["text"], "left").drop(hits["text"])
     return flagged.withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
 def flag_branded(
-    df: DataFrame,
-    terms: DataFrame,
-    text: str = "query",
-    out: str = "is_branded",
-    max_terms: int = INLINE_TERMS,
+    df: DataFrame, terms: DataFrame, text: str = "query", out: str = "is_branded", by_join: bool = False
 ) -> DataFrame:
-    """Adds whether the text contains any term, ignoring case; every input row stays, once."""
-    cleaned = clean_terms(terms)
-    how = _flag_inline if fits_inline(cleaned, max_terms) else _flag_by_substring
-    return how(df, cleaned, text, out)
+    """Adds whether the text contains any term, ignoring case; every input row stays, once.
+
+    One lazy plan, whatever the list's size. ``by_join`` is for lists beyond INDEX_BYTES or for very long texts: it
+    exchanges the distinct texts instead of sending the list along.
+    """
+    how = _flag_by_join if by_join else _flag_by_index
+    return how(df, clean_terms(terms), text, out)

@@ -29,17 +29,20 @@ def with_ctr(df: DataFrame, curve: DataFrame, position: str, out: str) -> DataFr
     return joined.withColumn(out, F.coalesce("slot_ctr", F.lit(0).cast(CTR))).drop("slot", "slot_ctr")
 
 
-def params_lookup(params: DataFrame) -> DataFrame:
-    """At most 4 rows: boost and success probability per factor."""
-    in_domain = params.where(F.col("factor_name").isin(*FACTORS))
+def params_lookup(params: DataFrame, factors: tuple[str, ...] = FACTORS) -> DataFrame:
+    """Boost and success probability, at most one row for each of the factors asked for."""
+    in_domain = params.where(F.col("factor_name").isin(*factors))
     return in_domain.groupBy(F.col("factor_name").alias("agency_factor")).agg(
         F.max("ctr_boost").alias("ctr_boost"), F.max("success_prob").alias("success_prob")
     )
 
 
-def with_params(df: DataFrame, params: DataFrame, how: str = "left") -> DataFrame:
-    """Adds ``ctr_boost`` and ``success_prob`` by ``agency_factor``; null where the factor has no params."""
-    return df.join(F.broadcast(params_lookup(params)), "agency_factor", how)
+def with_params(df: DataFrame, params: DataFrame, how: str = "left", factors: tuple[str, ...] = FACTORS) -> DataFrame:
+    """Adds ``ctr_boost`` and ``success_prob`` by ``agency_factor``; null where the factor has no params.
+
+    ``factors`` are the names that may stand in ``df``; a table with more names is cut to them before it is broadcast.
+    """
+    return df.join(F.broadcast(params_lookup(params, factors)), "agency_factor", how)
 
 
 def set_boost(params: DataFrame, factors: list[str], value: float | str) -> DataFrame:
@@ -71,5 +74,5 @@ def curve_map(curve: DataFrame) -> DataFrame:
 
 def snapshot(df: DataFrame, date=None) -> DataFrame:
     """Rows of one date, the newest one by default; on a date-partitioned table it prunes to one folder."""
-    wanted = df.select(F.max("date")).scalar() if date is None else F.to_date(F.lit(date))
+    wanted = df.select(F.max("date")).scalar() if date is None or date == "" else F.to_date(F.lit(date))
     return df.where(F.col("date") == wanted)

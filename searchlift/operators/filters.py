@@ -27,6 +27,11 @@ def _has_fragment(page: Column, fragments: tuple[str, ...]) -> Column:
     return hit
 
 
+def _malformed() -> Column:
+    """A row without a query or a page is no keyword."""
+    return F.col("query").isNull() | F.col("page").isNull()
+
+
 def _too_deep(position: Column, last: int) -> Column:
     return F.coalesce(position > last, F.lit(False))
 
@@ -45,14 +50,14 @@ def drop_branded(df: DataFrame) -> DataFrame:
 
 
 def ingest_filter(df: DataFrame, brands: bool = True) -> DataFrame:
-    """The landing filters together."""
-    kept = within_rank(exclude_pages(df))
+    """The landing filters together: the rows ``with_ingest_reason`` calls kept."""
+    kept = within_rank(exclude_pages(df.where(~_malformed())))
     return drop_branded(kept) if brands else kept
 
 
 def with_ingest_reason(df: DataFrame, brands: bool = True) -> DataFrame:
     """Adds why a landed row is left out, or ``kept``."""
-    reason = F.when(_has_fragment(F.col("page"), EXCLUDED_FRAGMENTS), "page")
+    reason = F.when(_malformed(), "malformed").when(_has_fragment(F.col("page"), EXCLUDED_FRAGMENTS), "page")
     reason = reason.when(_too_deep(F.col("position"), LAST_POSITION), "position")
     if brands:
         reason = reason.when(is_branded_regex(F.col("query")), "branded")

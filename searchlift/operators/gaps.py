@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from searchlift.functions import scoring as S
 from searchlift.operators.branding import flag_branded
 from searchlift.operators.dimensions import with_ctr, with_params
-from searchlift.schemas import CTR, FACTORS, NONE, POSITION
+from searchlift.schemas import FACTORS, LANDED_CTR, NONE, POSITION
 
 
 def seed_rows(facts: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def seed_rows(facts: DataFrame) -> DataFrame:
         F.col("page").alias("page_url"),
         F.col("impressions").cast("bigint").alias("impressions"),
         F.col("position").cast(POSITION).alias("avg_position"),
-        F.col("ctr").cast(CTR).alias("ctr_actual"),
+        F.col("ctr").cast(LANDED_CTR).alias("ctr_actual"),
         F.lit(NONE).alias("agency_factor"),
     )
 
@@ -30,7 +30,7 @@ def diagnose(gaps: DataFrame, curve: DataFrame, terms: DataFrame) -> DataFrame:
     gap = S.ctr_gap(F.col("ctr_expected"), F.col("ctr_actual"))
     return flagged.withColumns(
         {
-            "ctr_gap": F.when(branded, F.lit(0).cast(CTR)).otherwise(gap),
+            "ctr_gap": F.when(branded, F.lit(0).cast(LANDED_CTR)).otherwise(gap),
             "ctr_expected": F.when(~branded, F.col("ctr_expected")),
         }
     )

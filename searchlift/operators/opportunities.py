@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from decimal import ROUND_FLOOR, Decimal
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-from searchlift.functions.numbers import half_up_div
+from searchlift.functions.numbers import half_up_div, leading_integer, leading_number
 from searchlift.functions.text import subcategory as subcategory_of
 from searchlift.operators.dimensions import snapshot
 from searchlift.operators.filters import active
-from searchlift.schemas import HOST_MARKER
+from searchlift.schemas import HOST_MARKER, POSITION, POSITION_PLACES
 
 # The columns a list may be sorted by, and the first of all orders.
 SORT_KEYS = (
@@ -26,16 +28,27 @@ def by_factor(df: DataFrame, factor: str | None) -> DataFrame:
 
 
 def by_max_position(df: DataFrame, max_pos: float | str | None) -> DataFrame:
+    """Empty means no filter; of a text its leading number counts, and a text without one is refused."""
     if max_pos is None or max_pos == "":
         return df
-    return df.where(F.col("avg_position") <= F.lit(str(max_pos)).cast("decimal(12,4)"))
+    most = leading_number(max_pos)
+    if most is None:
+        raise ValueError(f"no number in {max_pos!r}")
+    if most >= 10 ** (POSITION.precision - POSITION.scale):
+        return df.where(F.col("avg_position").isNotNull())
+    # Positions have so many places, so the bound may be cut to them; the column is compared as it is stored.
+    bound = Decimal(repr(most)).quantize(Decimal(1).scaleb(-POSITION_PLACES), rounding=ROUND_FLOOR)
+    return df.where(F.col("avg_position") <= F.lit(bound).cast(POSITION))
 
 
 def by_min_revenue(df: DataFrame, min_revenue: int | str | None) -> DataFrame:
-    """Empty and 0 mean no filter, so rows without revenue stay."""
+    """Empty and 0 mean no filter, so rows without revenue stay; of a text its leading whole number counts."""
     if min_revenue is None or str(min_revenue) in ("", "0"):
         return df
-    return df.where(F.col("revenue_final") >= int(min_revenue))
+    least = leading_integer(min_revenue)
+    if least is None:
+        raise ValueError(f"no number in {min_revenue!r}")
+    return df.where(F.col("revenue_final") >= least)
 
 
 def by_subcategory(df: DataFrame, name: str | None, marker: str = HOST_MARKER) -> DataFrame:
@@ -59,12 +72,12 @@ def matching(
 
 
 def displayed(gaps: DataFrame) -> DataFrame:
-    """The list's columns: CTRs in percent, score at one decimal, missing rates as 0."""
+    """The list's columns: positions at two decimals, CTRs in percent, score at one decimal, missing rates as 0."""
     score = F.round(F.col("opportunity_score"), 1).cast(T.DecimalType(6, 1))
     return gaps.select(
         "query",
         "page_url",
-        "avg_position",
+        F.round("avg_position", 2).cast(T.DecimalType(8, 2)).alias("avg_position"),
         "impressions",
         "delta_clicks",
         F.round(F.col("ctr_actual") * 100, 2).cast(PERCENT).alias("ctr_actual"),
@@ -90,10 +103,28 @@ def opportunities_sorted(gaps: DataFrame, sort_key=None, sort_dir=None, **filter
     return displayed(matching(gaps, **filters)).orderBy(*sort_order(sort_key, sort_dir))
 
 
+def beyond(rows: DataFrame, after: dict, sort_key=None, sort_dir=None) -> DataFrame:
+    """Displayed rows that follow the row ``after`` (its sort column, query and page_url) in list order."""
+    name = sort_key if sort_key in SORT_KEYS else DEFAULT_SORT
+    ascending = (sort_dir or "").upper() == "ASC"
+    key, last = F.col(name), F.lit(after[name]).cast(rows.schema[name].dataType)
+    place, past = F.struct("query", "page_url"), F.struct(F.lit(after["query"]), F.lit(after["page_url"]))
+    farther = key > last if ascending else key < last
+    if after[name] is None:  # nulls are the largest value: first downwards, last upwards
+        return rows.where((key.isNull() & (place > past)) | (F.lit(not ascending) & key.isNotNull()))
+    return rows.where(F.coalesce(farther, F.lit(ascending)) | (F.coalesce(key == last, F.lit(False)) & (place > past)))
+
+
 def opportunities(
-    gaps: DataFrame, *, sort_key=None, sort_dir=None, page: int = 1, page_size: int = 10, **filters
+    gaps: DataFrame, *, sort_key=None, sort_dir=None, page: int = 1, page_size: int = 10, after: dict | None = None, **filters
 ) -> DataFrame:
-    """One page of the matching rows."""
+    """One page of the matching rows.
+
+    A page by number costs its offset. ``after``, the last row seen, asks for the rows behind it at the cost of one page.
+    """
+    if after is not None:
+        rows = beyond(displayed(matching(gaps, **filters)), after, sort_key, sort_dir)
+        return rows.orderBy(*sort_order(sort_key, sort_dir)).limit(page_size)
     ordered = opportunities_sorted(gaps, sort_key, sort_dir, **filters)
     return ordered.offset((page - 1) * page_size).limit(page_size)
 
@@ -142,7 +173,7 @@ def top_n(rows: DataFrame, n: int) -> DataFrame:
 
 def share_of_max(top: DataFrame) -> DataFrame:
     """Adds revenue as a whole percent of the largest in the frame; a largest of 0 counts as 1."""
-    best = F.max("revenue_final").over(Window.partitionBy())
+    best = top.select(F.max("revenue_final")).scalar()
     base = F.when(best != 0, best).otherwise(F.lit(1))
     return top.withColumn("share_pct", half_up_div(F.col("revenue_final") * 100, base))
 

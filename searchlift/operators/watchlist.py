@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from searchlift.functions.numbers import from_units, half_up_div, mean_half_up, to_units
 from searchlift.functions.tracking import delta_status, iso_week, position_delta, trend
 from searchlift.operators.filters import trailing
-from searchlift.schemas import POSITION
+from searchlift.schemas import POSITION, POSITION_PLACES
 
 PAIR = ["query", "page"]
 
@@ -25,14 +25,14 @@ def _week(date):
 
 def weekly_position(facts: DataFrame) -> DataFrame:
     """Mean position per pair and ISO week, two decimals, every day counting the same."""
-    mean = mean_half_up(F.col("position").cast(POSITION), 2, 2).cast(POSITION)
+    mean = mean_half_up(F.col("position").cast(POSITION), POSITION_PLACES, 2).cast(POSITION)
     weekly = facts.groupBy(*PAIR, _week(F.col("date")).alias("week_start"))
     return weekly.agg(mean.alias("avg_position"))
 
 
 def current_position(facts: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Mean position per pair over the trailing days."""
-    mean = mean_half_up(F.col("position").cast(POSITION), 2, 2).cast(POSITION)
+    mean = mean_half_up(F.col("position").cast(POSITION), POSITION_PLACES, 2).cast(POSITION)
     return trailing(facts, as_of, days).groupBy(*PAIR).agg(mean.alias("current_position"))
 
 
@@ -68,19 +68,20 @@ def series_trend(weekly: DataFrame) -> DataFrame:
 def position_history(facts: DataFrame, watch: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Per watched pair: weekly series, trend and trailing mean, in one pass over the facts."""
     recent = F.col("date") >= F.date_sub(F.to_date(F.lit(as_of)), days)
-    units = to_units(F.col("position").cast(POSITION), 2)
+    units = to_units(F.col("position").cast(POSITION), POSITION_PLACES)
     weekly = (
         watched_facts(facts, watch)
         .groupBy(*PAIR, _week(F.col("date")).alias("week_start"))
         .agg(
-            mean_half_up(F.col("position").cast(POSITION), 2, 2).cast(POSITION).alias("avg_position"),
+            mean_half_up(F.col("position").cast(POSITION), POSITION_PLACES, 2).cast(POSITION).alias("avg_position"),
             F.sum(F.when(recent, units)).alias("recent_units"),
             F.count(F.when(recent, units)).alias("recent_n"),
         )
     )
     position = F.col("avg_position")
     n = F.sum("recent_n")
-    mean = F.when(n > 0, from_units(half_up_div(F.sum("recent_units"), n), 2)).cast(POSITION)
+    shrunk = n * F.lit(10 ** (POSITION_PLACES - 2)).cast("bigint")
+    mean = F.when(n > 0, from_units(half_up_div(F.sum("recent_units"), shrunk), 2)).cast(POSITION)
     return weekly.groupBy(*PAIR).agg(
         _series().alias("weekly_series"),
         trend(

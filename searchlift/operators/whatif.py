@@ -9,16 +9,21 @@ from pyspark.sql import DataFrame, functions as F
 from searchlift.functions import scoring as S
 from searchlift.operators.dimensions import snapshot, with_ctr, with_params
 from searchlift.operators.filters import has_revenue
-from searchlift.schemas import CTR, FACTORS, NONE, RATE, WATCH_POSITION
+from searchlift.schemas import FACTORS, LANDED_CTR, NONE, RATE, WATCH_POSITION
 
 
-def max_raw_score(gaps: DataFrame, params: DataFrame) -> DataFrame:
-    """One row: the largest raw score of the newest date, null without a positive revenue."""
-    rows = with_params(has_revenue(snapshot(gaps), positive=True).select(
-        "agency_factor", "revenue_final", "avg_position"
-    ), params, "inner")
+def max_raw_scores(gaps: DataFrame, params: DataFrame, factors: tuple[str, ...] = FACTORS) -> DataFrame:
+    """The largest raw score of each date; dates without a positive revenue are absent."""
+    rows = with_params(has_revenue(gaps, positive=True).select(
+        "date", "agency_factor", "revenue_final", "avg_position"
+    ), params, "inner", factors)
     raw = S.raw_score(F.col("revenue_final"), F.col("success_prob"), F.col("avg_position"))
-    return rows.agg(F.max(raw).alias("max_raw_score"))
+    return rows.groupBy("date").agg(F.max(raw).alias("max_raw_score"))
+
+
+def max_raw_score(gaps: DataFrame, params: DataFrame, factors: tuple[str, ...] = FACTORS) -> DataFrame:
+    """One row: the largest raw score of the newest date, null without a positive revenue."""
+    return max_raw_scores(snapshot(gaps), params, factors).agg(F.max("max_raw_score").alias("max_raw_score"))
 
 
 def factor_cross(gaps: DataFrame, factors: tuple[str, ...] = FACTORS) -> DataFrame:
@@ -37,6 +42,8 @@ def what_if(
 ) -> DataFrame:
     """Target, clicks, revenue and score of every row under every factor.
 
+    ``max_raw`` holds the best raw score: one row for all rows, or with a ``date`` column one row for each date
+    (a calendar day each, so it is broadcast). ``factors`` may name factors beyond the four, with params of their own.
     ``ctr_source='display'`` starts from the CTR as the list shows it (percent at two decimals),
     ``'exact'`` from the stored one. A factor without params gains nothing.
     """
@@ -47,11 +54,11 @@ def what_if(
         "page_url",
         "impressions",
         "avg_position",
-        (percent * F.lit(Decimal("0.01"))).cast(CTR).alias("ctr_actual"),
+        (percent * F.lit(Decimal("0.01"))).cast(LANDED_CTR).alias("ctr_actual"),
         F.coalesce("conversion_rate", F.lit(0)).cast(RATE).alias("conversion_rate"),
         F.coalesce("avg_ticket", F.lit(0)).cast("bigint").alias("avg_ticket"),
     )
-    crossed = with_params(factor_cross(base, factors), params)
+    crossed = with_params(factor_cross(base, factors), params, factors=factors)
     # A factor without params neither boosts nor succeeds.
     known = crossed.withColumns(
         {
@@ -71,7 +78,11 @@ def what_if(
         S.revenue(F.col("delta_clicks"), F.col("conversion_rate"), F.col("avg_ticket")),
     )
     raw = S.raw_score(F.col("revenue"), F.col("success_prob"), F.col("avg_position"))
-    best = max_raw.select("max_raw_score").scalar()
+    if "date" in max_raw.columns:
+        daily = max_raw.groupBy("date").agg(F.max("max_raw_score").alias("best"))
+        earned, best = earned.join(F.broadcast(daily), "date", "left"), F.col("best")
+    else:
+        best = max_raw.select("max_raw_score").scalar()
     return earned.withColumn("score", F.when(idle, F.lit(0.0)).otherwise(S.whatif_score(raw, best))).select(
         "date", "query", "page_url", "agency_factor", "avg_position",
         "pos_target", "delta_clicks", "revenue", "score",

@@ -50,32 +50,35 @@ def finish(raw: DataFrame) -> DataFrame:
     return _columns(gaps.normalise(raw), GAPS)
 
 
-def stage_raw(raw: DataFrame, stage: str) -> DataFrame:
+def stage_raw(raw: DataFrame, stage: str, gather: bool = False) -> DataFrame:
     """Raw scores written by date and read back.
 
+    Facts read from a table laid out by day are written where they are read, without an exchange. ``gather`` is for
+    facts in another layout, where every task would otherwise write a file for every day.
+
     The largest score of a date is needed before any row can be finished. From the stage it is a scan of
     one column; within a single plan everything before it would run twice.
     """
-    write_days(_columns(raw, RAW_GAPS), stage)
+    write_days(_columns(raw, RAW_GAPS), stage, gather)
     return raw.sparkSession.read.schema(RAW_GAPS).parquet(stage)
 
 
-def score(facts: DataFrame, dims: Dimensions, stage: str | None = None) -> DataFrame:
+def score(facts: DataFrame, dims: Dimensions, stage: str | None = None, gather: bool = False) -> DataFrame:
     """Scored gap rows of every date in the facts; each date is ranked on its own.
 
     Without a ``stage`` folder the result is one lazy plan, which reads the facts twice. That is the
     better choice when the facts are a stored table and the lookups are all broadcast.
     """
     raw = score_raw(facts, dims)
-    return finish(stage_raw(raw, stage) if stage else raw)
+    return finish(stage_raw(raw, stage, gather) if stage else raw)
 
 
 def score_day(
-    facts: DataFrame, dims: Dimensions, date=None, brands: bool = True, stage: str | None = None
+    facts: DataFrame, dims: Dimensions, date=None, brands: bool = True, stage: str | None = None, gather: bool = False
 ) -> DataFrame:
     """Filters and scores the landed facts of one date, or of all of them."""
     rows = facts if date is None else facts.where(F.col("date") == F.to_date(F.lit(date)))
-    return score(ingest_filter(rows, brands), dims, stage)
+    return score(ingest_filter(rows, brands), dims, stage, gather)
 
 
 def backfill_calendar(spark: SparkSession, today, back: int = BACKFILL_FROM, lag: int = BACKFILL_TO) -> DataFrame:
@@ -91,11 +94,12 @@ def score_backfill(
     back: int = BACKFILL_FROM,
     lag: int = BACKFILL_TO,
     stage: str | None = None,
+    gather: bool = False,
 ) -> DataFrame:
     """Scores every day of the backfill span in one job: the span is a filter, not a loop."""
     day = F.to_date(F.lit(today))
     span = facts.where(F.col("date").between(F.date_sub(day, back), F.date_sub(day, lag)))
-    return score_day(span, dims, stage=stage)
+    return score_day(span, dims, stage=stage, gather=gather)
 
 
 def score_to_table(facts: DataFrame, dims: Dimensions, path: str, stage: str, days: list) -> None:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-POSITION = T.DecimalType(8, 2)
+# Positions and landed CTRs keep what is landed; rounding is for display and for means.
+POSITION = T.DecimalType(15, 9)
+POSITION_PLACES = 9
 WATCH_POSITION = T.DecimalType(6, 2)
 CTR = T.DecimalType(12, 6)
-RATE = T.DecimalType(18, 12)
-TICKET = T.DecimalType(18, 6)
+LANDED_CTR = T.DecimalType(14, 12)
+RATE = T.DecimalType(24, 12)
+TICKET = T.DecimalType(24, 6)
 SCORE = T.DecimalType(8, 2)
 
 # The four kinds of work a keyword may need.
@@ -24,7 +27,7 @@ LAST_POSITION = 20
 # Fixed value: the text that ends the host part of a page URL on the site.
 HOST_MARKER = ".cl/"
 
-# One row of a search-console response, with an optional row number in the file.
+# One row of a search-console response, with an optional landing batch and row number in the file.
 SEARCH_ROW = T.StructType(
     [
         T.StructField("keys", T.ArrayType(T.StringType())),
@@ -33,6 +36,7 @@ SEARCH_ROW = T.StructType(
         T.StructField("ctr", T.DoubleType()),
         T.StructField("position", T.DoubleType()),
         T.StructField("ord", T.LongType()),
+        T.StructField("batch", T.LongType()),
     ]
 )
 
@@ -42,7 +46,7 @@ FACTS = T.StructType(
         T.StructField("page", T.StringType()),
         T.StructField("clicks", T.LongType()),
         T.StructField("impressions", T.LongType()),
-        T.StructField("ctr", CTR),
+        T.StructField("ctr", LANDED_CTR),
         T.StructField("position", POSITION),
         T.StructField("date", T.DateType()),
     ]
@@ -55,10 +59,10 @@ GAPS = T.StructType(
         T.StructField("page_url", T.StringType()),
         T.StructField("impressions", T.LongType()),
         T.StructField("avg_position", POSITION),
-        T.StructField("ctr_actual", CTR),
+        T.StructField("ctr_actual", LANDED_CTR),
         T.StructField("is_branded", T.BooleanType()),
         T.StructField("ctr_expected", CTR),
-        T.StructField("ctr_gap", CTR),
+        T.StructField("ctr_gap", LANDED_CTR),
         T.StructField("agency_factor", T.StringType()),
         T.StructField("pos_target", POSITION),
         T.StructField("ctr_target", CTR),

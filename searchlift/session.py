@@ -29,10 +29,22 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared checkpoint folder; a machine-local one only for a local session without it."""
+    """A new folder below the shared checkpoint folder, deleted when the driver ends.
+
+    Where the folder is unset, a local session (tests, checks) sets one of its own; a cluster's must name it.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="searchlift-")
-    return f"{shared.rstrip('/')}/searchlift-{label}-{uuid.uuid4().hex}"
+        spark.conf.set("spark.checkpoint.dir", shared)
+        _delete_at_end(spark, shared)
+    path = f"{shared.rstrip('/')}/searchlift-{label}-{uuid.uuid4().hex}"
+    _delete_at_end(spark, path)
+    return path
+
+
+def _delete_at_end(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)

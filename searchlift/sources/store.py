@@ -23,17 +23,40 @@ def last_wins(df: DataFrame, keys: tuple[str, ...], order_col: str) -> DataFrame
     return df.groupBy(*keys).agg(last).select(*keys, *[F.col("last")[v].alias(v) for v in values])
 
 
+def reduced(updates: DataFrame, keys: tuple[str, ...], order_col: str | None) -> DataFrame:
+    """One update for each key. Without an order the copies must be equal: differing ones are refused as they are read."""
+    if order_col:
+        return last_wins(updates, keys, order_col)
+    values = [c for c in updates.columns if c not in keys]
+    row = F.struct(*values)
+    one = updates.groupBy(*keys).agg(F.min(row).alias("row"), F.max(row).alias("other"))
+    same = F.when(F.col("row") == F.col("other"), F.col("row")).otherwise(F.raise_error(F.lit("updates of one key differ: name an order")))
+    return one.select(*keys, same.alias("row")).select(*keys, *[F.col("row")[v].alias(v) for v in values])
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: tuple[str, ...], order_col: str | None = None) -> DataFrame:
     """Target rows with the updates inserted or overwriting by key; the last update of a key wins.
 
+    The updates are used twice, for their keys and for their rows: ``stage_updates`` works them out once.
     The target meets only the updates' keys. Where Spark's size estimate shows a few corrections they are
     broadcast and the target stays unshuffled; else both sides meet on the keys the updates were reduced by.
     """
-    fresh = last_wins(updates, keys, order_col) if order_col else updates
+    return put(target, reduced(updates, keys, order_col), keys)
+
+
+def put(target: DataFrame, fresh: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``upsert`` of updates that hold each key once."""
     kept = target.join(fresh.select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(fresh.select(*target.columns))
 
 
+def stage_updates(updates: DataFrame, keys: tuple[str, ...], order_col: str | None, stage: str) -> DataFrame:
+    """The reduced updates, written by date and read back: days, keys and rows then come from files."""
+    fresh = reduced(updates, keys, order_col)
+    write_days(fresh, stage)
+    return read_table(fresh.sparkSession, stage, fresh.schema)
+
+
 def seed_gaps(gaps: DataFrame, seeds: DataFrame, keys: tuple[str, ...] = GAP_KEYS) -> DataFrame:
     """Gap rows with the absent seeds appended; rows already there are not touched."""
     absent = seeds.join(gaps.select(*keys), list(keys), "left_anti")
@@ -47,7 +70,7 @@ def watch_id(query: Column, page_url: Column) -> Column:
 
 def upsert_watchlist(watch: DataFrame, updates: DataFrame, now, order_col: str | None = None) -> DataFrame:
     """Inserts or replaces watched pairs; a replaced row keeps its id and its note."""
-    fresh = last_wins(updates, WATCH_KEYS, order_col) if order_col else updates
+    fresh = reduced(updates, WATCH_KEYS, order_col)
     replaced = ("agency_factor_aplicado", "baseline_position", "target_position", "baseline_date")
     renamed = fresh.select(*WATCH_KEYS, *[F.col(c).alias(f"new_{c}") for c in replaced], F.lit(True).alias("hit"))
     joined = watch.join(renamed, list(WATCH_KEYS), "full_outer")
@@ -100,10 +123,10 @@ def write_days(df: DataFrame, path: str, gather: bool = True) -> None:
     )
 
 
-def upsert_days(spark: SparkSession, path: str, updates: DataFrame, order_col: str, days: list) -> None:
-    """Upserts facts on disk, reading and rewriting only the touched days."""
+def upsert_days(spark: SparkSession, path: str, fresh: DataFrame, days: list) -> None:
+    """Upserts staged updates into facts on disk, reading and rewriting only the touched days."""
     target = on_days(read_table(spark, path, FACTS), days)
-    write_days(upsert(target, updates, FACT_KEYS, order_col), path)
+    write_days(put(target, fresh, FACT_KEYS), path)
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

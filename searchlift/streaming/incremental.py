@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from searchlift.operators.filters import ingest_filter
 from searchlift.plans.scoring import Dimensions, score_to_table
-from searchlift.schemas import FACTS
-from searchlift.sources.readers import stream_search_facts
-from searchlift.sources.store import on_days, read_table, touched_days, upsert_days
+from searchlift.schemas import FACT_KEYS, FACTS
+from searchlift.session import scratch_folder
+from searchlift.sources.readers import numbered, stream_search_facts
+from searchlift.sources.store import on_days, read_table, stage_updates, touched_days, upsert_days
 
 
 @dataclass(frozen=True)
@@ -23,13 +24,16 @@ class Tables:
 
 
 def process_batch(batch: DataFrame, tables: Tables, dims: Dimensions) -> None:
-    """Lands one batch and scores the days it touches; running it again changes nothing."""
+    """Lands one batch and scores the days it touches; running it again changes nothing.
+
+    The batch is parsed, filtered and reduced once, into a stage by date.
+    """
     spark = batch.sparkSession
-    kept = ingest_filter(batch)
-    days = touched_days(kept)
+    fresh = stage_updates(ingest_filter(numbered(batch)), FACT_KEYS, "landing_order", scratch_folder(spark, "batch"))
+    days = touched_days(fresh)
     if not days:
         return
-    upsert_days(spark, tables.facts, kept, "landing_order", days)
+    upsert_days(spark, tables.facts, fresh, days)
     facts = on_days(read_table(spark, tables.facts, FACTS), days)
     score_to_table(facts, dims, tables.gaps, tables.stage, days)
 

@@ -26,6 +26,16 @@ FROM (
 ) r
 """
 
+# The same facts with positions of four decimals, drawn close to 5, 10 and 20, and CTRs of nine.
+FX_FINE = """
+SELECT date, query, page, clicks, impressions,
+  CAST(CAST(ctr AS DECIMAL(14,12)) + CAST(clicks % 7 AS DECIMAL(4,0)) * CAST(0.000000013 AS DECIMAL(10,9)) AS DECIMAL(14,12)) AS ctr,
+  CAST(CASE WHEN position BETWEEN 4.5 AND 5.5 THEN 5 WHEN position BETWEEN 9.5 AND 10.5 THEN 10
+      WHEN position BETWEEN 19.5 AND 20.5 THEN 20 ELSE position END
+    + CAST((clicks % 9 - 4) * 11 AS DECIMAL(6,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(15,9)) AS position
+FROM fx_facts
+"""
+
 FX_BI = """
 SELECT lower(p_type) AS dept, lower(replace(p_brand, '#', '-')) AS sub,
   CAST(COUNT(*) AS DOUBLE) / 2000 AS tasa_conversion,
@@ -77,6 +87,7 @@ FX_BRANDED = "SELECT term, note FROM (VALUES ('hot', 'test term')) b(term, note)
 # SQL text and the tables or views it reads.
 VIEWS = {
     "fx_facts": (FX_FACTS, ("lineitem", "part")),
+    "fx_fine": (FX_FINE, ("fx_facts",)),
     "fx_bi": (FX_BI, ("part",)),
     "fx_watch": (FX_WATCH, ("fx_facts",)),
     "fx_ctr_curve": (FX_CTR_CURVE, ()),

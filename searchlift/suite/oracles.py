@@ -1,6 +1,6 @@
 """Check SQL, written apart from the Spark code; only the input views are shared.
 
-It computes on whole numbers (CTR in millionths, positions in hundredths, conversion in 10^-12) and divides
+It computes on whole numbers (CTR in 10^-9, positions in millionths, conversion in 10^-12) and divides
 once at the end, so no result depends on how an engine rounds.
 """
 
@@ -8,27 +8,28 @@ from __future__ import annotations
 
 import re
 
-from searchlift.functions.text import BRAND_TERMS, BRAND_WORD, SOFT_DEPARTMENTS
 from searchlift.suite.fixtures import AS_OF, NOW, VIEWS
 
 CTES: dict[str, str] = {name: sql for name, (sql, _) in VIEWS.items()}
 
-_SOFT = "(" + ", ".join(f"'{name}'" for name in SOFT_DEPARTMENTS) + ")"
+# Fixed values, spelled here apart from the code under test.
+_SOFT = "('mujer', 'hombre', 'ninos', 'zapatos', 'belleza', 'deportes', 'outlet', 'regalos')"
+_SPELLINGS = "paris|pars|paeis|paaris|pariw|parus|parid|patis|paros|paria|parís|cenco|almacen|almacenes"
 
 
 def _branded(text: str) -> str:
-    return f"(regexp_matches({text}, '{'|'.join(BRAND_TERMS)}', 'i') OR regexp_matches({text}, '\\b{BRAND_WORD}\\b', 'i'))"
+    return f"(regexp_matches({text}, '{_SPELLINGS}', 'i') OR regexp_matches({text}, '\\baris\\b', 'i'))"
 
 
 CTES["kept"] = f"""
-SELECT * FROM fx_facts
+SELECT * FROM fx_fine
 WHERE page NOT LIKE '%/listas/%' AND page NOT LIKE '%/search%' AND page NOT LIKE '%.html%'
   AND NOT COALESCE(position > 20, FALSE) AND NOT {_branded('query')}
 """
 
 CTES["clean"] = """
-SELECT dept, sub, CAST(ROUND(tasa_conversion * 1e12) AS HUGEINT) AS cr,
-  CAST(ROUND(ticket_promedio * 1e6) AS HUGEINT) AS tk, ord
+SELECT dept, sub, CAST(CAST(CAST(tasa_conversion AS VARCHAR) AS DECIMAL(24,12)) * 1000000000000 AS HUGEINT) AS cr,
+  CAST(CAST(CAST(ticket_promedio AS VARCHAR) AS DECIMAL(24,6)) * 1000000 AS HUGEINT) AS tk, ord
 FROM (SELECT lower(trim(COALESCE(dept, ''))) AS dept, lower(trim(COALESCE(sub, ''))) AS sub,
         CAST(tasa_conversion AS DOUBLE) AS tasa_conversion, CAST(ticket_promedio AS DOUBLE) AS ticket_promedio, ord
       FROM fx_bi) b
@@ -36,6 +37,18 @@ WHERE dept <> '' AND sub <> '' AND tasa_conversion > 0 AND ticket_promedio > 0
   AND NOT (starts_with(dept, 'sin_path') OR starts_with(dept, 'http') OR starts_with(dept, '?'))
 """
 
+CTES["large_bi"] = """
+SELECT c.dept, c.sub, CAST(CAST(b.tasa_conversion * 1073741824 AS VARCHAR) AS DECIMAL(24,12)) AS rate,
+  CAST(CAST(b.ticket_promedio * 1073741824 AS VARCHAR) AS DECIMAL(24,6)) AS ticket, c.ord
+FROM (SELECT DISTINCT dept, sub, ord FROM clean) c
+  JOIN fx_bi b ON lower(trim(b.dept)) = c.dept AND lower(trim(b.sub)) = c.sub AND b.ord = c.ord
+"""
+
+# The second word of every document, a list as long as the table.
+CTES["brand_words"] = """
+SELECT DISTINCT lower(split_part(text, ' ', 2)) AS term FROM documents WHERE length(split_part(text, ' ', 2)) >= 6
+"""
+
 CTES["pairs"] = """
 SELECT dept, sub, arg_max(cr, ord) AS cr, (2 * arg_max(tk, ord) + 1000000) // 2000000 AS tk
 FROM clean GROUP BY dept, sub
@@ -56,7 +69,7 @@ FROM clean
 CTES["pages_seen"] = """
 SELECT page AS page_url, lower(split_part(split_part(page, '.cl/', 2), '/', 1)) AS department,
   lower(split_part(split_part(page, '.cl/', 2), '/', 2)) AS category_l1
-FROM (SELECT DISTINCT page FROM fx_facts) d
+FROM (SELECT DISTINCT page FROM fx_fine) d
 """
 
 CTES["fx_catalog"] = f"""
@@ -72,7 +85,7 @@ CTES["curve6"] = "SELECT position AS slot, CAST(ctr_mid * 1000000 AS BIGINT) AS
 
 CTES["params3"] = """
 SELECT factor_name, CAST(ctr_boost * 1000 AS BIGINT) AS boost3, CAST(success_prob * 1000 AS BIGINT) AS prob3,
-  CAST(pos_delta * 100 AS BIGINT) AS jump2 FROM fx_params
+  CAST(pos_delta * 1000000 AS BIGINT) AS jump6 FROM fx_params
 """
 
 # What to do in each band, by its test: a CTR below the expected one, or for deep positions enough demand.
@@ -84,41 +97,41 @@ SELECT * FROM (VALUES ('top', TRUE, 'CONTENT'), ('top', FALSE, 'NONE'), ('mid',
 CTES["weights"] = "SELECT * FROM (VALUES ('top', 10), ('mid', 8), ('deep', 5)) w(band, tenths)"
 
 
-def _band(pos2: str) -> str:
-    return f"['top', 'mid', 'deep'][1 + CAST({pos2} > 500 AS INT) + CAST({pos2} > 1000 AS INT)]"
+def _band(pos6: str) -> str:
+    return f"['top', 'mid', 'deep'][1 + CAST({pos6} > 5000000 AS INT) + CAST({pos6} > 10000000 AS INT)]"
 
 
-def _target(pos2: str, jump2: str) -> str:
-    return f"IF({jump2} > 0, GREATEST({pos2} - {jump2}, 300), {pos2})"
+def _target(pos6: str, jump6: str) -> str:
+    return f"IF({jump6} > 0, GREATEST({pos6} - {jump6}, 3000000), {pos6})"
 
 
 CTES["units"] = """
-SELECT date, query, page, clicks, impressions, CAST(position * 100 AS BIGINT) AS pos2, CAST(ctr * 1000000 AS BIGINT) AS ctr6
-FROM fx_facts
+SELECT date, query, page, clicks, impressions, CAST(position * 1000000 AS BIGINT) AS pos6, CAST(CAST(ctr AS DECIMAL(30,12)) * 1000000000 AS BIGINT) AS ctr9
+FROM fx_fine
 """
 
 CTES["diag"] = """
-SELECT k.date, k.query, k.page AS page_url, k.impressions, CAST(k.position * 100 AS BIGINT) AS pos2,
-  CAST(k.ctr * 1000000 AS BIGINT) AS ctr6,
+SELECT k.date, k.query, k.page AS page_url, k.impressions, CAST(k.position * 1000000 AS BIGINT) AS pos6,
+  CAST(CAST(k.ctr AS DECIMAL(30,12)) * 1000000000 AS BIGINT) AS ctr9,
   k.query IN (SELECT q.query FROM (SELECT DISTINCT query FROM kept) q
               JOIN fx_branded b ON contains(lower(q.query), lower(b.term))) AS branded,
   COALESCE(c.mid6, 0) AS exp6
-FROM kept k LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((CAST(k.position * 100 AS BIGINT) + 50) // 100, 1), 20)
+FROM kept k LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((CAST(k.position * 1000000 AS BIGINT) + 500000) // 1000000, 1), 20)
 """
 
 CTES["classed"] = f"""
 SELECT d.* EXCLUDE (test), IF(branded OR impressions < 200, 'NONE', r.action) AS factor
-FROM (SELECT *, IF(band = 'deep', impressions > 1000, ctr6 < exp6) AS test
-      FROM (SELECT *, {_band('pos2')} AS band FROM diag) b) d
+FROM (SELECT *, IF(band = 'deep', impressions > 1000, ctr9 < exp6 * 1000) AS test
+      FROM (SELECT *, {_band('pos6')} AS band FROM diag) b) d
   JOIN rules r ON r.band = d.band AND r.test = d.test
 """
 
 CTES["proj"] = f"""
 SELECT t.*, COALESCE(c.mid6, 0) AS tgt6, COALESCE(c.mid6, 0) * t.boost3 AS adj9,
-  CAST(t.impressions AS HUGEINT) * (COALESCE(c.mid6, 0) * t.boost3 - t.ctr6 * 1000) AS gain9
-FROM (SELECT k.*, p.boost3, p.prob3, {_target('k.pos2', 'p.jump2')} AS tgt2
+  CAST(t.impressions AS HUGEINT) * (COALESCE(c.mid6, 0) * t.boost3 - t.ctr9) AS gain9
+FROM (SELECT k.*, p.boost3, p.prob3, {_target('k.pos6', 'p.jump6')} AS tpos6
       FROM classed k LEFT JOIN params3 p ON p.factor_name = k.factor) t
-  LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((t.tgt2 + 50) // 100, 1), 20)
+  LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((t.tpos6 + 500000) // 1000000, 1), 20)
 """
 
 CTES["priced"] = """
@@ -141,10 +154,10 @@ FROM raw r LEFT JOIN best b ON b.date = r.date
 CTES["latest"] = "SELECT * FROM gaps WHERE date = (SELECT MAX(date) FROM gaps)"
 
 _GAP_OUT = """
-SELECT query, page_url, impressions, pos2 / 100.0::DOUBLE AS avg_position, ctr6 / 1000000.0::DOUBLE AS ctr_actual,
+SELECT query, page_url, impressions, pos6 / 1000000.0::DOUBLE AS avg_position, ctr9 / 1000000000.0::DOUBLE AS ctr_actual,
   CAST(branded AS VARCHAR) AS is_branded, CASE WHEN NOT branded THEN exp6 / 1000000.0::DOUBLE END AS ctr_expected,
-  CASE WHEN branded THEN 0 ELSE GREATEST(exp6 - ctr6, 0) END / 1000000.0::DOUBLE AS ctr_gap,
-  factor AS agency_factor, CASE WHEN NOT branded THEN tgt2 / 100.0::DOUBLE END AS pos_target,
+  CASE WHEN branded THEN 0 ELSE GREATEST(exp6 * 1000 - ctr9, 0) END / 1000000000.0::DOUBLE AS ctr_gap,
+  factor AS agency_factor, CASE WHEN NOT branded THEN tpos6 / 1000000.0::DOUBLE END AS pos_target,
   CASE WHEN NOT branded THEN tgt6 / 1000000.0::DOUBLE END AS ctr_target,
   CASE WHEN NOT branded THEN adj9 / 1000000000.0::DOUBLE END AS ctr_target_adjusted,
   CAST(delta AS BIGINT) AS delta_clicks, CAST(cr AS DOUBLE) / 1e12 AS conversion_rate, CAST(tk AS BIGINT) AS avg_ticket,
@@ -154,7 +167,7 @@ FROM gaps
 
 # The list in display form, CTRs in hundredths of a percent and scores in tenths for exact ordering.
 CTES["shown"] = """
-SELECT date, query, page_url, pos2, impressions, CAST(delta AS BIGINT) AS delta, (ctr6 + 50) // 100 AS ctr4,
+SELECT date, query, page_url, pos6, (pos6 + 5000) // 10000 AS pos2, impressions, CAST(delta AS BIGINT) AS delta, (ctr9 + 50000) // 100000 AS ctr4,
   CASE WHEN NOT branded THEN (exp6 + 50) // 100 END AS exp4, CAST(revenue AS BIGINT) AS revenue, factor,
   CAST((score2 + 5) // 10 AS BIGINT) AS score1, cr, tk
 FROM gaps
@@ -176,10 +189,10 @@ WHERE date = (SELECT MAX(date) FROM raw) AND revenue > 0
 """
 
 
-def _whatif(source: str, ctr9: str) -> str:
+def _whatif(source: str, ctr9: str, best: str = "CROSS JOIN best_now", params: str = "params3") -> str:
     """Every row of a frame under every factor; ctr9 is the starting CTR in 10^-9."""
     return f"""
-SELECT date, query, page_url, factor, pos2, tgt2, delta, CAST(revenue AS BIGINT) AS revenue,
+SELECT z.date, query, page_url, factor, pos6, tpos6, delta, CAST(revenue AS BIGINT) AS revenue,
   IF(factor = 'NONE' OR best4 IS NULL, 0.0,
     LEAST((CAST(raw4 AS DOUBLE) / 10000) / (CAST(best4 AS DOUBLE) / 10000) * 100, 100.0)) AS score
 FROM (
@@ -191,29 +204,35 @@ FROM (
       FROM (
         SELECT u.*, CAST(u.impressions AS HUGEINT) * (COALESCE(c.mid6, 0) * u.boost3 - u.ctr9) AS gain9
         FROM (
-          SELECT g.date, g.query, g.page_url, g.impressions, g.pos2, g.band, g.cr, g.tk, {ctr9} AS ctr9,
-            p.factor_name AS factor, p.boost3, p.prob3, {_target('g.pos2', 'p.jump2')} AS tgt2
-          FROM {source} g CROSS JOIN params3 p) u
-        LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((u.tgt2 + 50) // 100, 1), 20)) t) d) v
-  JOIN weights w ON w.band = v.band) z CROSS JOIN best_now
+          SELECT g.date, g.query, g.page_url, g.impressions, g.pos6, g.band, g.cr, g.tk, {ctr9} AS ctr9,
+            p.factor_name AS factor, p.boost3, p.prob3, {_target('g.pos6', 'p.jump6')} AS tpos6
+          FROM {source} g CROSS JOIN {params} p) u
+        LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((u.tpos6 + 500000) // 1000000, 1), 20)) t) d) v
+  JOIN weights w ON w.band = v.band) z {best}
 """
 
 
-_SHOWN_CTR = "((g.ctr6 + 50) // 100) * 100000"
+CTES["best_by_date"] = "SELECT date, MAX(raw4) AS best4 FROM raw WHERE revenue > 0 GROUP BY date"
+
+_SHOWN_CTR = "((g.ctr9 + 50000) // 100000) * 100000"
 
 CTES["active_now"] = "SELECT * FROM latest WHERE delta > 0"
-CTES["whatif_latest"] = _whatif("latest", _SHOWN_CTR)
+_DAILY = "LEFT JOIN best_by_date b ON b.date = z.date"
+CTES["params5"] = "SELECT * FROM params3 UNION ALL SELECT 'AUDIT', 1100, 750, 0"
+CTES["whatif_now"] = _whatif("latest", _SHOWN_CTR)
+CTES["whatif_all"] = _whatif("gaps", _SHOWN_CTR, _DAILY)
+CTES["whatif_fifth"] = _whatif("latest", _SHOWN_CTR, params="params5")
 CTES["whatif_active"] = _whatif("active_now", _SHOWN_CTR)
-CTES["whatif_exact"] = _whatif("active_now", "g.ctr6 * 1000")
+CTES["whatif_exact"] = _whatif("active_now", "g.ctr9")
 
 CTES["weekly"] = """
 SELECT query, page, CAST(date_trunc('week', date) AS DATE) AS week_start,
-  (2 * SUM(pos2) + COUNT(*)) // (2 * COUNT(*)) AS avg2
+  (2 * SUM(pos6) + COUNT(*) * 10000) // (2 * COUNT(*) * 10000) AS avg2
 FROM units GROUP BY 1, 2, 3
 """
 
 CTES["recent"] = f"""
-SELECT query, page, (2 * SUM(pos2) + COUNT(*)) // (2 * COUNT(*)) AS cur2
+SELECT query, page, (2 * SUM(pos6) + COUNT(*) * 10000) // (2 * COUNT(*) * 10000) AS cur2
 FROM units WHERE date >= DATE '{AS_OF}' - 7 GROUP BY 1, 2
 """
 
@@ -235,10 +254,10 @@ FROM fx_watch w LEFT JOIN recent r ON r.query = w.query AND r.page = w.page_url
 _STATUS = """CASE WHEN delta2 IS NULL THEN 'nodata' WHEN delta2 < -50 THEN 'improved'
   WHEN delta2 > 50 THEN 'worsened' ELSE 'stable' END"""
 
-CTES["urls"] = "SELECT DISTINCT url FROM (SELECT page AS url FROM fx_facts UNION ALL SELECT url FROM pages) u"
+CTES["urls"] = "SELECT DISTINCT url FROM (SELECT page AS url FROM fx_fine UNION ALL SELECT url FROM pages) u"
 
 CTES["watch_updates"] = f"""
-SELECT query, page_url, 'CONTENT' AS factor, pos2 AS base2, tgt2, DATE '{AS_OF}' AS base_date
+SELECT query, page_url, 'CONTENT' AS factor, (pos6 + 5000) // 10000 AS base2, (tpos6 + 5000) // 10000 AS aim2, DATE '{AS_OF}' AS base_date
 FROM whatif_active WHERE factor = 'CONTENT'
 """
 
@@ -250,7 +269,7 @@ SELECT date + 28, query, page, clicks, impressions, ctr, position FROM kept WHER
 
 CTES["quart"] = """
 SELECT slot, quantile_cont(CAST(ctr6 AS DOUBLE), [0.25, 0.5, 0.75]) AS q, COUNT(*) AS n
-FROM (SELECT LEAST(GREATEST((pos2 + 50) // 100, 1), 20) AS slot, ctr6 FROM units) u GROUP BY slot
+FROM (SELECT LEAST(GREATEST((pos6 + 500000) // 1000000, 1), 20) AS slot, (ctr9 + 500) // 1000 AS ctr6 FROM units) u GROUP BY slot
 """
 
 _FACT_KEYS = "date, query, page"
@@ -270,19 +289,19 @@ FROM pages_seen c {join}
 
 CTES["units_exp"] = """
 SELECT u.*, COALESCE(c.mid6, 0) AS exp6 FROM units u
-LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((u.pos2 + 50) // 100, 1), 20)
+LEFT JOIN curve6 c ON c.slot = LEAST(GREATEST((u.pos6 + 500000) // 1000000, 1), 20)
 """
 
-_NUMBER = r"^[+-]?(?:Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
-
-
 def _number(text: str) -> str:
-    return f"COALESCE(TRY_CAST(NULLIF(regexp_extract(trim({text}), '{_NUMBER}', 0), '') AS DOUBLE), 0.0)"
+    """The longest start of a text that the engine's own cast accepts, tried length by length; these texts hold no blanks inside."""
+    starts = f"list_transform(range(1, length(trim({text})) + 1), lambda n: trim({text})[1:n])"
+    plain = f"list_filter({starts}, lambda s: right(s, 1) <> ' ' AND lower(right(s, 1)) NOT BETWEEN 'a' AND 'z' AND TRY_CAST(s AS DOUBLE) IS NOT NULL)"
+    return f"COALESCE(CAST(list_last({plain}) AS DOUBLE), 0.0)"
 
 
 BODIES: dict[str, str] = {
-    "scan_search_facts": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_facts",
-    "scan_section": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_facts WHERE contains(page, '.cl/small/')",
+    "scan_search_facts": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_fine",
+    "scan_section": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_fine WHERE contains(page, '.cl/small/')",
     "scan_bi_csv": "SELECT dept, sub, CAST(tasa_conversion AS DOUBLE) AS tasa_conversion, CAST(ticket_promedio AS DOUBLE) AS ticket_promedio FROM fx_bi",
     "upsert_facts": f"""
 SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM updates
@@ -296,7 +315,7 @@ SELECT date, query, page AS page_url, impressions, CAST(position AS DOUBLE) AS a
 SELECT w.id, COALESCE(w.query, u.query) AS query, COALESCE(w.page_url, u.page_url) AS page_url,
   COALESCE(u.base2 / 100.0::DOUBLE, CAST(w.baseline_position AS DOUBLE)) AS baseline_position,
   COALESCE(u.base_date, w.baseline_date) AS baseline_date,
-  COALESCE(u.tgt2 / 100.0::DOUBLE, CAST(w.target_position AS DOUBLE)) AS target_position,
+  COALESCE(u.aim2 / 100.0::DOUBLE, CAST(w.target_position AS DOUBLE)) AS target_position,
   COALESCE(u.factor, w.agency_factor_aplicado) AS agency_factor_aplicado, w.notas,
   CASE WHEN u.query IS NOT NULL THEN '{NOW}' ELSE strftime(w.created_at, '%Y-%m-%d %H:%M:%S') END AS created_at
 FROM fx_watch w FULL OUTER JOIN watch_updates u ON u.query = w.query AND u.page_url = w.page_url""",
@@ -324,33 +343,37 @@ SELECT query AS keyword, page_url AS url, CAST(CAST(pos2 AS DECIMAL(10,0)) / 100
   CAST(exp4 / 100.0::DOUBLE AS DECIMAL(12,2))::VARCHAR || '%' AS ctr_esperado, revenue::VARCHAR AS revenue_clp,
   factor AS agency_factor, CAST(score1 / 10.0::DOUBLE AS DECIMAL(6,1))::VARCHAR AS score FROM listed""",
     "ingest_accounting": f"""
-SELECT date, CASE WHEN page LIKE '%/listas/%' OR page LIKE '%/search%' OR page LIKE '%.html%' THEN 'page'
+SELECT date, CASE WHEN query IS NULL OR page IS NULL THEN 'malformed'
+    WHEN page LIKE '%/listas/%' OR page LIKE '%/search%' OR page LIKE '%.html%' THEN 'page'
     WHEN position > 20 THEN 'position' WHEN {_branded("query")} THEN 'branded' ELSE 'kept' END AS reason, COUNT(*) AS n
-FROM fx_facts GROUP BY 1, 2""",
-    "exclude_pages": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_facts WHERE NOT (contains(page, '/listas/') OR contains(page, '/search') OR contains(page, '.html'))",
-    "max_rank": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_facts WHERE position IS NULL OR position <= 20",
+FROM (SELECT date, position, CASE WHEN clicks % 11 <> 0 THEN query END AS query, CASE WHEN clicks % 13 <> 0 THEN page END AS page FROM fx_fine) f
+GROUP BY 1, 2""",
+    "ingest_balance": """
+SELECT date, COUNT(*) AS landed, COUNT(*) AS accounted FROM fx_fine GROUP BY 1""",
+    "exclude_pages": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_fine WHERE NOT (contains(page, '/listas/') OR contains(page, '/search') OR contains(page, '.html'))",
+    "max_rank": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_fine WHERE position IS NULL OR position <= 20",
     "brand_regex": f"SELECT doc_id, CAST({_branded('text')} AS VARCHAR) AS is_branded FROM documents",
-    "brand_table": "SELECT query, CAST(contains(lower(query), 'hot') AS VARCHAR) AS is_branded, COUNT(*) AS n FROM fx_facts GROUP BY 1, 2",
+    "brand_table": "SELECT query, CAST(contains(lower(query), 'hot') AS VARCHAR) AS is_branded, COUNT(*) AS n FROM fx_fine GROUP BY 1, 2",
     "brand_table_join": """
 SELECT f.query, CAST(EXISTS (SELECT 1 FROM (SELECT term FROM fx_branded UNION ALL SELECT n_name FROM nation) t
     WHERE contains(lower(f.query), lower(t.term))) AS VARCHAR) AS is_branded, f.n
-FROM (SELECT query, COUNT(*) AS n FROM fx_facts GROUP BY 1) f""",
+FROM (SELECT query, COUNT(*) AS n FROM fx_fine GROUP BY 1) f""",
     "filter_factor": f"SELECT {_GAP_KEYS}, factor AS agency_factor FROM gaps WHERE factor = 'BOTH'",
-    "filter_max_pos": f"SELECT {_GAP_KEYS}, pos2 / 100.0::DOUBLE AS avg_position FROM gaps WHERE pos2 <= 950",
+    "filter_max_pos": f"SELECT {_GAP_KEYS}, pos6 / 1000000.0::DOUBLE AS avg_position FROM gaps WHERE pos6 <= 9500000",
     "filter_min_revenue": f"SELECT {_GAP_KEYS}, CAST(revenue AS BIGINT) AS revenue_final FROM gaps WHERE revenue >= 1000",
     "filter_subcategory": f"SELECT {_GAP_KEYS} FROM gaps WHERE COALESCE(NULLIF(split_part(split_part(page_url, '.cl/', 2), '/', 2), ''), '(sin subcategoría)') = 'brand-10'",
     "active_only": f"SELECT {_GAP_KEYS}, delta AS delta_clicks FROM gaps WHERE delta > 0",
     "latest_snapshot": f"SELECT {_FACT_KEYS}, impressions FROM kept WHERE date = (SELECT MAX(date) FROM kept)",
     "trailing_7d": f"SELECT {_FACT_KEYS}, CAST(position AS DOUBLE) AS position FROM kept WHERE date >= DATE '{AS_OF}' - 7",
     "bi_junk_filter": "SELECT dept, sub, CAST(cr AS DOUBLE) / 1e12 AS conversion_rate, CAST(tk AS DOUBLE) / 1e6 AS ticket, CAST(ord AS BIGINT) AS ord FROM clean",
-    "site_urls_only": "SELECT url, COUNT(*) AS n FROM (SELECT page AS url FROM fx_facts UNION ALL SELECT url FROM pages) u WHERE url LIKE '%.cl/%' GROUP BY url",
+    "site_urls_only": "SELECT url, COUNT(*) AS n FROM (SELECT page AS url FROM fx_fine UNION ALL SELECT url FROM pages) u WHERE url LIKE '%.cl/%' GROUP BY url",
     "revenue_guard": "SELECT date, COUNT(revenue) AS with_revenue, NULLIF(COUNT(*) FILTER (WHERE revenue > 0), 0) AS with_positive FROM gaps GROUP BY date",
     "watchlist_validation": f"""
 SELECT {_GAP_KEYS}, CASE WHEN factor = 'NONE' THEN 'OTHER' ELSE factor END AS agency_factor_aplicado,
   CASE WHEN branded THEN 'missing_field' WHEN factor = 'NONE' THEN 'unknown_factor' END AS rejected_reason FROM gaps""",
-    "join_ctr_curve": f"SELECT {_FACT_KEYS}, pos2 / 100.0::DOUBLE AS position, exp6 / 1000000.0::DOUBLE AS ctr_expected FROM units_exp",
+    "join_ctr_curve": f"SELECT {_FACT_KEYS}, pos6 / 1000000.0::DOUBLE AS position, exp6 / 1000000.0::DOUBLE AS ctr_expected FROM units_exp",
     "join_factor_params": f"""
-SELECT {_GAP_KEYS}, factor AS agency_factor, CASE WHEN known THEN tgt2 / 100.0::DOUBLE END AS pos_target,
+SELECT {_GAP_KEYS}, factor AS agency_factor, CASE WHEN known THEN tpos6 / 1000000.0::DOUBLE END AS pos_target,
   CASE WHEN known THEN tgt6 / 1000000.0::DOUBLE END AS ctr_target, CASE WHEN known THEN adj9 / 1000000000.0::DOUBLE END AS ctr_target_adjusted,
   CASE WHEN known OR factor = 'NONE' THEN delta END AS delta_clicks
 FROM (SELECT *, NOT branded AND factor <> 'LINK_BUILDING' AS known FROM gaps) g""",
@@ -358,17 +381,16 @@ FROM (SELECT *, NOT branded AND factor <> 'LINK_BUILDING' AS known FROM gaps) g"
     "bi_dept_fallback": _tier("LEFT JOIN depts l ON l.dept = c.department", True, "department"),
     "bi_site_fallback": _tier("CROSS JOIN site l", False, "site"),
     "join_catalog": "SELECT k.date, k.query, k.page AS page_url, CAST(c.cr AS DOUBLE) / 1e12 AS conversion_rate, CAST(c.tk AS BIGINT) AS avg_ticket FROM kept k LEFT JOIN fx_catalog c ON c.page_url = k.page",
-    "watch_history": "SELECT f.date, f.query, f.page, CAST(f.position AS DOUBLE) AS position FROM fx_facts f WHERE EXISTS (SELECT 1 FROM fx_watch w WHERE w.query = f.query AND w.page_url = f.page)",
+    "watch_history": "SELECT f.date, f.query, f.page, CAST(f.position AS DOUBLE) AS position FROM fx_fine f WHERE EXISTS (SELECT 1 FROM fx_watch w WHERE w.query = f.query AND w.page_url = f.page)",
     "watch_report_join": "SELECT w.id, w.query, w.page_url, COALESCE(s.points, 0) AS weeks, w.cur2 / 100.0::DOUBLE AS current_position FROM watched w LEFT JOIN series s ON s.query = w.query AND s.page = w.page_url",
     "max_score_join": "SELECT CAST(best4 AS DOUBLE) / 10000 AS max_raw_score FROM best_now",
     "factor_cross": "SELECT g.date, g.query, g.page_url, f.factor_name AS agency_factor FROM kept k JOIN gaps g ON g.date = k.date AND g.query = k.query AND g.page_url = k.page CROSS JOIN fx_params f",
     "kpis": """
-SELECT date, COUNT(*) AS total_keywords, COUNT(*) FILTER (WHERE factor <> 'NONE') AS with_opportunity,
-  COUNT(*) FILTER (WHERE factor = 'BOTH') AS factor_both, COUNT(*) FILTER (WHERE factor = 'CONTENT') AS factor_content,
-  COUNT(*) FILTER (WHERE factor = 'LINK_BUILDING') AS factor_lb, COUNT(*) FILTER (WHERE factor = 'NONE') AS factor_none,
-  CAST(COALESCE(SUM(revenue), 0) AS BIGINT) AS total_revenue,
-  CAST(COALESCE(SUM(revenue) FILTER (WHERE factor <> 'NONE'), 0) AS BIGINT) AS active_revenue
-FROM gaps GROUP BY date""",
+SELECT date, CAST(SUM(n) AS BIGINT) AS total_keywords, CAST(SUM(n) - COALESCE(MAX(IF(factor = 'NONE', n, NULL)), 0) AS BIGINT) AS with_opportunity,
+  COALESCE(MAX(IF(factor = 'BOTH', n, NULL)), 0) AS factor_both, COALESCE(MAX(IF(factor = 'CONTENT', n, NULL)), 0) AS factor_content,
+  COALESCE(MAX(IF(factor = 'LINK_BUILDING', n, NULL)), 0) AS factor_lb, COALESCE(MAX(IF(factor = 'NONE', n, NULL)), 0) AS factor_none,
+  CAST(COALESCE(SUM(earned), 0) AS BIGINT) AS total_revenue, CAST(COALESCE(SUM(IF(factor = 'NONE', 0, earned)), 0) AS BIGINT) AS active_revenue
+FROM (SELECT date, factor, COUNT(*) AS n, SUM(revenue) AS earned FROM gaps GROUP BY 1, 2) f GROUP BY date""",
     "factor_distribution": "SELECT date, factor AS agency_factor, COUNT(*) AS n FROM classed GROUP BY 1, 2",
     "actionable_share": "SELECT date, SUM(CASE WHEN factor <> 'NONE' THEN 1 ELSE 0 END)::BIGINT AS active, COUNT(*) AS total FROM classed GROUP BY date",
     "bi_dept_means": "SELECT dept, CAST(cr AS DOUBLE) / 1e12 AS conversion_rate, CAST(tk AS BIGINT) AS avg_ticket, n FROM depts",
@@ -378,7 +400,7 @@ FROM gaps GROUP BY date""",
     "current_position": "SELECT query, page, CAST(cur2 AS DOUBLE) / 100 AS current_position FROM recent",
     "weekly_series": "SELECT query, page, txt AS weekly_series FROM series",
     "daily_max_score": "SELECT date, CAST(best4 AS DOUBLE) / 10000 AS max_raw_score FROM best",
-    "count_matching": "SELECT COUNT(*) AS total FROM listed WHERE factor = 'BOTH' AND pos2 <= 950",
+    "count_matching": "SELECT COUNT(*) AS total FROM listed WHERE factor = 'BOTH' AND pos6 <= 9500000",
     "bi_check": """
 SELECT category_l1, COUNT(*) AS urls, CAST((2 * SUM(cr) + COUNT(*) * 10000000) // (COUNT(*) * 20000000) AS DOUBLE) / 1000 AS conv_pct,
   CAST((2 * SUM(tk) + COUNT(*)) // (2 * COUNT(*)) AS BIGINT) AS ticket
@@ -410,7 +432,7 @@ FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY revenue DESC NULLS FIRST, query, pag
 WHERE rn BETWEEN 21 AND 30""",
     "top_opportunity": """
 SELECT date, query, page_url, CAST(revenue AS BIGINT) AS revenue_final, CAST(score2 AS DOUBLE) / 100 AS opportunity_score,
-  factor AS agency_factor, pos2 / 100.0::DOUBLE AS avg_position
+  factor AS agency_factor, pos6 / 1000000.0::DOUBLE AS avg_position
 FROM latest WHERE revenue IS NOT NULL ORDER BY revenue DESC, query, page_url LIMIT 1""",
     "top5_revenue": "SELECT ROW_NUMBER() OVER (ORDER BY revenue DESC, query, page_url) AS row_index, query, page_url, revenue AS revenue_final FROM first_page ORDER BY row_index LIMIT 5",
     "top5_revenue_all": "SELECT ROW_NUMBER() OVER (ORDER BY revenue DESC, query, page_url) AS row_index, query, page_url, revenue AS revenue_final FROM listed ORDER BY row_index LIMIT 5",
@@ -420,17 +442,17 @@ SELECT p.factor_name AS name, CAST(p.ctr_boost AS DOUBLE) AS ctr_boost, CAST(p.s
 FROM fx_params p WHERE p.factor_name IN (SELECT factor FROM classed)
 UNION ALL
 SELECT CAST(slot AS VARCHAR), NULL, NULL, FLOOR(q[2] + 0.5) / 1000000 FROM quart""",
-    "ctr_gap": f"SELECT {_FACT_KEYS}, GREATEST(exp6 - ctr6, 0) / 1000000.0::DOUBLE AS ctr_gap FROM units_exp",
+    "ctr_gap": f"SELECT {_FACT_KEYS}, GREATEST(exp6 * 1000 - ctr9, 0) / 1000000000.0::DOUBLE AS ctr_gap FROM units_exp",
     "classify_factor": f"""
 SELECT {_FACT_KEYS}, IF(impressions < 200, 'NONE', r.action) AS agency_factor
-FROM (SELECT *, IF(band = 'deep', impressions > 1000, ctr6 < exp6) AS test
-      FROM (SELECT *, {_band('pos2')} AS band FROM units_exp) b) u
+FROM (SELECT *, IF(band = 'deep', impressions > 1000, ctr9 < exp6 * 1000) AS test
+      FROM (SELECT *, {_band('pos6')} AS band FROM units_exp) b) u
   JOIN rules r ON r.band = u.band AND r.test = u.test""",
-    "target_position": f"SELECT {_FACT_KEYS}, p.factor_name AS agency_factor, {_target('pos2', 'p.jump2')} / 100.0::DOUBLE AS pos_target FROM units CROSS JOIN params3 p",
+    "target_position": f"SELECT {_FACT_KEYS}, p.factor_name AS agency_factor, {_target('pos6', 'p.jump6')} / 1000000.0::DOUBLE AS pos_target FROM units CROSS JOIN params3 p",
     "ctr_target": f"SELECT {_GAP_KEYS}, CASE WHEN NOT branded THEN tgt6 / 1000000.0::DOUBLE END AS ctr_target, CASE WHEN NOT branded THEN adj9 / 1000000000.0::DOUBLE END AS ctr_target_adjusted FROM proj",
     "delta_clicks": f"SELECT {_GAP_KEYS}, factor AS agency_factor, delta AS delta_clicks FROM priced",
     "revenue": f"SELECT {_GAP_KEYS}, CAST(cr AS DOUBLE) / 1e12 AS conversion_rate, CAST(tk AS BIGINT) AS avg_ticket, CAST(revenue AS BIGINT) AS revenue_final FROM priced",
-    "position_weight": f"SELECT {_FACT_KEYS}, w.tenths / 10.0::DOUBLE AS position_weight FROM units JOIN weights w ON w.band = {_band('pos2')}",
+    "position_weight": f"SELECT {_FACT_KEYS}, w.tenths / 10.0::DOUBLE AS position_weight FROM units JOIN weights w ON w.band = {_band('pos6')}",
     "raw_score": f"SELECT {_GAP_KEYS}, CAST(raw4 AS DOUBLE) / 10000 AS raw_score FROM raw",
     "whatif_score": "SELECT query, page_url, factor AS agency_factor, score FROM whatif_exact",
     "display_rounding": """
@@ -449,21 +471,39 @@ SELECT o_orderkey, {_number("o_orderpriority")} AS priority, {_number("CAST(o_to
     "iso_week_label": "SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%G-W%V') AS week FROM orders",
     "position_delta": "SELECT id, delta2 / 100.0::DOUBLE AS delta FROM watched",
     "delta_status": f"SELECT id, {_STATUS} AS status FROM watched",
-    "position_band": f"SELECT date, {_band('pos2')} AS band, COUNT(*) AS n FROM units GROUP BY 1, 2",
-    "target_improves": "SELECT query, page_url, factor AS agency_factor, CAST(tgt2 < pos2 - 5 AS VARCHAR) AS improves FROM whatif_latest",
-    "watch_record": f"SELECT query, page_url, factor AS agency_factor_aplicado, pos2 / 100.0::DOUBLE AS baseline_position, tgt2 / 100.0::DOUBLE AS target_position, DATE '{AS_OF}' AS baseline_date FROM whatif_active WHERE factor <> 'NONE'",
+    "position_band": f"SELECT date, {_band('pos6')} AS band, COUNT(*) AS n FROM units GROUP BY 1, 2",
+    "target_improves": "SELECT date, query, page_url, factor AS agency_factor, CAST(tpos6 < pos6 - 50000 AS VARCHAR) AS improves FROM whatif_all",
+    "watch_record": f"SELECT query, page_url, factor AS agency_factor_aplicado, ((pos6 + 5000) // 10000) / 100.0::DOUBLE AS baseline_position, ((tpos6 + 5000) // 10000) / 100.0::DOUBLE AS target_position, DATE '{AS_OF}' AS baseline_date FROM whatif_active WHERE factor <> 'NONE'",
     "incremental_daily": _GAP_OUT,
     "score_day": f"{_GAP_OUT} WHERE date = DATE '{AS_OF}'",
     "score_backfill": f"{_GAP_OUT} WHERE date BETWEEN DATE '2024-03-10' - 60 AND DATE '2024-03-10' - 4",
     "refresh_catalog": f"SELECT {_CATALOG_OUT}, CAST(is_blando AS VARCHAR) AS is_blando, '{NOW}' AS updated_at FROM fx_catalog",
-    "opportunities": f"SELECT {_SHOWN} FROM listed WHERE factor = 'BOTH' AND pos2 <= 950 AND revenue >= 100 ORDER BY revenue DESC NULLS FIRST, query, page_url LIMIT 20",
+    "opportunities": f"SELECT {_SHOWN} FROM listed WHERE factor = 'BOTH' AND pos6 <= 9500000 AND revenue >= 100 ORDER BY revenue DESC NULLS FIRST, query, page_url LIMIT 20",
     "watch_report": f"""
 SELECT w.id, w.query, w.page_url, CAST(w.baseline_position AS DOUBLE) AS baseline_position, w.baseline_date,
   CAST(w.target_position AS DOUBLE) AS target_position, w.agency_factor_aplicado, w.notas,
   strftime(w.created_at, '%Y-%m-%d %H:%M:%S') AS created_at, cur2 / 100.0::DOUBLE AS current_position, delta2 / 100.0::DOUBLE AS delta,
   {_STATUS} AS status, COALESCE(s.txt, '') AS weekly_series, {_TREND} AS trend
 FROM watched w LEFT JOIN series s ON s.query = w.query AND s.page = w.page_url""",
-    "what_if": "SELECT date, query, page_url, factor AS agency_factor, pos2 / 100.0::DOUBLE AS avg_position, tgt2 / 100.0::DOUBLE AS pos_target, delta AS delta_clicks, revenue, score FROM whatif_latest",
+    "what_if": "SELECT date, query, page_url, factor AS agency_factor, pos6 / 1000000.0::DOUBLE AS avg_position, tpos6 / 1000000.0::DOUBLE AS pos_target, delta AS delta_clicks, revenue, score FROM whatif_all",
+    "whatif_extra_factor": "SELECT date, query, page_url, factor AS agency_factor, pos6 / 1000000.0::DOUBLE AS avg_position, tpos6 / 1000000.0::DOUBLE AS pos_target, delta AS delta_clicks, revenue, score FROM whatif_fifth",
+    "what_if_newest": "SELECT date, query, page_url, factor AS agency_factor, pos6 / 1000000.0::DOUBLE AS avg_position, tpos6 / 1000000.0::DOUBLE AS pos_target, delta AS delta_clicks, revenue, score FROM whatif_now",
+    "filter_max_pos_fine": f"SELECT {_GAP_KEYS}, pos6 / 1000000.0::DOUBLE AS avg_position FROM gaps WHERE pos6 <= 9999900",
+    "bi_large_values": """
+SELECT dept, sub, CAST(arg_max(rate, ord) AS DOUBLE) AS conversion_rate, CAST(ROUND(arg_max(ticket, ord), 0) AS BIGINT) AS avg_ticket
+FROM large_bi GROUP BY dept, sub""",
+    "brand_table_words": """
+SELECT t.text, CAST(EXISTS (SELECT 1 FROM brand_words w WHERE contains(lower(t.text), w.term)) AS VARCHAR) AS is_branded
+FROM (SELECT p_name AS text FROM part UNION ALL SELECT url FROM pages UNION ALL SELECT substr(text, 1, 60) FROM documents) t""",
+    "brand_table_words_join": """
+SELECT t.text, CAST(EXISTS (SELECT 1 FROM brand_words w WHERE contains(lower(t.text), w.term)) AS VARCHAR) AS is_branded
+FROM (SELECT p_name AS text FROM part UNION ALL SELECT url FROM pages UNION ALL SELECT substr(text, 1, 60) FROM documents) t""",
+    "upsert_landed_order": f"""
+SELECT {_FACT_KEYS}, clicks + 2 AS clicks, impressions, CAST(ctr AS DOUBLE) AS ctr, CAST(position AS DOUBLE) AS position FROM kept""",
+    "scan_search_responses": f"SELECT {_FACT_KEYS}, clicks + 2 AS clicks, impressions, CAST(ctr AS DOUBLE) AS ctr, CAST(position AS DOUBLE) AS position FROM kept",
+    "curve_map": "SELECT CAST(slot AS BIGINT) AS position, FLOOR(q[2] + 0.5) / 1000000 AS ctr_mid FROM quart",
+    "opportunities_lenient": f"SELECT {_SHOWN} FROM listed WHERE pos6 <= 9500000 AND revenue >= 1000 ORDER BY score1 DESC NULLS FIRST, query, page_url LIMIT 10",
+    "opportunities_after": f"SELECT {_SHOWN} FROM listed ORDER BY revenue DESC NULLS FIRST, query, page_url LIMIT 10 OFFSET 20",
 }
 
 

@@ -15,7 +15,7 @@ from searchlift.operators import bi, filters, gaps as G, kpis as KP, opportuniti
 from searchlift.operators import branding, ctr_curve, dimensions as D
 from searchlift.plans import catalog as C
 from searchlift.plans import scoring as P
-from searchlift.schemas import CATALOG, GAPS
+from searchlift.schemas import CATALOG, FACT_KEYS, FACTORS, FACTS, GAPS
 from searchlift.session import scratch_folder
 from searchlift.sources import readers, store
 from searchlift.streaming import incremental
@@ -54,7 +54,7 @@ def register(key: str):
 
 
 def facts(i: Inputs) -> DataFrame:
-    return i.view("fx_facts")
+    return i.view("fx_fine")
 
 
 def kept(i: Inputs) -> DataFrame:
@@ -74,9 +74,23 @@ def dims(i: Inputs) -> P.Dimensions:
     )
 
 
+def raw(i: Inputs) -> DataFrame:
+    """The month up to the raw score, one lazy plan: filters and column choice reach the facts."""
+    return P.score_raw(kept(i), dims(i))
+
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def scored(i: Inputs) -> DataFrame:
-    """The scored table of the whole month, its raw scores staged once per query."""
-    return i.keep("scored", lambda: P.score_day(facts(i), dims(i), stage=scratch_folder(i.spark, "stage")))
+    """The stored table of scored gaps, as the daily job leaves it: written once in a session, then only read."""
+    key = (i.spark.sparkContext.applicationId, i.folder)
+    if key not in _STORED:
+        path = scratch_folder(i.spark, "gaps")
+        done = P.score_day(facts(i), dims(i), stage=scratch_folder(i.spark, "stage"), gather=True)
+        store.write_days(done, path, gather=False)
+        _STORED[key] = path
+    return store.read_table(i.spark, _STORED[key], GAPS)
 
 
 def catalog(i: Inputs) -> DataFrame:
@@ -99,6 +113,12 @@ def projected(i: Inputs, rows: DataFrame, **options) -> DataFrame:
     return WI.what_if(rows, i.view("fx_params"), i.view("fx_ctr_curve"), best_raw(i, scored(i)), **options)
 
 
+def projected_daily(i: Inputs, rows: DataFrame, **options) -> DataFrame:
+    """The what-if of every date, each held against its own best."""
+    best = WI.max_raw_scores(scored(i), i.view("fx_params"))
+    return WI.what_if(rows, i.view("fx_params"), i.view("fx_ctr_curve"), best, **options)
+
+
 def land(rows: DataFrame, folder: str) -> None:
     """Writes facts as landed day files."""
     rows.select(
@@ -107,7 +127,6 @@ def land(rows: DataFrame, folder: str) -> None:
         "impressions",
         F.col("ctr").cast("double").alias("ctr"),
         F.col("position").cast("double").alias("position"),
-        F.lit(0).cast("bigint").alias("ord"),
         "date",
     ).write.mode("append").partitionBy("date").json(folder)
 
@@ -134,7 +153,10 @@ def _(i):
 @register("scan_bi_csv")
 def _(i):
     folder = scratch_folder(i.spark, "bi")
-    i.view("fx_bi").drop("ord").toDF(*readers.BI_COLUMNS).write.option("header", True).csv(folder)
+    one, two, rate, ticket = readers.BI_COLUMNS
+    named = i.view("fx_bi").select("dept", "sub", "tasa_conversion", "ticket_promedio").toDF(one, two, rate, ticket)
+    moved = named.select(F.lit("7").alias("extra"), f"`{ticket}`", f"`{two}`", f"`{one}`", f"`{rate}`")
+    moved.write.option("header", True).csv(folder)
     rows = readers.read_bi(i.spark, folder).drop("ord")
     return rows.withColumns({c: X.normalise_label(F.col(c)) for c in ("dept", "sub")})
 
@@ -150,7 +172,52 @@ def _updates(i):
 
 @register("upsert_facts")
 def _(i):
-    return store.upsert(kept(i), _updates(i), ("date", "query", "page"), "ord")
+    fresh = store.stage_updates(_updates(i), FACT_KEYS, "ord", scratch_folder(i.spark, "updates"))
+    return store.put(kept(i), fresh, FACT_KEYS)
+
+
+def _twice(i):
+    """Every kept fact landed twice, the later copy behind the first in the same file."""
+    rows = kept(i)
+    copies = rows.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("clicks", F.col("clicks") + F.col("copy"))
+    return copies.repartition(1).sortWithinPartitions("copy", "date", "query", "page")
+
+
+@register("upsert_landed_order")
+def _(i):
+    """Files without row numbers, read in several splits: the later place in the file wins."""
+    folder = scratch_folder(i.spark, "landing")
+    land(_twice(i), folder)
+    before = i.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    i.spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        landed = readers.read_search_facts(i.spark, folder)
+        fresh = store.stage_updates(landed, FACT_KEYS, "landing_order", scratch_folder(i.spark, "updates"))
+    finally:
+        i.spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return store.put(i.spark.createDataFrame([], FACTS), fresh, FACT_KEYS)
+
+
+@register("scan_search_responses")
+def _(i):
+    """One response document for each day (a fixture of bounded days), its rows in one array."""
+    folder = scratch_folder(i.spark, "responses")
+    record = F.struct(
+        F.array("query", "page").alias("keys"), "clicks", "impressions",
+        F.col("ctr").cast("double").alias("ctr"), F.col("position").cast("double").alias("position"),
+    )
+    copies = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), record.withField("clicks", F.col("clicks") + n).alias("row")) for n in (1, 2)]))
+    days = kept(i).select("date", copies.alias("c")).groupBy("date").agg(F.sort_array(F.collect_list("c")).alias("copies"))
+    rows = F.transform("copies", lambda c: c["row"])
+    days.select("date", F.to_json(F.struct(rows.alias("rows"))).alias("value")).write.partitionBy("date").text(folder)
+    landed = readers.read_search_responses(i.spark, folder)
+    return store.last_wins(landed, FACT_KEYS, "landing_order")
+
+
+@register("curve_map")
+def _(i):
+    found = D.curve_map(ctr_curve.calibrate_curve(facts(i)))
+    return found.select(F.explode("ctr_curve").alias("position", "ctr_mid"))
 
 
 @register("insert_if_absent")
@@ -240,7 +307,23 @@ def _(i):
 
 @register("ingest_accounting")
 def _(i):
-    return filters.ingest_report(facts(i))
+    return filters.ingest_report(_with_gaps(facts(i)))
+
+
+def _with_gaps(rows):
+    """Some rows without a query or a page."""
+    return rows.withColumns({"query": F.when(F.col("clicks") % 11 != 0, F.col("query")), "page": F.when(F.col("clicks") % 13 != 0, F.col("page"))})
+
+
+@register("ingest_balance")
+def _(i):
+    """Rows landed, and rows kept plus rows excluded for a reason."""
+    rows = _with_gaps(facts(i))
+    landed = rows.groupBy("date").agg(F.count("*").alias("landed"))
+    kept_rows = filters.ingest_filter(rows).groupBy("date").agg(F.count("*").alias("n"))
+    excluded = filters.ingest_report(rows).where("reason <> 'kept'").select("date", "n")
+    both = kept_rows.unionByName(excluded).groupBy("date").agg(F.sum("n").alias("accounted"))
+    return landed.join(both, "date", "left")
 
 
 # Filters
@@ -275,32 +358,58 @@ def _(i):
 def _(i):
     nations = i.table("nation").select(F.col("n_name").alias("term"))
     terms = i.view("fx_branded").select("term").unionByName(nations)
-    return _by_query(branding.flag_branded(facts(i), terms, max_terms=0))
+    return _by_query(branding.flag_branded(facts(i), terms, by_join=True))
+
+
+def _brand_words(i):
+    """A list as long as a table, and texts that repeat (part names) and that don't (URLs, starts of documents)."""
+    word = F.split_part(F.col("text"), F.lit(" "), F.lit(2))
+    terms = i.table("documents").select(word.alias("term")).where(F.length("term") >= 6)
+    starts = i.table("documents").select(F.substring("text", 1, 60).alias("text"))
+    texts = i.table("part").select(F.col("p_name").alias("text")).unionByName(i.table("pages").select(F.col("url").alias("text")))
+    return texts.unionByName(starts), terms
+
+
+@register("brand_table_words")
+def _(i):
+    texts, terms = _brand_words(i)
+    return branding.flag_branded(texts, terms, text="text")
+
+
+@register("brand_table_words_join")
+def _(i):
+    texts, terms = _brand_words(i)
+    return branding.flag_branded(texts, terms, text="text", by_join=True)
 
 
 @register("filter_factor")
 def _(i):
-    return O.by_factor(scored(i), "BOTH").select("date", "query", "page_url", "agency_factor")
+    return O.by_factor(raw(i), "BOTH").select("date", "query", "page_url", "agency_factor")
 
 
 @register("filter_max_pos")
 def _(i):
-    return O.by_max_position(scored(i), "9.5").select("date", "query", "page_url", "avg_position")
+    return O.by_max_position(raw(i), "9.5").select("date", "query", "page_url", "avg_position")
+
+
+@register("filter_max_pos_fine")
+def _(i):
+    return O.by_max_position(raw(i), "9.9999and more").select("date", "query", "page_url", "avg_position")
 
 
 @register("filter_min_revenue")
 def _(i):
-    return O.by_min_revenue(scored(i), "1000").select("date", "query", "page_url", "revenue_final")
+    return O.by_min_revenue(raw(i), "1000").select("date", "query", "page_url", "revenue_final")
 
 
 @register("filter_subcategory")
 def _(i):
-    return O.by_subcategory(scored(i), "brand-10").select("date", "query", "page_url")
+    return O.by_subcategory(raw(i), "brand-10").select("date", "query", "page_url")
 
 
 @register("active_only")
 def _(i):
-    return filters.active(scored(i)).select("date", "query", "page_url", "delta_clicks")
+    return filters.active(raw(i)).select("date", "query", "page_url", "delta_clicks")
 
 
 @register("latest_snapshot")
@@ -318,6 +427,13 @@ def _(i):
     return clean(i)
 
 
+@register("bi_large_values")
+def _(i):
+    """Rates and tickets a billion times as large."""
+    large = {c: F.col(c) * float(1 << 30) for c in ("tasa_conversion", "ticket_promedio")}
+    return bi.bi_sub(bi.clean_bi(i.view("fx_bi").withColumns({c: v for c, v in large.items()})))
+
+
 @register("site_urls_only")
 def _(i):
     urls = facts(i).select(F.col("page").alias("url")).unionByName(i.table("pages").select("url"))
@@ -326,14 +442,14 @@ def _(i):
 
 @register("revenue_guard")
 def _(i):
-    present = filters.has_revenue(scored(i)).groupBy("date").agg(F.count("*").alias("with_revenue"))
-    positive = filters.has_revenue(scored(i), positive=True).groupBy("date")
+    present = filters.has_revenue(raw(i)).groupBy("date").agg(F.count("*").alias("with_revenue"))
+    positive = filters.has_revenue(raw(i), positive=True).groupBy("date")
     return present.join(positive.agg(F.count("*").alias("with_positive")), "date", "left")
 
 
 @register("watchlist_validation")
 def _(i):
-    records = scored(i).select(
+    records = raw(i).select(
         "date",
         "query",
         "page_url",
@@ -414,7 +530,7 @@ def _(i):
 
 @register("factor_cross")
 def _(i):
-    return WI.factor_cross(scored(i)).select("date", "query", "page_url", "agency_factor")
+    return WI.factor_cross(raw(i)).select("date", "query", "page_url", "agency_factor")
 
 
 # Aggregates
@@ -422,7 +538,7 @@ def _(i):
 
 @register("kpis")
 def _(i):
-    return KP.kpis(scored(i))
+    return KP.kpis(raw(i))
 
 
 @register("factor_distribution")
@@ -726,9 +842,9 @@ def _(i):
 
 @register("target_improves")
 def _(i):
-    rows = projected(i, D.snapshot(scored(i)))
+    rows = projected_daily(i, scored(i))
     improves = S.target_improves(F.col("pos_target"), F.col("avg_position"))
-    return rows.select("query", "page_url", "agency_factor", improves.alias("improves"))
+    return rows.select("date", "query", "page_url", "agency_factor", improves.alias("improves"))
 
 
 @register("watch_record")
@@ -757,13 +873,13 @@ def _(i):
 
 @register("score_day")
 def _(i):
-    return P.score_day(facts(i), dims(i), AS_OF, stage=scratch_folder(i.spark, "stage")).select(*GAP_OUT)
+    return P.score_day(facts(i), dims(i), AS_OF, stage=scratch_folder(i.spark, "stage"), gather=True).select(*GAP_OUT)
 
 
 @register("score_backfill")
 def _(i):
     stage = scratch_folder(i.spark, "stage")
-    return P.score_backfill(facts(i), dims(i), "2024-03-10", stage=stage).select(*GAP_OUT)
+    return P.score_backfill(facts(i), dims(i), "2024-03-10", stage=stage, gather=True).select(*GAP_OUT)
 
 
 @register("refresh_catalog")
@@ -786,6 +902,33 @@ def _(i):
     return report.withColumn("weekly_series", _series_text(F.col("weekly_series")))
 
 
+@register("opportunities_lenient")
+def _(i):
+    """Arguments as a form sends them: numbers with text behind, an empty date."""
+    return O.opportunities(scored(i), date="", max_pos="9.5abc", min_revenue="1000.5")
+
+
+@register("opportunities_after")
+def _(i):
+    """The third page, asked for by the last row of the second."""
+    second = O.opportunities(scored(i), sort_key="revenue_final", page=2)
+    last = second.collect()[-1].asDict()
+    return O.opportunities(scored(i), sort_key="revenue_final", after=last)
+
+
 @register("what_if")
+def _(i):
+    return projected_daily(i, scored(i))
+
+
+@register("what_if_newest")
 def _(i):
     return projected(i, D.snapshot(scored(i)))
+
+
+@register("whatif_extra_factor")
+def _(i):
+    """A factor beyond the four, with params of its own."""
+    fifth = i.spark.sql("SELECT 'AUDIT' AS factor_name, CAST(1.1 AS DECIMAL(6,3)) AS ctr_boost, CAST(0.75 AS DECIMAL(6,3)) AS success_prob, CAST(0 AS DECIMAL(6,2)) AS pos_delta, 1 AS impact_weeks_min, 2 AS impact_weeks_max")
+    params = i.view("fx_params").unionByName(fifth)
+    return WI.what_if(D.snapshot(scored(i)), params, i.view("fx_ctr_curve"), best_raw(i, scored(i)), factors=(*FACTORS, "AUDIT"))

@@ -211,3 +211,8 @@ def test_calendar(one):
     assert len(days) == 57
     assert days[0] == datetime.date(2024, 1, 10) and days[-1] == datetime.date(2024, 3, 6)
     assert one(K.consolidated_date(F.lit("2024-03-02").cast("date"))) == datetime.date(2024, 2, 28)
+
+
+@pytest.mark.parametrize("text,number,whole", [("9.5abc", 9.5, 9), ("1000.5", 1000.5, 1000), ("1e3", 1000.0, 1), (" 12", 12.0, 12), ("-3", -3.0, -3), ("abc", None, None), ("", None, None), (None, None, None), (7, 7.0, 7)])
+def test_leading_numbers(text, number, whole):
+    assert (N.leading_number(text), N.leading_integer(text)) == (number, whole)

@@ -7,6 +7,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from searchlift.functions import scoring as S
 from searchlift.operators import bi, branding, ctr_curve, filters, gaps, kpis, opportunities as O, watchlist as W
 from searchlift.operators import dimensions as dim
 from searchlift.operators import whatif
@@ -84,16 +85,47 @@ def test_branded_flag_both_ways_equal_brute_force(spark):
     )
     df = spark.createDataFrame([(t,) for t in texts], "query string")
     term_rows = spark.createDataFrame([(t,) for t in terms] + [(None,)], "term string")
-    for limit in (branding.INLINE_TERMS, 0):
-        got = branding.flag_branded(df, term_rows, max_terms=limit).collect()
+    for by_join in (False, True):
+        got = branding.flag_branded(df, term_rows, by_join=by_join).collect()
         assert sorted((r.query or "", r.is_branded) for r in got) == want
 
 
 def test_branded_flag_without_terms(spark):
     df = spark.createDataFrame([("a",)], "query string")
     none = spark.createDataFrame([], "term string")
-    for limit in (branding.INLINE_TERMS, -1):
-        assert branding.flag_branded(df, none, max_terms=limit).first().is_branded is False
+    for by_join in (False, True):
+        assert branding.flag_branded(df, none, by_join=by_join).first().is_branded is False
+
+
+def test_a_list_beyond_the_bound_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(branding, "INDEX_BYTES", 3)
+    df, terms = spark.createDataFrame([("xabcdx",)], "query string"), spark.createDataFrame([("abcd",)], "term string")
+    with pytest.raises(Exception, match="use by_join"):
+        branding.flag_branded(df, terms).collect()
+    assert branding.flag_branded(df, terms, by_join=True).first().is_branded is True
+
+
+def test_large_rates_and_tickets_are_kept(spark):
+    rows = [("a", "x", 1e7, 2e12, 0), ("a", "y", 3e7, 4e12, 1), ("a", "z", float("nan"), 1.0, 2), ("a", "w", float("-inf"), 1.0, 3)]
+    clean = bi.clean_bi(spark.createDataFrame(rows, BI))
+    assert {(r["sub"], r.conversion_rate, r.avg_ticket) for r in bi.bi_sub(clean).collect()} == {("x", D(10**7), 2 * 10**12), ("y", D(3 * 10**7), 4 * 10**12)}
+    mean = bi.bi_dept(clean).first()
+    assert (mean.conversion_rate, mean.avg_ticket, mean.n) == (D(2 * 10**7), 3 * 10**12, 2)
+
+
+def test_null_keys_are_malformed(spark):
+    rows = [fact("a", "https://x.cl/d/s/", "3.00"), fact(None, "https://x.cl/d/s/", "3.00"), fact("b", None, "30.00")]
+    df = spark.createDataFrame(rows, FACTS)
+    assert {r.reason: r.n for r in filters.ingest_report(df).collect()} == {"kept": 1, "malformed": 2}
+    for brands in (True, False):
+        assert [r.query for r in filters.ingest_filter(df, brands).collect()] == ["a"]
+
+
+def test_positions_are_judged_as_landed(spark):
+    rows = [fact("a", "https://x.cl/d/s/", "20.004"), fact("b", "https://x.cl/d/s/", "20.000"), fact("c", "https://x.cl/d/s/", "5.004")]
+    df = filters.ingest_filter(spark.createDataFrame(rows, FACTS))
+    band = S.position_band(F.col("position"))
+    assert {(r.query, r.band) for r in df.select("query", band.alias("band")).collect()} == {("b", "deep"), ("c", "mid")}
 
 
 BI = "dept string, sub string, tasa_conversion double, ticket_promedio double, ord int"
@@ -254,6 +286,28 @@ def test_pages_do_not_overlap_and_cover_everything(listing):
     assert (last.start_row, last.end_row, last.total, last.total_pages) == (4, 4, 4, 2)
 
 
+@pytest.mark.parametrize("key,way", [("opportunity_score", "DESC"), ("opportunity_score", "ASC"), ("ctr_actual", "DESC"), ("query", "ASC"), ("revenue_final", "DESC")])
+def test_pages_by_the_last_row(listing, key, way):
+    whole = queries_of(O.opportunities(listing, sort_key=key, sort_dir=way))
+    seen, last = [], None
+    while len(seen) < len(whole):
+        (row,) = O.opportunities(listing, sort_key=key, sort_dir=way, page_size=1, after=last).collect()
+        seen.append(row.query)
+        last = row.asDict()
+    assert seen == whole
+    assert O.opportunities(listing, sort_key=key, sort_dir=way, after=last).collect() == []
+
+
+def test_lenient_arguments(listing):
+    assert queries_of(O.opportunities(listing, date="", min_revenue="2000.9", sort_key="query", sort_dir="asc")) == ["c", "d"]
+    assert len(queries_of(O.opportunities(listing, max_pos="4.0000001abc"))) == 4
+    assert queries_of(O.opportunities(listing, max_pos="3.9999999999")) == []
+    assert len(queries_of(O.opportunities(listing, max_pos="1e9"))) == 4
+    for wrong in ({"max_pos": "abc"}, {"min_revenue": "abc"}):
+        with pytest.raises(ValueError):
+            O.opportunities(listing, **wrong)
+
+
 def test_top_lists(listing):
     page = O.opportunities(listing, page_size=2)
     assert queries_of(O.top_n(page, 5)) == ["c", "a"]

@@ -24,7 +24,7 @@ def plan(df):
 @pytest.fixture(scope="module")
 def stored(spark, folder, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("facts"))
-    store.write_days(Inputs(spark, folder).view("fx_facts"), path)
+    store.write_days(Inputs(spark, folder).view("fx_fine"), path)
     return spark.read.parquet(path)
 
 
@@ -77,3 +77,52 @@ def test_aggregates_combine_before_the_shuffle(stored):
     for df in (W.weekly_position(stored), filters.ingest_report(stored)):
         text = plan(df)
         assert "partial_" in text and "SortAggregate" not in text
+
+
+def written_plan(spark, run):
+    """Physical plans of what `run` executes, from the session's own listener-free log of queries."""
+    out = []
+    original = type(spark.range(1).write).parquet
+
+    def spy(self, *args, **options):
+        out.append(plan(self._df))
+        return original(self, *args, **options)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.range(1).write), "parquet", spy)
+        run()
+    return out
+
+
+def test_staging_a_stored_table_exchanges_no_fact_rows(spark, folder, stored, tmp_path):
+    (text,) = written_plan(spark, lambda: P.score_day(stored, dims(Inputs(spark, folder)), stage=str(tmp_path / "stage")))
+    exchanged = [line for line in text.splitlines() if line.startswith("Arguments: hashpartitioning")]
+    assert not any("page_url" in line or "query" in line or "date" in line for line in exchanged)
+
+
+def test_a_batch_is_parsed_and_reduced_once(spark, folder, stored, tmp_path):
+    from searchlift.schemas import FACT_KEYS
+
+    updates = filters.ingest_filter(stored).withColumn("ord", F.col("clicks"))
+    plans = written_plan(spark, lambda: store.stage_updates(updates, FACT_KEYS, "ord", str(tmp_path / "stage")))
+    assert len(plans) == 1 and plans[0].count("Scan parquet") <= 2  # named in the tree and in the details
+    fresh = store.read_table(spark, str(tmp_path / "stage"), updates.drop("ord").schema)
+    assert "max_by" not in plan(store.put(stored, fresh, FACT_KEYS))
+
+
+def test_share_of_max_uses_no_window(stored):
+    rows = stored.select(F.col("clicks").alias("revenue_final"), "query")
+    assert "Window" not in plan(O.share_of_max(rows)) and "SinglePartition" not in plan(O.share_of_max(rows)).split("Subquer")[0]
+
+
+def test_brand_terms_are_looked_up_without_an_exchange_of_rows(spark, stored):
+    from searchlift.operators.branding import flag_branded
+
+    terms = spark.createDataFrame([("hot",)], "term string")
+    text = plan(flag_branded(stored, terms).select("query", "is_branded"))
+    assert "brand_index" not in text.split("Subqueries")[0] and "hashpartitioning(query" not in text
+
+
+def test_a_bound_on_positions_reaches_the_scan(spark, stored):
+    rows = stored.withColumnRenamed("position", "avg_position")
+    assert "LessThanOrEqual(position,9.9999" in plan(O.by_max_position(rows, "9.9999 or so"))

@@ -36,7 +36,7 @@ def row(query, page, clicks, position=3.0, ord=None):
 def test_read_one_day(spark, tmp_path):
     write_lines(tmp_path / "day.json", [row("a", "u", 1), row("b", "u", 2, None)])
     got = {r.query: r for r in readers.read_search_facts(spark, str(tmp_path / "day.json"), "2024-01-10").collect()}
-    assert got["a"].date == DAY and got["a"].ctr == D("0.012346") and got["a"].position == D("3.00")
+    assert got["a"].date == DAY and got["a"].ctr == D("0.0123456") and got["a"].position == D("3.00")
     assert got["b"].position is None
 
 
@@ -46,7 +46,7 @@ def test_empty_day(spark, tmp_path):
 
 
 def test_last_row_of_a_file_wins(spark, tmp_path):
-    write_lines(tmp_path / "date=2024-01-10" / "a.json", [row("a", "u", 1, ord=0), row("a", "u", 2, ord=1)])
+    write_lines(tmp_path / "date=2024-01-10" / "a.json", [row("a", "u", 2, ord=1), row("a", "u", 1, ord=0)])
     facts = readers.read_search_facts(spark, str(tmp_path))
     merged = store.upsert(spark.createDataFrame([], FACTS), facts, FACT_KEYS, "landing_order")
     assert [(r.date, r.clicks) for r in merged.collect()] == [(DAY, 2)]
@@ -61,6 +61,51 @@ def test_response_documents_keep_array_order(spark, tmp_path):
     assert {r.query: r.clicks for r in merged.collect()} == {"a": 5, "b": 3}
 
 
+def test_the_later_place_wins_without_row_numbers(spark, tmp_path):
+    rows = [row(f"q{k % 50}", "u", k) for k in range(3000)]
+    write_lines(tmp_path / "date=2024-01-10" / "a.json", rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        landed = readers.read_search_facts(spark, str(tmp_path))
+        assert landed.rdd.getNumPartitions() > 5
+        got = {r.query: r.clicks for r in store.last_wins(landed, FACT_KEYS, "landing_order").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {f"q{k % 50}": k for k in range(2950, 3000)}
+
+
+def test_a_later_batch_goes_before_file_time(spark, tmp_path):
+    write_lines(tmp_path / "date=2024-01-10" / "z.json", [{**row("a", "u", 2), "batch": 2}])
+    write_lines(tmp_path / "date=2024-01-10" / "late.json", [{**row("a", "u", 1), "batch": 1}])
+    facts = store.last_wins(readers.read_search_facts(spark, str(tmp_path)), FACT_KEYS, "landing_order")
+    assert [r.clicks for r in facts.collect()] == [2]
+
+
+def test_updates_without_an_order_must_agree(spark):
+    target = spark.createDataFrame([], FACTS)
+    same = spark.createDataFrame([("q", "u", 1, 1, D(0), D(1), DAY)] * 3, FACTS)
+    assert store.upsert(target, same, FACT_KEYS).count() == 1
+    mixed = same.unionByName(spark.createDataFrame([("q", "u", 2, 1, D(0), D(1), DAY)], FACTS))
+    with pytest.raises(Exception, match="name an order"):
+        store.upsert(target, mixed, FACT_KEYS).collect()
+
+
+def test_bi_columns_are_bound_by_name(spark, tmp_path):
+    path = tmp_path / "bi.csv"
+    path.write_text('n,Ticket Promedio,group_.two,tasa_conversion,group_.one\n7,100,moda,0.01,mujer\n8,50,"a, b",0.5,hogar\n', encoding="utf-8")
+    got = {(r.dept, r["sub"], r.tasa_conversion, r.ticket_promedio) for r in readers.read_bi(spark, str(path)).collect()}
+    assert got == {("mujer", "moda", 0.01, 100.0), ("hogar", "a, b", 0.5, 50.0)}
+    path.write_text("group_.one,group_.two,tasa,Ticket Promedio\nmujer,moda,0.01,100\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="tasa_conversion"):
+        readers.read_bi(spark, str(path))
+
+
+def test_bi_line_breaks_in_quotes(spark, tmp_path):
+    path = tmp_path / "bi.csv"
+    path.write_text('group_.one,group_.two,tasa_conversion,Ticket Promedio\n"muj\ner",moda,0.01,100\n', encoding="utf-8")
+    assert [r.dept for r in readers.read_bi(spark, str(path), multi_line=True).collect()] == ["muj\ner"]
+
+
 def test_bi_csv(spark, tmp_path):
     path = tmp_path / "bi.csv"
     path.write_text(
@@ -91,7 +136,8 @@ def test_days_are_rewritten_alone(spark, tmp_path):
     both = spark.createDataFrame([("q", "u", 1, 1, D(0), D(1), DAY), ("q", "u", 2, 1, D(0), D(1), other)], FACTS)
     store.write_days(both, path)
     update = spark.createDataFrame([("q", "u", 9, 1, D(0), D(1), other)], FACTS).withColumn("ord", F.lit(0))
-    store.upsert_days(spark, path, update, "ord", store.touched_days(update))
+    fresh = store.stage_updates(update, FACT_KEYS, "ord", str(tmp_path / "stage"))
+    store.upsert_days(spark, path, fresh, store.touched_days(fresh))
     got = {r.date: r.clicks for r in store.read_table(spark, path, FACTS).collect()}
     assert got == {DAY: 1, other: 9}
 
