@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from searchlift.operators.dimensions import snapshot
 from searchlift.operators.filters import has_revenue
 from searchlift.schemas import BOTH, CONTENT, LINK_BUILDING, NONE
 
@@ -25,6 +26,11 @@ def kpis(gaps: DataFrame) -> DataFrame:
     )
 
 
+def kpis_of(gaps: DataFrame, date=None) -> DataFrame:
+    """The KPIs of one date, the newest by default."""
+    return kpis(snapshot(gaps, date))
+
+
 def factor_distribution(gaps: DataFrame) -> DataFrame:
     """Rows per date and factor, most frequent first."""
     counted = gaps.groupBy("date", "agency_factor").agg(F.count("*").alias("n"))

@@ -391,6 +391,12 @@ SELECT date, CAST(SUM(n) AS BIGINT) AS total_keywords, CAST(SUM(n) - COALESCE(MA
   COALESCE(MAX(IF(factor = 'LINK_BUILDING', n, NULL)), 0) AS factor_lb, COALESCE(MAX(IF(factor = 'NONE', n, NULL)), 0) AS factor_none,
   CAST(COALESCE(SUM(earned), 0) AS BIGINT) AS total_revenue, CAST(COALESCE(SUM(IF(factor = 'NONE', 0, earned)), 0) AS BIGINT) AS active_revenue
 FROM (SELECT date, factor, COUNT(*) AS n, SUM(revenue) AS earned FROM gaps GROUP BY 1, 2) f GROUP BY date""",
+    "kpis_newest": """
+SELECT date, CAST(SUM(n) AS BIGINT) AS total_keywords, CAST(SUM(n) - COALESCE(MAX(IF(factor = 'NONE', n, NULL)), 0) AS BIGINT) AS with_opportunity,
+  COALESCE(MAX(IF(factor = 'BOTH', n, NULL)), 0) AS factor_both, COALESCE(MAX(IF(factor = 'CONTENT', n, NULL)), 0) AS factor_content,
+  COALESCE(MAX(IF(factor = 'LINK_BUILDING', n, NULL)), 0) AS factor_lb, COALESCE(MAX(IF(factor = 'NONE', n, NULL)), 0) AS factor_none,
+  CAST(COALESCE(SUM(earned), 0) AS BIGINT) AS total_revenue, CAST(COALESCE(SUM(IF(factor = 'NONE', 0, earned)), 0) AS BIGINT) AS active_revenue
+FROM (SELECT date, factor, COUNT(*) AS n, SUM(revenue) AS earned FROM gaps GROUP BY 1, 2) f WHERE date = (SELECT MAX(date) FROM gaps) GROUP BY date""",
     "factor_distribution": "SELECT date, factor AS agency_factor, COUNT(*) AS n FROM classed GROUP BY 1, 2",
     "actionable_share": "SELECT date, SUM(CASE WHEN factor <> 'NONE' THEN 1 ELSE 0 END)::BIGINT AS active, COUNT(*) AS total FROM classed GROUP BY date",
     "bi_dept_means": "SELECT dept, CAST(cr AS DOUBLE) / 1e12 AS conversion_rate, CAST(tk AS BIGINT) AS avg_ticket, n FROM depts",

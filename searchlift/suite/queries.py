@@ -538,7 +538,12 @@ def _(i):
 
 @register("kpis")
 def _(i):
-    return KP.kpis(raw(i))
+    return KP.kpis(scored(i))
+
+
+@register("kpis_newest")
+def _(i):
+    return KP.kpis_of(scored(i))
 
 
 @register("factor_distribution")
