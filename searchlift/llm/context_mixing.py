@@ -405,10 +405,13 @@ def train_and_score(docs: DataFrame, held_out: Column) -> DataFrame:
         F.sum("m").alias("rare_known"), F.sum(F.col("m") * F.log10(F.col("n") + 1.0)).alias("rare_logs")
     )
     per_text = copies.join(sums, "rare_key").select("rare_key", (F.col("rare_known") / F.col("copies")).cast("long").alias("rare_known"), (F.col("rare_logs") / F.col("copies")).alias("rare_logs"))
+    # Rows without rare words meet nothing; keys of their own keep them from meeting in one task.
+    keyed = scored.withColumns({"has_rare": F.col("rare_key").isNotNull(), "spread": F.coalesce("rare_key", F.xxhash64("doc_id", "bits", "logs"))})
+    sums_of = per_text.select(F.lit(True).alias("has_rare"), F.col("rare_key").alias("spread"), "rare_known", "rare_logs")
     zero = F.lit(0)
     end_log = float(np.log10(texts + 1.0))
     room = float(np.log10(total + distinct + 1.0))
-    return scored.join(per_text, "rare_key", "left").select(
+    return keyed.join(sums_of, ["has_rare", "spread"], "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

@@ -17,7 +17,6 @@ def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Dat
     """
     spark = df.sparkSession
     path = scratch_folder(spark, label)
-    _forget_at_end(spark, path)
     df.write.partitionBy(*partition_by).parquet(path)
     schema = df.schema
     del df
@@ -26,11 +25,6 @@ def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Dat
     return spark.read.schema(schema).parquet(path)
 
 
-def _forget_at_end(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-
-
 #: Rows of a batch that goes to a Python worker, at most.
 BATCH_ROWS = 2000
 
