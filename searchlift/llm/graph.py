@@ -30,7 +30,6 @@ def components(edges: DataFrame) -> DataFrame:
             .where("b > a")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .where("a <> b")
-            .distinct()
         )
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (

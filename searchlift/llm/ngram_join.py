@@ -5,9 +5,11 @@ of n and m shingles that takes an overlap of at least T = ceil(0.8 * max(n, m));
 at least T of the n inverted lists of its shingles. The join looks for documents that reach that number of occurrences.
 
 1. Every text becomes its sorted set of 64-bit shingle hashes. Copies have one set key. Of each set, the n - T + l
-   least hashes are kept (l = 5 % of the least partner's set): linked sets share at least l of these. One exchange by
-   hash tells which lists hold two sets; sets on fewer than l such lists have no partner.
-2. The full sets of what is left are listed the same way. A set on fewer than T lists with company is dropped.
+   least hashes are kept (l = 8 % of the least partner's set): linked sets share at least l of these. Lists that hold two
+   sets are found by an aggregate; sets on fewer than l of them have no partner.
+2. The full sets of what is left are listed the same way. A set on fewer than T lists with company is dropped. Texts
+   are read again for this, not exchanged: a map of FILTER_BITS bits over hashed doc_ids tells which, and the few that
+   slip through for a shared bit are dropped like any set without partners.
 3. Ordered by (length of list, hash), linked sets share one of their first n - T + 1 shingles; sets joined by such a
    shingle form a family. Families are cut into blocks of at most BLOCK sets, by size class (partners are at most one
    class apart) and hash, and the blocks of a family are searched against each other.
@@ -32,12 +34,14 @@ from pyspark.sql import functions as F
 
 from searchlift.llm.graph import components
 from searchlift.llm.hashing import document_sets, mix
-from searchlift.llm.tables import stored
+from searchlift.llm.tables import small_batches, stored
 
 #: Per cent of the union that two documents share at least.
 SIMILARITY = 80
 #: Per cent of the least partner's set that the first filter asks for.
-SLACK = 5
+SLACK = 8
+#: Bits of the map that tells which documents are read a second time; a full map lets more through, never fewer.
+FILTER_BITS = 1 << 26
 #: Sets of a family that meet in one task, about.
 BLOCK = 512
 #: Sizes of partners differ by less than this factor (a little more than the threshold allows, for rounding).
@@ -80,14 +84,74 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for wanted, hashes in zip(batch.column("set_key").to_pylist(), document_sets(batch.column("text"))):
-            if len(hashes) and _set_key(hashes) == wanted:  # a repeated doc_id may carry another text
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([wanted], pa.int64()), pa.array([len(hashes)], pa.int64()), pa.array([hashes.view(np.int64)], pa.list_(pa.int64()))],
-                    names=["set_key", "n", "hashes"],
-                )
+def _bit(numbers: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (mix(numbers.astype(np.int64).view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def _marked(numbers: DataFrame) -> np.ndarray:
+    """A map of bits over one column of numbers, put together from at most FILTER_BITS / 64 words."""
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(_bit(batch.column(0).to_numpy()))
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(np.left_shift(np.int64(1), at & 63))], names=["word", "bits"])
+
+    words = numbers.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    out = np.zeros(FILTER_BITS >> 6, dtype=np.int64)
+    found = words.toArrow()
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out
+
+
+def _on_map(marked: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """False only for numbers that the map doesn't hold."""
+    at = _bit(numbers)
+    return (marked[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def _hits(sketch: DataFrame) -> DataFrame:
+    """`set_key, hits`: on how many lists of the sketches a set has company.
+
+    Lists are reduced to their least and greatest set, which combines before the exchange, so a passage in a third of
+    all documents is one row for each task. What stands on the map of the lists with company is joined with them.
+    """
+    entries = sketch.select("set_key", F.explode("least").alias("hash"))
+    lists = entries.groupBy("hash").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b")).where("a <> b").select("hash")
+    lists = stored(lists, "lists")
+    sent = sketch.sparkSession.sparkContext.broadcast(_marked(lists))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("least")
+            hashes, sizes = column.flatten(), np.diff(np.asarray(column.offsets))
+            near = _on_map(sent.value, hashes.to_numpy())
+            keys = np.repeat(batch.column("set_key").fill_null(0).to_numpy(), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[near]), hashes.filter(pa.array(near))], names=["set_key", "hash"])
+
+    near = sketch.select("set_key", "least").mapInArrow(kept, "set_key long, hash long")
+    return near.join(lists, "hash").groupBy("set_key").agg(F.count_distinct("hash").alias("hits"))
+
+
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """`set_key, n, hashes` of the documents that the map of `ids` lets through."""
+    sent = docs.sparkSession.sparkContext.broadcast(_marked(ids))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(batch.column("doc_id").is_valid())
+            texts = batch.column("text").filter(pa.array(_on_map(sent.value, batch.column("doc_id").to_numpy())))
+            found = [hashes for hashes in document_sets(texts) if len(hashes)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([_set_key(h) for h in found], pa.int64()),
+                    pa.array([len(h) for h in found], pa.int64()),
+                    pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64())),
+                ],
+                names=["set_key", "n", "hashes"],
+            )
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sets, "set_key long, n long, hashes array<long>")
 
 
 class Lists:
@@ -175,22 +239,25 @@ def _search(cell: pd.DataFrame) -> pd.DataFrame:
 def _families(sets: DataFrame) -> DataFrame:
     """`set_key, family` of the sets that may have a partner."""
     entries = sets.select("set_key", "n", F.explode("hashes").alias("hash"))
-    by_hash = Window.partitionBy("hash")
-    shared = entries.select(
-        "set_key", "n", "hash", F.count("*").over(by_hash).alias("length"), F.min("set_key").over(by_hash).alias("a"), F.max("set_key").over(by_hash).alias("b")
-    ).where("a <> b")
+    lists = entries.groupBy("hash").agg(F.count("*").alias("length"), F.min("set_key").alias("a"), F.max("set_key").alias("b")).where("a <> b")
+    shared = entries.join(lists.select("hash", "length"), "hash")
     by_set = Window.partitionBy("set_key")
     need = F.ceil(F.col("n") * SIMILARITY / F.lit(100))
     # A set whose row is repeated has its hashes repeated; dense_rank counts them once.
     ranked = shared.withColumn("place", F.dense_rank().over(by_set.orderBy("length", "hash"))).withColumn("on", F.max("place").over(by_set))
     chosen = ranked.where((F.col("on") >= need) & (F.col("place") <= F.col("on") - need + 1)).select("set_key", "hash")
-    stars = chosen.select(F.col("set_key").alias("a"), F.min("set_key").over(by_hash).alias("b"))
+    chosen = stored(chosen, "chosen")
+    least = chosen.groupBy("hash").agg(F.min("set_key").alias("b"))
+    stars = chosen.select(F.col("set_key").alias("a"), "hash").join(least, "hash").select("a", "b")
     return components(stars).select(F.col("node").alias("set_key"), F.col("component").alias("family"))
 
 
 def _blocks(sets: DataFrame, families: DataFrame) -> DataFrame:
-    """Each set once for every pair of blocks it takes part in."""
-    members = sets.join(families, "set_key")
+    """Each set once for every pair of blocks it takes part in.
+
+    Places are worked out on keys alone; of the sets' hashes only those that the map of family members lets through move.
+    """
+    members = sets.select("set_key", "n").join(families, "set_key")
     sizes = families.groupBy("family").agg(F.count("*").alias("members"))
     members = members.join(sizes, "family").withColumn(
         "class", F.when(F.col("members") <= BLOCK, F.lit(0)).otherwise(F.floor(F.log(F.col("n") * 1.0) / F.log(F.lit(CLASS_RATIO)))).cast("int")
@@ -210,6 +277,13 @@ def _blocks(sets: DataFrame, families: DataFrame) -> DataFrame:
 
     kind, block = F.col("class"), F.col("block")
     zero, one = F.lit(0), F.lit(1)
+    sent = sets.sparkSession.sparkContext.broadcast(_marked(families.select("set_key")))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_on_map(sent.value, batch.column("set_key").to_numpy())))
+
+    hashes = sets.select("set_key", "hashes").mapInArrow(near, "set_key long, hashes array<long>")
     return (
         members.join(partners, ["family", "class"])
         .withColumn("block", own)
@@ -223,7 +297,8 @@ def _blocks(sets: DataFrame, families: DataFrame) -> DataFrame:
                 )
             ),
         )
-        .select("family", "cell.c", "cell.i", "cell.d", "cell.j", F.col("cell.side"), ((F.col("cell.c") == F.col("cell.d")) & (F.col("cell.i") == F.col("cell.j"))).alias("own"), "set_key", "hashes")
+        .select("family", "cell.c", "cell.i", "cell.d", "cell.j", F.col("cell.side"), ((F.col("cell.c") == F.col("cell.d")) & (F.col("cell.i") == F.col("cell.j"))).alias("own"), "set_key")
+        .join(hashes, "set_key")
     )
 
 
@@ -233,26 +308,20 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     component_id is the least doc_id reachable by links; n_links counts the other word sets that the row's own links
     with (copies of one set count as one). A null, empty or wordless text has no shingles and is linked with nothing.
     A text of one to four words is one shingle. Repeated rows come back as often as they came. A row without doc_id
-    keeps its place, takes part in the links, and names no component. Other columns are ignored.
+    keeps its place, has links only if another row with its word set has a doc_id, and names no component. Other columns are ignored.
     """
-    sketch = stored(docs.select("doc_id", "text").mapInArrow(_sketches, "doc_id long, n_shingles long, set_key long, least array<long>"), "sketch")
-    by_hash = Window.partitionBy("hash")
-    shared = (
-        sketch.select("set_key", F.col("n_shingles").alias("n"), F.explode("least").alias("hash"))
-        .select("set_key", "n", "hash", F.min("set_key").over(by_hash).alias("a"), F.max("set_key").over(by_hash).alias("b"))
-        .where("a <> b")
-    )
+    sketch = stored(small_batches(docs).select("doc_id", "text").mapInArrow(_sketches, "doc_id long, n_shingles long, set_key long, least array<long>"), "sketch")
     least_partner = F.ceil(F.col("n") * SIMILARITY / F.lit(100))
     asked = F.greatest(F.lit(1), F.floor(least_partner * SLACK / F.lit(100)))
-    alive = shared.groupBy("set_key").agg(F.count_distinct("hash").alias("hits"), F.max("n").alias("n")).where(F.col("hits") >= asked).select("set_key")
-    chosen = sketch.join(alive, "set_key", "left_semi").groupBy("set_key").agg(F.min("doc_id").alias("doc_id")).where("doc_id IS NOT NULL")
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id")
-    sets = stored(texts.mapInArrow(_sets, "set_key long, n long, hashes array<long>"), "sets")
+    known = sketch.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
+    chosen = known.join(_hits(sketch), "set_key").where(F.col("hits") >= asked)
+    sets = stored(_sets_of(docs, chosen.select("doc_id")), "sets")
 
     families = stored(_families(sets), "families")
-    found = stored(
-        _blocks(sets, families).groupBy("family", "c", "i", "d", "j").applyInPandas(_search, "node long, top long, links long"), "links"
-    )
+    cell = ("family", "c", "i", "d", "j")
+    # A cell is little data and much work, so cells are dealt over all partitions rather than gathered by size.
+    dealt = _blocks(sets, families).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cell)
+    found = stored(dealt.groupBy(*cell).applyInPandas(_search, "node long, top long, links long"), "links")
     linked = components(found.select(F.col("node").alias("a"), F.col("top").alias("b")))
     counts = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     nodes = counts.join(linked, "node").select(F.col("node").alias("set_key"), "n_links", "component")
@@ -262,10 +331,10 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     named = least.join(nodes, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
     names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     classes = named.join(names, "component").select("set_key", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    rows = sketch.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
-    return rows.select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    rows = sketch.select("doc_id", "n_shingles", "set_key")
+    worded = rows.where("set_key IS NOT NULL").join(classes, "set_key").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), "n_links"
     )
+    # Texts without words meet nothing, so they take no part in the exchange.
+    wordless = rows.where("set_key IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    return worded.unionByName(wordless)
