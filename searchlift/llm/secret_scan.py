@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -50,28 +50,46 @@ SAME, CHANGE, ALTERNATE = 0.07, 0.1, 0.6
 _HEX, _BASE32 = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 _PLACES = [(a, {c: k for k, c in enumerate(a)}) for a in (_HEX, _HEX.upper(), _BASE32, _BASE64)]
-_LOG_FACTORIAL = [0.0]
+def _log_choose(n: int, k: int) -> float:
+    return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
 
 
-def _log_factorial(n: int) -> float:
-    while len(_LOG_FACTORIAL) <= n:
-        _LOG_FACTORIAL.append(_LOG_FACTORIAL[-1] + math.log(len(_LOG_FACTORIAL)))
-    return _LOG_FACTORIAL[n]
+def _log_poisson(mean: float, k: int) -> float:
+    if k < 1000:
+        return k * math.log(mean) - mean - math.lgamma(k + 1)
+    # Stirling's form: large numbers of nearly equal size are not subtracted.
+    return k * math.log1p((mean - k) / k) + k - mean - math.log(2 * math.pi * k) / 2 - 1 / (12 * k)
+
+
+def _summed(log: float, up: Iterable[float], down: Iterable[float]) -> float:
+    """The sum of terms from the largest one on to both sides, by their ratios; it ends where terms vanish."""
+    total = 1.0
+    for ratios in (up, down):
+        term = 1.0
+        for ratio in ratios:
+            term *= ratio
+            total += term
+            if term < 1e-18:
+                break
+    return min(1.0, math.exp(log) * total) if log > -700 else 0.0
 
 
 def _binomial_tail(n: int, p: float, least: int) -> float:
     """Chance of `least` or more successes."""
     if least <= 0:
         return 1.0
-    logs = [_log_factorial(n) - _log_factorial(k) - _log_factorial(n - k) + k * math.log(p) + (n - k) * math.log1p(-p) for k in range(least, n + 1)]
-    top = max(logs, default=-math.inf)
-    return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs)) if logs else 0.0
+    if least > n:
+        return 0.0
+    top = min(n, max(least, int((n + 1) * p)))
+    odds = p / (1 - p)
+    log = _log_choose(n, top) + top * math.log(p) + (n - top) * math.log1p(-p)
+    return _summed(log, ((n - k) / (k + 1) * odds for k in range(top, n)), (k / (n - k + 1) / odds for k in range(top, least, -1)))
 
 
 def _poisson_lower(mean: float, most: int) -> float:
-    logs = [k * math.log(mean) - mean - _log_factorial(k) for k in range(most + 1)]
-    top = max(logs)
-    return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs)) if top > -700 else 0.0
+    """Chance of `most` or fewer."""
+    top = min(most, int(mean))
+    return _summed(_log_poisson(mean, top), (mean / (k + 1) for k in range(top, most)), (k / mean for k in range(top, 0, -1)))
 
 
 def _kind(c: str) -> str:
@@ -108,12 +126,12 @@ def written_p(body: str) -> float:
     kinds = [_kind(c) for c in body]
     changes = sum(a != b for a, b in zip(kinds, kinds[1:]) if a and b)
     vowels = ["v" if c in "aeiouy" else "c" for c in body.lower()]
-    letters = [(a, b) for a, b, x, y in zip(vowels, vowels[1:], body, body[1:]) if x.isalpha() and y.isalpha()]
-    alternate = sum(a != b for a, b in letters)
+    letters = sum(x.isalpha() and y.isalpha() for x, y in zip(body, body[1:]))
+    alternate = sum(a != b for a, b, x, y in zip(vowels, vowels[1:], body, body[1:]) if x.isalpha() and y.isalpha())
     parts = (
         _poisson_lower(SAME * n * (n - 1) / 2, same),
         _binomial_tail(n - 1, CHANGE, changes),
-        _binomial_tail(len(letters), 1 - ALTERNATE, len(letters) - alternate),
+        _binomial_tail(letters, 1 - ALTERNATE, letters - alternate),
     )
     half = -sum(math.log(max(p, 1e-300)) for p in parts)
     return min(1.0, math.exp(-half) * (1 + half + half * half / 2))

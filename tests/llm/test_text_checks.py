@@ -1,9 +1,12 @@
 """Quality rules, secrets and personal data."""
 
+import base64
 import hashlib
+import math
 import random
 import re
 import string
+import tracemalloc
 
 import brute
 import pytest
@@ -80,6 +83,26 @@ def test_the_more_is_tested_the_more_is_asked(docs_of):
     assert 0 < secret_scan.written_p(weak) < 1 and secret_scan.step_of(1.0) == 0
 
 
+def test_tails_are_sums_of_all_terms():
+    for n, p, least in ((15, 0.1, 3), (40, 0.4, 40), (300, 0.1, 5), (300, 0.1, 90), (7, 0.4, 9)):
+        want = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(least, n + 1))
+        assert secret_scan._binomial_tail(n, p, least) == pytest.approx(want, rel=1e-9)
+    for mean, most in ((8.4, 0), (8.4, 3), (8.4, 30), (120.5, 90), (600.0, 580)):
+        want = sum(math.exp(k * math.log(mean) - mean - math.lgamma(k + 1)) for k in range(most + 1))
+        assert secret_scan._poisson_lower(mean, most) == pytest.approx(want, rel=1e-9)
+    assert secret_scan._poisson_lower(3.5e10, 35 * 10**9) == pytest.approx(0.5, abs=1e-4)
+    assert secret_scan._poisson_lower(3.5e10, 35 * 10**9 - 187083) == pytest.approx(0.1587, abs=1e-3)
+
+
+def test_a_run_of_a_megabyte_is_tested(docs_of):
+    blob = base64.b64encode(random.Random(3).randbytes(750_000)).decode()
+    tracemalloc.start()
+    assert secret_scan.written_p(blob) < 1e-100
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+    assert secrets_of(docs_of, [(1, f"see {blob} here"), (2, "no secret")]) == {1: [("random", 4, 1_000_004)], 2: []}
+
+
 def test_secret_rows(docs_of, odd):
     df = docs_of(odd)
     found = secret_scan.scan_secrets(df)
