@@ -1,9 +1,11 @@
 """Secret scans: known shapes, and strings that a battery of randomness tests tells from written text.
 
 Known shapes (kinds assign, access and hex) are regular expressions and always reported. Besides, every run of 16 or
-more letters, digits, + and / is tested. Its encoding is inferred (hex, base32 or base64) and must not contradict
-an even use of that alphabet in any of three tests: chi-squared of the symbol counts, Wald-Wolfowitz runs about the
-alphabet's middle, and lag-1 serial correlation (all within GATE standard deviations).
+more letters, digits, +, /, - and _ is tested, and so is every part of 16 or more characters that ends at some of these
+signs, since a sign may belong to a token or stand beside it. Its encoding is inferred (the smallest of hex, base32,
+base36, base62, base64 and base64url that holds its characters) and must not contradict an even use of that alphabet
+in any of three tests: chi-squared of the symbol counts, Wald-Wolfowitz runs about the alphabet's middle, and lag-1
+serial correlation (all within GATE standard deviations). A finding inside a whole run that is found is left out.
 
 What passes gets a p-value under "this is written text", by the same three views: written text repeats letters (few
 coincidences of symbols are unlikely), seldom changes between letters, capitals and digits (many changes are unlikely)
@@ -35,7 +37,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ASSIGN_WORDS = ("passw", "secret", "token", "key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
-TESTED = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,}={0,2}")
+TESTED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_PARTS = [re.compile(rf"(?<![{chars}])[{chars}]{{16,}}={{0,2}}") for chars in ("A-Za-z0-9+/", "A-Za-z0-9_-", "A-Za-z0-9")]
+_SIGNS = re.compile("[+/_-]")
 
 #: Standard deviations within which a random string must stay in each test.
 GATE = 4.0
@@ -47,9 +51,14 @@ STEPS = 400
 #: Chance that two letters of written text are equal, that neighbours differ in kind, that neighbouring letters alternate.
 SAME, CHANGE, ALTERNATE = 0.07, 0.1, 0.6
 
-_HEX, _BASE32 = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-_BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-_PLACES = [(a, {c: k for k, c in enumerate(a)}) for a in (_HEX, _HEX.upper(), _BASE32, _BASE64)]
+_DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_HEX, _BASE32, _BASE36 = _DIGITS + "abcdef", _UPPER + "234567", _DIGITS + _LOWER
+_BASE62 = _UPPER + _LOWER + _DIGITS
+#: From the smallest.
+_ALPHABETS = (_HEX, _HEX.upper(), _BASE32, _BASE32.lower(), _BASE36, _BASE36.upper(), _BASE62, _BASE62 + "+/", _BASE62 + "-_")
+_PLACES = [(a, {c: k for k, c in enumerate(a)}) for a in _ALPHABETS]
+
+
 def _log_choose(n: int, k: int) -> float:
     return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
 
@@ -98,7 +107,10 @@ def _kind(c: str) -> str:
 
 def looks_random(body: str) -> bool:
     """Whether an even use of the inferred alphabet stands up to the three tests."""
-    alphabet, place = next((a, p) for a, p in _PLACES if all(c in p for c in body))
+    used = set(body)
+    alphabet, place = next(((a, p) for a, p in _PLACES if used <= p.keys()), ("", {}))
+    if not alphabet:
+        return False
     n, k = len(body), len(alphabet)
     index = [place[c] for c in body]
     chi = k / n * sum(v * v for v in Counter(index).values()) - n
@@ -153,23 +165,36 @@ def base_spans(text: str) -> list[sp.Span]:
     return sp.ordered(found, KINDS)
 
 
+def _candidates(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """A run and its parts, as far as one alphabet may hold them."""
+    found = {(start, end)}
+    if _SIGNS.search(text, start, end):
+        found.update(m.span() for part in _PARTS for m in part.finditer(text, start, end))
+        if re.search("[+/]", text[start:end]) and re.search("[_-]", text[start:end]):
+            found.discard((start, end))
+    return sorted(found)
+
+
 def tested_runs(text: str, base: list[sp.Span]) -> list[dict]:
-    """Runs outside the known shapes with their length class and p-value step (none where an even use is ruled out)."""
+    """Runs outside the known shapes with their length class and p-value step (none where an even use is ruled out).
+
+    `outer` is the place of the run that a part belongs to; a whole run has none.
+    """
     out = []
     for m in TESTED.finditer(text):
-        start, end = m.span()
-        if any(start < b and a < end for _, a, b in base):
-            continue
-        body = m.group().rstrip("=")
-        kind = max(k for k, least in enumerate(LENGTH_CLASSES) if len(body) >= least)
-        step = step_of(written_p(body)) if looks_random(body) else None
-        out.append({"start": start, "end": end, "class": kind, "step": step})
+        for start, end in _candidates(text, *m.span()):
+            if any(start < b and a < end for _, a, b in base):
+                continue
+            body = text[start:end].rstrip("=")
+            kind = max(k for k, least in enumerate(LENGTH_CLASSES) if len(body) >= least)
+            step = step_of(written_p(body)) if looks_random(body) else None
+            out.append({"start": start, "end": end, "class": kind, "step": step, "outer": None if (start, end) == m.span() else m.start()})
     return out
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     row = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    run = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("class", pa.int32()), ("step", pa.int32())]))
+    run = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("class", pa.int32()), ("step", pa.int32()), ("outer", pa.int64())]))
     for batch in batches:
         base, runs = [], []
         for value in batch.column("text"):
@@ -200,7 +225,7 @@ def _packed(docs: DataFrame, names: list[str], text: str) -> tuple[DataFrame, st
     return rows, f"row {rows.schema['row'].dataType.simpleString()}"
 
 
-_FOUND = f"base {sp.SPANS}, runs array<struct<start:long,end:long,class:int,step:int>>"
+_FOUND = f"base {sp.SPANS}, runs array<struct<start:long,end:long,class:int,step:int,outer:long>>"
 
 
 def redact_secrets(docs: DataFrame, mark: str, text: str = "text") -> DataFrame:
@@ -243,7 +268,10 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     def flagged(run: Column) -> Column:
         return F.coalesce(run["step"] >= (limit[run["class"]] if least else limit), F.lit(False))
 
-    random = F.transform(F.filter("runs", flagged), lambda r: F.struct(F.lit("random").alias("kind"), r["start"].alias("start"), r["end"].alias("end")))
+    whole = F.transform(F.filter("flagged", lambda r: r["outer"].isNull()), lambda r: r["start"])
+    alone = F.filter("flagged", lambda r: r["outer"].isNull() | ~F.array_contains("whole", r["outer"]))
+    scanned = scanned.withColumn("flagged", F.filter("runs", flagged)).withColumn("whole", whole)
+    random = F.transform(alone, lambda r: F.struct(F.lit("random").alias("kind"), r["start"].alias("start"), r["end"].alias("end")))
     order = F.create_map(*[F.lit(x) for k, kind in enumerate(KINDS) for x in (kind, k)])
 
     def compare(a: Column, b: Column) -> Column:

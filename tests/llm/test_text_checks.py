@@ -103,6 +103,33 @@ def test_a_run_of_a_megabyte_is_tested(docs_of):
     assert secrets_of(docs_of, [(1, f"see {blob} here"), (2, "no secret")]) == {1: [("random", 4, 1_000_004)], 2: []}
 
 
+@pytest.mark.parametrize(
+    "alphabet,size",
+    [
+        (string.digits + string.ascii_lowercase, 128),
+        (string.digits + string.ascii_uppercase, 80),
+        (string.ascii_lowercase + "234567", 64),
+        (string.ascii_letters + string.digits, 64),
+        (string.ascii_letters + string.digits + "-_", 64),
+        (string.ascii_letters + string.digits + "+/", 64),
+    ],
+)
+def test_tokens_of_every_encoding(docs_of, alphabet, size):
+    rng = random.Random(size)
+    keys = ["k" + "".join(rng.choice(alphabet) for _ in range(size - 2)) + "z" if alphabet[0] != "0" else "".join(rng.choice(alphabet) for _ in range(size)) for _ in range(200)]
+    got = secrets_of(docs_of, [(k, f"see {key} here") for k, key in enumerate(keys)])
+    assert sum(found == [("random", 4, 4 + size)] for found in got.values()) >= 195
+    parts = secrets_of(docs_of, [(k, f"my_long-name/of-it_{key} here") for k, key in enumerate(keys)])
+    assert sum(("random", 19, 19 + size) in found or any(a <= 19 and b >= 19 + size for _, a, b in found) for found in parts.values()) >= 150
+
+
+def test_a_token_of_short_segments_is_redacted_whole(docs_of):
+    key = "aB3dE6gH-9kLmN2pQrS_tUv4XyZ0bC-dF7hJ1kM_nP5qR8sT"
+    one = docs_of([(1, f"see {key} here")])
+    assert [r.text for r in secret_scan.redact_secrets(one, "<>").collect()] == ["see <> here"]
+    assert secrets_of(docs_of, [(1, "a-well-known_long-name-of_a-thing/that-stands_in-a/path")]) == {1: []}
+
+
 def test_secret_rows(docs_of, odd):
     df = docs_of(odd)
     found = secret_scan.scan_secrets(df)
