@@ -2,7 +2,7 @@
 
 Plain identifiers (email, ip, card, phone) are found on the source. Disguised ones are found on a normalised text made
 by a chain of transducers: look-alike letters and foreign digits become ASCII and invisible characters go; runs of
-spelled digits become digits; "(at)", "[dot]", " at " ... " dot " become signs. Every normalised character keeps the
+spelled digits become digits (few of them beside a number or with a sign in words); "(at)", "[dot]", " at " ... " dot " become signs. Every normalised character keeps the
 source span it came from, so a span found there maps back to the source. Spans that add nothing to a plain one of
 their kind are left out; plain ones always stay.
 """
@@ -49,14 +49,18 @@ DIGIT_NAMES = {
     9: "nine neun neuf nueve",
 }
 NAMED = {name: str(digit) for digit, names in DIGIT_NAMES.items() for name in names.split()}
-#: Digits in words that stand in a row before they are read as a number.
+#: Digits in words that stand in a row before they are read as a number with nothing beside them.
 LEAST_NAMED = 7
 
 _ODD_SET = frozenset([*LOOK_ALIKES, *INVISIBLE, *SIGNS, *map(chr, range(0xFF01, 0xFF5F))])
 _NAME = "(?:" + "|".join(sorted(NAMED, key=len, reverse=True)) + ")"
 _POINT = r"(?:dot|point|punkt|punto)"
-_ITEM = rf"(?:{_NAME}|[0-9]|{_POINT}|dash|hyphen)"
-_SPELLED = re.compile(rf"(?<!\w)(?:plus[\x20,-]+)?{_NAME}(?:[\x20,-]+{_ITEM})+(?!\w)", re.IGNORECASE)
+_SEP = r"[\x20,-]+"
+# Digits in words, single digits among them; points and dashes in words stand between these or digits.
+_WORDS = rf"{_NAME}(?!\w)(?:{_SEP}(?:{_NAME}(?!\w)|[0-9](?!\w|\.[0-9])))*"
+_SPELLED = re.compile(rf"(?<!\w)(?:plus{_SEP})?(?:{_WORDS}|[0-9]+)(?:{_SEP}(?:{_POINT}|dash|hyphen){_SEP}(?:{_WORDS}|[0-9]+))*(?!\w)", re.IGNORECASE)
+_DIGITS = re.compile(r"[0-9]+")
+_GAP = " ,()-"
 _PIECE = re.compile(rf"(?P<plus>plus)|(?P<name>{_NAME})|(?P<digit>[0-9])|(?P<dot>{_POINT})|(?P<dash>dash|hyphen)", re.IGNORECASE)
 _OPEN, _CLOSE = r"\x20?[(\[{<]\x20?", r"\x20?[)\]}>]\x20?"
 _AT = re.compile(rf"{_OPEN}(?:at|@){_CLOSE}", re.IGNORECASE)
@@ -141,15 +145,46 @@ def fold_characters(n: Normalised) -> Normalised:
     return n.rewritten([(m.start(), m.end(), [(x, m.start(), m.end(), False) for x in _folded(m.group())]) for m in found])
 
 
+def _beside_number(text: str, start: int, end: int) -> bool:
+    """Whether a digit or a plus stands before or behind, at most signs between groups apart, or a point with no gap."""
+    k = start - 1
+    while k >= 0 and text[k] in _GAP:
+        k -= 1
+    if k >= 0 and (text[k] in "+0123456789" or (text[k] == "." and k == start - 1)):
+        return True
+    k = end
+    while k < len(text) and text[k] in _GAP:
+        k += 1
+    if k < len(text) and text[k] in "0123456789":
+        return True
+    return text[end : end + 1] == "." and text[end + 1 : end + 2].isalnum()
+
+
 def read_digits(n: Normalised) -> Normalised:
-    edits = []
+    """Digits in words become digits where they are many, hold a sign in words, or stand beside a number or such words."""
+    edits, group, named, wanted, last = [], [], 0, False, 0
+
+    def close() -> None:
+        if wanted or named >= LEAST_NAMED:
+            edits.extend(group)
+
     for m in _SPELLED.finditer(n.text):
-        chars = []
+        if _DIGITS.fullmatch(m.group()):
+            continue
+        gap = n.text[last : m.start()]
+        if group and gap != "." and gap.strip(_GAP):
+            close()
+            group, named, wanted = [], 0, False
+        chars, sign = [], False
         for piece in _PIECE.finditer(n.text, m.start(), m.end()):
-            sign = {"plus": "+", "dot": ".", "dash": "-"}.get(piece.lastgroup) or NAMED.get(piece.group().lower(), piece.group())
-            chars.append((sign, piece.start(), piece.end(), piece.lastgroup == "name"))
-        if sum(made for *_, made in chars) >= LEAST_NAMED:
-            edits.append((m.start(), m.end(), chars))
+            made = {"plus": "+", "dot": ".", "dash": "-"}.get(piece.lastgroup)
+            sign |= made is not None
+            chars.append((made or NAMED.get(piece.group().lower(), piece.group()), piece.start(), piece.end(), piece.lastgroup == "name"))
+        group.append((m.start(), m.end(), chars))
+        named += sum(made for *_, made in chars)
+        wanted = wanted or sign or _beside_number(n.text, m.start(), m.end())
+        last = m.end()
+    close()
     return n.rewritten(edits)
 
 
@@ -158,7 +193,7 @@ def read_signs(n: Normalised) -> Normalised:
         marks = [(m.start(), m.end(), "@") for m in _AT.finditer(n.text)] + [(m.start(), m.end(), ".") for m in _DOT.finditer(n.text)]
         n = n.rewritten([(a, b, [(c, a, b, False)]) for a, b, c in _apart(marks)])
     words = []
-    if " dot " in n.text.lower():
+    if _WORD_SIGN.search(n.text):
         for m in _PLAIN.finditer(n.text):
             words += [(w.start(), w.end(), "@" if "at" in w.group().lower() else ".") for w in _WORD_SIGN.finditer(n.text, m.start(), m.end())]
     return n.rewritten([(a, b, [(c, a, b, False)]) for a, b, c in _apart(words)])
@@ -179,7 +214,8 @@ def disguised_spans(text: str, plain: list[sp.Span]) -> list[sp.Span]:
         return []
     found = [(kind, *n.source(a, b)) for kind, a, b in plain_spans(n.text)]
     for m in CARD.finditer(n.text):  # a number in words needs no plus to be one to call
-        if 9 <= len(re.sub("[^0-9]", "", m.group())) <= 15 and n.made[m.start()] and n.made[m.end() - 1]:
+        digits = len(re.sub("[^0-9]", "", m.group()))
+        if 9 <= digits <= 15 and n.made[m.start()] and n.made[m.end() - 1] and n.made[m.start() : m.end()].sum() >= LEAST_NAMED:
             span = n.source(*m.span())
             if not any(a <= span[0] and span[1] <= b for _, a, b in found):
                 found.append(("phone", *span))

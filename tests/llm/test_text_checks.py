@@ -163,10 +163,21 @@ HIDDEN = [
     ("ip one nine two dot one six eight dot one dot one x", [("ip", "one nine two dot one six eight dot one dot one")]),
     ("jo​hn@ex​ample.com", [("email", "jo​hn@ex​ample.com")]),
 ]
+FEW = [
+    ("at eight dot eight dot eight dot eight.", [("ip", "eight dot eight dot eight dot eight")]),
+    ("at 10 dot 0.0 dot one, once", [("ip", "10 dot 0.0 dot one")]),
+    ("at 10.0.0.eight or 10.0.0.1 one time", [("ip", "10.0.0.eight"), ("ip", "10.0.0.1")]),
+    ("call +1 202 five five five zero one nine now", [("phone", "+1 202 five five five zero one nine")]),
+    ("call plus 49 (one five one) 234 five six seven now", [("phone", "plus 49 (one five one) 234 five six seven")]),
+    ("card 4111 1111 1111 one one one one ok", [("card", "4111 1111 1111 one one one one")]),
+    ("card 4111 1111 1111 111 one ok", [("card", "4111 1111 1111 111 one")]),
+    ("write john at example.com now", [("email", "john at example.com")]),
+    ("write john at one dot six dot com now", [("email", "john at one dot six dot com")]),
+]
 CLEAN = ["He is at home. The dot is at the end, one two three.", "Élan à Noël; über Straße (at last) [dot]", "один два три", ""]
 
 
-@pytest.mark.parametrize("text,want", PLAIN + HIDDEN)
+@pytest.mark.parametrize("text,want", PLAIN + HIDDEN + FEW)
 def test_identifiers(text, want):
     plain = pii.plain_spans(text)
     every = spans.ordered([*plain, *pii.disguised_spans(text, plain)], pii.KINDS)
@@ -179,6 +190,16 @@ def test_clean_text_has_no_identifiers(text):
     assert pii.plain_spans(text) == [] == pii.disguised_spans(text, [])
 
 
+def test_an_address_does_not_hang_on_words_elsewhere():
+    for rest in ("", " Nothing else.", " The dot is black."):
+        assert pii.disguised_spans(f"write john at example.com now.{rest}", []) == [("email", 6, 25)]
+
+
+@pytest.mark.parametrize("text", ["one of two, three or four men", "In 2019 one man, 2020 two men. One dot six is small.", "un deux trois (quatre) five. Six"])
+def test_few_digits_in_words_are_no_identifiers(text):
+    assert pii.disguised_spans(text, pii.plain_spans(text)) == []
+
+
 def test_long_digit_runs_are_no_addresses():
     assert pii.plain_spans("9" * 5000 + ".1.1.1 and 1.2.3." + "0" * 5000) == [("ip", 5011, 5017 + 5000)]
 
