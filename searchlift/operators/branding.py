@@ -56,17 +56,20 @@ def _flag_by_index(df: DataFrame, terms: DataFrame, text: str, out: str) -> Data
 
 
 def _flag_by_join(df: DataFrame, terms: DataFrame, text: str, out: str) -> DataFrame:
-    # Each distinct text is cut once into pieces of the keys' lengths, which meet the terms' keys in an equi-join;
-    # what meets is held against the whole term. Nothing is compared pairwise.
-    texts = df.select(F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct()
+    # Each distinct text is cut once into pieces of the keys' lengths, which meet the terms' keys in an equi-join; a
+    # piece carries its text's hash and not the text. The terms that a text has met are then held against the whole text,
+    # so a shared hash only adds terms to try. Nothing is compared pairwise.
+    texts = df.select(F.lower(text).alias("lowered")).where(F.col("lowered").isNotNull()).distinct()
+    named = texts.withColumn("id", F.xxhash64("lowered"))
     lengths = terms.agg(F.collect_set(F.length(_key(F.col("term"))))).scalar()
-    sized = texts.select("text", F.lower("text").alias("lowered"), F.explode(lengths).alias("size"))
-    fitting = sized.where(F.length("lowered") >= F.col("size"))
-    placed = fitting.select("text", "lowered", "size", F.explode(F.sequence(F.lit(1), F.length("lowered") - F.col("size") + 1)).alias("place"))
-    pieces = placed.select("text", "lowered", F.substring("lowered", F.col("place"), F.col("size")).alias("key")).distinct()
-    met = pieces.join(terms.select("term", _key(F.col("term")).alias("key")), "key").where(F.contains("lowered", F.col("term")))
-    hits = met.select("text").distinct().withColumn(out, F.lit(True))
-    flagged = df.join(hits, df[text] == hits["text"], "left").drop(hits["text"])
+    fitting = named.select("id", "lowered", F.explode(lengths).alias("size")).where(F.length("lowered") >= F.col("size"))
+    places = F.sequence(F.lit(1), F.greatest(F.length("lowered") - F.col("size") + 1, F.lit(1)))
+    keys = F.array_distinct(F.transform(places, lambda place: F.substring(F.col("lowered"), place, F.col("size"))))
+    pieces = fitting.select("id", F.explode(keys).alias("key"))
+    met = pieces.join(terms.select("term", _key(F.col("term")).alias("key")), "key").groupBy("id").agg(F.collect_set("term").alias("terms"))
+    held = named.join(met, "id").where(F.exists("terms", lambda term: F.contains(F.col("lowered"), term)))
+    hits = held.select(F.col("lowered").alias("__branded")).withColumn(out, F.lit(True))
+    flagged = df.join(hits, F.lower(df[text]) == hits["__branded"], "left").drop("__branded")
     return flagged.withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 

@@ -49,6 +49,15 @@ CTES["brand_words"] = """
 SELECT DISTINCT lower(split_part(text, ' ', 2)) AS term FROM documents WHERE length(split_part(text, ' ', 2)) >= 6
 """
 
+# No term holds a space, so a text holds a term where one of its words does.
+CTES["text_words"] = """
+SELECT doc_id, unnest(list_distinct(string_split(lower(text), ' '))) AS word FROM documents
+"""
+CTES["branded_words"] = """
+SELECT v.word FROM (SELECT DISTINCT word FROM text_words) v
+WHERE EXISTS (SELECT 1 FROM brand_words w WHERE contains(v.word, w.term))
+"""
+
 CTES["pairs"] = """
 SELECT dept, sub, arg_max(cr, ord) AS cr, (2 * arg_max(tk, ord) + 1000000) // 2000000 AS tk
 FROM clean GROUP BY dept, sub
@@ -504,6 +513,12 @@ FROM (SELECT p_name AS text FROM part UNION ALL SELECT url FROM pages UNION ALL
     "brand_table_words_join": """
 SELECT t.text, CAST(EXISTS (SELECT 1 FROM brand_words w WHERE contains(lower(t.text), w.term)) AS VARCHAR) AS is_branded
 FROM (SELECT p_name AS text FROM part UNION ALL SELECT url FROM pages UNION ALL SELECT substr(text, 1, 60) FROM documents) t""",
+    "brand_table_texts": """
+SELECT d.doc_id, CAST(d.doc_id IN (SELECT t.doc_id FROM text_words t JOIN branded_words b ON t.word = b.word) AS VARCHAR) AS is_branded
+FROM documents d""",
+    "brand_table_texts_join": """
+SELECT d.doc_id, CAST(d.doc_id IN (SELECT t.doc_id FROM text_words t JOIN branded_words b ON t.word = b.word) AS VARCHAR) AS is_branded
+FROM documents d""",
     "upsert_landed_order": f"""
 SELECT {_FACT_KEYS}, clicks + 2 AS clicks, impressions, CAST(ctr AS DOUBLE) AS ctr, CAST(position AS DOUBLE) AS position FROM kept""",
     "scan_search_responses": f"SELECT {_FACT_KEYS}, clicks + 2 AS clicks, impressions, CAST(ctr AS DOUBLE) AS ctr, CAST(position AS DOUBLE) AS position FROM kept",

@@ -382,6 +382,24 @@ def _(i):
     return branding.flag_branded(texts, terms, text="text", by_join=True)
 
 
+def _whole_texts(i):
+    """The same terms, looked up in whole documents."""
+    _, terms = _brand_words(i)
+    return i.table("documents").select("doc_id", "text"), terms
+
+
+@register("brand_table_texts")
+def _(i):
+    texts, terms = _whole_texts(i)
+    return branding.flag_branded(texts, terms, text="text").select("doc_id", "is_branded")
+
+
+@register("brand_table_texts_join")
+def _(i):
+    texts, terms = _whole_texts(i)
+    return branding.flag_branded(texts, terms, text="text", by_join=True).select("doc_id", "is_branded")
+
+
 @register("filter_factor")
 def _(i):
     return O.by_factor(raw(i), "BOTH").select("date", "query", "page_url", "agency_factor")
