@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,6 +84,38 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], names=["id", "hashes"])
 
 
+def _item_sets(items: DataFrame) -> DataFrame:
+    return stored(small_batches(items).select(F.col("item_id").cast("long").alias("id"), "text").mapInArrow(_hashed, "id long, hashes array<long>"), "items")
+
+
+def _too_many(sets: DataFrame, broadcast_shingles: int) -> bool:
+    return sets.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0] > broadcast_shingles
+
+
+def _sent_index(sets: DataFrame) -> Broadcast:
+    rows = sets.collect()
+    # Stored as signed, ordered as unsigned.
+    index = ItemIndex([r["id"] for r in rows], [np.sort(np.array(r["hashes"], dtype=np.int64).view(np.uint64)) for r in rows])
+    return sets.sparkSession.sparkContext.broadcast(index)
+
+
+def _hits(index: ItemIndex, texts: pa.Array) -> tuple[list[int], list[tuple[int, int, int]]]:
+    """Places of texts, in order, and what is contained in them."""
+    data, offsets = text_bytes(texts)
+    places, found = [], []
+    for first, last in chunks(offsets):
+        at = offsets[first : last + 1] - offsets[first]
+        part = data[offsets[first] : offsets[last]]
+        starts, ends, bounds = word_spans(part, at)
+        flat, begin = shingles(word_hashes(part, starts, ends), bounds)
+        hits = np.flatnonzero(index.may_hit(flat))
+        for k in np.unique(np.searchsorted(begin, hits, side="right") - 1):
+            for item in index.contained(np.unique(flat[begin[k] : begin[k + 1]])):
+                places.append(first + int(k))
+                found.append(item)
+    return places, found
+
+
 def find_contained(docs: DataFrame, items: DataFrame, broadcast_shingles: int = BROADCAST_SHINGLES) -> DataFrame:
     """`doc_id, item_id, n_item_shingles, n_shared`, a row for each row of `docs(doc_id, text)` and item contained in it.
 
@@ -90,29 +123,15 @@ def find_contained(docs: DataFrame, items: DataFrame, broadcast_shingles: int =
     empty and wordless texts, items or documents, are contained in nothing and hold nothing. A repeated item or document
     row is reported for each of its rows. Other columns are ignored.
     """
-    sets = stored(small_batches(items).select(F.col("item_id").cast("long").alias("id"), "text").mapInArrow(_hashed, "id long, hashes array<long>"), "items")
-    if (sets.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0]) > broadcast_shingles:
+    sets = _item_sets(items)
+    if _too_many(sets, broadcast_shingles):
         return _contained_by_join(docs, sets)
-    rows = sets.collect()
-    # Stored as signed, ordered as unsigned.
-    index = ItemIndex([r["id"] for r in rows], [np.sort(np.array(r["hashes"], dtype=np.int64).view(np.uint64)) for r in rows])
-    sent = docs.sparkSession.sparkContext.broadcast(index)
+    sent = _sent_index(sets)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
         for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            places, found = [], []
-            for first, last in chunks(offsets):
-                at = offsets[first : last + 1] - offsets[first]
-                part = data[offsets[first] : offsets[last]]
-                starts, ends, bounds = word_spans(part, at)
-                flat, begin = shingles(word_hashes(part, starts, ends), bounds)
-                hits = np.flatnonzero(index.may_hit(flat))
-                for k in np.unique(np.searchsorted(begin, hits, side="right") - 1):
-                    for item in index.contained(np.unique(flat[begin[k] : begin[k + 1]])):
-                        places.append(first + int(k))
-                        found.append(item)
+            places, found = _hits(index, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()).take(pa.array(places, pa.int64())),
@@ -153,3 +172,29 @@ def without_contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `docs` in which no item is found; rows without doc_id stay only if nothing is found in such a row."""
     found = find_contained(docs, items).select(F.col("doc_id").alias("__found")).distinct()
     return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__found")), "left_anti")
+
+
+def clean_rows(docs: DataFrame, items: DataFrame, broadcast_shingles: int = BROADCAST_SHINGLES) -> DataFrame:
+    """The rows of `docs` in whose own text no item is found, whatever their doc_id and the rows that share it.
+
+    While the items travel to the tasks, a row is dropped where it is read. Beyond that texts are dropped by their hash,
+    since what is found hangs on the text alone; a null text holds nothing.
+    """
+    sets = _item_sets(items)
+    if _too_many(sets, broadcast_shingles):
+        key = F.xxhash64("text")
+        found = _contained_by_join(docs.select(key.alias("doc_id"), "text"), sets)
+        gone = found.select(F.col("doc_id").alias("__found")).distinct()
+        return docs.join(gone, F.col("text").isNotNull() & (key == F.col("__found")), "left_anti")
+    sent = _sent_index(sets)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stays = np.ones(batch.num_rows, dtype=bool)
+            stays[_hits(sent.value, batch.column("text"))[0]] = False
+            yield batch.filter(pa.array(stays))
+
+    names = [n for n in docs.columns if n != "text"]
+    rows = small_batches(docs).select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), "text")
+    kept = rows.mapInArrow(clean, f"row {rows.schema['row'].dataType.simpleString()}, text string")
+    return kept.select(*[F.col("text") if n == "text" else F.col("row")[n].alias(n) for n in docs.columns])

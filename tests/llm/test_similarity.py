@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import brute
+import corpus_pipeline
 import pytest
 
 from searchlift.llm import decontaminate, histogram_sort, ngram_join
@@ -109,6 +110,25 @@ def test_containment_odd_rows(spark, docs_of, odd):
     assert contained(docs_of(rows[:0]), items) == [] == contained(docs_of(rows), items.where("item_id < 0"))
 
 
+@pytest.mark.parametrize("bound", [10**6, 0])
+def test_clean_rows_stay_beside_contaminated_ones(spark, docs_of, bound):
+    passage = " ".join(f"item{k}" for k in range(25))
+    clean = [(None, "a clean row without an id"), (None, None), (None, "another one"), (7, "the same id with another text"), (8, None), (9, "")]
+    held = [(None, f"x {passage} y"), (7, passage), (8, passage.upper()), (7, passage)]
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    docs = docs_of(clean + held)
+    kept = decontaminate.clean_rows(docs, items, bound)
+    assert kept.columns == docs.columns
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=str) == sorted(clean, key=str)
+
+
+def test_the_pipeline_keeps_clean_rows_without_id(spark, docs_of, folder):
+    item = next(r.text for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect() if len(brute.words(r.text)) > 9)
+    docs = docs_of([(None, item), (None, "a clean row without an id"), (3, item), (3, "a clean row with its id")])
+    got = corpus_pipeline.benchmark(spark, docs, folder).collect()
+    assert sorted(r.text for r in got) == ["a clean row with its id", "a clean row without an id"]
+
+
 def shards(df, **options):
     out = defaultdict(list)
     for r in histogram_sort.shard_by_bytes(df, **options).collect():
