@@ -177,10 +177,10 @@ def _(i):
 
 
 def _twice(i):
-    """Every kept fact landed twice, the later copy behind the first in the same file."""
+    """Every kept fact landed twice, the later copy behind the first in the same file: a day is in one task, days are in many."""
     rows = kept(i)
     copies = rows.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("clicks", F.col("clicks") + F.col("copy"))
-    return copies.repartition(1).sortWithinPartitions("copy", "date", "query", "page")
+    return copies.repartition("date").sortWithinPartitions("date", "copy", "query", "page")
 
 
 @register("upsert_landed_order")

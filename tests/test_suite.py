@@ -8,7 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check import table
-from searchlift.suite import oracles
+from searchlift.suite import oracles, queries
+from searchlift.suite.fixtures import Inputs
 from searchlift.suite.queries import QUERIES
 from tests.conftest import SMALL
 
@@ -40,3 +41,11 @@ def test_matches_check_sql(spark, duck, key):
     theirs = table(result.fetchall(), [d[0] for d in result.description])
     assert mine == theirs
     assert mine[0], "the query should return rows"
+
+
+def test_landed_copies_are_spread_by_day(spark, tmp_path):
+    rows = queries._twice(Inputs(spark, SMALL))
+    assert "SinglePartition" not in rows._jdf.queryExecution().toString() and "RoundRobin" not in rows._jdf.queryExecution().toString()
+    queries.land(rows, str(tmp_path / "landing"))
+    for day in glob.glob(f"{tmp_path}/landing/date=*"):
+        assert len(glob.glob(f"{day}/*.json")) == 1
