@@ -40,8 +40,7 @@ from searchlift.llm.tables import small_batches, stored
 BLOCK_IDS = 1 << 20
 #: A pair that comes less often is not replaced.
 LEAST = 8
-#: Rounds over a block, and pairs replaced in a round.
-ROUNDS = 8
+#: Pairs replaced in a round.
 ROUND_PAIRS = 2048
 _SLOTS = 1 << 16
 
@@ -99,9 +98,7 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, limit: int) -> tuple[Bl
     seq, last = ids.astype(wide), ends.copy()
     rules, sizes = [], [np.ones(base, dtype=np.int64)]
     used = base
-    for _ in range(ROUNDS):
-        if used >= limit or len(seq) < 2:
-            break
+    while used < limit and len(seq) > 1:
         codes = (seq[:-1] << bits) | seq[1:]
         inside = ~last[:-1]
         in_order = np.sort(codes[inside])

@@ -69,6 +69,16 @@ def test_repair_round_trip(limit):
     assert all(len(block.expand(np.array([block.base + k]))) == n for k, n in enumerate(block.lengths[:50]))
 
 
+def test_rules_are_made_until_no_pair_is_frequent():
+    ids = np.tile(np.arange(1000), 64)
+    ends = np.zeros(len(ids), dtype=bool)
+    ends[-1] = True
+    block, _ = repair_tokens.repair(ids, ends, 50_257, 1 << 16)
+    pairs = Counter(zip(block.sequence[:-1].tolist(), block.sequence[1:].tolist()))
+    assert max(pairs.values()) < repair_tokens.LEAST and block.lengths.max() > 256
+    assert (block.expand(block.sequence) == ids).all()
+
+
 def test_token_files(spark, docs_of, odd, tokenizer, monkeypatch):
     monkeypatch.setattr(repair_tokens, "BLOCK_IDS", 4000)
     rows = odd + [(1000 - k, t) for k, t in enumerate(TEXTS)]
