@@ -1,4 +1,4 @@
-"""Registered queries of the training-data operators: each applies its operator to the whole documents table."""
+"""Registered queries of the training-data operators: each applies its operator to its whole table."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlift.llm import context_mixing, neighbour_vote, pii, repair_tokens, secret_scan, sentence_pieces, spans
+from searchlift.llm import context_mixing, neighbour_vote, pii, repair_tokens, secret_scan, sentence_pieces, spans, whitening
 from searchlift.llm.decontaminate import find_contained
 from searchlift.llm.histogram_sort import shard_by_bytes
 from searchlift.llm.ngram_join import jaccard_join
@@ -88,6 +88,22 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return _span_digest(pii.find_pii(documents_of(spark, folder).select("doc_id", "text")), pii.KINDS)
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    model = whitening.fit(rows)
+    explained = [float(e) for e in model.explained] if model else []
+    each = whitening.whiten(rows, model).select("key", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select(
+        F.col("key").alias("vec_id"),
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(F.array(*[F.lit(e) for e in explained]).cast("array<double>"), F.col("place")).alias("explained"),
+        F.lit(model.identity_error if model else 0.0).alias("identity_error"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair_tokens": op1_repair_tokens,
     "op2_histogram_sort": op2_histogram_sort,
@@ -99,4 +115,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbour_vote": op8_neighbour_vote,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii": op10_pii,
+    "op11_whitening": op11_whitening,
 }
