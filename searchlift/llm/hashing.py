@@ -135,3 +135,14 @@ def document_sets(column: pa.Array | pa.ChunkedArray, width: int = SHINGLE_WORDS
         flat, at = shingles(word_hashes(part, starts, ends), bounds, width)
         for k in range(last - first):
             yield np.unique(flat[at[k] : at[k + 1]])
+
+
+def run_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the run of `width` words that starts at each word, for all words in a row."""
+    if len(hashes) < width:
+        return np.zeros(0, dtype=_U)
+    with np.errstate(over="ignore"):
+        up, down = _POWERS.of(len(hashes) + 1)
+        sums = np.zeros(len(hashes) + 1, dtype=_U)
+        np.cumsum(hashes * up[: len(hashes)], out=sums[1:])
+        return mix((sums[width:] - sums[:-width]) * down[: len(hashes) - width + 1])

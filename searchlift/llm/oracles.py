@@ -51,4 +51,29 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM j
 """
 
-ORACLES = {"op7_decontamination": OP7, "op9_quality_rules": OP9}
+OP12 = f"""
+WITH w AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
+runs AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') AS run
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+late AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY run) AS first FROM runs) WHERE doc_id > first),
+gone AS (SELECT doc_id, list(DISTINCT i + k) AS places FROM late, range(0, 13) r(k) GROUP BY 1),
+kept AS (SELECT doc_id, len(ws) AS n, coalesce(len(places), 0) AS n_gone,
+    CASE WHEN places IS NULL THEN ws ELSE [x[1] FOR x IN list_zip(ws, range(1, len(ws) + 1)) IF NOT list_contains(places, x[2])] END AS rest
+  FROM w LEFT JOIN gone USING (doc_id))
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n_gone AS BIGINT) AS n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256 FROM kept
+"""
+
+OP13 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(c AS DOUBLE)) FOR c IN embedding] AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
+"""
+
+ORACLES = {"op7_decontamination": OP7, "op9_quality_rules": OP9, "op12_substring_dedup": OP12, "op13_hard_negatives": OP13}

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from searchlift.llm import context_mixing, neighbour_vote, pii, repair_tokens, secret_scan, sentence_pieces, spans, whitening
 from searchlift.llm.decontaminate import find_contained
+from searchlift.llm.hard_negatives import mine
 from searchlift.llm.histogram_sort import shard_by_bytes
 from searchlift.llm.ngram_join import jaccard_join
 from searchlift.llm.oracles import ORACLES  # noqa: F401  (registered beside the queries)
 from searchlift.llm.quality_rules import judged
+from searchlift.llm.substring_dedup import remove_repeats
 from searchlift.llm.tables import documents_of
 
 
@@ -104,6 +106,18 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = remove_repeats(documents_of(spark, folder))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    # Some labels are moved on, so that near rows of another label exist.
+    labels = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows.select("vec_id", labels.alias("label"), "embedding"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair_tokens": op1_repair_tokens,
     "op2_histogram_sort": op2_histogram_sort,
@@ -116,4 +130,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_pii": op10_pii,
     "op11_whitening": op11_whitening,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from searchlift.session import scratch_folder
 
 
-def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = (), options: dict[str, str] | None = None) -> DataFrame:
     """Writes a frame as Parquet below the shared scratch folder and reads it back.
 
     The files go when the driver ends. Once the table is written, the shuffles that led to it are of no use; they are
@@ -17,7 +17,7 @@ def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Dat
     """
     spark = df.sparkSession
     path = scratch_folder(spark, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.options(**(options or {})).partitionBy(*partition_by).parquet(path)
     schema = df.schema
     del df
     gc.collect()
@@ -25,15 +25,20 @@ def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Dat
     return spark.read.schema(schema).parquet(path)
 
 
-#: Rows of a batch that goes to a Python worker, at most.
+#: Rows and bytes of a batch that goes to a Python worker, at most.
 BATCH_ROWS = 2000
+BATCH_BYTES = 16 << 20
+#: What Spark takes where the session says nothing.
+_DEFAULT_BYTES = "67108864b"
 
 
 def small_batches(docs: DataFrame) -> DataFrame:
     """The frame, its session set to hand texts to Python in small batches: they may be long, and a worker holds one whole."""
-    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
-        conf.set(name, BATCH_ROWS)
+    conf, rows, size = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(conf.get(rows)) <= BATCH_ROWS:
+        conf.set(rows, BATCH_ROWS)
+    if conf.get(size) == _DEFAULT_BYTES:
+        conf.set(size, BATCH_BYTES)
     return docs
 
 

@@ -5,7 +5,9 @@ import math
 import numpy as np
 import pytest
 
-from searchlift.llm import registry, whitening
+from pyspark.sql import functions as F
+
+from searchlift.llm import hard_negatives, registry, whitening
 
 
 def vectors_of(spark, rows):
@@ -94,3 +96,63 @@ def test_registered_whitening(spark, folder):
     explained = [max(r.explained for r in rows if r.component == k) for k in range(1, 33)]
     assert explained == sorted(explained, reverse=True) and sum(explained) <= 1
     assert len({r.identity_error for r in rows}) == 1 and rows[0].identity_error < 1e-4
+
+
+def mined(df, step=5):
+    rows = hard_negatives.mine(df, F.col("vec_id") % step == 0).collect()
+    return sorted((r.anchor_id, r.positive_id, r["rank"], r.negative_id, r.positive_score, r.negative_score) for r in rows)
+
+
+def expected_negatives(rows, step=5):
+    least = {}
+    for i, v, label in rows:
+        if i is None or v is None or label is None or not all(c is not None and math.isfinite(c) for c in v):
+            continue
+        x = [math.floor(256 * c) for c in v]
+        least[i] = min(least.get(i, (label, x)), (label, x))
+    out = []
+    for a, (label, x) in least.items():
+        if a % step:
+            continue
+        scored = sorted((-sum(p * q for p, q in zip(x, y)), i, other == label) for i, (other, y) in least.items() if i != a)  # shorter ones end early
+        for s, p, _ in [r for r in scored if r[2]][:5]:
+            fit = [(n, -t) for t, n, same in scored if not same and 50 * -s <= 100 * -t <= 95 * -s]
+            out += [(a, p, k + 1, n, -s, t) for k, (n, t) in enumerate(fit[:3])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_negatives_of_clustered_vectors(spark, monkeypatch, small):
+    rng = np.random.default_rng(5)
+    if small:  # many rounds, deep trees, small blocks and cuts while hits are gathered
+        for name, value in (("ROUND", 20), ("LEAF_ROWS", 8), ("SAMPLE", 150), ("FAN", 3), ("BLOCK_SCORES", 64), ("HITS", 30)):
+            monkeypatch.setattr(hard_negatives, name, value)
+    centres = rng.normal(size=(6, 8))
+    rows = [(int(k), (centres[k % 6] + rng.normal(size=8) * 0.2).round(1).tolist(), int(rng.integers(0, 4))) for k in range(400)]
+    rows += [(1000 + k, centres[0].round(1).tolist(), k % 2) for k in range(80)]  # a third of them alike, with ties
+    assert mined(vectors_of(spark, rows)) == expected_negatives(rows)
+
+
+def test_negatives_of_odd_rows(spark):
+    rows = [
+        (0, [1.0, 0.0], 1), (5, [0.9, 0.1], 1), (6, [0.7, 0.1], 2), (7, [0.7, 0.1], 2), (8, [0.6], 2), (9, [], 2), (10, [-1.0, 0.0], 1),
+        (11, None, 1), (12, [None, 1.0], 1), (13, [float("nan"), 1.0], 2), (14, [float("-inf"), 0.0], 2), (None, [1.0, 0.0], 2), (15, [1.0, 0.0], None),
+        (6, [0.7, 0.1], 2), (6, [0.8, 0.2], 2), (20, [0.0, 1.0], 3), (25, [], 1),
+    ]
+    found = mined(vectors_of(spark, rows))
+    assert found == expected_negatives(rows) and found
+    assert mined(vectors_of(spark, [])) == [] and mined(vectors_of(spark, rows[3:4])) == [] and mined(vectors_of(spark, rows[9:12])) == []
+    with pytest.raises(ValueError):
+        mined(vectors_of(spark, [(0, [1e15], 1), (1, [1e15], 1)]))
+    far = [(k, [2.0**20 + k, -(2.0**19) * (k % 3)], k % 2) for k in range(30)]  # beyond what doubles hold exactly
+    assert mined(vectors_of(spark, far)) == expected_negatives(far)
+
+
+def test_registered_negatives(spark, folder):
+    df = registry.QUERIES["op13_hard_negatives"](spark, folder)
+    names = ("anchor_id", "positive_id", "negative_id", "positive_score", "negative_score")
+    assert dict(df.dtypes) == dict.fromkeys(names, "bigint") | {"rank": "int"}
+    table = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
+    rows = [(r.vec_id, list(r.embedding), (r.label + 1) % 10 if r.vec_id % 7 == 0 else r.label) for r in table]
+    found = sorted((r.anchor_id, r.positive_id, r["rank"], r.negative_id, r.positive_score, r.negative_score) for r in df.collect())
+    assert found == expected_negatives(rows, 50)
