@@ -1,13 +1,20 @@
-"""Brand terms kept in a table: a query is branded when it contains any of them."""
+"""Brand terms kept in a table: a query is branded when it contains any of them.
+
+A term is found in two steps, whatever the list looks like. Its first letters tell which lengths terms with this start
+have; then the text is cut to each of these lengths and looked up as a whole. So a place of a text costs as many lookups
+as there are lengths, and terms that share a start, however many, are never tried one by one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: A term is looked up by its first letters, so many at most.
+#: The start of a term has so many letters, at most.
 KEY_LETTERS = 4
 #: Bytes of terms that may travel in the plan; a longer list is refused there and goes through the join.
 INDEX_BYTES = 16 << 20
+#: Texts are read in pieces of so many places, since cutting at a place costs the way to it.
+PIECE = 256
 
 
 def clean_terms(terms: DataFrame) -> DataFrame:
@@ -20,56 +27,94 @@ def _key(term: Column) -> Column:
     return F.substring(term, 1, KEY_LETTERS)
 
 
+def _starts(terms: DataFrame) -> DataFrame:
+    """The lengths that the terms with each start have."""
+    return terms.groupBy(_key(F.col("term")).alias("key")).agg(F.array_sort(F.collect_set(F.length("term"))).alias("lengths"))
+
+
+def _pieces(text: Column, longest: Column) -> Column:
+    """Pieces of a text that begin every PIECE places and run on so far that each term is whole in one."""
+    begins = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(PIECE))
+    return F.transform(begins, lambda begin: F.substring(text, begin, longest + PIECE - 1))
+
+
+def _places(piece: Column) -> Column:
+    return F.sequence(F.lit(1), F.greatest(F.least(F.length(piece), F.lit(PIECE)), F.lit(1)))
+
+
+def _bucketed(rows: DataFrame, key: str, value: Column, size: Column, out: str) -> DataFrame:
+    return rows.groupBy(F.pmod(F.xxhash64(key), size).alias("bucket")).agg(F.collect_list(value).alias(out))
+
+
 def term_index(terms: DataFrame) -> DataFrame:
-    """One row: the terms in buckets by the hash of their key, and the lengths that keys have.
+    """One row: terms and starts of terms in buckets by their hash, the lengths of starts, and that of the longest term.
 
-    There are twice as many buckets as terms, so a lookup meets about one term, however long the list is.
+    There are twice as many buckets as terms, so a lookup meets about one entry, however long the list is.
     """
     size = terms.agg(F.count("*") * 2 + 1).scalar()
-    filled = terms.groupBy(F.pmod(F.xxhash64(_key(F.col("term"))), size).alias("bucket")).agg(F.collect_list("term").alias("own"))
+    whole = _bucketed(terms, "term", F.col("term"), size, "terms")
+    starts = _bucketed(_starts(terms), "key", F.struct("key", "lengths"), size, "starts")
     numbers = terms.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1)).alias("bucket"))
-    row = F.struct("bucket", F.coalesce("own", F.array().cast("array<string>")).alias("own"))
-    buckets = F.transform(F.sort_array(F.collect_list(row)), lambda r: r["own"])
+    filled = numbers.join(whole, "bucket", "left").join(starts, "bucket", "left")
+    row = F.struct("bucket", F.coalesce("terms", F.array()).alias("terms"), F.coalesce("starts", F.array()).alias("starts"))
+    buckets = F.transform(F.sort_array(F.collect_list(row)), lambda r: F.struct(r["terms"].alias("terms"), r["starts"].alias("starts")))
     total = terms.agg(F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).scalar()
     checked = F.when(total <= INDEX_BYTES, buckets).otherwise(F.raise_error(F.lit(f"more than {INDEX_BYTES} bytes of terms: use by_join")))
     lengths = terms.agg(F.collect_set(F.length(_key(F.col("term"))))).scalar()
-    return numbers.join(filled, "bucket", "left").agg(F.struct(checked.alias("buckets"), lengths.alias("lengths")).alias("index"))
+    longest = terms.agg(F.coalesce(F.max(F.length("term")), F.lit(0))).scalar()
+    return filled.agg(F.struct(checked.alias("buckets"), lengths.alias("lengths"), longest.alias("longest")).alias("index"))
 
 
 def _flag_by_index(df: DataFrame, terms: DataFrame, text: str, out: str) -> DataFrame:
     # The index is a scalar subquery, run with the query. A row looks up each of its places, so its cost follows
     # the length of its text and not the length of the list; no row is exchanged.
-    def at(x: Column, k: Column, place: Column) -> Column:
+    def bucket(x: Column, found: Column, of: str) -> Column:
         buckets = x["index"]["buckets"]
-        own = F.get(buckets, F.pmod(F.xxhash64(F.substring(x["text"], place, k)), F.size(buckets)).cast("int"))
-        return F.exists(own, lambda term: F.substring(x["text"], place, F.length(term)) == term)
+        return F.get(buckets, F.pmod(F.xxhash64(found), F.size(buckets)).cast("int"))[of]
+
+    def at(x: Column, piece: Column, place: Column) -> Column:
+        def whole(length: Column) -> Column:
+            found = F.substring(piece, place, length)
+            return F.exists(bucket(x, found, "terms"), lambda term: term == found)
+
+        def start(k: Column) -> Column:
+            found = F.substring(piece, place, k)
+            return F.exists(bucket(x, found, "starts"), lambda s: (s["key"] == found) & F.exists(s["lengths"], whole))
 
-    def any_place(x: Column, k: Column) -> Column:
-        last = F.length(x["text"]) - k + 1
-        return (last >= 1) & F.exists(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda place: at(x, k, place))
+        return F.exists(x["index"]["lengths"], start)
 
     # Named once and used once, the index is put where it is used and never becomes a column of rows.
     listed = df.withColumn("brand_index", term_index(terms).scalar())
     both = F.array(F.struct(F.col("brand_index").alias("index"), F.lower(F.col(text)).alias("text")))
-    hit = F.exists(both, lambda x: F.exists(x["index"]["lengths"], lambda k: any_place(x, k)))
+    hit = F.exists(both, lambda x: F.exists(_pieces(x["text"], x["index"]["longest"]), lambda piece: F.exists(_places(piece), lambda place: at(x, piece, place))))
     return listed.withColumn(out, F.coalesce(hit, F.lit(False))).drop("brand_index")
 
 
 def _flag_by_join(df: DataFrame, terms: DataFrame, text: str, out: str) -> DataFrame:
-    # Each distinct text is cut once into pieces of the keys' lengths, which meet the terms' keys in an equi-join; a
-    # piece carries its text's hash and not the text. The terms that a text has met are then held against the whole text,
-    # so a shared hash only adds terms to try. Nothing is compared pairwise.
-    texts = df.select(F.lower(text).alias("lowered")).where(F.col("lowered").isNotNull()).distinct()
-    named = texts.withColumn("id", F.xxhash64("lowered"))
+    # Each distinct piece of a text is cut once into the starts that terms may have, which meet the terms' starts in an
+    # equi-join; what comes back are places and lengths. The piece is cut there to these lengths, and the cuts meet the
+    # terms as wholes. Rows between are bounded by places and lengths, never by the number of terms.
+    # Texts and pieces go by two hashes of 64 bits.
+    def named(x: Column, name: str) -> Column:
+        return F.struct(F.xxhash64(x), F.xxhash64(F.lit(1), x)).alias(name)
+
     lengths = terms.agg(F.collect_set(F.length(_key(F.col("term"))))).scalar()
-    fitting = named.select("id", "lowered", F.explode(lengths).alias("size")).where(F.length("lowered") >= F.col("size"))
-    places = F.sequence(F.lit(1), F.greatest(F.length("lowered") - F.col("size") + 1, F.lit(1)))
-    keys = F.array_distinct(F.transform(places, lambda place: F.substring(F.col("lowered"), place, F.col("size"))))
-    pieces = fitting.select("id", F.explode(keys).alias("key"))
-    met = pieces.join(terms.select("term", _key(F.col("term")).alias("key")), "key").groupBy("id").agg(F.collect_set("term").alias("terms"))
-    held = named.join(met, "id").where(F.exists("terms", lambda term: F.contains(F.col("lowered"), term)))
-    hits = held.select(F.col("lowered").alias("__branded")).withColumn(out, F.lit(True))
-    flagged = df.join(hits, F.lower(df[text]) == hits["__branded"], "left").drop("__branded")
+    longest = terms.agg(F.coalesce(F.max(F.length("term")), F.lit(0))).scalar()
+    texts = df.select(F.lower(text).alias("lowered")).where(F.col("lowered").isNotNull()).distinct()
+    known_longest = texts.select("lowered", longest.alias("longest"))
+    cut = known_longest.select(named(F.col("lowered"), "id"), F.explode(_pieces(F.col("lowered"), F.col("longest"))).alias("piece"))
+    cut = cut.select("id", named(F.col("piece"), "part"), "piece")
+    parts = cut.groupBy("part").agg(F.first("piece").alias("piece"))
+    sized = parts.select("part", "piece", F.explode(lengths).alias("size"))
+    starts = F.transform(_places(F.col("piece")), lambda place: F.struct(place.alias("place"), F.substring(F.col("piece"), place, F.col("size")).alias("key")))
+    met = sized.select("part", F.inline(starts)).join(_starts(terms), "key")
+    known = met.groupBy("part").agg(F.collect_list(F.struct("place", "lengths")).alias("met"))
+    cuts = F.transform("met", lambda m: F.transform(m["lengths"], lambda n: F.substring(F.col("piece"), m["place"], n)))
+    wholes = F.array_distinct(F.flatten(cuts))
+    held = parts.join(known, "part").select("part", F.explode(wholes).alias("term")).join(terms, "term", "left_semi")
+    hits = cut.select("id", "part").join(held.select("part").distinct(), "part", "left_semi").select("id").distinct()
+    hits = hits.select(F.col("id").alias("__branded"), F.lit(True).alias(out))
+    flagged = df.join(hits, named(F.lower(df[text]), "id") == hits["__branded"], "left").drop("__branded")
     return flagged.withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 

@@ -58,6 +58,13 @@ SELECT v.word FROM (SELECT DISTINCT word FROM text_words) v
 WHERE EXISTS (SELECT 1 FROM brand_words w WHERE contains(v.word, w.term))
 """
 
+# No term is part of another one, and each stands between blanks.
+_SHARED = """
+SELECT o_orderkey, CAST(lpad(CAST(o_custkey * 2 AS VARCHAR), 9, '0') IN (SELECT split_part(c_name, '#', 2) FROM customer)
+  OR o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') AS VARCHAR) AS is_branded
+FROM orders
+"""
+
 CTES["pairs"] = """
 SELECT dept, sub, arg_max(cr, ord) AS cr, (2 * arg_max(tk, ord) + 1000000) // 2000000 AS tk
 FROM clean GROUP BY dept, sub
@@ -509,10 +516,12 @@ SELECT dept, sub, CAST(arg_max(rate, ord) AS DOUBLE) AS conversion_rate, CAST(RO
 FROM large_bi GROUP BY dept, sub""",
     "brand_table_words": """
 SELECT t.text, CAST(EXISTS (SELECT 1 FROM brand_words w WHERE contains(lower(t.text), w.term)) AS VARCHAR) AS is_branded
-FROM (SELECT p_name AS text FROM part UNION ALL SELECT url FROM pages UNION ALL SELECT substr(text, 1, 60) FROM documents) t""",
+FROM (SELECT p_name AS text FROM part UNION ALL SELECT url FROM pages UNION ALL SELECT text FROM documents) t""",
     "brand_table_words_join": """
 SELECT t.text, CAST(EXISTS (SELECT 1 FROM brand_words w WHERE contains(lower(t.text), w.term)) AS VARCHAR) AS is_branded
-FROM (SELECT p_name AS text FROM part UNION ALL SELECT url FROM pages UNION ALL SELECT substr(text, 1, 60) FROM documents) t""",
+FROM (SELECT p_name AS text FROM part UNION ALL SELECT url FROM pages UNION ALL SELECT text FROM documents) t""",
+    "brand_table_shared": _SHARED,
+    "brand_table_shared_join": _SHARED,
     "brand_table_texts": """
 SELECT d.doc_id, CAST(d.doc_id IN (SELECT t.doc_id FROM text_words t JOIN branded_words b ON t.word = b.word) AS VARCHAR) AS is_branded
 FROM documents d""",

@@ -362,12 +362,11 @@ def _(i):
 
 
 def _brand_words(i):
-    """A list as long as a table, and texts that repeat (part names) and that don't (URLs, starts of documents)."""
+    """A list as long as a table, and texts that repeat (part names) and that don't (URLs, whole documents)."""
     word = F.split_part(F.col("text"), F.lit(" "), F.lit(2))
     terms = i.table("documents").select(word.alias("term")).where(F.length("term") >= 6)
-    starts = i.table("documents").select(F.substring("text", 1, 60).alias("text"))
     texts = i.table("part").select(F.col("p_name").alias("text")).unionByName(i.table("pages").select(F.col("url").alias("text")))
-    return texts.unionByName(starts), terms
+    return texts.unionByName(i.table("documents").select("text")), terms
 
 
 @register("brand_table_words")
@@ -400,6 +399,31 @@ def _(i):
     return branding.flag_branded(texts, terms, text="text", by_join=True).select("doc_id", "is_branded")
 
 
+def _shared_starts(i):
+    """Terms that all start with the same nine letters, of several lengths, and one text for each order; some hold one."""
+    customers = i.table("customer")
+    terms = customers.select(F.col("c_name").alias("term")).unionByName(
+        customers.select(F.concat(F.lit("Customer#"), "c_custkey", F.lit("-"), "c_mktsegment").alias("term"))
+    )
+    number = (F.col("o_custkey") * 2).cast("string")
+    text = F.concat_ws(
+        " ", "o_orderpriority", F.concat(F.lit("customer#"), F.lpad(number, 9, "0")), F.concat(F.lit("CUSTOMER#"), "o_custkey", F.lit("-BUILDING"))
+    )
+    return i.table("orders").select("o_orderkey", text.alias("text")), terms
+
+
+@register("brand_table_shared")
+def _(i):
+    texts, terms = _shared_starts(i)
+    return branding.flag_branded(texts, terms, text="text").select("o_orderkey", "is_branded")
+
+
+@register("brand_table_shared_join")
+def _(i):
+    texts, terms = _shared_starts(i)
+    return branding.flag_branded(texts, terms, text="text", by_join=True).select("o_orderkey", "is_branded")
+
+
 @register("filter_factor")
 def _(i):
     return O.by_factor(raw(i), "BOTH").select("date", "query", "page_url", "agency_factor")

@@ -90,6 +90,22 @@ def test_branded_flag_both_ways_equal_brute_force(spark):
         assert sorted((r.query or "", r.is_branded) for r in got) == want
 
 
+def test_terms_that_share_a_start_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(branding, "PIECE", 16)  # terms lie across the ends of pieces, and some are longer than one
+    rng = random.Random(11)
+    terms = ["longstart" + "".join(rng.choice("01") for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    terms = [t for t in terms if len(t) > 13]
+    texts = ["x" * rng.randint(0, 40) + "LongStart" + "".join(rng.choice("01") for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    texts += ["longstart" * 9, "longstartlongstart0101", "", "ñ" * 37 + terms[0] + "ñ", terms[1][:-1], terms[2]]
+    want = sorted((t, any(x in t.lower() for x in terms)) for t in texts)
+    assert {hit for _, hit in want} == {True, False}
+    df = spark.createDataFrame([(t,) for t in texts], "query string")
+    term_rows = spark.createDataFrame([(t,) for t in terms], "term string")
+    for by_join in (False, True):
+        got = branding.flag_branded(df, term_rows, by_join=by_join).collect()
+        assert sorted((r["query"], r["is_branded"]) for r in got) == want
+
+
 def test_branded_flag_without_terms(spark):
     df = spark.createDataFrame([("a",)], "query string")
     none = spark.createDataFrame([], "term string")
