@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from searchlift.llm.hashing import chunks, document_sets, shingles, text_bytes, word_hashes, word_spans
-from searchlift.llm.tables import small_batches, stored
+from searchlift.llm.tables import packed, small_batches, stored, unpacked
 
 #: Per cent of an item's shingles that a document holds at least.
 CONTAINMENT = 80
@@ -170,8 +170,8 @@ def _contained_by_join(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def without_contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `docs` in which no item is found; rows without doc_id stay only if nothing is found in such a row."""
-    found = find_contained(docs, items).select(F.col("doc_id").alias("__found")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__found")), "left_anti")
+    found = find_contained(docs, items).select("doc_id").distinct()
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
 
 
 def clean_rows(docs: DataFrame, items: DataFrame, broadcast_shingles: int = BROADCAST_SHINGLES) -> DataFrame:
@@ -184,8 +184,8 @@ def clean_rows(docs: DataFrame, items: DataFrame, broadcast_shingles: int = BROA
     if _too_many(sets, broadcast_shingles):
         key = F.xxhash64("text")
         found = _contained_by_join(docs.select(key.alias("doc_id"), "text"), sets)
-        gone = found.select(F.col("doc_id").alias("__found")).distinct()
-        return docs.join(gone, F.col("text").isNotNull() & (key == F.col("__found")), "left_anti")
+        gone = found.select("doc_id").distinct()
+        return docs.join(gone, docs["text"].isNotNull() & (F.xxhash64(docs["text"]) == gone["doc_id"]), "left_anti")
     sent = _sent_index(sets)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,6 +195,6 @@ def clean_rows(docs: DataFrame, items: DataFrame, broadcast_shingles: int = BROA
             yield batch.filter(pa.array(stays))
 
     names = [n for n in docs.columns if n != "text"]
-    rows = small_batches(docs).select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), "text")
+    rows = small_batches(docs).select(packed(names), "text")
     kept = rows.mapInArrow(clean, f"row {rows.schema['row'].dataType.simpleString()}, text string")
-    return kept.select(*[F.col("text") if n == "text" else F.col("row")[n].alias(n) for n in docs.columns])
+    return kept.select(*unpacked(names), "text").select(*[f"`{n}`" for n in docs.columns])

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +20,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from searchlift.llm import spans as sp
-from searchlift.llm.tables import small_batches
+from searchlift.llm.tables import packed, small_batches, unpacked
 
 KINDS = ("email", "ip", "card", "phone")
 
-# Fixed patterns.
+# Fixed patterns. Addresses of either kind are found from a sign outwards (see `plain_spans`); the patterns as they are
+# would start again at every character of a long run.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+_LOCAL_SET = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 # Letters of other scripts that look like ASCII ones, and characters that show nothing.
 LOOK_ALIKES = dict(zip("аеорсухіјѕһԁԛԝАВЕКМНОРСТХІЈЅοανιρΑΒΕΗΙΚΜΝΟΡΤΧΥΖ", "aeopcyxijshdqwABEKMHOPCTXIJSoavipABEHIKMNOPTXYZ"))
@@ -65,8 +70,9 @@ _PIECE = re.compile(rf"(?P<plus>plus)|(?P<name>{_NAME})|(?P<digit>[0-9])|(?P<dot
 _OPEN, _CLOSE = r"\x20?[(\[{<]\x20?", r"\x20?[)\]}>]\x20?"
 _AT = re.compile(rf"{_OPEN}(?:at|@){_CLOSE}", re.IGNORECASE)
 _DOT = re.compile(rf"{_OPEN}(?:dot|\.|punkt|punto){_CLOSE}", re.IGNORECASE)
-_LOCAL, _LABEL = r"[A-Za-z0-9._%+-]+", r"[A-Za-z0-9-]+"
-_PLAIN = re.compile(rf"(?<![A-Za-z0-9._%+-]){_LOCAL}(?:\x20dot\x20{_LOCAL})*(?:\x20at\x20|@){_LABEL}(?:(?:\x20dot\x20|\.){_LABEL})+", re.IGNORECASE)
+_LABEL = r"[A-Za-z0-9-]+"
+_SPOKEN_AT = re.compile(r"\x20at\x20|@", re.IGNORECASE)
+_SPOKEN_HOST = re.compile(rf"{_LABEL}(?:(?:\x20dot\x20|\.){_LABEL})+", re.IGNORECASE)
 _WORD_SIGN = re.compile(r"\x20at\x20|\x20dot\x20", re.IGNORECASE)
 
 
@@ -80,14 +86,42 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _local_before(text: str, end: int, floor: int) -> int:
+    """Start of the run of characters of a mailbox that ends here."""
+    while end > floor and text[end - 1] in _LOCAL_SET:
+        end -= 1
+    return end
+
+
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of EMAIL: a mailbox holds no @, so a match is the whole run before an @ with what the pattern takes behind."""
+    floor, at = 0, text.find("@")
+    while at >= 0:
+        start = _local_before(text, at, floor)
+        host = _HOST.match(text, at + 1) if start < at else None
+        if host:
+            yield start, host.end()
+            floor = host.end()
+        at = text.find("@", max(at + 1, floor))
+
+
+def _ips(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of IP whose parts are small enough: numbers joined by points, four at a time."""
+    for m in _CHAIN.finditer(text):
+        parts = m.group().split(".")
+        end = m.start() - 1
+        for k in range(0, len(parts) - 3, 4):
+            start = end + 1
+            end = start + sum(map(len, parts[k : k + 4])) + 3
+            if all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or 0) <= 255 for part in parts[k : k + 4]):
+                yield start, end
+
+
 def plain_spans(text: str) -> list[sp.Span]:
-    found: list[sp.Span] = []
-    if "@" in text:
-        found += [("email", *m.span()) for m in EMAIL.finditer(text)]
+    """What the fixed patterns find, in time that grows with the text."""
+    found: list[sp.Span] = [("email", *span) for span in _emails(text)]
     if _DIGIT.search(text):
-        for m in IP.finditer(text):
-            if all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or 0) <= 255 for part in m.group().split(".")):
-                found.append(("ip", *m.span()))
+        found += [("ip", *span) for span in _ips(text)]
         for m in CARD.finditer(text):
             digits = re.sub("[^0-9]", "", m.group())
             if 12 <= len(digits) <= 19 and luhn(digits):
@@ -141,8 +175,9 @@ def fold_characters(n: Normalised) -> Normalised:
     odd = [c for c in set(n.text) if c in _ODD_SET or (c > "\x7f" and c.isdecimal())]
     if not odd:
         return n
-    found = re.finditer("[" + "".join(map(re.escape, odd)) + "]", n.text)
-    return n.rewritten([(m.start(), m.end(), [(x, m.start(), m.end(), False) for x in _folded(m.group())]) for m in found])
+    folded = {c: _folded(c) for c in odd}
+    found = re.finditer("[" + "".join(map(re.escape, odd)) + "]+", n.text)
+    return n.rewritten([(m.start(), m.end(), [(x, k, k + 1, False) for k, c in enumerate(m.group(), m.start()) for x in folded[c]]) for m in found])
 
 
 def _beside_number(text: str, start: int, end: int) -> bool:
@@ -188,14 +223,34 @@ def read_digits(n: Normalised) -> Normalised:
     return n.rewritten(edits)
 
 
+def _spoken(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses whose signs may be words: from an "at" to the left over mailbox parts joined by "dot", to the right over a host."""
+    floor = 0
+    for at in _SPOKEN_AT.finditer(text):
+        if at.start() < floor:
+            continue
+        start, end = None, at.start()
+        while True:
+            part = _local_before(text, end, floor)
+            if part == end or (part == floor and part and text[part - 1] in _LOCAL_SET):
+                break
+            start, end = part, part - 5
+            if end < floor or text[end:part].lower() != " dot ":
+                break
+        host = _SPOKEN_HOST.match(text, at.end()) if start is not None else None
+        if host:
+            yield start, host.end()
+            floor = host.end()
+
+
 def read_signs(n: Normalised) -> Normalised:
     if any(c in n.text for c in "([{<"):
         marks = [(m.start(), m.end(), "@") for m in _AT.finditer(n.text)] + [(m.start(), m.end(), ".") for m in _DOT.finditer(n.text)]
         n = n.rewritten([(a, b, [(c, a, b, False)]) for a, b, c in _apart(marks)])
     words = []
     if _WORD_SIGN.search(n.text):
-        for m in _PLAIN.finditer(n.text):
-            words += [(w.start(), w.end(), "@" if "at" in w.group().lower() else ".") for w in _WORD_SIGN.finditer(n.text, m.start(), m.end())]
+        for start, end in _spoken(n.text):
+            words += [(w.start(), w.end(), "@" if "at" in w.group().lower() else ".") for w in _WORD_SIGN.finditer(n.text, start, end)]
     return n.rewritten([(a, b, [(c, a, b, False)]) for a, b, c in _apart(words)])
 
 
@@ -213,13 +268,30 @@ def disguised_spans(text: str, plain: list[sp.Span]) -> list[sp.Span]:
     if n.text == text:
         return []
     found = [(kind, *n.source(a, b)) for kind, a, b in plain_spans(n.text)]
+    near = _holder(found)
     for m in CARD.finditer(n.text):  # a number in words needs no plus to be one to call
         digits = len(re.sub("[^0-9]", "", m.group()))
         if 9 <= digits <= 15 and n.made[m.start()] and n.made[m.end() - 1] and n.made[m.start() : m.end()].sum() >= LEAST_NAMED:
             span = n.source(*m.span())
-            if not any(a <= span[0] and span[1] <= b for _, a, b in found):
+            if not any(near(kind, *span) for kind in KINDS):
                 found.append(("phone", *span))
-    return [s for s in dict.fromkeys(found) if not any(s[0] == k and a <= s[1] and s[2] <= b for k, a, b in plain)]
+    known = _holder(plain)
+    return [s for s in dict.fromkeys(found) if not known(*s)]
+
+
+def _holder(spans: list[sp.Span]) -> Callable[[str, int, int], bool]:
+    """Tells whether a span lies inside one of its kind; spans of a kind are in order and apart."""
+    starts: dict[str, list[int]] = {kind: [] for kind in KINDS}
+    ends: dict[str, list[int]] = {kind: [] for kind in KINDS}
+    for kind, start, end in spans:
+        starts[kind].append(start)
+        ends[kind].append(end)
+
+    def holds(kind: str, start: int, end: int) -> bool:
+        k = bisect_right(starts[kind], start) - 1
+        return k >= 0 and end <= ends[kind][k]
+
+    return holds
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,6 +313,6 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     are replaced; others stay.
     """
     names = [name for name in docs.columns if name not in (text, "base_spans", "spans")]
-    rows = small_batches(docs).select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(packed(names), F.col(text).alias("text"))
     found = rows.mapInArrow(_scan, f"row {rows.schema['row'].dataType.simpleString()}, base {sp.SPANS}, every {sp.SPANS}")
-    return found.select(*[F.col("row")[n].alias(n) for n in names], F.col("base").alias("base_spans"), F.col("every").alias("spans"))
+    return found.select(*unpacked(names), F.col("base").alias("base_spans"), F.col("every").alias("spans"))

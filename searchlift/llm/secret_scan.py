@@ -19,15 +19,17 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from searchlift.llm import spans as sp
-from searchlift.llm.tables import small_batches, stored
+from searchlift.llm.tables import packed, small_batches, stored, unpacked
 
 KINDS = ("assign", "access", "hex", "random")
 BASE_KINDS = KINDS[:3]
@@ -181,9 +183,12 @@ def tested_runs(text: str, base: list[sp.Span]) -> list[dict]:
     `outer` is the place of the run that a part belongs to; a whole run has none.
     """
     out = []
+    starts = [a for _, a, _ in base]
+    reach = list(accumulate((b for _, _, b in base), max))  # the farthest end of this span and those before it
     for m in TESTED.finditer(text):
         for start, end in _candidates(text, *m.span()):
-            if any(start < b and a < end for _, a, b in base):
+            before = bisect_left(starts, end)
+            if before and reach[before - 1] > start:
                 continue
             body = text[start:end].rstrip("=")
             kind = max(k for k, least in enumerate(LENGTH_CLASSES) if len(body) >= least)
@@ -220,8 +225,8 @@ def _thresholds(scanned: DataFrame) -> dict[int, int]:
     return least
 
 
-def _packed(docs: DataFrame, names: list[str], text: str) -> tuple[DataFrame, str]:
-    rows = small_batches(docs).select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(text).alias("text"))
+def _rows(docs: DataFrame, names: list[str], text: str) -> tuple[DataFrame, str]:
+    rows = small_batches(docs).select(packed(names), F.col(text).alias("text"))
     return rows, f"row {rows.schema['row'].dataType.simpleString()}"
 
 
@@ -234,7 +239,7 @@ def redact_secrets(docs: DataFrame, mark: str, text: str = "text") -> DataFrame:
     Texts are read twice, first for the thresholds, and not kept in between.
     """
     names = [n for n in docs.columns if n != text]
-    least = _thresholds(_packed(docs, [], text)[0].mapInArrow(_scan, f"row struct<__:int>, {_FOUND}"))
+    least = _thresholds(_rows(docs, [], text)[0].mapInArrow(_scan, f"row struct<end:int>, {_FOUND}"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,9 +251,9 @@ def redact_secrets(docs: DataFrame, mark: str, text: str = "text") -> DataFrame:
                 texts.append(sp.redacted(value, found, mark) if found else value)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
-    rows, packed = _packed(docs, names, text)
-    done = rows.mapInArrow(cut, f"{packed}, text string")
-    return done.select(*[(F.col("text") if n == text else F.col("row")[n]).alias(n) for n in docs.columns])
+    rows, kind = _rows(docs, names, text)
+    done = rows.mapInArrow(cut, f"{kind}, text string")
+    return done.select(*unpacked(names), F.col("text").alias(text)).select(*[f"`{n}`" for n in docs.columns])
 
 
 def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -258,8 +263,8 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     called base_spans or spans are replaced; others stay.
     """
     kept = [name for name in docs.columns if name not in ("base_spans", "spans")]
-    rows, packed = _packed(docs, [n for n in kept if n != text], text)
-    scanned = stored(rows.mapInArrow(_scan, f"{packed}, {_FOUND}"), "secrets")
+    rows, kind = _rows(docs, [n for n in kept if n != text], text)
+    scanned = stored(rows.mapInArrow(_scan, f"{kind}, {_FOUND}"), "secrets")
     least = _thresholds(scanned)
     limit = F.lit(None).cast("int")
     if least:
@@ -281,4 +286,4 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
 
     every = F.array_sort(F.concat("base", random), compare)
     names = [n for n in kept if n != text]
-    return scanned.select(*[F.col("row")[n].alias(n) for n in names], F.col("base").alias("base_spans"), every.alias("spans"))
+    return scanned.select(*unpacked(names), F.col("base").alias("base_spans"), every.alias("spans"))

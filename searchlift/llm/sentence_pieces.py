@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from searchlift.llm.hashing import text_bytes
 from searchlift.llm.stretches import StretchCoder, ragged, runs
-from searchlift.llm.tables import small_batches
+from searchlift.llm.tables import packed, small_batches, unpacked
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -225,9 +225,9 @@ def _encoder(name: str, sent) -> Encoder:
     return _BUILT[name]
 
 
-def _packed(docs: DataFrame, text: str, new: tuple[str, ...]) -> tuple[DataFrame, list[str], str]:
+def _rows(docs: DataFrame, text: str, new: tuple[str, ...]) -> tuple[DataFrame, list[str], str]:
     names = [n for n in docs.columns if n != text and n not in new]
-    rows = small_batches(docs).select(F.struct(*[F.col(f"`{n}`") for n in names], F.lit(0).alias("__")).alias("row"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(packed(names), F.col(text).alias("text"))
     return rows, names, rows.schema["row"].dataType.simpleString()
 
 
@@ -237,7 +237,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     `model` is the path of a SentencePiece model on the driver. A null or empty text has no ids. Repeated rows are
     encoded alike. The mark character itself is read as a space. Columns called ids or ids_crc32 are replaced.
     """
-    rows, names, packed = _packed(docs, text, ("ids", "ids_crc32"))
+    rows, names, kind = _rows(docs, text, ("ids", "ids_crc32"))
     name = uuid.uuid4().hex
     sent = docs.sparkSession.sparkContext.broadcast(Pieces.load(model))
 
@@ -258,8 +258,8 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
                     names=["row", "text", "ids", "ids_crc32"],
                 )
 
-    found = rows.mapInArrow(run, f"row {packed}, text string, ids array<int>, ids_crc32 long")
-    return found.select(*[F.col("row")[n].alias(n) for n in names], F.col("text").alias(text), "ids", "ids_crc32")
+    found = rows.mapInArrow(run, f"row {kind}, text string, ids array<int>, ids_crc32 long")
+    return found.select(*unpacked(names), F.col("text").alias(text), "ids", "ids_crc32")
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
@@ -267,7 +267,7 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
 
     Bytes that are no UTF-8 become replacement characters. Control pieces spell nothing; unknown ones U+2047.
     """
-    rows, names, packed = _packed(encoded, ids, ("decoded",))
+    rows, names, kind = _rows(encoded, ids, ("decoded",))
     sent = encoded.sparkSession.sparkContext.broadcast(Pieces.load(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,5 +288,5 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
                 texts = [body[x:y].tobytes().decode("utf-8", "replace") for x, y in zip(begin.tolist(), ends[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column("row")[a:b], pa.array(texts, pa.string())], names=["row", "decoded"])
 
-    found = rows.mapInArrow(run, f"row {packed}, decoded string")
-    return found.select(*[F.col("row")[n].alias(n) for n in names], "decoded")
+    found = rows.mapInArrow(run, f"row {kind}, decoded string")
+    return found.select(*unpacked(names), "decoded")

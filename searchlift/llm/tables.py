@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from searchlift.session import scratch_folder
 
@@ -42,5 +43,16 @@ def small_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def packed(names: list[str]) -> Column:
+    """Columns of any names as one struct `row`, whose fields go by their place."""
+    fields = [F.col(f"`{name.replace('`', '``')}`").alias(f"c{k}") for k, name in enumerate(names)]
+    return F.struct(*fields, F.lit(0).alias("end")).alias("row")
+
+
+def unpacked(names: list[str]) -> list[Column]:
+    """The columns that `packed` put away."""
+    return [F.col("row")[f"c{k}"].alias(name) for k, name in enumerate(names)]
+
+
 def documents_of(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")

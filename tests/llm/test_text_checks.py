@@ -6,6 +6,7 @@ import math
 import random
 import re
 import string
+import time
 import tracemalloc
 
 import brute
@@ -204,6 +205,69 @@ def test_long_digit_runs_are_no_addresses():
     assert pii.plain_spans("9" * 5000 + ".1.1.1 and 1.2.3." + "0" * 5000) == [("ip", 5011, 5017 + 5000)]
 
 
+def matches(pattern, text):
+    return [m.span() for m in pattern.finditer(text)]
+
+
+def valid_ip(part):
+    return all(int(x) <= 255 for x in part.split("."))
+
+
+def test_plain_spans_are_those_of_the_patterns():
+    rng = random.Random(3)
+    digits = lambda s: sum(c.isdigit() for c in s)
+    for _ in range(20_000):
+        text = "".join(rng.choice("a1.@-+_% 2(é") for _ in range(rng.randrange(30)))
+        want = [("email", *m) for m in matches(pii.EMAIL, text)]
+        want += [("ip", a, b) for a, b in matches(pii.IP, text) if valid_ip(text[a:b])]
+        want += [("card", a, b) for a, b in matches(pii.CARD, text) if 12 <= digits(text[a:b]) <= 19 and pii.luhn(re.sub("[^0-9]", "", text[a:b]))]
+        want += [("phone", a, b) for a, b in matches(pii.PHONE, text) if 9 <= digits(text[a:b]) <= 15]
+        assert pii.plain_spans(text) == spans.ordered(want, pii.KINDS), text
+
+
+#: Addresses whose signs may be words, as one pattern.
+SPOKEN = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:\x20dot\x20[A-Za-z0-9._%+-]+)*(?:\x20at\x20|@)[A-Za-z0-9-]+(?:(?:\x20dot\x20|\.)[A-Za-z0-9-]+)+", re.IGNORECASE)
+
+
+def test_spoken_addresses_are_those_of_the_pattern():
+    rng = random.Random(4)
+    for _ in range(20_000):
+        text = "".join(rng.choice(["a", "b", "_", ".", "@", " ", " at ", " dot ", " DOT ", "-", "é"]) for _ in range(rng.randrange(16)))
+        assert list(pii._spoken(text)) == matches(SPOKEN, text), text
+
+
+def test_tested_runs_keep_clear_of_base_spans():
+    rng = random.Random(5)
+    for _ in range(500):
+        text = " ".join("".join(rng.choices("abcdef0123456789GHJK+/-_", k=rng.randrange(1, 60))) for _ in range(6))
+        base = sorted(((k, a, a + rng.randrange(1, 40)) for k in ("hex", "assign") for a in rng.sample(range(len(text)), min(3, len(text)))), key=lambda s: s[1])
+        free = {(r["start"], r["end"]) for r in secret_scan.tested_runs(text, [])}
+        want = {(a, b) for a, b in free if not any(a < y and x < b for _, x, y in base)}
+        assert {(r["start"], r["end"]) for r in secret_scan.tested_runs(text, base)} == want
+
+
+LONG_TEXTS = {
+    "digits": "7" * 1_000_000,
+    "letters": "a" * 1_000_000 + "@b.c",
+    "base64": "".join(random.Random(1).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1_000_000)),
+    "addresses": "".join(f"u{k}@h{k}.org " for k in range(100_000)),
+    "spoken": "".join(f"u{k} at h{k} dot org " for k in range(50_000)),
+    "dots": "a dot " * 150_000 + "b at c dot de",
+    "numbers": "1." * 400_000 + "1",
+    "hexes": "".join(f"{random.Random(2).getrandbits(64):016x} " for _ in range(50_000)),
+    "look-alikes": "а" * 1_000_000,
+}
+
+
+@pytest.mark.parametrize("name", LONG_TEXTS)
+def test_long_texts_take_time_in_proportion(name):
+    text, began = LONG_TEXTS[name], time.process_time()
+    plain = pii.plain_spans(text)
+    pii.disguised_spans(text, plain)
+    secret_scan.tested_runs(text, secret_scan.base_spans(text))
+    assert time.process_time() - began < 5
+
+
 def test_pii_rows(docs_of, odd):
     rows = [*odd, *[(100 + k, t) for k, (t, _) in enumerate(PLAIN + HIDDEN)]]
     df = docs_of(rows)
