@@ -3,21 +3,21 @@
 A window is WINDOW consecutive words of one document. A word goes when a window that covers it also starts in a document
 with a smaller doc_id. Windows are judged on the input, so what is removed in one place changes nothing elsewhere.
 
-1. Documents are written in bundles of about BUNDLE_BYTES of text. Bundles stay together from then on, so all that is
-   learned about a window is sent once for each bundle, and a passage that a third of all documents share stays small.
+1. Documents are written in bundles of some megabytes (see `bundles`), so all that is learned about a window is sent
+   once for each bundle, and a passage that a third of all documents share stays small.
 2. A bundle's sketch counts, for each cell of one wide hash row, the bundle's documents that have a window there (two
    count for many). Sketches are cut by cell range and the parts of one range are merged by adding: no task and no
    driver holds a whole sketch, which is why it can be as wide as the corpus asks for (2^SPARE_BITS cells a window and
    more). With that width further hash rows would cost more than the few windows they would hold back. Merged counts
    are never below the true number of documents; cells that reach two go back to the bundles that filled them.
-3. The second pass takes the windows in such cells only, with two hashes of 64 bits, groups them exactly and finds the
+3. The second pass takes the windows in such cells only, with hashes of 64 and 32 bits, groups them exactly and finds the
    least doc_id of each. A window that two documents share is in a cell of two at least, so none is lost.
 4. Bundles learn the least doc_id of those windows that a later document of theirs has, and drop the words.
 
 Defined results. doc_id decides what is smaller; rows that share a doc_id are one document to each other, and rows
 without doc_id keep all their words and take none from others. Null texts are empty. Texts with fewer than WINDOW words
 lose nothing. Words are compared as they are, and kept words are joined by single spaces. An empty table gives no rows;
-columns besides doc_id and text are not looked at. Two windows with equal 128 bits of hash count as equal.
+columns besides doc_id and text are not looked at. Two windows with equal 96 bits of hash count as equal.
 """
 
 from __future__ import annotations
@@ -30,22 +30,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchlift.llm.hashing import chunks, mix, run_hashes, text_bytes, word_hashes, word_spans
-from searchlift.llm.tables import small_batches, stored
+from searchlift.llm.bundles import COLUMNS, batch_of, bundled, from_planes, from_steps, opened, planes, slices, steps, table_of
+from searchlift.llm.hashing import chunks, mix, run_hashes, word_hashes, word_spans
+from searchlift.llm.tables import stored
 
 WINDOW = 13
-BUNDLE_BYTES = 4 << 20
-#: Rows of a bundle at most, for tables of short texts.
-BUNDLE_ROWS = 1 << 14
 #: Entries of one part of the sketch, or of the exact grouping, about.
 PART_ENTRIES = 1 << 20
 #: At least so many parts, as a power of two, for small tables to use many tasks.
 PART_BITS = 6
 #: Cells for each window, as a power of two.
-SPARE_BITS = 4
+SPARE_BITS = 6
 #: Bytes of a word and its space, as guessed for the number of windows; only the sketch's width depends on it.
 WORD_BYTES = 4
 
+#: What is sent of a window, and how it is written: two hashes, the least doc_id, the largest less the least, its place.
+_NAMES, _KINDS = ("one", "other", "least", "extra", "at"), ("<u8", "<u4", "<i8", "<i8", "<u4")
+
+_SKETCH = {"part": pa.int64(), "bundle": pa.int64(), "cells": pa.binary()}
+_CELLS = {"part": pa.int64(), "bundle": pa.int64(), "n": pa.int64(), "cells": pa.binary()}
+_WINDOWS = {"part": pa.int64(), "bundle": pa.int64(), **dict.fromkeys(_NAMES, pa.binary())}
+_LATE = {"bundle": pa.int64(), "at": pa.binary(), "least": pa.binary()}
+
 _U = np.uint64
 _OTHER = _U(0xA0761D6478BD642F)
 
@@ -62,8 +68,7 @@ class Words(NamedTuple):
     other: np.ndarray
 
 
-def _words(texts: pa.Array) -> Iterator[Words]:
-    data, offsets = text_bytes(texts)
+def _words(data: np.ndarray, offsets: np.ndarray) -> Iterator[Words]:
     for first, last in chunks(offsets):
         part, cuts = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         starts, ends, bounds = word_spans(part, cuts)
@@ -72,75 +77,18 @@ def _words(texts: pa.Array) -> Iterator[Words]:
         before = np.r_[0, np.cumsum(counts)]
         places = np.repeat(bounds[:-1] - before[:-1], counts) + np.arange(before[-1])
         owners = np.repeat(np.arange(first, last), counts)
-        one, other = run_hashes(hashes, WINDOW)[places], run_hashes(mix(hashes ^ _OTHER), WINDOW)[places]
+        one, other = run_hashes(hashes, WINDOW)[places], run_hashes(mix(hashes ^ _OTHER), WINDOW)[places] >> _U(32)
         whole = [part[cuts[k] : cuts[k + 1]].tobytes() for k in range(last - first)]
         yield Words(first, bounds, whole, places, owners, one, other)
 
 
-def _packed(numbers: np.ndarray, kind: str) -> bytes:
-    """Numbers as planes of their bytes, which shuffle files compress well where high bytes agree."""
-    return numbers.astype(kind).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
-
-
-def _unpacked(body: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.frombuffer(body, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
-
-
-def _steps(rising: np.ndarray) -> bytes:
-    return _packed(np.diff(rising, prepend=_U(0)), "<u4")
-
-
-def _risen(body: bytes) -> np.ndarray:
-    return np.cumsum(_unpacked(body, "<u4"), dtype=_U)
-
-
-def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    number = TaskContext.get().partitionId() << 32  # fixed once the bundles are written
-    ids, texts, size = [], [], 0
-
-    def bundle() -> pa.RecordBatch:
-        columns = [pa.array([number]), pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string())), pa.array([size])]
-        return pa.RecordBatch.from_arrays(columns, names=["bundle", "ids", "texts", "n_bytes"])
-
-    for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            ids.append(doc_id)
-            texts.append(text or "")
-            size += len(texts[-1].encode())
-            if size >= BUNDLE_BYTES or len(ids) >= BUNDLE_ROWS:
-                yield bundle()
-                number, ids, texts, size = number + 1, [], [], 0
-    if ids:
-        yield bundle()
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, np.ndarray, pa.Array]]:
-    """Each bundle's row, its doc_ids, which of them are known, and its texts."""
-    for batch in batches:
-        for k in range(batch.num_rows):
-            row = {name: batch.column(name)[k] for name in batch.schema.names}
-            ids = row["ids"].values
-            known = ids.is_valid().to_numpy(zero_copy_only=False)
-            yield row, ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), known, row["texts"].values
-
-
-def _sliced(parts: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(part, first, end) of each run of a rising array of part numbers."""
-    cuts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]][: len(parts)])
-    for first, end in zip(cuts, np.r_[cuts, len(parts)][1:], strict=True):
-        yield int(parts[first]), int(first), int(end)
-
-
 def _sketcher(bits: int, part_bits: int):
     shift, below = _U(64 - bits), _U(bits - part_bits)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, ids, known, texts in _rows(batches):
+        for row, ids, known, _, *texts in opened(batches):
             cells, owners = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
-            for w in _words(texts):
+            for w in _words(*texts):
                 own = known[w.owners]
                 cells.append(w.one[own] >> shift)
                 owners.append(ids[w.owners[own]])
@@ -150,18 +98,15 @@ def _sketcher(bits: int, part_bits: int):
             new = np.r_[True, (cell[1:] != cell[:-1]) | (owner[1:] != owner[:-1])][: len(cell)]
             cell = cell[new]  # once for each document
             cell = cell[np.r_[np.ones(min(2, len(cell)), bool), cell[2:] != cell[:-2]]]  # two stand for many
-            found = [(p, _steps(cell[a:b] & ((_U(1) << below) - _U(1)))) for p, a, b in _sliced(cell >> below)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _ in found], pa.int64()), pa.array([row["bundle"].as_py()] * len(found), pa.int64()), pa.array([c for _, c in found], pa.binary())],
-                names=["part", "bundle", "cells"],
-            )
+            found = [(p, steps(cell[a:b] & ((_U(1) << below) - _U(1)))) for p, a, b in slices(cell >> below)]
+            yield batch_of([(p, row["bundle"].as_py(), body) for p, body in found], _SKETCH)
 
     return sketch
 
 
 def _merged(table: pa.Table) -> pa.Table:
     """Adds the sketches of one range; each bundle gets those of its cells whose count is two or more."""
-    sketches = [_risen(body) for body in table.column("cells").to_pylist()]
+    sketches = [from_steps(body) for body in table.column("cells").to_pylist()]
     every = np.sort(np.concatenate(sketches))
     many = np.unique(every[1:][every[1:] == every[:-1]])
     back = []
@@ -169,52 +114,50 @@ def _merged(table: pa.Table) -> pa.Table:
         cells = cells[np.r_[True, cells[1:] != cells[:-1]]]
         cells = cells[np.isin(cells, many, assume_unique=True)]
         if len(cells):
-            back.append((part, bundle, len(cells), _steps(cells)))
-    columns = zip(*back, strict=True) if back else ([], [], [], [])
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    return pa.Table.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["part", "bundle", "n", "cells"])
+            back.append((part, bundle, len(cells), steps(cells)))
+    return table_of(back, _CELLS)
 
 
 def _candidates(bits: int, cell_part_bits: int, part_bits: int):
-    """The windows of a bundle that lie in cells of two, once each, with the least and the largest doc_id that has them."""
+    """The windows of a bundle that lie in cells of two, once each, with the least and the largest doc_id that has them.
+
+    `at` counts the bundle's windows up to the first one of the kind, for the answer to name it.
+    """
     shift, below, top = _U(64 - bits), _U(bits - cell_part_bits), _U(64 - part_bits)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, ids, known, texts in _rows(batches):
+        for row, ids, known, _, *texts in opened(batches):
             held = row["many"].as_py() or []
             if not held:
                 continue
-            many = np.sort(np.concatenate([(_U(x["part"]) << below) | _risen(x["cells"]) for x in held]))
-            found = [(np.zeros(0, _U), np.zeros(0, _U), np.zeros(0, np.int64))]
-            for w in _words(texts):
+            many = np.sort(np.concatenate([(_U(x["part"]) << below) | from_steps(x["cells"]) for x in held]))
+            found, before = [(np.zeros(0, _U), np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+            for w in _words(*texts):
                 cell = w.one >> shift
-                at = np.minimum(np.searchsorted(many, cell), len(many) - 1)
-                own = known[w.owners] & (many[at] == cell)
-                found.append((w.one[own], w.other[own], ids[w.owners[own]]))
-            one, other, owner = (np.concatenate(x) for x in zip(*found, strict=True))
-            one, other, least, most = _reduced(one, other, owner, owner)
-            slices = list(_sliced(one >> top))
-            columns = [
-                pa.array([p for p, _, _ in slices], pa.int64()),
-                pa.array([row["bundle"].as_py()] * len(slices), pa.int64()),
-                *[pa.array([_packed(x[a:b], "<i8" if x.dtype == np.int64 else "<u8") for _, a, b in slices], pa.binary()) for x in (one, other, least, most - least)],
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "bundle", "one", "other", "least", "extra"])
+                near = many[np.minimum(np.searchsorted(many, cell), len(many) - 1)] == cell
+                own = np.flatnonzero(known[w.owners] & near)
+                found.append((w.one[own], w.other[own], ids[w.owners[own]], own + before))
+                before += len(w.one)
+            one, other, owner, at = (np.concatenate(x) for x in zip(*found, strict=True))
+            one, other, least, most, at = _reduced(one, other, owner, owner, at)
+            columns = list(zip((one, other, least, most - least, at), _KINDS, strict=True))
+            sent = [(p, row["bundle"].as_py(), *(planes(x[a:b], kind) for x, kind in columns)) for p, a, b in slices(one >> top)]
+            yield batch_of(sent, _WINDOWS)
 
     return emit
 
 
-def _reduced(one: np.ndarray, other: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Each window once, in order, with the least and the largest of its numbers."""
+def _reduced(one: np.ndarray, other: np.ndarray, least: np.ndarray, most: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each window once, in order, with the least and the largest of its numbers and its first place."""
     order = np.lexsort((other, one))
-    one, other, least, most = one[order], other[order], least[order], most[order]
+    one, other, least, most, at = one[order], other[order], least[order], most[order], at[order]
     cuts = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (other[1:] != other[:-1])][: len(one)])
     if not len(cuts):
-        return one, other, least, most
-    return one[cuts], other[cuts], np.minimum.reduceat(least, cuts), np.maximum.reduceat(most, cuts)
+        return one, other, least, most, at
+    return one[cuts], other[cuts], np.minimum.reduceat(least, cuts), np.maximum.reduceat(most, cuts), at[cuts]
 
 
-def _at(one: np.ndarray, other: np.ndarray, keys: np.ndarray, key_others: np.ndarray) -> np.ndarray:
+def _among(one: np.ndarray, other: np.ndarray, keys: np.ndarray, key_others: np.ndarray) -> np.ndarray:
     """Place of each window among keys in order, or -1."""
     out = np.full(len(one), -1, np.int64)
     if not len(keys):
@@ -227,32 +170,35 @@ def _at(one: np.ndarray, other: np.ndarray, keys: np.ndarray, key_others: np.nda
 
 
 def _grouped(table: pa.Table) -> pa.Table:
-    """Groups one range of windows exactly; each bundle gets the least doc_id of those that a larger doc_id of its own has."""
-    names = ("one", "other", "least", "extra")
-    kinds = ("<u8", "<u8", "<i8", "<i8")
-    own = [tuple(_unpacked(body, kind) for body, kind in zip(row, kinds, strict=True)) for row in zip(*(table.column(n).to_pylist() for n in names), strict=True)]
-    one, other, least, _ = _reduced(*(np.concatenate([x[k] for x in own]) for k in (0, 1, 2, 2)))
+    """Groups one range of windows exactly; each bundle gets the least doc_id of those that a larger doc_id of its own has.
+
+    Answers are in the order of the bundle's text, where a copied passage is a run of windows with one least doc_id.
+    """
+    own = [tuple(from_planes(body, kind) for body, kind in zip(row, _KINDS, strict=True)) for row in zip(*(table.column(n).to_pylist() for n in _NAMES), strict=True)]
+    one, other, least, _, _ = _reduced(*(np.concatenate([x[k] for x in own]) for k in (0, 1, 2, 2, 2)))
     back = []
-    for bundle, (a, b, lo, extra) in zip(table.column("bundle").to_pylist(), own, strict=True):
-        first = least[_at(a, b, one, other)]
-        late = lo + extra > first
-        if late.any():
-            back.append((bundle, _packed(a[late], "<u8"), _packed(b[late], "<u8"), _packed(first[late], "<i8")))
-    columns = zip(*back, strict=True) if back else ([], [], [], [])
-    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    return pa.Table.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["bundle", "one", "other", "least"])
+    for bundle, (a, b, lo, extra, at) in zip(table.column("bundle").to_pylist(), own, strict=True):
+        first = least[_among(a, b, one, other)]
+        late = np.flatnonzero(lo + extra > first)
+        if len(late):
+            late = late[np.argsort(at[late])]
+            back.append((bundle, steps(at[late].astype(_U)), planes(np.diff(first[late], prepend=0), "<i8")))
+    return table_of(back, _LATE)
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for row, ids, known, texts in _rows(batches):
+    for row, ids, known, _, *texts in opened(batches):
         held = row["seen"].as_py() or []
-        one, other, least = (np.concatenate([np.zeros(0, kind), *[_unpacked(x[name], kind) for x in held]]) for name, kind in (("one", "<u8"), ("other", "<u8"), ("least", "<i8")))
-        one, other, least, _ = _reduced(one, other, least, least)
+        parts = list(_words(*texts))
+        every, others = (np.concatenate([np.zeros(0, _U), *x]) for x in ([w.one for w in parts], [w.other for w in parts]))
+        at = np.concatenate([np.zeros(0, np.int64), *[from_steps(x["at"]).astype(np.int64) for x in held]])
+        least = np.concatenate([np.zeros(0, np.int64), *[np.cumsum(from_planes(x["least"], "<i8")) for x in held]])
+        one, other, least, _, _ = _reduced(every[at], others[at], least, least, at)
         n_words, n_removed, kept = [], [], []
-        for w in _words(texts):
-            at = _at(w.one, w.other, one, other)
-            gone = (at >= 0) & known[w.owners]
-            gone[gone] = ids[w.owners[gone]] > least[at[gone]]
+        for w in parts:
+            place = _among(w.one, w.other, one, other)
+            gone = (place >= 0) & known[w.owners]
+            gone[gone] = ids[w.owners[gone]] > least[place[gone]]
             change = np.zeros(int(w.bounds[-1]) + 1, np.int64)
             np.add.at(change, w.places[gone], 1)
             np.add.at(change, w.places[gone] + WINDOW, -1)
@@ -274,24 +220,21 @@ def _bits(entries: int) -> int:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row; `kept` holds the words that stay, joined by single spaces."""
-    own = small_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    schema = "bundle long, ids array<long>, texts array<string>, n_bytes long"
-    # Small row groups: a reader holds one whole.
-    bundles = small_batches(stored(own.mapInArrow(_bundled, schema), "bundles", options={"parquet.block.size": str(4 * BUNDLE_BYTES)}))
+    bundles = bundled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(False).alias("flag")))
     windows = (bundles.agg(F.sum("n_bytes")).first()[0] or 0) // WORD_BYTES
     bits = min(60, _bits(windows) + SPARE_BITS)
     cell_parts = max(PART_BITS, _bits(windows // PART_ENTRIES), bits - 32)
     bits = max(bits, cell_parts)
-    sketches = bundles.mapInArrow(_sketcher(bits, cell_parts), "part long, bundle long, cells binary")
+    sketches = bundles.select(*COLUMNS).mapInArrow(_sketcher(bits, cell_parts), "part long, bundle long, cells binary")
     many = stored(sketches.groupBy("part").applyInArrow(_merged, "part long, bundle long, n long, cells binary"), "many")
 
     repeated = many.agg(F.sum("n")).first()[0] or 0
     parts = max(PART_BITS, _bits(repeated // PART_ENTRIES))
     cells = many.groupBy("bundle").agg(F.collect_list(F.struct("part", "cells")).alias("many"))
-    asked = bundles.join(cells, "bundle").select("bundle", "ids", "texts", "many")
-    emitted = asked.mapInArrow(_candidates(bits, cell_parts, parts), "part long, bundle long, one binary, other binary, least binary, extra binary")
-    late = stored(emitted.groupBy("part").applyInArrow(_grouped, "bundle long, one binary, other binary, least binary"), "late")
+    asked = bundles.join(cells, "bundle").select(*COLUMNS, "many")
+    emitted = asked.mapInArrow(_candidates(bits, cell_parts, parts), "part long, bundle long, " + ", ".join(f"{name} binary" for name in _NAMES))
+    late = stored(emitted.groupBy("part").applyInArrow(_grouped, "bundle long, at binary, least binary"), "late")
 
-    seen = late.groupBy("bundle").agg(F.collect_list(F.struct("one", "other", "least")).alias("seen"))
-    judged = bundles.join(seen, "bundle", "left").select("ids", "texts", "seen")
+    seen = late.groupBy("bundle").agg(F.collect_list(F.struct("at", "least")).alias("seen"))
+    judged = bundles.join(seen, "bundle", "left").select(*COLUMNS, "seen")
     return judged.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string")

@@ -6,7 +6,7 @@ import random
 import brute
 import pytest
 
-from searchlift.llm import registry, substring_dedup
+from searchlift.llm import bundles, registry, substring_dedup
 
 
 def kept(rows):
@@ -41,7 +41,8 @@ def test_odd_rows(docs_of, odd):
 def test_shared_passages(docs_of, monkeypatch, small):
     rng = random.Random(small)
     if small:  # many bundles and parts, and cells that hardly keep windows apart
-        for name, value in (("BUNDLE_BYTES", 3000), ("PART_ENTRIES", 50), ("SPARE_BITS", -3)):
+        monkeypatch.setattr(bundles, "BUNDLE_BYTES", 3000)
+        for name, value in (("PART_ENTRIES", 50), ("SPARE_BITS", -3)):
             monkeypatch.setattr(substring_dedup, name, value)
     passages = [[f"p{k}w{rng.randrange(50)}" for _ in range(60)] for k in range(6)]
     rows = []
