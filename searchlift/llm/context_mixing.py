@@ -1,32 +1,33 @@
 """Language-model scores by logistic mixing of hashed-context bit predictors.
 
 A text is predicted byte by byte, and a byte bit by bit from the highest; an end byte that no UTF-8 text holds closes it.
-For each of the last 1 to 5 bytes as context, a table of slots, found by hashing context and the bits already known, tells
-how the bit fell in the training texts. Each prediction enters in the logistic domain with a weight chosen by its own
+For each of the last 1 to 5 bytes as context, the counts of the training texts tell how the next bit fell after this
+context and the bits already known. Each prediction enters in the logistic domain with a weight chosen by its own
 confidence and by the longest context that is known (the gate), and the sum is refined by a table over (bits already
 known, mixed prediction). The score is the log10 probability of all bytes.
 
-Learning covers all training texts and is spread over tasks:
+Every context of every order is kept, whatever the size of the corpus, and no task holds them all:
 
-1. Runs of 6 bytes and words are counted, combined in the task and then by key.
-2. Runs in the order of their context give, slice by slice, the counts behind every prediction. Slots are filled from
-   the sums over all slices; of contexts that share a slot the more frequent one stays, told by a 16-bit tag.
-3. In each slice weights are learned online, step after step down the gradient of the coding cost, from predictions that
-   leave out the occurrence to be predicted. The weights of all slices are averaged by their counts.
+1. Documents are written in bundles (see `bundles`). A run is the 5 bytes before and the byte itself, as one number with
+   the nearest byte highest, so runs with a common context lie side by side. Each bundle sends its distinct runs, with
+   their counts in training texts, to the part of the number range they are in; parts are cut at a bounded sample's
+   quantiles, which decide where parts end and nothing else. Runs that only held-out texts have go along with count 0.
+2. A part merges its runs. All contexts of its runs are then whole in it, but for those at its two ends, at most one of
+   each order. Their counts are summed over the parts that share them and sent back to these.
+3. In each part weights are learned online, step after step down the gradient of the coding cost, from predictions that
+   leave out the occurrence to be predicted. The weights of all parts are averaged by their counts.
 4. With these weights the refinement table counts, again leaving one out, how often a bit of a mixed prediction was 1.
+5. Each part computes what its runs cost in bits, once for each distinct run. Bundles get the costs of their runs and add
+   them up for each text.
 
-Slots, weights and refinement have a fixed size and are broadcast. Scoring computes each distinct run once (a worker
-remembers them) and adds up.
-
-The base is a unigram model over words with one added to each count. The TOP_WORDS most frequent words are broadcast;
-what else a text holds is joined with the table of counts.
+Weights and refinement have a fixed size and are broadcast. The base is a unigram model over words with one added to each
+count; words are counted and answered for in the same way, in parts by their hash.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,31 +35,35 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchlift.llm.hashing import mix, text_bytes, word_hashes, word_spans
+from searchlift.llm.bundles import COLUMNS, Bundle, batch_of, bundled, from_planes, from_steps, opened, planes, slices, steps, table_of
+from searchlift.llm.hashing import mix, word_hashes, word_spans
 from searchlift.llm.stretches import ragged, runs
-from searchlift.llm.tables import small_batches, stored
+from searchlift.llm.tables import stored
 
 ORDERS = (1, 2, 3, 4, 5)
-#: Slots of each order's table, as powers of two.
-SLOT_BITS = (17, 19, 21, 22, 22)
 END = 0xFF
-TOP_WORDS = 1 << 20
-#: Distinct runs that are learned from together, and runs of a step of learning.
-SLICE = 1 << 16
+#: Distinct runs of all bundles that one part answers for, about; parts at least.
+PART_ENTRIES = 1 << 21
+PARTS = 32
+#: Words of all bundles that one part answers for, about.
+PART_WORDS = 1 << 19
+#: Bundles that the parts' ends are read from, and the share of their runs, as a power of two.
+SAMPLE_BUNDLES = 64
+SAMPLE_BITS = 8
+#: Runs of a step of learning.
 STEP = 1 << 12
 RATE = 0.3
 PASSES = 2
-_STRIP_BITS = 14
 _LEVELS = 16
 _GATES = len(ORDERS) + 1
 _BUCKETS = 33
 _LIMIT = 8.0
 _LEAST = 2.0**-13
 _WIDTH = 1 + max(ORDERS)
-#: Counts that a task holds before it gives them out; runs remembered for scoring.
-HELD = 1 << 19
-REMEMBERED_BITS = 20
+#: Costs are sent in so many parts of a bit.
+_FINE = 1 << 16
 _U = np.uint64
+_SIZE = _GATES * len(ORDERS) * _LEVELS
 
 
 def blocks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,9 +88,8 @@ def _bits(code: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
     return (byte >> _U(7 - j)) & _U(1), (byte | _U(256)) >> _U(8 - j)
 
 
-def _hashed(code: np.ndarray, k: int, node: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mix(((code >> _U(8 * (_WIDTH - ORDERS[k]))) * _U(257) + node) * _U(0x9E3779B97F4A7C15) + _U(k))
+def _context(code: np.ndarray, order: int) -> np.ndarray:
+    return code >> _U(8 * (_WIDTH - order))
 
 
 def _stretch(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -104,243 +108,277 @@ def _bucket(x: np.ndarray) -> np.ndarray:
     return np.rint((np.clip(x, -_LIMIT, _LIMIT) + _LIMIT) * (_BUCKETS - 1) / (2 * _LIMIT)).astype(np.int64)
 
 
-def _gate(levels: list[np.ndarray]) -> np.ndarray:
+def _cells(levels: list[np.ndarray]) -> list[np.ndarray]:
+    """Places of the weights that the predictions use."""
     gate = np.zeros(len(levels[0]), dtype=np.int64)
     for k, level in enumerate(levels):
         gate[level > 0] = k + 1
-    return gate
+    return [((gate * len(ORDERS) + k) * _LEVELS + level).astype(np.int16) for k, level in enumerate(levels)]
 
 
-def _cells(levels: list[np.ndarray]) -> list[np.ndarray]:
-    """Places of the weights that the predictions use."""
-    gate = _gate(levels)
-    return [(gate * len(ORDERS) + k) * _LEVELS + level for k, level in enumerate(levels)]
+Shared = dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]
 
 
-@dataclass
-class Model:
-    """Tables of slots (tag, level, prediction), weights and refinement."""
+class Counts:
+    """How the next bit fell after every context of some runs, from all runs of these contexts.
 
-    slots: list[np.ndarray]
-    weights: np.ndarray
-    refined: np.ndarray
-    words: np.ndarray = field(default_factory=lambda: np.zeros(0, _U))
-    word_logs: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    `shared` has, for contexts that other parts hold too, the zeros and ones of all parts by the bits already known.
+    """
 
-    def bits_of(self, code: np.ndarray) -> np.ndarray:
-        """Bits that the predicted byte of each run costs."""
-        out = np.zeros(len(code))
+    def __init__(self, code: np.ndarray, n: np.ndarray, shared: Shared | None = None):
+        self.code, self.n, self.shared = code, n.astype(np.float64), shared or {}
+        # Sorted by context and predicted byte, runs that agree in a context and in the first bits lie together.
+        self.orders = [np.argsort(_context(code, order) << _U(8) | code & _U(0xFF), kind="stable") for order in ORDERS]
+
+    def of_bit(self, j: int) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Bit j of each run, the bits before, and zeros and ones after each order's context."""
+        bit, node = _bits(self.code, j)
+        found = []
+        for order, by in zip(ORDERS, self.orders, strict=True):
+            context, own = _context(self.code, order)[by], node[by]
+            first = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (own[1:] != own[:-1])][: len(by)])
+            spread = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(by)]))
+            weight, one = self.n[by], bit[by].astype(np.float64)
+            both = np.empty((2, len(by)))
+            for row, value in zip(both, (weight * (1 - one), weight * one), strict=True):
+                if len(first):
+                    row[by] = np.add.reduceat(value, first)[spread]
+            for (k, c), (zeros, ones) in self.shared.items():
+                if k == order:
+                    at = by[np.searchsorted(context, _U(c), "left") : np.searchsorted(context, _U(c), "right")]
+                    both[0, at], both[1, at] = zeros[node[at]], ones[node[at]]
+            found.append((both[0], both[1]))
+        return bit, node, found
+
+    def predictions(self, left_out: bool) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]]:
+        """For each bit: bit, node, levels and predictions, without the occurrence itself where it is left out."""
         for j in range(8):
-            bit, node = _bits(code, j)
+            bit, node, found = self.of_bit(j)
             levels, stretches = [], []
-            for k, table in enumerate(self.slots):
-                hashed = _hashed(code, k, node)
-                found = table[(hashed >> _U(64 - SLOT_BITS[k])).astype(np.int64)]
-                hit = (found >> np.uint32(16)) == (hashed & _U(0xFFFF)).astype(np.uint32)
-                levels.append(np.where(hit, (found >> np.uint32(12)) & np.uint32(15), 0).astype(np.int64))
-                stretches.append(np.where(hit, (found & np.uint32(4095)).astype(np.float64) * (2 * _LIMIT / 4095) - _LIMIT, 0.0))
-            x = sum(self.weights[cell] * s for cell, s in zip(_cells(levels), stretches))
-            out -= np.log2(self.chance(x, node, bit))
-        return out
-
-    def chance(self, x: np.ndarray, node: np.ndarray, bit: np.ndarray) -> np.ndarray:
-        one = (_squash(np.clip(x, -_LIMIT, _LIMIT)) + self.refined[node.astype(np.int64) * _BUCKETS + _bucket(x)]) / 2
-        one = np.clip(one, _LEAST, 1 - _LEAST)
-        return np.where(bit == 1, one, 1 - one)
-
+            for zeros, ones in found:
+                if left_out:
+                    zeros, ones = np.maximum(zeros - (1 - bit.astype(np.float64)), 0), np.maximum(ones - bit, 0)
+                levels.append(_confidence(zeros + ones))
+                stretches.append(np.where(zeros + ones > 0, _stretch(zeros, ones), 0.0))
+            yield bit, node, levels, stretches
 
-def _left_out(code: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]]:
-    """For each bit: bit, node, levels and predictions from the counts of these runs without the occurrence itself."""
-    for j in range(8):
-        bit, node = _bits(code, j)
-        levels, stretches = [], []
-        for k in range(len(ORDERS)):
-            _, which = np.unique(_hashed(code, k, node), return_inverse=True)
-            ones = np.bincount(which, weights=n * bit)[which]
-            zeros = np.bincount(which, weights=n * (1 - bit.astype(np.int64)))[which]
-            ones, zeros = ones - bit, zeros - (1 - bit.astype(np.float64))
-            levels.append(_confidence(ones + zeros))
-            stretches.append(np.where(ones + zeros > 0, _stretch(zeros, ones), 0.0))
-        yield bit, node, levels, stretches
 
-
-def learned_weights(code: np.ndarray, n: np.ndarray) -> np.ndarray:
+def learned_weights(counts: Counts) -> np.ndarray:
     """Weights after going down the gradient of the coding cost, run by run in steps, with the bits of a byte in turn."""
-    size = _GATES * len(ORDERS) * _LEVELS
-    weights = np.full(size, 0.3)
-    seen = [(b, _cells(levels), stretches) for b, _, levels, stretches in _left_out(code, n)]
-    order = np.random.default_rng(len(code)).permutation(len(code))
+    weights = np.full(_SIZE, 0.3)
+    train = np.flatnonzero(counts.n)
+    seen = [
+        (bit[train], [c[train] for c in _cells(levels)], [s[train].astype(np.float32) for s in stretches])
+        for bit, _, levels, stretches in counts.predictions(left_out=True)
+    ]
+    order = np.random.default_rng(len(train)).permutation(len(train))
     for _ in range(PASSES):
         for a in range(0, len(order), STEP):
             at = order[a : a + STEP]
-            share = n[at]
+            share = counts.n[train[at]]
             for bit, cells, stretches in seen:
                 x = sum(weights[cell[at]] * s[at] for cell, s in zip(cells, stretches))
                 wrong = (bit[at] - _squash(x)) * share
                 for cell, s in zip(cells, stretches):
-                    total = np.bincount(cell[at], weights=share * (np.abs(s[at]) + 0.1), minlength=size)
-                    weights += RATE * np.bincount(cell[at], weights=wrong * s[at], minlength=size) / np.maximum(total, 1e-9)
+                    total = np.bincount(cell[at], weights=share * (np.abs(s[at]) + 0.1), minlength=_SIZE)
+                    weights += RATE * np.bincount(cell[at], weights=wrong * s[at], minlength=_SIZE) / np.maximum(total, 1e-9)
     return weights
 
 
-def slot_counts(code: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each context with the bits known, and how often the next bit was 0 and 1."""
-    hashes, zeros, ones = [], [], []
-    for j in range(8):
-        bit, node = _bits(code, j)
-        own, which = np.unique(_hashed(code, k, node), return_inverse=True)
-        hashes.append(own)
-        ones.append(np.bincount(which, weights=n * bit, minlength=len(own)))
-        zeros.append(np.bincount(which, weights=n * (1 - bit.astype(np.int64)), minlength=len(own)))
-    return np.concatenate(hashes), np.concatenate(zeros), np.concatenate(ones)
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """`kind, key, n`: words (0) and runs of 6 bytes (1) of training texts, and the number of texts (2)."""
-    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {0: [], 1: []}
-
-    def out(kind: int) -> Iterator[pa.RecordBatch]:
-        if held[kind]:
-            keys, which = np.unique(np.concatenate([k for k, _ in held[kind]]), return_inverse=True)
-            n = np.bincount(which, weights=np.concatenate([c for _, c in held[kind]])).astype(np.int64)
-            held[kind] = []
-            for a in range(0, len(keys), 1 << 16):
-                part = keys[a : a + (1 << 16)].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind), pa.int32()), pa.array(part), pa.array(n[a : a + (1 << 16)])], names=["kind", "key", "n"])
-
-    texts = 0
+def refinement_counts(counts: Counts, weights: np.ndarray) -> np.ndarray:
+    """Zeros and ones of training bits by the bits already known and the bucket of the mixed prediction."""
+    hits = np.zeros((2, 256 * _BUCKETS))
+    train = counts.n > 0
+    for bit, node, levels, stretches in counts.predictions(left_out=True):
+        x = sum(weights[cell] * s for cell, s in zip(_cells(levels), stretches))
+        place = node.astype(np.int64) * _BUCKETS + _bucket(x)
+        for b in (0, 1):
+            own = train & (bit == b)
+            hits[b] += np.bincount(place[own], weights=counts.n[own], minlength=hits.shape[1])
+    return hits
+
+
+def untrained() -> np.ndarray:
+    """The refinement that changes nothing."""
+    return np.tile(_squash(np.linspace(-_LIMIT, _LIMIT, _BUCKETS)), 256)
+
+
+@dataclass
+class Model:
+    """What is learned for all contexts alike: weights and refinement."""
+
+    weights: np.ndarray
+    refined: np.ndarray
+
+    def bits_of(self, counts: Counts) -> np.ndarray:
+        """Bits that the predicted byte of each run costs."""
+        out = np.zeros(len(counts.code))
+        for bit, node, levels, stretches in counts.predictions(left_out=False):
+            x = sum(self.weights[cell] * s for cell, s in zip(_cells(levels), stretches))
+            one = (_squash(np.clip(x, -_LIMIT, _LIMIT)) + self.refined[node.astype(np.int64) * _BUCKETS + _bucket(x)]) / 2
+            one = np.clip(one, _LEAST, 1 - _LEAST)
+            out -= np.log2(np.where(bit == 1, one, 1 - one))
+        return out
+
+
+# What bundles send and get
+
+
+def _distinct(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often training texts have them."""
+    which, own = pd.factorize(keys)
+    n = np.bincount(which, weights=train, minlength=len(own))
+    order = np.argsort(own)
+    return own[order], n[order]
+
+
+def _keys(bundle: Bundle) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts [first, last) with their runs, where each text's runs begin, their word hashes, and the first word of each."""
+    for first, last in runs(bundle.offsets):
+        part, at = bundle.data[bundle.offsets[first] : bundle.offsets[last]], bundle.offsets[first : last + 1] - bundle.offsets[first]
+        starts, ends, bounds = word_spans(part, at)
+        yield first, last, *blocks(part, at), word_hashes(part, starts, ends), bounds
+
+
+def _both(bundle: Bundle) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct runs and words of a bundle with their counts in training texts."""
+    held: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
+    for first, last, code, begin, words, bounds in _keys(bundle):
+        train = ~bundle.flags[first:last]
+        held[0].append(_distinct(code, np.repeat(train, np.diff(begin))))
+        held[1].append(_distinct(words, np.repeat(train, np.diff(bounds))))
+    out = []
+    for parts in held:
+        keys, n = (np.concatenate([np.zeros(0, kind), *[p[k] for p in parts]]) for k, kind in ((0, _U), (1, np.float64)))
+        out.append(_distinct(keys, n))
+    return out
+
+
+_ASKED = {"kind": pa.int32(), "part": pa.int64(), "bundle": pa.int64(), "keys": pa.binary(), "n": pa.binary()}
+_MERGED = {**_ASKED, "total": pa.int64(), "distinct": pa.int64()}
+_ASKED_SQL = "kind int, part long, bundle long, keys binary, n binary"
+
+
+def _asker(ends: np.ndarray, word_bits: int):
+    """What bundles ask: their runs (kind 0), in parts by number, and words (kind 1), in parts by hash."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bundle in opened(batches):
+            name, rows = bundle.row["bundle"].as_py(), []
+            (code, n), (words, m) = _both(bundle)
+            for kind, keys, counts, parts in ((0, code, n, np.searchsorted(ends, code, "right")), (1, words, m, words >> _U(64 - word_bits))):
+                rows += [(kind, p, name, steps(keys[a:b], "<u8"), planes(counts[a:b], "<u4")) for p, a, b in slices(parts)]
+            yield batch_of(rows, _ASKED)
+
+    return ask
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    """A part's keys with their counts (kind 0), or the counts of each bundle's words (kind 1) and their sums (kind 2)."""
+    kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
+    own = [from_steps(body, "<u8") for body in table.column("keys").to_pylist()]
+    counts = [from_planes(body, "<u4") for body in table.column("n").to_pylist()]
+    keys, n = _distinct(np.concatenate(own), np.concatenate(counts))
+    if kind == 0:
+        return table_of([(0, part, None, steps(keys, "<u8"), planes(n, "<u8"), None, None)], _MERGED)
+    rows = [(1, part, bundle, None, planes(n[np.searchsorted(keys, k)], "<u8"), None, None) for bundle, k in zip(table.column("bundle").to_pylist(), own, strict=True)]
+    return table_of([*rows, (2, part, None, None, None, int(n.sum()), int((n > 0).sum()))], _MERGED)
+
+
+def _opened_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Counts]]:
     for batch in batches:
-        data, offsets = text_bytes(batch.column("text"))
-        texts += len(offsets) - 1
-        for a, b in runs(offsets):
-            part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-            starts, ends, _ = word_spans(part, at)
-            held[0].append(np.unique(word_hashes(part, starts, ends), return_counts=True))
-            held[1].append(np.unique(blocks(part, at)[0], return_counts=True))
-            for kind in (0, 1):
-                if sum(len(k) for k, _ in held[kind]) > HELD:
-                    yield from out(kind)
-    for kind in (0, 1):
-        yield from out(kind)
-    yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([0], pa.int64()), pa.array([texts], pa.int64())], names=["kind", "key", "n"])
-
-
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    held: list[pa.RecordBatch] = []
+        for row in batch.to_pylist():
+            shared: Shared = {}
+            for x in row.get("shared") or []:
+                zeros, ones = shared.setdefault((x["k"], x["context"]), (np.zeros(256), np.zeros(256)))
+                zeros[x["node"]], ones[x["node"]] = x["zeros"], x["ones"]
+            yield row["part"], Counts(from_steps(row["keys"], "<u8"), from_planes(row["n"], "<u8"), shared)
+
+
+_EDGE = {"part": pa.int64(), "k": pa.int32(), "context": pa.int64(), "node": pa.int32(), "zeros": pa.float64(), "ones": pa.float64()}
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of the first and the last context of each order in a part."""
     for batch in batches:
-        held.append(batch)
-        if sum(len(b) for b in held) >= SLICE:
-            yield _columns(held)
-            held = []
-    if held:
-        yield _columns(held)
-
-
-def _columns(held: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-    table = pa.Table.from_batches(held)
-    return table.column("key").to_numpy().view(_U), table.column("n").to_numpy().astype(np.float64)
-
-
-_ENTRY = np.dtype([("slot", "<u2"), ("tag", "<u2"), ("zeros", "<u4"), ("ones", "<u4")])
-
-
-def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Strips of counts for the tables (kind 0), and weights with the count they stand for (kind 1)."""
-    names = ["kind", "k", "strip", "body", "weights", "n"]
-    for code, n in _slices(batches):
-        for k in range(len(ORDERS)):
-            hashes, zeros, ones = slot_counts(code, n, k)
-            slots = (hashes >> _U(64 - SLOT_BITS[k])).astype(np.int64)
-            order = np.argsort(slots, kind="stable")
-            rows = np.zeros(len(order), dtype=_ENTRY)
-            rows["slot"] = (slots & ((1 << _STRIP_BITS) - 1))[order]
-            rows["tag"] = (hashes & _U(0xFFFF))[order]
-            rows["zeros"], rows["ones"] = np.minimum(zeros, 2**32 - 1)[order], np.minimum(ones, 2**32 - 1)[order]
-            strips, first = np.unique(slots[order] >> _STRIP_BITS, return_index=True)
-            bodies = [rows[a:b].tobytes() for a, b in zip(first, np.r_[first[1:], len(rows)])]
-            m = len(strips)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(m), pa.int32()), pa.array(np.full(m, k), pa.int32()), pa.array(strips, pa.int32()), pa.array(bodies, pa.binary()), pa.nulls(m, pa.list_(pa.float64())), pa.nulls(m, pa.float64())],
-                names=names,
-            )
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([1], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([learned_weights(code, n)], pa.list_(pa.float64())), pa.array([n.sum()])],
-            names=names,
-        )
-
-
-def _filled(strip: pd.DataFrame) -> pd.DataFrame:
-    """One strip of a table: the most frequent context of each slot."""
-    rows = np.frombuffer(b"".join(strip["body"].sort_values()), dtype=_ENTRY)
-    own, which = np.unique(rows["slot"].astype(np.uint32) << np.uint32(16) | rows["tag"], return_inverse=True)
-    zeros, ones = np.bincount(which, weights=rows["zeros"]), np.bincount(which, weights=rows["ones"])
-    order = np.lexsort((own, -(zeros + ones), own >> 16))
-    slots = own[order] >> 16
-    best = order[np.r_[True, slots[1:] != slots[:-1]]]
-    level = _confidence((zeros + ones)[best]).astype(np.uint32)
-    value = np.rint((_stretch(zeros[best], ones[best]) + _LIMIT) * 4095 / (2 * _LIMIT)).astype(np.uint32)
-    table = np.zeros(1 << _STRIP_BITS, dtype=np.uint32)
-    table[own[best] >> 16] = (own[best] & np.uint32(0xFFFF)) << np.uint32(16) | level << np.uint32(12) | value
-    return pd.DataFrame({"k": [strip["k"].iloc[0]], "strip": [strip["strip"].iloc[0]], "table": [zlib.compress(table.tobytes(), 1)]})
-
-
-def train(counts: DataFrame) -> Model:
-    """The model from counted runs `key, n`; without any, every bit is a coin's throw."""
-    ordered = stored(counts.repartitionByRange("key").sortWithinPartitions("key"), "runs")
-    # Rows of a sorted table, read in the order of a file, keep contexts together; a file is one slice or more.
-    learned = stored(ordered.mapInArrow(_learn, "kind int, k int, strip int, body binary, weights array<double>, n double"), "learned")
-    strips = learned.where("kind = 0").select("k", "strip", "body").groupBy("k", "strip").applyInPandas(_filled, "k int, strip int, table binary")
-    slots = [np.zeros(1 << bits, dtype=np.uint32) for bits in SLOT_BITS]
-    for row in strips.collect():  # the tables' fixed size in all
-        a = row["strip"] << _STRIP_BITS
-        slots[row["k"]][a : a + (1 << _STRIP_BITS)] = np.frombuffer(zlib.decompress(row["table"]), dtype=np.uint32)
-    size = _GATES * len(ORDERS) * _LEVELS
-    weights = np.full(size, 0.3)
-    each = learned.where("kind = 1").select(F.posexplode("weights").alias("at", "w"), "n")
-    for row in each.groupBy("at").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")).collect():  # one row for each weight
+        rows = []
+        for row in batch.to_pylist():
+            code, n = from_steps(row["keys"], "<u8"), from_planes(row["n"], "<u8").astype(np.float64)
+            for order in ORDERS:
+                context = _context(code, order)
+                for c in np.unique(context[[0, -1]]):
+                    own = slice(np.searchsorted(context, c, "left"), np.searchsorted(context, c, "right"))
+                    for j in range(8):
+                        bit, node = _bits(code[own], j)
+                        sums = [np.bincount(node.astype(np.int64), weights=n[own] * (bit == b), minlength=256) for b in (0, 1)]
+                        rows += [(row["part"], order, int(c), int(x), sums[0][x], sums[1][x]) for x in np.unique(node)]
+        yield batch_of(rows, _EDGE)
+
+
+def _with_shared(parts: DataFrame) -> DataFrame:
+    """The parts with the whole counts of contexts that lie in several of them."""
+    edges = stored(parts.select("part", "keys", "n").mapInArrow(_edges, "part long, k int, context long, node int, zeros double, ones double"), "edges")
+    holders = edges.select("part", "k", "context").distinct()
+    several = holders.groupBy("k", "context").agg(F.count("*").alias("parts")).where("parts > 1").select("k", "context")
+    sums = edges.join(several, ["k", "context"], "left_semi").groupBy("k", "context", "node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+    # At most one context of each order at either end of a part, with at most 255 beginnings of a byte.
+    shared = holders.join(sums, ["k", "context"]).groupBy("part").agg(F.collect_list(F.struct("k", "context", "node", "zeros", "ones")).alias("shared"))
+    return stored(parts.select("part", "keys", "n").join(shared, "part", "left"), "parts")
+
+
+def train(parts: DataFrame) -> Model:
+    """Weights and refinement from `parts(part, keys, n, shared)`; without training runs, every bit is a coin's throw."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, counts in _opened_parts(batches):
+            if counts.n.any():
+                weights = learned_weights(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(_SIZE)), pa.array(weights), pa.array(np.full(_SIZE, counts.n.sum()))], names=["at", "w", "n"])
+
+    weights = np.full(_SIZE, 0.3)
+    each = parts.mapInArrow(learn, "at long, w double, n double").groupBy("at").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w"))
+    for row in each.collect():  # one row for each weight
         weights[row["at"]] = row["w"]
-    sent = counts.sparkSession.sparkContext.broadcast(weights)
+    sent = parts.sparkSession.sparkContext.broadcast(weights)
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = np.zeros((2, 256 * _BUCKETS))
-        for code, n in _slices(batches):
-            for bit, node, levels, stretches in _left_out(code, n):
-                x = sum(sent.value[cell] * s for cell, s in zip(_cells(levels), stretches))
-                place = node.astype(np.int64) * _BUCKETS + _bucket(x)
-                for b in (0, 1):
-                    hits[b] += np.bincount(place[bit == b], weights=n[bit == b], minlength=hits.shape[1])
+        for _, counts in _opened_parts(batches):
+            hits += refinement_counts(counts, sent.value)
         some = np.flatnonzero(hits.sum(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(hits[0][some]), pa.array(hits[1][some])], names=["at", "zeros", "ones"])
 
-    middle = _squash(np.linspace(-_LIMIT, _LIMIT, _BUCKETS))
-    refined = np.tile(middle, 256)
-    found = ordered.mapInArrow(refine, "at long, zeros double, ones double").groupBy("at").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+    refined = untrained()
+    found = parts.mapInArrow(refine, "at long, zeros double, ones double").groupBy("at").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     for row in found.collect():  # at most 256 x 33 rows
         refined[row["at"]] = (row["ones"] + 8 * refined[row["at"]]) / (row["zeros"] + row["ones"] + 8)
-    return Model(slots, weights, refined)
+    return Model(weights, refined)
+
+
+_ANSWER = {"bundle": pa.int64(), "kind": pa.int32(), "part": pa.int64(), "body": pa.binary()}
+
 
+def _answers(asked: pa.Table, costs: pa.Table) -> pa.Table:
+    code = from_steps(costs.column("keys")[0].as_py(), "<u8")
+    cost = from_planes(costs.column("cost")[0].as_py(), "<u4")
+    rows = zip(asked.column("bundle").to_pylist(), asked.column("part").to_pylist(), asked.column("keys").to_pylist(), strict=True)
+    return table_of([(bundle, 0, part, planes(cost[np.searchsorted(code, from_steps(keys, "<u8"))], "<u4")) for bundle, part, keys in rows], _ANSWER)
 
-class Scorer:
-    """Bits of texts; distinct runs are computed once and kept in a table with one place for each hash."""
 
-    def __init__(self, model: Model):
-        self.model = model
-        self.codes = np.full(1 << REMEMBERED_BITS, np.iinfo(_U).max, dtype=_U)
-        self.costs = np.zeros(1 << REMEMBERED_BITS)
+def _part_ends(bundles: DataFrame, n_bundles: int) -> np.ndarray:
+    """First run of every part but the first: quantiles of a sample of runs, of SAMPLE_BUNDLES bundles or so."""
 
-    def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        code, begin = blocks(data, offsets)
-        with np.errstate(over="ignore"):
-            place = ((code * _U(0x9E3779B97F4A7C15)) >> _U(64 - REMEMBERED_BITS)).astype(np.int64)
-        cost = self.costs[place]
-        missed = np.flatnonzero(self.codes[place] != code)
-        if len(missed):
-            new, sample, which = np.unique(code[missed], return_index=True, return_inverse=True)
-            found = np.concatenate([self.model.bits_of(new[a : a + SLICE]) for a in range(0, len(new), SLICE)])
-            cost[missed] = found[which]
-            at = place[missed][sample]
-            self.codes[at], self.costs[at] = new, found
-        return np.add.reduceat(cost, begin[:-1])
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bundle in opened(batches):
+            code = _both(bundle)[0][0]
+            code = code[mix(code * _U(0x9E3779B97F4A7C15)) >> _U(64 - SAMPLE_BITS) == 0]
+            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64))], names=["code"])
+
+    some = bundles.where(F.pmod(F.xxhash64("bundle"), F.lit(max(1, n_bundles))) < SAMPLE_BUNDLES).select(*COLUMNS)
+    found = np.sort(some.mapInArrow(sample, "code long").toArrow().column("code").to_numpy().view(_U))
+    entries = len(found) * (1 << SAMPLE_BITS) * max(1, n_bundles / SAMPLE_BUNDLES)
+    parts = max(PARTS, int(entries // PART_ENTRIES))
+    return np.unique(found[(np.arange(1, parts) * len(found)) // parts]) if len(found) else found
 
 
 def train_and_score(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -349,75 +387,64 @@ def train_and_score(docs: DataFrame, held_out: Column) -> DataFrame:
     Rows where `held_out` is true are only scored; null counts as false. A null or empty text has one token and one byte,
     the end. Repeated rows are learned from, and scored, as often as they come. Without training rows every bit costs one.
     """
-    rows = small_batches(docs).select(F.col("doc_id").cast("long"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    counted = rows.where(~F.col("held_out")).select("text").mapInArrow(_counted, "kind int, key long, n long")
-    counts = stored(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    vocabulary = counts.where("kind = 0").select("key", "n")
-    texts, n_words, v_words = counts.agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, x)), F.lit(0)) for k, x in ((2, F.col("n")), (0, F.col("n")), (0, F.lit(1)))]).first()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("flag"))
+    bundles = bundled(rows)
+    n_bundles, n_bytes, held, every = bundles.agg(F.count("*"), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_bytes", "n_flagged")], F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()
+    texts = every - held
+    word_bits = max(5, (n_bytes // PART_WORDS // 16).bit_length())
+    asker = _asker(_part_ends(bundles, n_bundles), word_bits)
+    asked = stored(bundles.select(*COLUMNS).mapInArrow(asker, _ASKED_SQL), "asked", ("kind",))
+    merged = stored(asked.groupBy("kind", "part").applyInArrow(_merged, _ASKED_SQL + ", total long, distinct long"), "merged", ("kind",))
+    n_words, v_words = merged.where("kind = 2").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "distinct")]).first()
     total, distinct = n_words + texts, v_words + (texts > 0)
-    model = train(counts.where("kind = 1").select("key", "n"))
-
-    # Of the words as many as TOP_WORDS allows travel with the model: all from some count on.
-    least, seen = 1 << 62, 0
-    for row in vocabulary.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect():  # n counts take n^2 / 2 words at least
-        seen += row["words"]
-        if seen > TOP_WORDS:
-            break
-        least = row["n"]
-    top = vocabulary.where(F.col("n") >= least).toArrow()
-    keys, found = top.column("key").to_numpy().view(_U), top.column("n").to_numpy()
-    order = np.argsort(keys)
-    model.words, model.word_logs = keys[order], np.log10(found[order] + 1.0)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    parts = _with_shared(merged.where("kind = 0"))
+    sent = docs.sparkSession.sparkContext.broadcast(train(parts))
+
+    def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, counts in _opened_parts(batches):
+            bits = np.rint(sent.value.bits_of(counts) * _FINE)
+            yield batch_of([(part, steps(counts.code, "<u8"), planes(bits, "<u4"))], {"part": pa.int64(), "keys": pa.binary(), "cost": pa.binary()})
+
+    costs = stored(parts.mapInArrow(cost, "part long, keys binary, cost binary"), "costs")
+    runs_asked = asked.where("kind = 0").select("part", "bundle", "keys")
+    answers = runs_asked.groupBy("part").cogroup(costs.groupBy("part")).applyInArrow(_answers, "bundle long, kind int, part long, body binary")
+    words = merged.where("kind = 1").select("bundle", "kind", "part", F.col("n").alias("body"))
+    told = answers.unionByName(words).groupBy("bundle").agg(F.collect_list(F.struct("kind", "part", "body")).alias("told"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        scorer = Scorer(model)
-        for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            for a, b in runs(offsets):
-                part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                starts, ends, bounds = word_spans(part, at)
-                hashes = word_hashes(part, starts, ends)
-                own, which = np.unique(hashes, return_inverse=True)
-                place = np.minimum(np.searchsorted(model.words, own), max(len(model.words) - 1, 0))
-                known = (model.words[place] == own) if len(model.words) else np.zeros(len(own), dtype=bool)
-                logs = np.zeros(len(own))
-                logs[known] = model.word_logs[place[known]]
-                sums = np.r_[0, np.cumsum(known[which])]
-                log_sums = [float(logs[which[x:y]].sum()) for x, y in zip(bounds[:-1], bounds[1:])]
-                rare = [np.sort(hashes[x:y][~known[which[x:y]]]) for x, y in zip(bounds[:-1], bounds[1:])]
-                bits = scorer.bits(part, at)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id")[a:b], batch.column("held_out")[a:b], pa.array(np.diff(bounds) + 1, pa.int64()), pa.array(np.diff(sums[bounds]), pa.int64()),
-                        pa.array(log_sums, pa.float64()), pa.array([r.view(np.int64) for r in rare], pa.list_(pa.int64())), pa.array(bits), pa.array(np.diff(at), pa.int64()),
-                    ],
-                    names=["doc_id", "held_out", "n_tokens", "known", "logs", "rare", "bits", "n_bytes"],
-                )
-
-    schema = "doc_id long, held_out boolean, n_tokens long, known long, logs double, rare array<long>, bits double, n_bytes long"
-    # Rows with the same rare words share their sums, whatever else they hold.
-    scored = stored(rows.mapInArrow(score, schema).withColumn("rare_key", F.when(F.size("rare") > 0, F.xxhash64("rare"))), "scored")
-    copies = scored.where("rare_key IS NOT NULL").groupBy("rare_key").agg(F.count("*").alias("copies"))
-    words = scored.select("rare_key", F.explode("rare").alias("key")).groupBy("rare_key", "key").agg(F.count("*").alias("m"))
-    sums = words.join(vocabulary.where(F.col("n") < least), "key").groupBy("rare_key").agg(
-        F.sum("m").alias("rare_known"), F.sum(F.col("m") * F.log10(F.col("n") + 1.0)).alias("rare_logs")
+        for bundle in opened(batches):
+            (code, _), (words, _) = _both(bundle)
+            told = sorted((x["kind"], x["part"], x["body"]) for x in bundle.row["told"].as_py())
+            bits, n = (np.concatenate([np.zeros(0), *[from_planes(body, kind) for k, _, body in told if k == which]]) for which, kind in ((0, "<u4"), (1, "<u8")))
+            logs = np.log10(n + 1)
+            for first, last, own, begin, hashes, bounds in _keys(bundle):
+                which, different = pd.factorize(own)
+                spent = np.add.reduceat(bits[np.searchsorted(code, different)][which], begin[:-1]) / _FINE
+                at = np.searchsorted(words, hashes)
+                known, log = (np.r_[0, np.cumsum(x[at])][bounds] for x in ((n > 0).astype(np.int64), logs))
+                columns = {
+                    "doc_id": bundle.row["ids"].values[first:last],
+                    "held_out": pa.array(bundle.flags[first:last]),
+                    "n_tokens": pa.array(np.diff(bounds) + 1, pa.int64()),
+                    "known": pa.array(np.diff(known), pa.int64()),
+                    "logs": pa.array(np.diff(log)),
+                    "bits": pa.array(spent),
+                    "n_bytes": pa.array(np.diff(bundle.offsets[first : last + 1]), pa.int64()),
+                }
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    scored = bundles.join(told, "bundle").select(*COLUMNS, "told").mapInArrow(
+        score, "doc_id long, held_out boolean, n_tokens long, known long, logs double, bits double, n_bytes long"
     )
-    per_text = copies.join(sums, "rare_key").select("rare_key", (F.col("rare_known") / F.col("copies")).cast("long").alias("rare_known"), (F.col("rare_logs") / F.col("copies")).alias("rare_logs"))
-    # Rows without rare words meet nothing; keys of their own keep them from meeting in one task.
-    keyed = scored.withColumns({"has_rare": F.col("rare_key").isNotNull(), "spread": F.coalesce("rare_key", F.xxhash64("doc_id", "bits", "logs"))})
-    sums_of = per_text.select(F.lit(True).alias("has_rare"), F.col("rare_key").alias("spread"), "rare_known", "rare_logs")
-    zero = F.lit(0)
     end_log = float(np.log10(texts + 1.0))
     room = float(np.log10(total + distinct + 1.0))
-    return keyed.join(sums_of, ["has_rare", "spread"], "left").select(
+    return scored.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", zero) + int(texts > 0)).cast("long").alias("n_known"),
+        (F.col("known") + int(texts > 0)).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) + end_log - F.col("n_tokens") * room).alias("base_score"),
+        (F.col("logs") + end_log - F.col("n_tokens") * room).alias("base_score"),
         (-F.col("bits") * float(np.log10(2))).alias("score"),
         "n_bytes",
         (F.col("bits") / F.greatest(F.col("n_bytes"), F.lit(1))).alias("bits_per_byte"),

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from searchlift.llm import context_mixing, neighbour_vote, repair_tokens, sentence_pieces, stretches
+from searchlift.llm import bundles, context_mixing, neighbour_vote, repair_tokens, sentence_pieces, stretches
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -148,7 +148,7 @@ def scored(docs):
 
 
 def test_scores_on_small_tables(spark, folder, monkeypatch):
-    monkeypatch.setattr(context_mixing, "TOP_WORDS", 300)  # most words go through the join
+    monkeypatch.setattr(bundles, "BUNDLE_BYTES", 20_000)  # words and runs come from many bundles
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     rows = [(r.doc_id, brute.words(r.text)) for r in docs.select("doc_id", "text").collect()]
     train = [(i, w) for i, w in rows if zlib.crc32(str(i).encode()) % 7 != 2]
@@ -166,25 +166,70 @@ def test_scores_on_small_tables(spark, folder, monkeypatch):
     assert 0.5 < bits < 3.2  # order-0 statistics alone need over 4
 
 
+def counted_runs(texts):
+    data = [t.encode() for t in texts]
+    flat = np.frombuffer(b"".join(data), dtype=np.uint8)
+    return Counter(context_mixing.blocks(flat, np.r_[0, np.cumsum([len(d) for d in data])])[0].tolist())
+
+
 def test_a_byte_has_probability_one():
     rng = np.random.default_rng(1)
-    data = np.frombuffer(b"the cat sat on the mat and the rat sat on the cat " * 40, dtype=np.uint8)
-    code, n = np.unique(context_mixing.blocks(data, np.array([0, len(data)]))[0], return_counts=True)
-    weights = context_mixing.learned_weights(code, n.astype(float))
-    slots = []
-    for k, bits in enumerate(context_mixing.SLOT_BITS):
-        table = np.zeros(1 << bits, dtype=np.uint32)
-        hashes, zeros, ones = context_mixing.slot_counts(code, n, k)
-        level = context_mixing._confidence(zeros + ones).astype(np.uint32)
-        value = np.rint((context_mixing._stretch(zeros, ones) + 8) * 4095 / 16).astype(np.uint32)
-        table[(hashes >> np.uint64(64 - bits)).astype(int)] = (hashes & np.uint64(0xFFFF)).astype(np.uint32) << np.uint32(16) | level << np.uint32(12) | value
-        slots.append(table)
-    middle = np.tile(context_mixing._squash(np.linspace(-8, 8, 33)), 256)
-    model = context_mixing.Model(slots, weights, middle)
-    context = rng.choice(code, 5) & ~np.uint64(0xFF)
-    for c in context:
-        assert (2.0 ** -model.bits_of(c | np.arange(256, dtype=np.uint64))).sum() == pytest.approx(1)
-    assert (model.bits_of(code) * n).sum() / len(data) < 1  # and this text is easy
+    text = "the cat sat on the mat and the rat sat on the cat " * 40
+    own = counted_runs([text])
+    some = [c & ~0xFF for c in rng.choice(list(own), 5).tolist()]
+    every = Counter({c | b: 0 for c in some for b in range(256)})
+    every.update(own)
+    code = np.array(sorted(every), dtype=np.uint64)
+    counts = context_mixing.Counts(code, np.array([every[c] for c in code.tolist()]))
+    model = context_mixing.Model(context_mixing.learned_weights(counts), context_mixing.untrained())
+    bits = dict(zip(code.tolist(), model.bits_of(counts), strict=True))
+    for c in some:
+        assert sum(2.0 ** -bits[c | b] for b in range(256)) == pytest.approx(1)
+    assert sum(bits[c] * n for c, n in own.items()) / len(text) < 1  # and this text is easy
+
+
+def plain_counts(own, code, order, j):
+    """Zeros and ones after the context of a run and the first j bits of its byte, counted one by one."""
+    shift = 8 * (6 - order)
+    sums = [0, 0]
+    for other, n in own.items():
+        if other >> shift == code >> shift and (other & 255) >> (8 - j) == (code & 255) >> (8 - j):
+            sums[(other >> (7 - j)) & 1] += n
+    return sums
+
+
+def test_every_context_is_counted_over_all_parts(spark, docs_of, monkeypatch):
+    """The whole model by a plain reading: counts of every context, weights, refinement, and the score of every text."""
+    monkeypatch.setattr(bundles, "BUNDLE_BYTES", 60)
+    monkeypatch.setattr(context_mixing, "PARTS", 6)
+    monkeypatch.setattr(context_mixing, "SAMPLE_BITS", 2)
+    texts = ["abc abd abe", "abc abc", "bcd bca abd é", "", "xyz xya", "aaaa abab"]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    kept = {}
+    original = context_mixing.train
+
+    def train(parts):
+        kept["parts"] = list(context_mixing._opened_parts(parts.toArrow().to_batches()))
+        kept["model"] = original(parts)
+        return kept["model"]
+
+    monkeypatch.setattr(context_mixing, "train", train)
+    got = {r.doc_id: r.score for r in context_mixing.train_and_score(docs_of(rows), F.col("doc_id") == 4).collect()}
+    own = counted_runs([t for k, t in rows if k != 4])
+    assert len(kept["parts"]) > 3 and any(counts.shared for _, counts in kept["parts"])
+    weights = sum(context_mixing.learned_weights(c) * c.n.sum() for _, c in kept["parts"] if c.n.any()) / sum(own.values())
+    assert np.allclose(weights, kept["model"].weights)
+    hits = sum(context_mixing.refinement_counts(c, weights) for _, c in kept["parts"])
+    assert np.allclose(kept["model"].refined, (hits[1] + 8 * context_mixing.untrained()) / (hits.sum(axis=0) + 8))
+    bits = {}
+    for _, counts in kept["parts"]:
+        for j in range(8):
+            for order, (zeros, ones) in zip(context_mixing.ORDERS, counts.of_bit(j)[2], strict=True):
+                for code, *sums in zip(counts.code.tolist(), zeros, ones, strict=True):
+                    assert sums == plain_counts(own, code, order, j)
+        bits.update(zip(counts.code.tolist(), kept["model"].bits_of(counts), strict=True))
+    for k, t in rows:
+        assert got[k] == pytest.approx(-math.log10(2) * sum(bits[c] * n for c, n in counted_runs([t]).items()), rel=1e-4)
 
 
 def test_scores_of_odd_rows(docs_of, odd):
