@@ -66,6 +66,20 @@ class Block:
         return out
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids of symbols. Many of them are put together from the rules' ids, which are unfolded first."""
+        counts = self._sizes(symbols)
+        if len(symbols) <= len(self.rules) or self.lengths.sum() > counts.sum():
+            return self._unfolded(symbols)
+        out = symbols.astype(np.uint32)
+        made = symbols >= self.base
+        if not made.any():
+            return out
+        rule, pool = symbols[made].astype(np.int64) - self.base, self._unfolded(self.rules.ravel())
+        out = np.repeat(out, counts)
+        out[ragged((np.cumsum(counts) - counts)[made], counts[made])] = pool[ragged((np.cumsum(self.lengths) - self.lengths)[rule], counts[made])]
+        return out
+
+    def _unfolded(self, symbols: np.ndarray) -> np.ndarray:
         """The ids of symbols; each round unfolds every rule once, as deep as rules nest."""
         symbols = symbols.astype(np.int64)
         while True:
@@ -107,6 +121,13 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, limit: int) -> tuple[Bl
         cut = np.r_[0, np.flatnonzero(in_order[1:] != in_order[:-1]) + 1]
         counts = np.diff(np.r_[cut, len(in_order)])
         often = np.flatnonzero(counts >= LEAST)
+        if len(often) <= ROUND_PAIRS:
+            seq, last, late = _replace_the_rest(seq, last, in_order[cut[often]], used, limit, bits)
+            for new in late:
+                known = np.concatenate(sizes)
+                rules.append(new)
+                sizes.append(known[new[:, 0].astype(np.int64)] + known[new[:, 1].astype(np.int64)])
+            break
         often = often[np.argsort(-counts[often], kind="stable")][: min(ROUND_PAIRS, limit - used)]
         pairs = in_order[cut[often]]
         # A table tells a pair's rule; of pairs that share a slot the most frequent stays, the others wait for a round.
@@ -141,6 +162,54 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, limit: int) -> tuple[Bl
     return Block(base, table, lengths, seq), begins[:-1] if len(begins) > 1 else begins
 
 
+def _replace_the_rest(seq: np.ndarray, last: np.ndarray, pairs: np.ndarray, used: int, limit: int, bits) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The rounds from where all frequent pairs fit into one: sequence, ends of documents, and the rules of each round.
+
+    From then on a frequent pair always holds a symbol of the round before, so pairs are counted around the places
+    just replaced and nowhere else; neighbours are found by links, and the sequence is closed up once, at the end.
+    """
+    wide = seq.dtype.type
+    n = len(seq)
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    stays = np.ones(n, dtype=bool)
+    marked = np.zeros(_SLOTS, dtype=bool)
+    marked[_slot(pairs)] = True
+    codes = (seq[:-1] << bits) | seq[1:]
+    at = np.flatnonzero(marked[_slot(codes)] & ~last[:-1])
+    at = at[np.isin(codes[at], pairs)]
+    rules = []
+    while len(at) and used < limit:
+        own, which, counts = np.unique((seq[at] << bits) | seq[after[at]], return_inverse=True, return_counts=True)
+        often = np.flatnonzero(counts >= LEAST)
+        often = often[np.argsort(-counts[often], kind="stable")][: limit - used]
+        if not len(often):
+            break
+        symbol = np.zeros(len(own), dtype=wide)
+        symbol[often] = np.arange(used, used + len(often))
+        used += len(often)
+        rules.append(np.stack([own[often] >> bits, own[often] & ((wide(1) << bits) - wide(1))], axis=1))
+        put = symbol[which]
+        at, put = at[put > 0], put[put > 0]
+        taken = _every_second(at, after)
+        at, put = at[taken], put[taken]
+        right = after[at]
+        seq[at], last[at], stays[right] = put, last[right], False
+        after[at] = after[right]
+        behind = after[at] < n
+        before[after[at[behind]]] = at[behind]
+        at = np.unique(np.concatenate([at, before[at]]))
+        at = at[at >= 0]
+        at = at[~last[at] & (after[at] < n)]
+    return seq[stays], last[stays], rules
+
+
+def _every_second(hit: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Of places in a row, whose pairs overlap, every second one from the left."""
+    fresh = np.r_[True, after[hit[:-1]] != hit[1:]][: len(hit)]
+    begin = np.flatnonzero(fresh)
+    return (np.arange(len(hit)) - np.repeat(begin, np.diff(np.r_[begin, len(hit)]))) % 2 == 0
+
+
 def _slot(codes: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         if codes.dtype == np.uint32:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 
 from searchlift.llm.hashing import word_hashes
 
@@ -34,6 +35,17 @@ def runs(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         first = last
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, the first place of each, and which one each place holds; only distinct keys are sorted."""
+    which, own = pd.factorize(keys)
+    sample = np.zeros(len(own), dtype=np.int64)
+    sample[which[::-1]] = np.arange(len(keys) - 1, -1, -1)
+    order = np.argsort(own)
+    rank = np.empty(len(own), dtype=np.int64)
+    rank[order] = np.arange(len(own))
+    return own[order], sample[order], rank[which]
+
+
 class StretchCoder:
     """Codes texts; `breaks` marks the bytes that open a stretch, `code_of(data, starts, ends)` codes stretches."""
 
@@ -55,7 +67,7 @@ class StretchCoder:
         opens[offsets[:-1][np.diff(offsets) > 0]] = True
         starts = np.flatnonzero(opens)
         ends = np.r_[starts[1:], len(data)]
-        hashes, sample, which = np.unique(word_hashes(data, starts, ends, lower=False), return_index=True, return_inverse=True)
+        hashes, sample, which = _distinct(word_hashes(data, starts, ends, lower=False))
         self._learn(data, hashes, starts[sample], ends[sample])
         at = np.searchsorted(self.known, hashes)[which]
         counts = self.counts[at]
