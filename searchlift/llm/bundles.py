@@ -19,52 +19,59 @@ from pyspark.sql import DataFrame
 from searchlift.llm.hashing import text_bytes
 from searchlift.llm.tables import small_batches, stored
 
-#: Bytes of text and rows of a bundle, about; a longer text is a bundle of its own.
-BUNDLE_BYTES = 4 << 20
+#: Rows of a bundle, at most; a text longer than its bytes is a bundle of its own.
 BUNDLE_ROWS = 1 << 14
+_GROUP_BYTES = 16 << 20
 _LEVEL = 3
 _SCHEMA = "bundle long, ids array<long>, flags array<boolean>, sizes array<long>, body binary, n_bytes long, n_flagged long"
 #: What a pass over bundles reads.
 COLUMNS = ("bundle", "ids", "flags", "sizes", "body")
 
 
-def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 32  # fixed once the bundles are written
-    held, rows, size = [], 0, 0
-
-    def bundle() -> pa.RecordBatch:
-        ids, flags = (pa.concat_arrays([part[k] for part in held]) for k in (0, 1))
-        ends = pa.array([0, len(ids)], pa.int32())
-        sizes = np.concatenate([np.diff(at) for _, _, _, at in held])
-        body = pa.Codec("zstd", compression_level=_LEVEL).compress(b"".join(data.tobytes() for _, _, data, _ in held), asbytes=True)
-        flagged = int(np.sum(flags.to_numpy(zero_copy_only=False)))
-        columns = [
-            pa.array([number]), pa.ListArray.from_arrays(ends, ids), pa.ListArray.from_arrays(ends, flags), pa.array([sizes], pa.list_(pa.int64())),
-            pa.array([body], pa.binary()), pa.array([size]), pa.array([flagged]),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["bundle", "ids", "flags", "sizes", "body", "n_bytes", "n_flagged"])
-
-    for batch in batches:
-        data, offsets = text_bytes(batch.column("text"))
-        first = 0
-        while first < batch.num_rows:
-            room = np.searchsorted(offsets, offsets[first] + BUNDLE_BYTES - size, side="left")
-            last = int(min(max(room, first + 1), first + BUNDLE_ROWS - rows, batch.num_rows))
-            ids, flags = (batch.column(name).slice(first, last - first) for name in ("doc_id", "flag"))
-            held.append((ids, flags, data[offsets[first] : offsets[last]], offsets[first : last + 1]))
-            rows, size, first = rows + last - first, size + int(offsets[last] - offsets[first]), last
-            if size >= BUNDLE_BYTES or rows >= BUNDLE_ROWS:
-                yield bundle()
-                number, held, rows, size = number + 1, [], 0, 0
-    if held:
-        yield bundle()
-
-
-def bundled(docs: DataFrame) -> DataFrame:
-    """`docs(doc_id, text, flag)` as stored bundles; a null text is an empty one."""
-    rows = small_batches(docs.select("doc_id", "text", "flag")).mapInArrow(_bundled, _SCHEMA)
-    # Small row groups: a reader holds one whole.
-    return stored(rows, "bundles", options={"parquet.block.size": str(4 * BUNDLE_BYTES)})
+def _bundler(most: int):
+    def bundle_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32  # fixed once the bundles are written
+        held, rows, size = [], 0, 0
+
+        def bundle() -> pa.RecordBatch:
+            ids, flags = (pa.concat_arrays([part[k] for part in held]) for k in (0, 1))
+            ends = pa.array([0, len(ids)], pa.int32())
+            sizes = np.concatenate([np.diff(at) for _, _, _, at in held])
+            body = pa.Codec("zstd", compression_level=_LEVEL).compress(b"".join(data.tobytes() for _, _, data, _ in held), asbytes=True)
+            flagged = int(np.sum(flags.to_numpy(zero_copy_only=False)))
+            columns = [
+                pa.array([number]), pa.ListArray.from_arrays(ends, ids), pa.ListArray.from_arrays(ends, flags), pa.array([sizes], pa.list_(pa.int64())),
+                pa.array([body], pa.binary()), pa.array([size]), pa.array([flagged]),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["bundle", "ids", "flags", "sizes", "body", "n_bytes", "n_flagged"])
+
+        for batch in batches:
+            data, offsets = text_bytes(batch.column("text"))
+            first = 0
+            while first < batch.num_rows:
+                room = np.searchsorted(offsets, offsets[first] + most - size, side="left")
+                last = int(min(max(room, first + 1), first + BUNDLE_ROWS - rows, batch.num_rows))
+                ids, flags = (batch.column(name).slice(first, last - first) for name in ("doc_id", "flag"))
+                held.append((ids, flags, data[offsets[first] : offsets[last]], offsets[first : last + 1]))
+                rows, size, first = rows + last - first, size + int(offsets[last] - offsets[first]), last
+                if size >= most or rows >= BUNDLE_ROWS:
+                    yield bundle()
+                    number, held, rows, size = number + 1, [], 0, 0
+        if held:
+            yield bundle()
+
+    return bundle_up
+
+
+def packed_rows(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """A stored table of few large rows, in small row groups: a writer and a reader hold one whole."""
+    return stored(df, label, by, {"parquet.block.size": str(_GROUP_BYTES)})
+
+
+def bundled(docs: DataFrame, size: int) -> DataFrame:
+    """`docs(doc_id, text, flag)` as stored bundles of about so many bytes; a null text is an empty one."""
+    rows = small_batches(docs.select("doc_id", "text", "flag")).mapInArrow(_bundler(size), _SCHEMA)
+    return packed_rows(rows, "bundles")
 
 
 class Bundle(NamedTuple):

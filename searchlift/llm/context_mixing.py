@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -35,12 +36,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchlift.llm.bundles import COLUMNS, Bundle, batch_of, bundled, from_planes, from_steps, opened, planes, slices, steps, table_of
+from searchlift.llm.bundles import COLUMNS, Bundle, batch_of, bundled, from_planes, from_steps, opened, packed_rows, planes, slices, steps, table_of
 from searchlift.llm.hashing import mix, word_hashes, word_spans
-from searchlift.llm.stretches import ragged, runs
+from searchlift.llm.stretches import ragged
 from searchlift.llm.tables import stored
 
 ORDERS = (1, 2, 3, 4, 5)
+BUNDLE_BYTES = 1 << 20
 END = 0xFF
 #: Distinct runs of all bundles that one part answers for, about; parts at least.
 PART_ENTRIES = 1 << 21
@@ -48,7 +50,7 @@ PARTS = 32
 #: Words of all bundles that one part answers for, about.
 PART_WORDS = 1 << 19
 #: Bundles that the parts' ends are read from, and the share of their runs, as a power of two.
-SAMPLE_BUNDLES = 64
+SAMPLE_BUNDLES = 32
 SAMPLE_BITS = 8
 #: Runs of a step of learning.
 STEP = 1 << 12
@@ -224,34 +226,38 @@ class Model:
 # What bundles send and get
 
 
-def _distinct(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and how often training texts have them."""
-    which, own = pd.factorize(keys)
-    n = np.bincount(which, weights=train, minlength=len(own))
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and which one stands at each place."""
+    at, own = pd.factorize(keys)
     order = np.argsort(own)
-    return own[order], n[order]
+    rank = np.empty(len(own), dtype=np.int64)
+    rank[order] = np.arange(len(own))
+    return own[order], rank[at]
 
 
-def _keys(bundle: Bundle) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Texts [first, last) with their runs, where each text's runs begin, their word hashes, and the first word of each."""
-    for first, last in runs(bundle.offsets):
-        part, at = bundle.data[bundle.offsets[first] : bundle.offsets[last]], bundle.offsets[first : last + 1] - bundle.offsets[first]
-        starts, ends, bounds = word_spans(part, at)
-        yield first, last, *blocks(part, at), word_hashes(part, starts, ends), bounds
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their counts."""
+    own, at = _distinct(np.concatenate(keys))
+    return own, np.bincount(at, weights=np.concatenate(counts), minlength=len(own))
 
 
-def _both(bundle: Bundle) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Distinct runs and words of a bundle with their counts in training texts."""
-    held: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
-    for first, last, code, begin, words, bounds in _keys(bundle):
-        train = ~bundle.flags[first:last]
-        held[0].append(_distinct(code, np.repeat(train, np.diff(begin))))
-        held[1].append(_distinct(words, np.repeat(train, np.diff(bounds))))
-    out = []
-    for parts in held:
-        keys, n = (np.concatenate([np.zeros(0, kind), *[p[k] for p in parts]]) for k, kind in ((0, _U), (1, np.float64)))
-        out.append(_distinct(keys, n))
-    return out
+class _Keys(NamedTuple):
+    """The distinct runs or words of a bundle, which one stands at each place, and where each text's begin."""
+
+    own: np.ndarray
+    at: np.ndarray
+    begin: np.ndarray
+
+    def trained(self, flags: np.ndarray) -> np.ndarray:
+        """How often each stands in training texts."""
+        return np.bincount(self.at, weights=np.repeat(~flags, np.diff(self.begin)), minlength=len(self.own))
+
+
+def _keys(bundle: Bundle) -> tuple[_Keys, _Keys]:
+    """Runs and words of a bundle."""
+    starts, ends, bounds = word_spans(bundle.data, bundle.offsets)
+    code, begin = blocks(bundle.data, bundle.offsets)
+    return _Keys(*_distinct(code), begin), _Keys(*_distinct(word_hashes(bundle.data, starts, ends)), bounds)
 
 
 _ASKED = {"kind": pa.int32(), "part": pa.int64(), "bundle": pa.int64(), "keys": pa.binary(), "n": pa.binary()}
@@ -265,8 +271,11 @@ def _asker(ends: np.ndarray, word_bits: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bundle in opened(batches):
             name, rows = bundle.row["bundle"].as_py(), []
-            (code, n), (words, m) = _both(bundle)
-            for kind, keys, counts, parts in ((0, code, n, np.searchsorted(ends, code, "right")), (1, words, m, words >> _U(64 - word_bits))):
+            code, words = _keys(bundle)
+            for kind, keys, counts, parts in (
+                (0, code.own, code.trained(bundle.flags), np.searchsorted(ends, code.own, "right")),
+                (1, words.own, words.trained(bundle.flags), words.own >> _U(64 - word_bits)),
+            ):
                 rows += [(kind, p, name, steps(keys[a:b], "<u8"), planes(counts[a:b], "<u4")) for p, a, b in slices(parts)]
             yield batch_of(rows, _ASKED)
 
@@ -278,7 +287,7 @@ def _merged(table: pa.Table) -> pa.Table:
     kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
     own = [from_steps(body, "<u8") for body in table.column("keys").to_pylist()]
     counts = [from_planes(body, "<u4") for body in table.column("n").to_pylist()]
-    keys, n = _distinct(np.concatenate(own), np.concatenate(counts))
+    keys, n = _summed(own, counts)
     if kind == 0:
         return table_of([(0, part, None, steps(keys, "<u8"), planes(n, "<u8"), None, None)], _MERGED)
     rows = [(1, part, bundle, None, planes(n[np.searchsorted(keys, k)], "<u8"), None, None) for bundle, k in zip(table.column("bundle").to_pylist(), own, strict=True)]
@@ -323,7 +332,7 @@ def _with_shared(parts: DataFrame) -> DataFrame:
     sums = edges.join(several, ["k", "context"], "left_semi").groupBy("k", "context", "node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     # At most one context of each order at either end of a part, with at most 255 beginnings of a byte.
     shared = holders.join(sums, ["k", "context"]).groupBy("part").agg(F.collect_list(F.struct("k", "context", "node", "zeros", "ones")).alias("shared"))
-    return stored(parts.select("part", "keys", "n").join(shared, "part", "left"), "parts")
+    return packed_rows(parts.select("part", "keys", "n").join(shared, "part", "left"), "parts")
 
 
 def train(parts: DataFrame) -> Model:
@@ -370,7 +379,7 @@ def _part_ends(bundles: DataFrame, n_bundles: int) -> np.ndarray:
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bundle in opened(batches):
-            code = _both(bundle)[0][0]
+            code = _keys(bundle)[0].own
             code = code[mix(code * _U(0x9E3779B97F4A7C15)) >> _U(64 - SAMPLE_BITS) == 0]
             yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64))], names=["code"])
 
@@ -388,13 +397,13 @@ def train_and_score(docs: DataFrame, held_out: Column) -> DataFrame:
     the end. Repeated rows are learned from, and scored, as often as they come. Without training rows every bit costs one.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("flag"))
-    bundles = bundled(rows)
+    bundles = bundled(rows, BUNDLE_BYTES)
     n_bundles, n_bytes, held, every = bundles.agg(F.count("*"), *[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_bytes", "n_flagged")], F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()
     texts = every - held
     word_bits = max(5, (n_bytes // PART_WORDS // 16).bit_length())
     asker = _asker(_part_ends(bundles, n_bundles), word_bits)
-    asked = stored(bundles.select(*COLUMNS).mapInArrow(asker, _ASKED_SQL), "asked", ("kind",))
-    merged = stored(asked.groupBy("kind", "part").applyInArrow(_merged, _ASKED_SQL + ", total long, distinct long"), "merged", ("kind",))
+    asked = packed_rows(bundles.select(*COLUMNS).mapInArrow(asker, _ASKED_SQL), "asked", ("kind",))
+    merged = packed_rows(asked.groupBy("kind", "part").applyInArrow(_merged, _ASKED_SQL + ", total long, distinct long"), "merged", ("kind",))
     n_words, v_words = merged.where("kind = 2").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "distinct")]).first()
     total, distinct = n_words + texts, v_words + (texts > 0)
     parts = _with_shared(merged.where("kind = 0"))
@@ -405,7 +414,7 @@ def train_and_score(docs: DataFrame, held_out: Column) -> DataFrame:
             bits = np.rint(sent.value.bits_of(counts) * _FINE)
             yield batch_of([(part, steps(counts.code, "<u8"), planes(bits, "<u4"))], {"part": pa.int64(), "keys": pa.binary(), "cost": pa.binary()})
 
-    costs = stored(parts.mapInArrow(cost, "part long, keys binary, cost binary"), "costs")
+    costs = packed_rows(parts.mapInArrow(cost, "part long, keys binary, cost binary"), "costs")
     runs_asked = asked.where("kind = 0").select("part", "bundle", "keys")
     answers = runs_asked.groupBy("part").cogroup(costs.groupBy("part")).applyInArrow(_answers, "bundle long, kind int, part long, body binary")
     words = merged.where("kind = 1").select("bundle", "kind", "part", F.col("n").alias("body"))
@@ -413,25 +422,20 @@ def train_and_score(docs: DataFrame, held_out: Column) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bundle in opened(batches):
-            (code, _), (words, _) = _both(bundle)
+            code, words = _keys(bundle)
             told = sorted((x["kind"], x["part"], x["body"]) for x in bundle.row["told"].as_py())
             bits, n = (np.concatenate([np.zeros(0), *[from_planes(body, kind) for k, _, body in told if k == which]]) for which, kind in ((0, "<u4"), (1, "<u8")))
-            logs = np.log10(n + 1)
-            for first, last, own, begin, hashes, bounds in _keys(bundle):
-                which, different = pd.factorize(own)
-                spent = np.add.reduceat(bits[np.searchsorted(code, different)][which], begin[:-1]) / _FINE
-                at = np.searchsorted(words, hashes)
-                known, log = (np.r_[0, np.cumsum(x[at])][bounds] for x in ((n > 0).astype(np.int64), logs))
-                columns = {
-                    "doc_id": bundle.row["ids"].values[first:last],
-                    "held_out": pa.array(bundle.flags[first:last]),
-                    "n_tokens": pa.array(np.diff(bounds) + 1, pa.int64()),
-                    "known": pa.array(np.diff(known), pa.int64()),
-                    "logs": pa.array(np.diff(log)),
-                    "bits": pa.array(spent),
-                    "n_bytes": pa.array(np.diff(bundle.offsets[first : last + 1]), pa.int64()),
-                }
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            known, logs = (np.r_[0, np.cumsum(x[words.at])][words.begin] for x in ((n > 0).astype(np.int64), np.log10(n + 1)))
+            columns = {
+                "doc_id": bundle.row["ids"].values,
+                "held_out": pa.array(bundle.flags),
+                "n_tokens": pa.array(np.diff(words.begin) + 1, pa.int64()),
+                "known": pa.array(np.diff(known), pa.int64()),
+                "logs": pa.array(np.diff(logs)),
+                "bits": pa.array(np.add.reduceat(bits[code.at], code.begin[:-1]) / _FINE),
+                "n_bytes": pa.array(np.diff(bundle.offsets), pa.int64()),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     scored = bundles.join(told, "bundle").select(*COLUMNS, "told").mapInArrow(
         score, "doc_id long, held_out boolean, n_tokens long, known long, logs double, bits double, n_bytes long"

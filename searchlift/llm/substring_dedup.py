@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchlift.llm.bundles import COLUMNS, batch_of, bundled, from_planes, from_steps, opened, planes, slices, steps, table_of
+from searchlift.llm.bundles import COLUMNS, batch_of, bundled, from_planes, from_steps, opened, packed_rows, planes, slices, steps, table_of
 from searchlift.llm.hashing import chunks, mix, run_hashes, word_hashes, word_spans
-from searchlift.llm.tables import stored
 
 WINDOW = 13
+BUNDLE_BYTES = 4 << 20
 #: Entries of one part of the sketch, or of the exact grouping, about.
 PART_ENTRIES = 1 << 20
 #: At least so many parts, as a power of two, for small tables to use many tasks.
@@ -220,20 +220,20 @@ def _bits(entries: int) -> int:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row; `kept` holds the words that stay, joined by single spaces."""
-    bundles = bundled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(False).alias("flag")))
+    bundles = bundled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(False).alias("flag")), BUNDLE_BYTES)
     windows = (bundles.agg(F.sum("n_bytes")).first()[0] or 0) // WORD_BYTES
     bits = min(60, _bits(windows) + SPARE_BITS)
     cell_parts = max(PART_BITS, _bits(windows // PART_ENTRIES), bits - 32)
     bits = max(bits, cell_parts)
     sketches = bundles.select(*COLUMNS).mapInArrow(_sketcher(bits, cell_parts), "part long, bundle long, cells binary")
-    many = stored(sketches.groupBy("part").applyInArrow(_merged, "part long, bundle long, n long, cells binary"), "many")
+    many = packed_rows(sketches.groupBy("part").applyInArrow(_merged, "part long, bundle long, n long, cells binary"), "many")
 
     repeated = many.agg(F.sum("n")).first()[0] or 0
     parts = max(PART_BITS, _bits(repeated // PART_ENTRIES))
     cells = many.groupBy("bundle").agg(F.collect_list(F.struct("part", "cells")).alias("many"))
     asked = bundles.join(cells, "bundle").select(*COLUMNS, "many")
     emitted = asked.mapInArrow(_candidates(bits, cell_parts, parts), "part long, bundle long, " + ", ".join(f"{name} binary" for name in _NAMES))
-    late = stored(emitted.groupBy("part").applyInArrow(_grouped, "bundle long, at binary, least binary"), "late")
+    late = packed_rows(emitted.groupBy("part").applyInArrow(_grouped, "bundle long, at binary, least binary"), "late")
 
     seen = late.groupBy("bundle").agg(F.collect_list(F.struct("at", "least")).alias("seen"))
     judged = bundles.join(seen, "bundle", "left").select(*COLUMNS, "seen")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from searchlift.llm import bundles, context_mixing, neighbour_vote, repair_tokens, sentence_pieces, stretches
+from searchlift.llm import context_mixing, neighbour_vote, repair_tokens, sentence_pieces, stretches
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -148,7 +148,7 @@ def scored(docs):
 
 
 def test_scores_on_small_tables(spark, folder, monkeypatch):
-    monkeypatch.setattr(bundles, "BUNDLE_BYTES", 20_000)  # words and runs come from many bundles
+    monkeypatch.setattr(context_mixing, "BUNDLE_BYTES", 20_000)  # words and runs come from many bundles
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     rows = [(r.doc_id, brute.words(r.text)) for r in docs.select("doc_id", "text").collect()]
     train = [(i, w) for i, w in rows if zlib.crc32(str(i).encode()) % 7 != 2]
@@ -200,7 +200,7 @@ def plain_counts(own, code, order, j):
 
 def test_every_context_is_counted_over_all_parts(spark, docs_of, monkeypatch):
     """The whole model by a plain reading: counts of every context, weights, refinement, and the score of every text."""
-    monkeypatch.setattr(bundles, "BUNDLE_BYTES", 60)
+    monkeypatch.setattr(context_mixing, "BUNDLE_BYTES", 60)
     monkeypatch.setattr(context_mixing, "PARTS", 6)
     monkeypatch.setattr(context_mixing, "SAMPLE_BITS", 2)
     texts = ["abc abd abe", "abc abc", "bcd bca abd é", "", "xyz xya", "aaaa abab"]
