@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import sys
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,17 +28,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least doc_id of each group that links join; of equal rows with one doc_id, one.
-
-    Rows without doc_id, and texts without words, are in no group and stay.
-    """
-    found = ngram_join.jaccard_join(docs)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    numbered = kept.withColumn("__again", F.row_number().over(again))
-    wordless = F.translate(F.coalesce("text", F.lit("")), quality_rules.SPACES, "") == ""
-    return numbered.where((F.col("__again") == 1) | F.col("doc_id").isNull() | wordless).select(*docs.columns)
+    """Keeps one document of each group that links join: a row with its least doc_id."""
+    return ngram_join.keep_one(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

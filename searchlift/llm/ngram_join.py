@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from searchlift.llm.graph import components
 from searchlift.llm.hashing import document_sets, mix
-from searchlift.llm.tables import small_batches, stored
+from searchlift.llm.tables import packed, small_batches, stored, unpacked
 
 #: Per cent of the union that two documents share at least.
 SIMILARITY = 80
@@ -79,8 +79,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(np.concatenate(kept).astype(np.uint64).view(np.int64) if kept else np.zeros(0, np.int64)),
         )
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), lists.cast(pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "set_key", "least"],
+            [batch.column("doc_id").cast(pa.int64()), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), lists.cast(pa.list_(pa.int64()))],
+            names=["doc_id", "text_key", "n_shingles", "set_key", "least"],
         )
 
 
@@ -302,15 +302,10 @@ def _blocks(sets: DataFrame, families: DataFrame) -> DataFrame:
     )
 
 
-def jaccard_join(docs: DataFrame) -> DataFrame:
-    """`doc_id, n_shingles, component_id, n_links` for every row of `docs(doc_id, text)`.
-
-    component_id is the least doc_id reachable by links; n_links counts the other word sets that the row's own links
-    with (copies of one set count as one). A null, empty or wordless text has no shingles and is linked with nothing.
-    A text of one to four words is one shingle. Repeated rows come back as often as they came. A row without doc_id
-    keeps its place, has links only if another row with its word set has a doc_id, and names no component. Other columns are ignored.
-    """
-    sketch = stored(small_batches(docs).select("doc_id", "text").mapInArrow(_sketches, "doc_id long, n_shingles long, set_key long, least array<long>"), "sketch")
+def _classes(docs: DataFrame) -> DataFrame:
+    """The result of `jaccard_join` with a hash of each row's text."""
+    texts = small_batches(docs).select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    sketch = stored(texts.mapInArrow(_sketches, "doc_id long, text_key long, n_shingles long, set_key long, least array<long>"), "sketch")
     least_partner = F.ceil(F.col("n") * SIMILARITY / F.lit(100))
     asked = F.greatest(F.lit(1), F.floor(least_partner * SLACK / F.lit(100)))
     known = sketch.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
@@ -331,10 +326,44 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     named = least.join(nodes, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
     names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     classes = named.join(names, "component").select("set_key", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    rows = sketch.select("doc_id", "n_shingles", "set_key")
+    rows = sketch.select("doc_id", "text_key", "n_shingles", "set_key")
     worded = rows.where("set_key IS NOT NULL").join(classes, "set_key").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), "n_links"
+        "doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), "n_links"
     )
     # Texts without words meet nothing, so they take no part in the exchange.
-    wordless = rows.where("set_key IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    wordless = rows.where("set_key IS NULL").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return worded.unionByName(wordless)
+
+
+def jaccard_join(docs: DataFrame) -> DataFrame:
+    """`doc_id, n_shingles, component_id, n_links` for every row of `docs(doc_id, text)`.
+
+    component_id is the least doc_id reachable by links; n_links counts the other word sets that the row's own links
+    with (copies of one set count as one). A null, empty or wordless text has no shingles and is linked with nothing.
+    A text of one to four words is one shingle. Repeated rows come back as often as they came. A row without doc_id
+    keeps its place, has links only if another row with its word set has a doc_id, and names no component. Other columns are ignored.
+    """
+    return _classes(docs).drop("text_key")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` without all but one of each group that links join, with the columns they came with.
+
+    The row with the least doc_id stays; of several rows with that doc_id in the group, the one with the least text
+    hash. Each row is judged by its own text, whatever other rows share its doc_id. Rows without doc_id, and texts
+    without words, are in no group and stay.
+    """
+    found = _classes(docs).where("doc_id IS NOT NULL AND n_shingles > 0")
+    texts = found.groupBy("doc_id", "text_key").agg(F.max("component_id").alias("component_id"), F.count("*").alias("rows"))
+    texts = stored(texts.withColumn("gone", F.col("doc_id") != F.col("component_id")), "texts")
+    again = texts.where("NOT gone").groupBy("doc_id").agg(F.sum("rows").alias("rows")).where("rows > 1").select("doc_id")
+    marked = texts.where("gone").select("doc_id", "text_key", "gone").unionByName(
+        texts.where("NOT gone").join(again, "doc_id").select("doc_id", "text_key", "gone")
+    )
+    names = docs.columns
+    rows = docs.select(packed(names), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"))
+    # Rows without doc_id meet nothing; they keep out of the exchange, where they would meet in one task.
+    judged = rows.where("doc_id IS NOT NULL").join(marked, ["doc_id", "text_key"], "left")
+    one = judged.where("NOT gone").groupBy("doc_id").agg(F.min_by("row", "text_key").alias("row"))
+    kept = rows.where("doc_id IS NULL").select("row").unionByName(judged.where("gone IS NULL").select("row")).unionByName(one.select("row"))
+    return kept.select(*unpacked(names))

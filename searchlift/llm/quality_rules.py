@@ -101,29 +101,47 @@ def _covered(windows: Column) -> Column:
     )
 
 
+def _measures(body: Column) -> Column:
+    """All measures of a text in one struct; its words, windows and lines are each made once."""
+    stops = F.array(*map(F.lit, dict.fromkeys([*STOP_WORDS, *map(str.capitalize, STOP_WORDS)])))
+
+    def of(text: Column, words: Column, lines: Column, windows: Column) -> Column:
+        repeated = F.size(F.array_distinct(windows)) < F.size(windows)
+        measures = {
+            "n_words": F.size(words),
+            "word_chars": F.length(F.translate(text, SPACES, "")),
+            "n_symbols": F.length(text) - F.length(F.translate(text, SYMBOLS, "")),
+            "n_lines": F.size(lines),
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            "n_bullet_lines": F.size(F.filter(lines, lambda line: F.substring(F.ltrim(line), 1, 1).isin(*BULLETS))),
+            "n_repeat_words": F.when(repeated, _covered(windows)).otherwise(F.lit(0)),
+            "n_stop_words": F.size(F.array_intersect(words, stops)),
+        }
+        return F.struct(*[column.cast("bigint").alias(name) for name, column in measures.items()])
+
+    lines = F.filter(F.split(body, "\n"), lambda line: F.translate(line, SPACES, "") != "")
+    parts = F.struct(body.alias("text"), _words(body).alias("words"), lines.alias("lines"))
+    return _let(parts, lambda p: _let(_windows(p["words"]), lambda windows: of(p["text"], p["words"], p["lines"], windows)))
+
+
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_bullet_lines", "n_repeat_words", "n_stop_words",
+)
+
+
+def _verdict(measures: Column, rules: tuple[Rule, ...]) -> Column:
+    of = {name: measures[name] for name in MEASURES}
+    any_of = lambda rows: F.greatest(*[rule.broken(of) for rule in rows])
+    names = F.filter(F.array(*[F.when(rule.broken(of), F.lit(rule.name)) for rule in rules]), lambda n: n.isNotNull())
+    return F.struct(any_of(BASE_RULES).alias("base_failed"), (~any_of(rules)).alias("kept"), names.alias("broken"))
+
+
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs` with the measures of their text; a null text counts as an empty one.
 
     Measures go into one struct column `measures`, so that columns of `docs` may bear any other name.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
-    words = docs.withColumn("__words", _words(body))
-    windows = words.withColumn("__windows", _windows(F.col("__words")))
-    lines = F.filter(F.split(body, "\n"), lambda line: F.translate(line, SPACES, "") != "")
-    with_lines = windows.withColumn("__lines", lines)
-    repeated = F.size(F.array_distinct("__windows")) < F.size("__windows")
-    measures = {
-        "n_words": F.size("__words"),
-        "word_chars": F.length(F.translate(body, SPACES, "")),
-        "n_symbols": F.length(body) - F.length(F.translate(body, SYMBOLS, "")),
-        "n_lines": F.size("__lines"),
-        "n_dup_lines": F.size("__lines") - F.size(F.array_distinct("__lines")),
-        "n_bullet_lines": F.size(F.filter("__lines", lambda line: F.substring(F.ltrim(line), 1, 1).isin(*BULLETS))),
-        "n_repeat_words": F.when(repeated, _covered(F.col("__windows"))).otherwise(F.lit(0)),
-        "n_stop_words": F.size(F.array_intersect("__words", F.array(*map(F.lit, dict.fromkeys([*STOP_WORDS, *map(str.capitalize, STOP_WORDS)]))))),
-    }
-    packed = F.struct(*[column.cast("bigint").alias(name) for name, column in measures.items()])
-    return with_lines.withColumn("measures", packed).drop("__words", "__windows", "__lines")
+    return docs.withColumn("measures", _measures(F.coalesce(F.col(text), F.lit(""))))
 
 
 def judged(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -132,15 +150,14 @@ def judged(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
     A null or empty text has no words and fails. Repeated rows are judged alike and all stay. `docs` may have any
     columns besides `measures` and `verdict`, which are replaced.
     """
-    frame = measured(docs, text)
-    of = {name: F.col("measures")[name] for name in frame.schema["measures"].dataType.names}
-    any_of = lambda rows: F.greatest(*[rule.broken(of) for rule in rows])
-    names = F.filter(F.array(*[F.when(rule.broken(of), F.lit(rule.name)) for rule in rules]), lambda n: n.isNotNull())
-    verdict = F.struct(any_of(BASE_RULES).alias("base_failed"), (~any_of(rules)).alias("kept"), names.alias("broken"))
-    return frame.withColumn("verdict", verdict)
+    return measured(docs, text).withColumn("verdict", _verdict(F.col("measures"), rules))
+
 
+def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows whose text breaks no rule, with the columns they came with.
 
-def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows whose text breaks no rule, with the columns they came with."""
-    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), F.col(text).alias("body"))
-    return judged(rows, "body").where("verdict.kept").select("row.*")
+    The condition binds the measures where it uses them, since a filter is moved below the columns it is made of and
+    would work them out again for every rule.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    return docs.where(_let(_measures(body), lambda m: _verdict(m, rules)["kept"]))
