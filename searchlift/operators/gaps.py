@@ -83,23 +83,24 @@ def daily_max_score(gaps: DataFrame) -> DataFrame:
     return gaps.groupBy("date").agg(best.alias("max_raw_score"))
 
 
-def normalise(gaps: DataFrame) -> DataFrame:
-    """Adds the 0 to 100 score: raw over the largest of the date.
+def normalise(gaps: DataFrame, best: DataFrame | None = None) -> DataFrame:
+    """Adds the 0 to 100 score: raw over the largest of the date, worked out here unless ``best`` has it.
 
     A window over the date would put a whole day into one task. The largest score is a partial
     aggregate instead, and its broadcast holds one row per calendar day, so it cannot grow with rows.
     """
-    best = F.broadcast(daily_max_score(gaps))
-    scored = gaps.join(best, "date", "left")
+    best = daily_max_score(gaps) if best is None else best
+    scored = gaps.join(F.broadcast(best), "date", "left")
     score = S.score_of_max(F.col("raw_score"), F.col("max_raw_score"))
     return scored.withColumn("opportunity_score", score).drop("max_raw_score")
 
 
-def scoring_report(gaps: DataFrame) -> DataFrame:
-    """Rows touched by each scoring step, per date; nothing is normalised without a positive score."""
+def daily_summary(gaps: DataFrame) -> DataFrame:
+    """Largest positive raw score per date and the rows touched by each scoring step, from one pass over raw scores."""
     plain = ~F.col("is_branded")
     scored = F.count_if(F.col("raw_score").isNotNull())
     return gaps.groupBy("date").agg(
+        F.max(F.when(F.col("raw_score") > 0, F.col("raw_score"))).alias("max_raw_score"),
         F.count_if(F.col("is_branded")).alias("branded"),
         F.count_if(plain).alias("diagnosed"),
         F.count_if(plain & F.col("agency_factor").isin(*FACTORS)).alias("classified"),
@@ -107,3 +108,8 @@ def scoring_report(gaps: DataFrame) -> DataFrame:
         scored.alias("scored"),
         F.when(F.max("raw_score") > 0, scored).otherwise(F.lit(0)).alias("normalised"),
     )
+
+
+def scoring_report(gaps: DataFrame) -> DataFrame:
+    """Rows touched by each scoring step, per date; nothing is normalised without a positive score."""
+    return daily_summary(gaps).drop("max_raw_score")

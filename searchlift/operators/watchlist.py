@@ -91,6 +91,52 @@ def position_history(facts: DataFrame, watch: DataFrame, as_of, days: int = 7) -
     )
 
 
+#: Mergeable sums of positions per pair and week; the date is the week's first day.
+WEEKS = T.StructType(
+    [
+        T.StructField("query", T.StringType()),
+        T.StructField("page", T.StringType()),
+        T.StructField("units", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("date", T.DateType()),
+    ]
+)
+
+
+def weekly_sums(facts: DataFrame) -> DataFrame:
+    """Sums and counts of positions per pair and ISO week, from which means follow without the facts."""
+    units = to_units(F.col("position").cast(POSITION), POSITION_PLACES)
+    weekly = facts.groupBy(*PAIR, _week(F.col("date")).alias("date"))
+    sums = weekly.agg(F.coalesce(F.sum(units), F.lit(0)).alias("units"), F.count(units).alias("n"))
+    return sums.select(*WEEKS.fieldNames())
+
+
+def merged_sums(*parts: DataFrame) -> DataFrame:
+    """One table of sums from several, for instance of parts of a week."""
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    merged = every.groupBy(*PAIR, "date").agg(F.sum("units").alias("units"), F.sum("n").alias("n"))
+    return merged.select(*WEEKS.fieldNames())
+
+
+def weekly_position_of(sums: DataFrame) -> DataFrame:
+    """``weekly_position`` from a table of sums."""
+    shrunk = F.col("n") * F.lit(10 ** (POSITION_PLACES - 2)).cast("bigint")
+    mean = F.when(F.col("n") > 0, from_units(half_up_div(F.col("units"), shrunk), 2)).cast(POSITION)
+    return sums.select(*PAIR, F.col("date").alias("week_start"), mean.alias("avg_position"))
+
+
+def position_history_of(sums: DataFrame, facts: DataFrame, watch: DataFrame, as_of, days: int = 7) -> DataFrame:
+    """``position_history`` with the weeks from a table of sums; of the facts only the trailing days are read."""
+    position = F.col("avg_position")
+    weekly = weekly_position_of(watched_facts(sums, watch)).groupBy(*PAIR).agg(
+        _series().alias("weekly_series"),
+        trend(F.min_by(position, "week_start"), F.max_by(position, "week_start"), F.count("*")).alias("trend"),
+    )
+    return weekly.join(current_position(watched_facts(facts, watch), as_of, days), PAIR, "left")
+
+
 POINT = T.ArrayType(
     T.StructType([T.StructField("week", T.StringType()), T.StructField("avg_position", POSITION)])
 )
@@ -98,7 +144,16 @@ POINT = T.ArrayType(
 
 def watch_report(watch: DataFrame, facts: DataFrame, as_of, days: int = 7) -> DataFrame:
     """The watch-list with current position, change, status and weekly series, newest first."""
-    history = position_history(facts, watch, as_of, days).withColumnRenamed("page", "page_url")
+    return _report(watch, position_history(facts, watch, as_of, days))
+
+
+def watch_report_of(watch: DataFrame, sums: DataFrame, facts: DataFrame, as_of, days: int = 7) -> DataFrame:
+    """``watch_report`` from a table of weekly sums and the facts of the trailing days."""
+    return _report(watch, position_history_of(sums, facts, watch, as_of, days))
+
+
+def _report(watch: DataFrame, history: DataFrame) -> DataFrame:
+    history = history.withColumnRenamed("page", "page_url")
     joined = watch.join(history, ["query", "page_url"], "left")
     delta = position_delta(F.col("current_position"), F.col("baseline_position"))
     return joined.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from searchlift.functions.tracking import BACKFILL_FROM, BACKFILL_TO, backfill_dates
@@ -45,9 +45,9 @@ def _columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def finish(raw: DataFrame) -> DataFrame:
+def finish(raw: DataFrame, best: DataFrame | None = None) -> DataFrame:
     """Ranks raw scores within their date."""
-    return _columns(gaps.normalise(raw), GAPS)
+    return _columns(gaps.normalise(raw, best), GAPS)
 
 
 def stage_raw(raw: DataFrame, stage: str, gather: bool = False) -> DataFrame:
@@ -102,6 +102,17 @@ def score_backfill(
     return score_day(span, dims, stage=stage, gather=gather)
 
 
+def score_staged(facts: DataFrame, dims: Dimensions, stage: str) -> tuple[DataFrame, list[Row]]:
+    """Scored rows and, for each date, the rows touched by each step.
+
+    Both come from one pass over the staged raw scores: the one that finds each date's largest.
+    """
+    raw = stage_raw(score_raw(facts, dims), stage)
+    report = gaps.daily_summary(raw).collect()  # a row for each date
+    best = raw.sparkSession.createDataFrame([(r["date"], r["max_raw_score"]) for r in report], f"date date, max_raw_score {RAW_GAPS['raw_score'].dataType.simpleString()}")
+    return finish(raw, best), report
+
+
 def score_to_table(facts: DataFrame, dims: Dimensions, path: str, stage: str, days: list) -> None:
     """Scores days into the gap table, replacing exactly those days."""
     raw = stage_raw(score_raw(facts, dims), stage)

@@ -108,8 +108,8 @@ def touched_days(df: DataFrame) -> list:
     return sorted(row["date"] for row in df.select("date").distinct().collect())
 
 
-def write_days(df: DataFrame, path: str, gather: bool = True) -> None:
-    """Rewrites exactly the days in the frame.
+def write_days(df: DataFrame, path: str, gather: bool = True, by: tuple[str, ...] = ("date",)) -> None:
+    """Rewrites exactly the days in the frame, or what else ``by`` names.
 
     REBALANCE gathers a day's rows into few files and splits a day too large for one task. Rows read
     from a table laid out by day need no gathering.
@@ -118,7 +118,7 @@ def write_days(df: DataFrame, path: str, gather: bool = True) -> None:
     (
         laid_out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
+        .partitionBy(*by)
         .parquet(path)
     )
 

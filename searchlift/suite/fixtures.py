@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -102,9 +103,9 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self.frames: dict[str, DataFrame] = {}
+        self.frames: dict[str, Any] = {}
 
-    def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def keep(self, name: str, build: Callable[[], Any]) -> Any:
         if name not in self.frames:
             self.frames[name] = build()
         return self.frames[name]

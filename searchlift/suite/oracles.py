@@ -267,6 +267,11 @@ SELECT w.*, CAST(r.cur2 AS BIGINT) AS cur2, CAST(r.cur2 - CAST(w.baseline_positi
 FROM fx_watch w LEFT JOIN recent r ON r.query = w.query AND r.page = w.page_url
 """
 
+# The same over the landed facts alone.
+CTES["kept_units"] = CTES["units"].replace("FROM fx_fine", "FROM kept")
+for _name, _from in (("weekly", "units"), ("recent", "units"), ("series", "weekly"), ("watched", "recent")):
+    CTES[f"kept_{_name}"] = re.sub(rf"(FROM|JOIN) {_from}\b", rf"\1 kept_{_from}", CTES[_name])
+
 _STATUS = """CASE WHEN delta2 IS NULL THEN 'nodata' WHEN delta2 < -50 THEN 'improved'
   WHEN delta2 > 50 THEN 'worsened' ELSE 'stable' END"""
 
@@ -315,6 +320,22 @@ def _number(text: str) -> str:
     return f"COALESCE(CAST(list_last({plain}) AS DOUBLE), 0.0)"
 
 
+_SUMMARY = """
+SELECT date, COUNT(*) FILTER (WHERE branded) AS branded, COUNT(*) FILTER (WHERE NOT branded) AS diagnosed,
+  COUNT(*) FILTER (WHERE NOT branded) AS classified, COUNT(*) FILTER (WHERE NOT branded) AS projected,
+  COUNT(raw4) AS scored, CASE WHEN MAX(raw4) > 0 THEN COUNT(raw4) ELSE 0 END AS normalised
+FROM gaps GROUP BY date"""
+
+
+def _report(watched: str, series: str) -> str:
+    return f"""
+SELECT w.id, w.query, w.page_url, CAST(w.baseline_position AS DOUBLE) AS baseline_position, w.baseline_date,
+  CAST(w.target_position AS DOUBLE) AS target_position, w.agency_factor_aplicado, w.notas,
+  strftime(w.created_at, '%Y-%m-%d %H:%M:%S') AS created_at, cur2 / 100.0::DOUBLE AS current_position, delta2 / 100.0::DOUBLE AS delta,
+  {_STATUS} AS status, COALESCE(s.txt, '') AS weekly_series, {_TREND} AS trend
+FROM {watched} w LEFT JOIN {series} s ON s.query = w.query AND s.page = w.page_url"""
+
+
 BODIES: dict[str, str] = {
     "scan_search_facts": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_fine",
     "scan_section": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_fine WHERE contains(page, '.cl/small/')",
@@ -430,11 +451,7 @@ FROM fx_catalog WHERE department = 'small' AND cr > 0 GROUP BY category_l1 ORDER
     "bi_coverage": "SELECT rate_source, COUNT(*) AS n FROM fx_catalog GROUP BY rate_source",
     "calibrate_ctr_curve": "SELECT CAST(slot AS BIGINT) AS position, FLOOR(q[1] + 0.5) / 1000000 AS ctr_low, FLOOR(q[2] + 0.5) / 1000000 AS ctr_mid, FLOOR(q[3] + 0.5) / 1000000 AS ctr_high, n FROM quart",
     "distinct_subcategories": "SELECT DISTINCT COALESCE(NULLIF(split_part(split_part(page_url, '.cl/', 2), '/', 2), ''), '(sin subcategoría)') AS subcategory FROM listed",
-    "score_summary": """
-SELECT date, COUNT(*) FILTER (WHERE branded) AS branded, COUNT(*) FILTER (WHERE NOT branded) AS diagnosed,
-  COUNT(*) FILTER (WHERE NOT branded) AS classified, COUNT(*) FILTER (WHERE NOT branded) AS projected,
-  COUNT(raw4) AS scored, CASE WHEN MAX(raw4) > 0 THEN COUNT(raw4) ELSE 0 END AS normalised
-FROM gaps GROUP BY date""",
+    "score_summary": _SUMMARY,
     "normalise_score": f"SELECT {_GAP_KEYS}, CAST(score2 AS DOUBLE) / 100 AS opportunity_score FROM gaps",
     "row_index": f"""
 SELECT rn AS row_index, query, page_url, score1 / 10.0::DOUBLE AS opportunity_score
@@ -501,12 +518,14 @@ SELECT o_orderkey, {_number("o_orderpriority")} AS priority, {_number("CAST(o_to
     "score_backfill": f"{_GAP_OUT} WHERE date BETWEEN DATE '2024-03-10' - 60 AND DATE '2024-03-10' - 4",
     "refresh_catalog": f"SELECT {_CATALOG_OUT}, CAST(is_blando AS VARCHAR) AS is_blando, '{NOW}' AS updated_at FROM fx_catalog",
     "opportunities": f"SELECT {_SHOWN} FROM listed WHERE factor = 'BOTH' AND pos6 <= 9500000 AND revenue >= 100 ORDER BY revenue DESC NULLS FIRST, query, page_url LIMIT 20",
-    "watch_report": f"""
-SELECT w.id, w.query, w.page_url, CAST(w.baseline_position AS DOUBLE) AS baseline_position, w.baseline_date,
-  CAST(w.target_position AS DOUBLE) AS target_position, w.agency_factor_aplicado, w.notas,
-  strftime(w.created_at, '%Y-%m-%d %H:%M:%S') AS created_at, cur2 / 100.0::DOUBLE AS current_position, delta2 / 100.0::DOUBLE AS delta,
-  {_STATUS} AS status, COALESCE(s.txt, '') AS weekly_series, {_TREND} AS trend
-FROM watched w LEFT JOIN series s ON s.query = w.query AND s.page = w.page_url""",
+    "incremental_facts": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM kept",
+    "incremental_accounting": f"""
+SELECT date, CASE WHEN page LIKE '%/listas/%' OR page LIKE '%/search%' OR page LIKE '%.html%' THEN 'page'
+    WHEN position > 20 THEN 'position' WHEN {_branded("query")} THEN 'branded' ELSE 'kept' END AS reason, COUNT(*) AS n
+FROM fx_fine GROUP BY 1, 2""",
+    "incremental_summary": _SUMMARY,
+    "watch_report_weeks": _report("kept_watched", "kept_series"),
+    "watch_report": _report("watched", "series"),
     "what_if": "SELECT date, query, page_url, factor AS agency_factor, pos6 / 1000000.0::DOUBLE AS avg_position, tpos6 / 1000000.0::DOUBLE AS pos_target, delta AS delta_clicks, revenue, score FROM whatif_all",
     "whatif_extra_factor": "SELECT date, query, page_url, factor AS agency_factor, pos6 / 1000000.0::DOUBLE AS avg_position, tpos6 / 1000000.0::DOUBLE AS pos_target, delta AS delta_clicks, revenue, score FROM whatif_fifth",
     "what_if_newest": "SELECT date, query, page_url, factor AS agency_factor, pos6 / 1000000.0::DOUBLE AS avg_position, tpos6 / 1000000.0::DOUBLE AS pos_target, delta AS delta_clicks, revenue, score FROM whatif_now",

@@ -902,20 +902,60 @@ def _(i):
 # Streams and composite jobs
 
 
+def _landed_twice(i) -> incremental.Tables:
+    """The tables of a stream that lands the month with its last week still unsettled, then that week again; run once."""
+
+    def run() -> incremental.Tables:
+        base = scratch_folder(i.spark, "incremental")
+        tables = incremental.Tables.below(base)
+        month = facts(i)
+        unsettled = F.col("date") >= F.lit("2024-01-22")
+        early = month.withColumn(
+            "impressions", F.when(unsettled, F.col("impressions") * 2).otherwise(F.col("impressions"))
+        )
+        for rows in (early, month.where(unsettled)):
+            land(rows, f"{base}/landing")
+            incremental.run_incremental(i.spark, f"{base}/landing", tables, dims(i), f"{base}/checkpoint")
+        return tables
+
+    return i.keep("landed_twice", run)
+
+
 @register("incremental_daily")
 def _(i):
-    """Lands the month with its last week still unsettled, then lands that week again."""
-    base = scratch_folder(i.spark, "incremental")
-    tables = incremental.Tables(f"{base}/facts", f"{base}/gaps", f"{base}/stage")
-    month = facts(i)
-    unsettled = F.col("date") >= F.lit("2024-01-22")
-    early = month.withColumn(
-        "impressions", F.when(unsettled, F.col("impressions") * 2).otherwise(F.col("impressions"))
-    )
-    for rows in (early, month.where(unsettled)):
-        land(rows, f"{base}/landing")
-        incremental.run_incremental(i.spark, f"{base}/landing", tables, dims(i), f"{base}/checkpoint")
-    return store.read_table(i.spark, tables.gaps, GAPS).select(*GAP_OUT)
+    return incremental.read_gaps(i.spark, _landed_twice(i)).select(*GAP_OUT)
+
+
+@register("incremental_facts")
+def _(i):
+    return incremental.read_facts(i.spark, _landed_twice(i))
+
+
+def _newest_counts(i, table: str) -> DataFrame:
+    """The counts of each day's last batch."""
+    rows = incremental.accounting(i.spark, _landed_twice(i)).where(F.col("table") == table)
+    return rows.groupBy("date").agg(F.max_by("counts", "batch_id").alias("counts"))
+
+
+@register("incremental_accounting")
+def _(i):
+    """Landed rows by reason, as counted while they were landed."""
+    return _newest_counts(i, "landed").select("date", F.explode("counts").alias("reason", "n"))
+
+
+@register("incremental_summary")
+def _(i):
+    """Rows touched by each scoring step, as counted while they were scored."""
+    steps = ("branded", "diagnosed", "classified", "projected", "scored", "normalised")
+    return _newest_counts(i, "gaps").select("date", *[F.col("counts")[name].alias(name) for name in steps])
+
+
+@register("watch_report_weeks")
+def _(i):
+    """The report from the weekly sums that the stream keeps, whose last week was corrected."""
+    tables = _landed_twice(i)
+    report = W.watch_report_of(i.view("fx_watch"), incremental.read_weeks(i.spark, tables), incremental.read_facts(i.spark, tables), AS_OF)
+    return report.withColumn("weekly_series", _series_text(F.col("weekly_series")))
 
 
 @register("score_day")

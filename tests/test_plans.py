@@ -110,6 +110,38 @@ def test_a_batch_is_parsed_and_reduced_once(spark, folder, stored, tmp_path):
     assert "max_by" not in plan(store.put(stored, fresh, FACT_KEYS))
 
 
+def test_a_landed_batch_is_parsed_once_and_counted(spark, folder, stored, tmp_path):
+    from searchlift.streaming import incremental
+    from searchlift.sources import readers
+    from searchlift.suite.queries import land
+
+    land(stored, str(tmp_path / "landing"))
+    batch = readers.read_search_facts(spark, str(tmp_path / "landing"))
+    tables = incremental.Tables.below(str(tmp_path / "tables"))
+    plans = written_plan(spark, lambda: incremental.process_batch(batch, tables, dims(Inputs(spark, folder)), "s", 0))
+    parsed = [text for text in plans if "Scan json" in text]
+    assert len(plans) > 3 and len(parsed) == 1 and parsed[0].count("ReadSchema") == 1
+    counts = {(r.date, reason): n for r in incremental.accounting(spark, tables).where("table = 'landed'").collect() for reason, n in r.counts.items()}
+    assert counts == {(r.date, r.reason): r.n for r in filters.ingest_report(stored).collect()}
+    steps = {r.date: r.counts for r in incremental.accounting(spark, tables).where("table = 'gaps'").collect()}
+    report = gaps.scoring_report(incremental.read_gaps(spark, tables)).collect()
+    assert steps == {r.date: {k: v for k, v in r.asDict().items() if k != "date"} for r in report}
+
+
+def test_a_report_from_weeks_reads_few_days_of_facts(spark, folder, tmp_path):
+    i = Inputs(spark, folder)
+    facts = filters.ingest_filter(i.view("fx_fine"))
+    store.write_days(facts, str(tmp_path / "facts"))
+    store.write_days(W.weekly_sums(facts), str(tmp_path / "weeks"))
+    days, weeks = spark.read.parquet(str(tmp_path / "facts")), spark.read.parquet(str(tmp_path / "weeks"))
+    text = plan(W.watch_report_of(i.view("fx_watch"), weeks, days, "2024-01-28"))
+    details = text.split("(1) ")[-1]
+    scans = [part for part in details.split("\n\n") if "Location" in part and str(tmp_path / "facts") in part]
+    assert len(scans) == 1 and "(date" in scans[0] and "2024-01-21" in scans[0].split("PartitionFilters")[1]
+    sums = W.merged_sums(W.weekly_sums(facts.where("date <= '2024-01-10'")), W.weekly_sums(facts.where("date > '2024-01-10'")))
+    assert sorted(map(str, sums.collect())) == sorted(map(str, W.weekly_sums(facts).collect()))
+
+
 def test_share_of_max_uses_no_window(stored):
     rows = stored.select(F.col("clicks").alias("revenue_final"), "query")
     assert "Window" not in plan(O.share_of_max(rows)) and "SinglePartition" not in plan(O.share_of_max(rows)).split("Subquer")[0]

@@ -7,12 +7,12 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from searchlift.operators import bi
+from searchlift.operators import bi, watchlist as W
 from searchlift.operators.filters import ingest_filter
 from searchlift.plans import scoring as P
-from searchlift.schemas import FACT_KEYS, FACTS, GAPS, WATCHLIST
+from searchlift.schemas import FACT_KEYS, FACTS, WATCHLIST
 from searchlift.sources import readers, store
-from searchlift.streaming import incremental
+from searchlift.streaming import incremental, ledger
 from searchlift.suite.fixtures import Inputs
 from searchlift.suite.queries import dims
 
@@ -221,37 +221,68 @@ def test_score_properties(spark, month):
             assert max(r.opportunity_score for r in group if r.opportunity_score is not None) == 100
 
 
+PAGE = "https://www.shop.cl/small/brand-1/"
+
+
+def impressions(spark, tables):
+    return {(str(r.date), r.query): r.impressions for r in incremental.read_gaps(spark, tables).collect()}
+
+
 def test_incremental_run(spark, month, tmp_path):
-    tables = incremental.Tables(str(tmp_path / "facts"), str(tmp_path / "gaps"), str(tmp_path / "stage"))
+    tables = incremental.Tables.below(str(tmp_path))
     landing, checkpoint = tmp_path / "landing", str(tmp_path / "checkpoint")
-    page = "https://www.shop.cl/small/brand-1/"
 
     def run():
-        incremental.run_incremental(spark, str(landing), tables, dims(month), checkpoint)
-        return {
-            (str(r.date), r.query): r.impressions
-            for r in store.read_table(spark, tables.gaps, GAPS).collect()
-        }
+        counted = incremental.run_incremental(spark, str(landing), tables, dims(month), checkpoint)
+        return {(r.table, str(r.date)): {k: n for k, n in r.counts.items() if n} for r in counted.collect()}
 
-    first = [row("a", page, 1), row("b", page, 1), row("tienda paris", page, 1)]
+    first = [row("a", PAGE, 1), row("b", PAGE, 1), row("b", PAGE, 1), row("tienda paris", PAGE, 1), row("c", PAGE + "search", 1)]
     write_lines(landing / "date=2024-01-10" / "one.json", first)
-    write_lines(landing / "date=2024-01-11" / "one.json", [row("a", page, 1)])
+    write_lines(landing / "date=2024-01-11" / "one.json", [row("a", PAGE, 1)])
+    write_lines(landing / "date=2024-01-12" / "one.json", [row("tienda paris", PAGE, 1)])  # a day without a kept row
     expected = {("2024-01-10", "a"): 100, ("2024-01-10", "b"): 100, ("2024-01-11", "a"): 100}
-    assert run() == expected
-    assert run() == expected
+    counted = run()
+    assert impressions(spark, tables) == expected
+    assert counted["landed", "2024-01-10"] == {"kept": 3, "branded": 1, "page": 1}
+    assert counted["landed", "2024-01-12"] == {"branded": 1}
+    assert counted["gaps", "2024-01-10"]["diagnosed"] == 2 and ("gaps", "2024-01-12") not in counted
+    assert run() == {} and impressions(spark, tables) == expected
     # A late correction replaces its key and leaves the other day's file alone.
-    write_lines(landing / "date=2024-01-10" / "two.json", [{**row("a", page, 2), "impressions": 500}])
-    assert run() == {**expected, ("2024-01-10", "a"): 500}
-    batch = P.score(store.read_table(spark, tables.facts, FACTS), dims(month))
-    streamed = store.read_table(spark, tables.gaps, GAPS).select(batch.columns)
+    write_lines(landing / "date=2024-01-10" / "two.json", [{**row("a", PAGE, 2), "impressions": 500}])
+    assert set(run()) == {("landed", "2024-01-10"), ("gaps", "2024-01-10")}
+    assert impressions(spark, tables) == {**expected, ("2024-01-10", "a"): 500}
+    batch = P.score(incremental.read_facts(spark, tables), dims(month))
+    streamed = incremental.read_gaps(spark, tables).select(batch.columns)
     assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
-
-
-def test_repeated_batch_changes_nothing(spark, month, tmp_path):
-    tables = incremental.Tables(str(tmp_path / "facts"), str(tmp_path / "gaps"), str(tmp_path / "stage"))
-    write_lines(tmp_path / "landing" / "date=2024-01-10" / "one.json", [row("a", "https://s.cl/small/brand-1/", 1)])
-    batch = readers.read_search_facts(spark, str(tmp_path / "landing"))
-    incremental.process_batch(batch, tables, dims(month))
-    once = store.read_table(spark, tables.gaps, GAPS).collect()
-    incremental.process_batch(batch, tables, dims(month))
-    assert store.read_table(spark, tables.gaps, GAPS).collect() == once
+    weeks = W.weekly_sums(incremental.read_facts(spark, tables))
+    assert sorted(map(str, incremental.read_weeks(spark, tables).collect())) == sorted(map(str, weeks.collect()))
+    assert ledger.drop_superseded(spark, tables.facts, tables.ledger, "facts") == 1
+    assert impressions(spark, tables) == {**expected, ("2024-01-10", "a"): 500}
+    assert sorted(map(str, incremental.read_facts(spark, tables).collect())) == sorted(map(str, incremental.read_facts(spark, tables).collect()))
+
+
+def written(folder):
+    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*.parquet"))
+
+
+def test_a_batch_that_fails_between_its_writes_changes_nothing(spark, month, tmp_path, monkeypatch):
+    tables = incremental.Tables.below(str(tmp_path / "tables"))
+    write_lines(tmp_path / "landing" / "date=2024-01-10" / "one.json", [row("a", PAGE, 1)])
+    incremental.process_batch(readers.read_search_facts(spark, str(tmp_path / "landing")), tables, dims(month), "s", 0)
+    before = impressions(spark, tables)
+    write_lines(tmp_path / "next" / "date=2024-01-10" / "two.json", [{**row("a", PAGE, 2), "impressions": 500}, row("b", PAGE, 1)])
+    batch = readers.read_search_facts(spark, str(tmp_path / "next"))
+    for name in ("score_staged", "weekly_sums"):  # after the facts, and after facts and gaps
+        with monkeypatch.context() as patch:
+            patch.setattr(incremental, name, lambda *_: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                incremental.process_batch(batch, tables, dims(month), "s", 1)
+        assert impressions(spark, tables) == before and incremental.read_facts(spark, tables).count() == 1
+    incremental.process_batch(batch, tables, dims(month), "s", 1)
+    after = {("2024-01-10", "a"): 500, ("2024-01-10", "b"): 100}
+    assert impressions(spark, tables) == after
+    files = written(tmp_path / "tables")
+    incremental.process_batch(batch, tables, dims(month), "s", 1)  # a finished batch writes nothing
+    assert written(tmp_path / "tables") == files and impressions(spark, tables) == after
+    incremental.process_batch(batch, tables, dims(month), "other", 1)  # the same id of another stream is another batch
+    assert written(tmp_path / "tables") != files and impressions(spark, tables) == after
