@@ -65,7 +65,7 @@ def _bundler(most: int):
 
 def packed_rows(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
     """A stored table of few large rows, in small row groups: a writer and a reader hold one whole."""
-    return stored(df, label, by, {"parquet.block.size": str(_GROUP_BYTES)})
+    return stored(df, label, by, {"parquet.block.size": str(_GROUP_BYTES), "compression": "zstd"})
 
 
 def bundled(docs: DataFrame, size: int) -> DataFrame:

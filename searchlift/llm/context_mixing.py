@@ -42,7 +42,7 @@ from searchlift.llm.stretches import ragged
 from searchlift.llm.tables import stored
 
 ORDERS = (1, 2, 3, 4, 5)
-BUNDLE_BYTES = 1 << 20
+BUNDLE_BYTES = 2 << 20
 END = 0xFF
 #: Distinct runs of all bundles that one part answers for, about; parts at least.
 PART_ENTRIES = 1 << 21
