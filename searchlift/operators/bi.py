@@ -14,6 +14,9 @@ from searchlift.schemas import HOST_MARKER, RATE, TICKET
 DEFAULT_CONVERSION = Decimal("0.002")
 DEFAULT_TICKET = 80000
 
+#: A page with one row in so many, or more, is hot.
+HOT_SHARE = 64
+
 # Department labels that are not departments.
 JUNK_PREFIXES = ("sin_path", "http", "?")
 
@@ -182,9 +185,28 @@ def cascade(catalog: DataFrame, clean: DataFrame) -> DataFrame:
 
 
 def with_rates(gaps: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Rates of a gap row from the catalog, by page URL."""
+    """Rates of a gap row from the catalog, by page URL.
+
+    Pages that hold a HOT_SHARE of the rows or more get their rates from a broadcast, which has as many rows at most as
+    shares make a whole; their rows are dealt by query. All other rows meet the catalog on the page.
+    """
     rates = catalog.select("page_url", "conversion_rate", "avg_ticket")
-    return gaps.join(rates, "page_url", "left")
+    counts = gaps.where(F.col("page_url").isNotNull()).groupBy("page_url").agg(F.count("*").alias("n"))
+    total = gaps.agg(F.count("*")).scalar()
+    hot = counts.where(F.col("n") * HOT_SHARE >= total).select("page_url")
+    known = hot.join(rates, "page_url", "left").select(F.col("page_url").alias("hot_url"), F.col("conversion_rate").alias("hot_rate"), F.col("avg_ticket").alias("hot_ticket"))
+    flagged = gaps.join(F.broadcast(known), gaps["page_url"] == known["hot_url"], "left")
+    # A key no page has, so that hot rows, and rows without a page, spread over all tasks.
+    spread = F.concat(F.lit("\x00"), F.xxhash64("query").cast("string"))
+    keyed = flagged.withColumn("rate_key", F.when(F.col("hot_url").isNull() & F.col("page_url").isNotNull(), F.col("page_url")).otherwise(spread))
+    joined = keyed.join(rates.withColumnRenamed("page_url", "rate_key"), "rate_key", "left")
+    cold = F.col("hot_url").isNull()
+    return joined.withColumns(
+        {
+            "conversion_rate": F.when(cold, F.col("conversion_rate")).otherwise(F.col("hot_rate")),
+            "avg_ticket": F.when(cold, F.col("avg_ticket")).otherwise(F.col("hot_ticket")),
+        }
+    ).drop("rate_key", "hot_url", "hot_rate", "hot_ticket")
 
 
 def with_cascade_rates(gaps: DataFrame, clean: DataFrame, marker: str = HOST_MARKER) -> DataFrame:

@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, functions as F
 
-from searchlift.functions.numbers import from_units, to_units
+from searchlift.functions.numbers import to_units
 from searchlift.operators.dimensions import curve_slot
-from searchlift.schemas import CTR
+from searchlift.operators.order_statistics import extent, order_statistics
+from searchlift.schemas import CTR, LANDED_CTR
 
 QUARTILES = ("ctr_low", "ctr_mid", "ctr_high")
 
 
-def calibrate_curve(facts: DataFrame) -> DataFrame:
+def _quartile(values: dict[int, int], n: int, quarter: int) -> Decimal:
+    """The interpolated quartile at six places, half up; values are counts of 10^-12."""
+    at, rest = divmod((n - 1) * quarter, 4)
+    four_times = 4 * values[at] + (rest * (values[at + 1] - values[at]) if rest else 0)
+    return Decimal((four_times + 2 * 10**6) // (4 * 10**6)).scaleb(-6)
+
+
+def calibrate_curve(facts: DataFrame, stage: str | None = None) -> DataFrame:
     """Quartiles of the CTR per whole position 1 to 20, interpolated, at six decimals.
 
-    Rows are first counted per (position, CTR). A CTR has at most a million distinct values at six
-    decimals, so the exact percentile of a position then works on a bounded list of counted values,
-    however many rows share the position.
+    CTRs count with all places they are landed with. Each quartile lies between two order statistics, which are found
+    by counting, which reads positions and CTRs a few times; ``stage`` keeps these two columns for that, where the facts
+    are not a stored table. The result is a table of at most 20 rows.
     """
-    micro = to_units(F.col("ctr").cast(CTR), 6)
-    counted = (
-        facts.select(curve_slot(F.col("position")).alias("position"), micro.alias("micro"))
-        .where(F.col("position").isNotNull() & F.col("micro").isNotNull())
-        .groupBy("position", "micro")
-        .agg(F.count("*").alias("n"))
-    )
-    quartiles = F.percentile("micro", [0.25, 0.5, 0.75], F.col("n"))
-    fitted = counted.groupBy("position").agg(quartiles.alias("q"), F.sum("n").alias("n"))
-    # Quartiles of whole numbers are multiples of a quarter, which doubles hold exactly.
-    columns = [
-        from_units(F.floor(F.col("q")[i] + 0.5), 6).cast(CTR).alias(name) for i, name in enumerate(QUARTILES)
-    ]
-    return fitted.select("position", *columns, "n")
+    units = to_units(F.col("ctr").cast(LANDED_CTR), 12)
+    rows = facts.select(curve_slot(F.col("position")).alias("position"), units.alias("units")).where("position IS NOT NULL AND units IS NOT NULL")
+    if stage:
+        rows.write.mode("overwrite").parquet(stage)
+        rows = facts.sparkSession.read.schema(rows.schema).parquet(stage)
+    ends = extent(rows, "position", "units")
+    sizes = {position: n for position, (n, _, _) in ends.items()}
+    ranks = {p: {at for q in (1, 2, 3) for at in ((n - 1) * q // 4, -(-(n - 1) * q // 4))} for p, n in sizes.items()}
+    found = order_statistics(rows, "position", "units", ranks, ends)
+    own = {p: {rank: found[p, rank] for rank in wanted} for p, wanted in ranks.items()}
+    fitted = [(p, *[_quartile(own[p], n, q) for q in (1, 2, 3)], n) for p, n in sorted(sizes.items())]
+    kind = CTR.simpleString()
+    return facts.sparkSession.createDataFrame(fitted, "position int, " + ", ".join(f"{name} {kind}" for name in QUARTILES) + ", n long")

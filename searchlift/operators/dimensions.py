@@ -73,6 +73,10 @@ def curve_map(curve: DataFrame) -> DataFrame:
 
 
 def snapshot(df: DataFrame, date=None) -> DataFrame:
-    """Rows of one date, the newest one by default; on a date-partitioned table it prunes to one folder."""
+    """Rows of one date, the newest one by default; on a date-partitioned table it prunes to one folder.
+
+    With the session's ``metadataOnly`` rule (see ``session.SETTINGS``) the newest date of such a table is read from its
+    folders' names, and no file is opened for it.
+    """
     wanted = df.select(F.max("date")).scalar() if date is None or date == "" else F.to_date(F.lit(date))
     return df.where(F.col("date") == wanted)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from decimal import ROUND_FLOOR, Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -19,6 +20,12 @@ SORT_KEYS = (
     "ctr_expected", "revenue_final", "agency_factor", "opportunity_score",
 )
 DEFAULT_SORT = "opportunity_score"
+#: What decides between rows of one date with equal sort values.
+TIES = ("query", "page_url")
+
+#: Rows that are sorted for a page, at most; marks that one round counts up to, and rows drawn for each.
+SORTED_ROWS = 1000
+RANGES, DRAWN = 40, 8
 
 PERCENT = T.DecimalType(12, 2)
 
@@ -71,8 +78,8 @@ def matching(
     return by_subcategory(rows, subcategory, marker)
 
 
-def displayed(gaps: DataFrame) -> DataFrame:
-    """The list's columns: positions at two decimals, CTRs in percent, score at one decimal, missing rates as 0."""
+def displayed(gaps: DataFrame, *also: str) -> DataFrame:
+    """The list's columns, and others asked for: positions at two decimals, CTRs in percent, score at one decimal, missing rates as 0."""
     score = F.round(F.col("opportunity_score"), 1).cast(T.DecimalType(6, 1))
     return gaps.select(
         "query",
@@ -87,15 +94,16 @@ def displayed(gaps: DataFrame) -> DataFrame:
         score.alias("opportunity_score"),
         F.coalesce("conversion_rate", F.lit(0)).cast("double").alias("conversion_rate"),
         F.coalesce("avg_ticket", F.lit(0)).cast("bigint").alias("avg_ticket"),
+        *also,
     )
 
 
-def sort_order(sort_key: str | None = None, sort_dir: str | None = None) -> list[Column]:
+def sort_order(sort_key: str | None = None, sort_dir: str | None = None, ties: tuple[str, ...] = TIES) -> list[Column]:
     """Unknown keys sort by score, unknown directions downwards; nulls count as the largest value."""
     key = F.col(sort_key if sort_key in SORT_KEYS else DEFAULT_SORT)
     ascending = (sort_dir or "").upper() == "ASC"
     first = key.asc_nulls_last() if ascending else key.desc_nulls_first()
-    return [first, F.col("query"), F.col("page_url")]
+    return [first, *[F.col(name) for name in ties]]
 
 
 def opportunities_sorted(gaps: DataFrame, sort_key=None, sort_dir=None, **filters) -> DataFrame:
@@ -103,16 +111,56 @@ def opportunities_sorted(gaps: DataFrame, sort_key=None, sort_dir=None, **filter
     return displayed(matching(gaps, **filters)).orderBy(*sort_order(sort_key, sort_dir))
 
 
-def beyond(rows: DataFrame, after: dict, sort_key=None, sort_dir=None) -> DataFrame:
-    """Displayed rows that follow the row ``after`` (its sort column, query and page_url) in list order."""
+def _is_beyond(rows: DataFrame, after: dict, sort_key=None, sort_dir=None, ties: tuple[str, ...] = TIES) -> Column:
+    """Whether a displayed row follows the row ``after`` in list order."""
     name = sort_key if sort_key in SORT_KEYS else DEFAULT_SORT
     ascending = (sort_dir or "").upper() == "ASC"
-    key, last = F.col(name), F.lit(after[name]).cast(rows.schema[name].dataType)
-    place, past = F.struct("query", "page_url"), F.struct(F.lit(after["query"]), F.lit(after["page_url"]))
+
+    def value(column: str) -> Column:
+        return F.lit(after[column]).cast(rows.schema[column].dataType)
+
+    key, last = F.col(name), value(name)
+    place, past = F.struct(*ties), F.struct(*[value(tie).alias(tie) for tie in ties])
     farther = key > last if ascending else key < last
     if after[name] is None:  # nulls are the largest value: first downwards, last upwards
-        return rows.where((key.isNull() & (place > past)) | (F.lit(not ascending) & key.isNotNull()))
-    return rows.where(F.coalesce(farther, F.lit(ascending)) | (F.coalesce(key == last, F.lit(False)) & (place > past)))
+        return (key.isNull() & (place > past)) | (F.lit(not ascending) & key.isNotNull())
+    return F.coalesce(farther, F.lit(ascending)) | (F.coalesce(key == last, F.lit(False)) & (place > past))
+
+
+def beyond(rows: DataFrame, after: dict, sort_key=None, sort_dir=None) -> DataFrame:
+    """Displayed rows that follow the row ``after`` (its sort column, query and page_url) in list order."""
+    return rows.where(_is_beyond(rows, after, sort_key, sort_dir))
+
+
+def page_by_count(
+    rows: DataFrame, *, sort_key=None, sort_dir=None, page: int | None = None, page_size: int = 10, ties: tuple[str, ...] = TIES
+) -> DataFrame:
+    """A page of displayed rows, the last one by default, found by counting instead of sorting what comes before it.
+
+    Each round counts the rows up to some marks, rows of a sample in list order, and keeps the stretch between two marks
+    that holds the page; when it is short it is sorted. A round costs two passes and shortens the stretch by about
+    RANGES, so the cost hardly depends on where the page stands. ``ties`` make the order of rows unique.
+    """
+    order = sort_order(sort_key, sort_dir, ties)
+    left, passed, turn = rows.count(), 0, 0
+    start = ((left - 1) // page_size if page is None else page - 1) * page_size if left else 0
+    while left > SORTED_ROWS:
+        drawn = rows.where(F.pmod(F.xxhash64(F.lit(turn), *ties), F.lit(left)) < RANGES * DRAWN)
+        marks = [r.asDict() for r in drawn.orderBy(*order).collect()][DRAWN - 1 :: DRAWN]
+        if not marks:
+            break
+        up_to = list(rows.agg(*[F.count_if(~_is_beyond(rows, m, sort_key, sort_dir, ties)).alias(f"n{k}") for k, m in enumerate(marks)]).first())
+        first = bisect_right(up_to, start - passed)
+        last = bisect_left(up_to, start - passed + page_size)
+        begin, end = up_to[first - 1] if first else 0, up_to[last] if last < len(marks) else left
+        if end - begin >= left:
+            break
+        if first:
+            rows = rows.where(_is_beyond(rows, marks[first - 1], sort_key, sort_dir, ties))
+        if last < len(marks):
+            rows = rows.where(~_is_beyond(rows, marks[last], sort_key, sort_dir, ties))
+        left, passed, turn = end - begin, passed + begin, turn + 1
+    return rows.orderBy(*order).offset(start - passed).limit(page_size)
 
 
 def opportunities(
@@ -120,13 +168,15 @@ def opportunities(
 ) -> DataFrame:
     """One page of the matching rows.
 
-    A page by number costs its offset. ``after``, the last row seen, asks for the rows behind it at the cost of one page.
+    A page by number costs its offset up to SORTED_ROWS, and is found by counting beyond. ``after``, the last row seen,
+    asks for the rows behind it at the cost of one page.
     """
+    rows = displayed(matching(gaps, **filters))
     if after is not None:
-        rows = beyond(displayed(matching(gaps, **filters)), after, sort_key, sort_dir)
-        return rows.orderBy(*sort_order(sort_key, sort_dir)).limit(page_size)
-    ordered = opportunities_sorted(gaps, sort_key, sort_dir, **filters)
-    return ordered.offset((page - 1) * page_size).limit(page_size)
+        return beyond(rows, after, sort_key, sort_dir).orderBy(*sort_order(sort_key, sort_dir)).limit(page_size)
+    if page * page_size > SORTED_ROWS:
+        return page_by_count(rows, sort_key=sort_key, sort_dir=sort_dir, page=page, page_size=page_size)
+    return rows.orderBy(*sort_order(sort_key, sort_dir)).offset((page - 1) * page_size).limit(page_size)
 
 
 def opportunities_total(gaps: DataFrame, **filters) -> DataFrame:
@@ -182,6 +232,11 @@ def in_thousands(top: DataFrame) -> DataFrame:
     return top.withColumn("revenue_k", half_up_div(F.col("revenue_final"), F.lit(1000)))
 
 
+def export_list(gaps: DataFrame, sort_key=None, sort_dir=None, **filters) -> DataFrame:
+    """Matching rows in list order under the export's headers; written, the parts by name hold them in this order."""
+    return export_frame(opportunities_sorted(gaps, sort_key, sort_dir, **filters))
+
+
 def export_frame(rows: DataFrame) -> DataFrame:
     """Displayed rows under the export's headers, positions at two decimals, CTRs with a percent sign."""
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from searchlift.schemas import FACT_KEYS, FACTS, GAP_KEYS, WATCH_KEYS, WATCHLIST
+from searchlift.session import scratch_folder
 
 
 def last_wins(df: DataFrame, keys: tuple[str, ...], order_col: str) -> DataFrame:
@@ -63,23 +64,50 @@ def seed_gaps(gaps: DataFrame, seeds: DataFrame, keys: tuple[str, ...] = GAP_KEY
     return gaps.unionByName(absent, allowMissingColumns=True)
 
 
-def watch_id(query: Column, page_url: Column) -> Column:
-    """Stable id of a new watch-list row."""
-    return F.xxhash64(query, page_url)
+def numbered_parts(rows: DataFrame, part: str, order: list[Column], out: str, start: Column | None = None) -> DataFrame:
+    """Numbers rows from ``start`` (0 by default) in the order of their part, and within a part by ``order``.
 
+    Parts are counted, and the counts before each part added up: a row for each part. No window spans more than one part.
+    """
+    counts = rows.groupBy(part).agg(F.count("*").alias("rows"))
+    before = counts.select(part, (F.sum("rows").over(Window.orderBy(part)) - F.col("rows")).alias("rows_before"))
+    within = rows.withColumn(out, F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1)
+    first = F.lit(0).cast("bigint") if start is None else start
+    return within.join(F.broadcast(before), part).withColumn(out, F.col(out) + F.col("rows_before") + first).drop("rows_before")
+
+
+def numbered(rows: DataFrame, order: list[str], stage: str, out: str, start: Column | None = None) -> DataFrame:
+    """Numbers rows from ``start`` in the order of some columns, whose ranges become the parts.
+
+    The ranges are written to ``stage`` first, so that counts and numbers are those of the same parts.
+    """
+    rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()).write.mode("overwrite").parquet(stage)
+    staged = rows.sparkSession.read.schema(T.StructType([*rows.schema.fields, T.StructField("part", T.IntegerType())])).parquet(stage)
+    return numbered_parts(staged, "part", [F.col(c) for c in order], out, start).drop("part")
+
+
+def upsert_watchlist(watch: DataFrame, updates: DataFrame, now, order_col: str | None = None, stage: str | None = None) -> DataFrame:
+    """Inserts or replaces watched pairs; a replaced row keeps its id and its note.
 
-def upsert_watchlist(watch: DataFrame, updates: DataFrame, now, order_col: str | None = None) -> DataFrame:
-    """Inserts or replaces watched pairs; a replaced row keeps its id and its note."""
+    New rows are numbered on from the largest id, in the order of query and page.
+    """
+    spark = watch.sparkSession
     fresh = reduced(updates, WATCH_KEYS, order_col)
     replaced = ("agency_factor_aplicado", "baseline_position", "target_position", "baseline_date")
     renamed = fresh.select(*WATCH_KEYS, *[F.col(c).alias(f"new_{c}") for c in replaced], F.lit(True).alias("hit"))
-    joined = watch.join(renamed, list(WATCH_KEYS), "full_outer")
-    columns = {c: F.when(F.col("hit"), F.col(f"new_{c}")).otherwise(F.col(c)) for c in replaced}
-    columns["id"] = F.coalesce("id", watch_id(F.col("query"), F.col("page_url")))
+    joined = watch.join(renamed, list(WATCH_KEYS), "left")
     stamp = F.to_timestamp(F.lit(now))
+    columns = {c: F.when(F.col("hit"), F.col(f"new_{c}")).otherwise(F.col(c)) for c in replaced}
     columns["created_at"] = F.when(F.col("hit"), stamp).otherwise(F.col("created_at"))
-    merged = joined.withColumns(columns)
-    return merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in WATCHLIST.fields])
+    largest = watch.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    absent = fresh.join(watch.select(*WATCH_KEYS), list(WATCH_KEYS), "left_anti")
+    added = numbered(absent, list(WATCH_KEYS), stage or scratch_folder(spark, "watch"), "id", largest + 1)
+    added = added.withColumns({"notas": F.lit(None), "created_at": stamp})
+    return _watch_rows(joined.withColumns(columns)).unionByName(_watch_rows(added))
+
+
+def _watch_rows(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in WATCHLIST.fields])
 
 
 def delete_by_id(watch: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -147,5 +175,13 @@ def write_snapshot(df: DataFrame, path: str, schema: T.StructType) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Writes a frame as CSV with a header, quoting where needed."""
+    """Writes a frame as CSV with a header, quoting where needed; a sorted frame lies in order over the parts by name."""
     df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_exported(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of an export with ``row_index``, their place over all parts by name, from 1."""
+    place = F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    rows = spark.read.schema(schema).option("header", True).csv(path)
+    placed = rows.select("*", place.alias("part"), F.monotonically_increasing_id().alias("line"))
+    return numbered_parts(placed, "part", [F.col("line")], "row_index", F.lit(1).cast("bigint")).drop("part", "line")

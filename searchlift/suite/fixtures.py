@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = "2024-01-28"
 NOW = "2024-02-01 06:00:00"
+HOME = "https://www.shop.cl/small/brand-1/"
 
 FX_FACTS = """
 SELECT date, query, page, clicks, impressions,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from searchlift.suite.fixtures import AS_OF, NOW, VIEWS
+from searchlift.suite.fixtures import AS_OF, HOME, NOW, VIEWS
 
 CTES: dict[str, str] = {name: sql for name, (sql, _) in VIEWS.items()}
 
@@ -289,8 +289,10 @@ SELECT date + 28, query, page, clicks, impressions, ctr, position FROM kept WHER
 """
 
 CTES["quart"] = """
-SELECT slot, quantile_cont(CAST(ctr6 AS DOUBLE), [0.25, 0.5, 0.75]) AS q, COUNT(*) AS n
-FROM (SELECT LEAST(GREATEST((pos6 + 500000) // 1000000, 1), 20) AS slot, (ctr9 + 500) // 1000 AS ctr6 FROM units) u GROUP BY slot
+SELECT slot, [(CAST(x * 4 AS HUGEINT) + 2000000) // 4000000 FOR x IN q] AS q, n
+FROM (SELECT slot, quantile_cont(CAST(ctr12 AS DOUBLE), [0.25, 0.5, 0.75]) AS q, COUNT(*) AS n
+  FROM (SELECT LEAST(GREATEST((CAST(position * 1000000 AS BIGINT) + 500000) // 1000000, 1), 20) AS slot,
+      CAST(CAST(ctr AS DECIMAL(30,12)) * 1000000000000 AS BIGINT) AS ctr12 FROM fx_fine) u GROUP BY slot) f
 """
 
 _FACT_KEYS = "date, query, page"
@@ -349,7 +351,7 @@ WHERE NOT EXISTS (SELECT 1 FROM updates u WHERE u.date = k.date AND u.query = k.
 SELECT date, query, page AS page_url, impressions, CAST(position AS DOUBLE) AS avg_position, CAST(ctr AS DOUBLE) AS ctr_actual,
   CASE WHEN impressions >= 1000 THEN 'BOTH' ELSE 'NONE' END AS agency_factor FROM kept""",
     "upsert_watchlist": f"""
-SELECT w.id, COALESCE(w.query, u.query) AS query, COALESCE(w.page_url, u.page_url) AS page_url,
+SELECT COALESCE(w.id, (SELECT MAX(id) FROM fx_watch) + ROW_NUMBER() OVER (PARTITION BY w.id IS NULL ORDER BY u.query, u.page_url)) AS id, COALESCE(w.query, u.query) AS query, COALESCE(w.page_url, u.page_url) AS page_url,
   COALESCE(u.base2 / 100.0::DOUBLE, CAST(w.baseline_position AS DOUBLE)) AS baseline_position,
   COALESCE(u.base_date, w.baseline_date) AS baseline_date,
   COALESCE(u.aim2 / 100.0::DOUBLE, CAST(w.target_position AS DOUBLE)) AS target_position,
@@ -374,8 +376,8 @@ SELECT CAST(d.day AS DATE) AS date, COUNT(k.query) AS landed_rows
 FROM (SELECT unnest(generate_series(DATE '2024-03-10' - 60, DATE '2024-03-10' - 4, INTERVAL 1 DAY)) AS day) d
 LEFT JOIN kept k ON k.date = CAST(d.day AS DATE) GROUP BY 1""",
     "consolidated_date": "SELECT CAST(o_orderdate AS DATE) AS today, COUNT(*) AS n, CAST(o_orderdate AS DATE) - 3 AS consolidated FROM orders GROUP BY 1, 3",
-    "export_opportunities": """
-SELECT query AS keyword, page_url AS url, CAST(CAST(pos2 AS DECIMAL(10,0)) / 100 AS DECIMAL(8,2))::VARCHAR AS posicion,
+    "export_opportunities": f"""
+SELECT ROW_NUMBER() OVER ({_BY_SCORE}) AS row_index, query AS keyword, page_url AS url, CAST(CAST(pos2 AS DECIMAL(10,0)) / 100 AS DECIMAL(8,2))::VARCHAR AS posicion,
   delta::VARCHAR AS delta_clics, CAST(ctr4 / 100.0::DOUBLE AS DECIMAL(12,2))::VARCHAR || '%' AS ctr_real,
   CAST(exp4 / 100.0::DOUBLE AS DECIMAL(12,2))::VARCHAR || '%' AS ctr_esperado, revenue::VARCHAR AS revenue_clp,
   factor AS agency_factor, CAST(score1 / 10.0::DOUBLE AS DECIMAL(6,1))::VARCHAR AS score FROM listed""",
@@ -449,7 +451,7 @@ SELECT category_l1, COUNT(*) AS urls, CAST((2 * SUM(cr) + COUNT(*) * 10000000) /
   CAST((2 * SUM(tk) + COUNT(*)) // (2 * COUNT(*)) AS BIGINT) AS ticket
 FROM fx_catalog WHERE department = 'small' AND cr > 0 GROUP BY category_l1 ORDER BY urls DESC, category_l1 LIMIT 25""",
     "bi_coverage": "SELECT rate_source, COUNT(*) AS n FROM fx_catalog GROUP BY rate_source",
-    "calibrate_ctr_curve": "SELECT CAST(slot AS BIGINT) AS position, FLOOR(q[1] + 0.5) / 1000000 AS ctr_low, FLOOR(q[2] + 0.5) / 1000000 AS ctr_mid, FLOOR(q[3] + 0.5) / 1000000 AS ctr_high, n FROM quart",
+    "calibrate_ctr_curve": "SELECT CAST(slot AS BIGINT) AS position, CAST(q[1] AS DOUBLE) / 1000000 AS ctr_low, CAST(q[2] AS DOUBLE) / 1000000 AS ctr_mid, CAST(q[3] AS DOUBLE) / 1000000 AS ctr_high, n FROM quart",
     "distinct_subcategories": "SELECT DISTINCT COALESCE(NULLIF(split_part(split_part(page_url, '.cl/', 2), '/', 2), ''), '(sin subcategoría)') AS subcategory FROM listed",
     "score_summary": _SUMMARY,
     "normalise_score": f"SELECT {_GAP_KEYS}, CAST(score2 AS DOUBLE) / 100 AS opportunity_score FROM gaps",
@@ -469,6 +471,14 @@ SELECT query, page, CAST(first2 AS DOUBLE) / 100 AS first_position, CAST(last2 A
 SELECT {_SHOWN}, rn AS row_index, CAST(21 AS BIGINT) AS start_row, LEAST(30, total) AS end_row, total, (total + 9) // 10 AS total_pages
 FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY revenue DESC NULLS FIRST, query, page_url) AS rn, COUNT(*) OVER () AS total FROM listed) l
 WHERE rn BETWEEN 21 AND 30""",
+    "page_last_history": f"""
+SELECT date, {_SHOWN} FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY revenue DESC NULLS FIRST, query, page_url, date) AS rn, COUNT(*) OVER () AS total
+  FROM shown WHERE delta > 0) h WHERE rn > ((total - 1) // 10) * 10""",
+    "page_middle_history": f"""
+SELECT date, {_SHOWN} FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY factor, query, page_url, date) AS rn FROM shown WHERE delta > 0) h WHERE rn BETWEEN 134 AND 140""",
+    "join_catalog_skewed": f"""
+SELECT k.date, k.query, k.page_url, CAST(c.cr AS DOUBLE) / 1e12 AS conversion_rate, CAST(c.tk AS BIGINT) AS avg_ticket
+FROM (SELECT date, query, CASE WHEN clicks % 2 = 0 THEN '{HOME}' ELSE page END AS page_url FROM kept) k LEFT JOIN fx_catalog c ON c.page_url = k.page_url""",
     "top_opportunity": """
 SELECT date, query, page_url, CAST(revenue AS BIGINT) AS revenue_final, CAST(score2 AS DOUBLE) / 100 AS opportunity_score,
   factor AS agency_factor, pos6 / 1000000.0::DOUBLE AS avg_position
@@ -480,7 +490,7 @@ FROM latest WHERE revenue IS NOT NULL ORDER BY revenue DESC, query, page_url LIM
 SELECT p.factor_name AS name, CAST(p.ctr_boost AS DOUBLE) AS ctr_boost, CAST(p.success_prob AS DOUBLE) AS success_prob, CAST(NULL AS DOUBLE) AS ctr_mid
 FROM fx_params p WHERE p.factor_name IN (SELECT factor FROM classed)
 UNION ALL
-SELECT CAST(slot AS VARCHAR), NULL, NULL, FLOOR(q[2] + 0.5) / 1000000 FROM quart""",
+SELECT CAST(slot AS VARCHAR), NULL, NULL, CAST(q[2] AS DOUBLE) / 1000000 FROM quart""",
     "ctr_gap": f"SELECT {_FACT_KEYS}, GREATEST(exp6 * 1000 - ctr9, 0) / 1000000000.0::DOUBLE AS ctr_gap FROM units_exp",
     "classify_factor": f"""
 SELECT {_FACT_KEYS}, IF(impressions < 200, 'NONE', r.action) AS agency_factor
@@ -550,7 +560,7 @@ FROM documents d""",
     "upsert_landed_order": f"""
 SELECT {_FACT_KEYS}, clicks + 2 AS clicks, impressions, CAST(ctr AS DOUBLE) AS ctr, CAST(position AS DOUBLE) AS position FROM kept""",
     "scan_search_responses": f"SELECT {_FACT_KEYS}, clicks + 2 AS clicks, impressions, CAST(ctr AS DOUBLE) AS ctr, CAST(position AS DOUBLE) AS position FROM kept",
-    "curve_map": "SELECT CAST(slot AS BIGINT) AS position, FLOOR(q[2] + 0.5) / 1000000 AS ctr_mid FROM quart",
+    "curve_map": "SELECT CAST(slot AS BIGINT) AS position, CAST(q[2] AS DOUBLE) / 1000000 AS ctr_mid FROM quart",
     "opportunities_lenient": f"SELECT {_SHOWN} FROM listed WHERE pos6 <= 9500000 AND revenue >= 1000 ORDER BY score1 DESC NULLS FIRST, query, page_url LIMIT 10",
     "opportunities_after": f"SELECT {_SHOWN} FROM listed ORDER BY revenue DESC NULLS FIRST, query, page_url LIMIT 10 OFFSET 20",
 }

@@ -19,7 +19,7 @@ from searchlift.schemas import CATALOG, FACT_KEYS, FACTORS, FACTS, GAPS
 from searchlift.session import scratch_folder
 from searchlift.sources import readers, store
 from searchlift.streaming import incremental
-from searchlift.suite.fixtures import AS_OF, NOW, Inputs
+from searchlift.suite.fixtures import AS_OF, HOME, NOW, Inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -119,6 +119,10 @@ def projected_daily(i: Inputs, rows: DataFrame, **options) -> DataFrame:
     return WI.what_if(rows, i.view("fx_params"), i.view("fx_ctr_curve"), best, **options)
 
 
+def calibrated(i: Inputs) -> DataFrame:
+    return ctr_curve.calibrate_curve(facts(i), scratch_folder(i.spark, "ctr"))
+
+
 def land(rows: DataFrame, folder: str) -> None:
     """Writes facts as landed day files."""
     rows.select(
@@ -216,7 +220,7 @@ def _(i):
 
 @register("curve_map")
 def _(i):
-    found = D.curve_map(ctr_curve.calibrate_curve(facts(i)))
+    found = D.curve_map(calibrated(i))
     return found.select(F.explode("ctr_curve").alias("position", "ctr_mid"))
 
 
@@ -235,10 +239,7 @@ def _watch_updates(i):
 
 @register("upsert_watchlist")
 def _(i):
-    merged = store.upsert_watchlist(i.view("fx_watch"), _watch_updates(i), NOW, "ord")
-    # The id of a new row is a hash only this engine computes; the row itself is compared.
-    hashed = store.watch_id(F.col("query"), F.col("page_url"))
-    return merged.withColumn("id", F.when(F.col("id") != hashed, F.col("id")))
+    return store.upsert_watchlist(i.view("fx_watch"), _watch_updates(i), NOW, "ord")
 
 
 @register("delete_by_id")
@@ -295,14 +296,13 @@ def _(i):
 @register("export_opportunities")
 def _(i):
     folder = scratch_folder(i.spark, "export")
-    store.export_csv(O.export_frame(O.displayed(O.matching(scored(i)))), folder)
+    store.export_csv(O.export_list(scored(i)), folder)
     text = T.StringType()
     names = [
         "keyword", "url", "posicion", "delta_clics", "ctr_real",
         "ctr_esperado", "revenue_clp", "agency_factor", "score",
     ]
-    schema = T.StructType([T.StructField(n, text) for n in names])
-    return i.spark.read.schema(schema).option("header", True).csv(folder)
+    return store.read_exported(i.spark, folder, T.StructType([T.StructField(n, text) for n in names]))
 
 
 @register("ingest_accounting")
@@ -559,6 +559,14 @@ def _(i):
     return W.watched_facts(facts(i), i.view("fx_watch")).select("date", "query", "page", "position")
 
 
+@register("join_catalog_skewed")
+def _(i):
+    """About half of all rows on one page: those with an even number of clicks."""
+    home = F.when(F.col("clicks") % 2 == 0, F.lit(HOME)).otherwise(F.col("page"))
+    rows = bi.with_rates(G.seed_rows(kept(i).withColumn("page", home)), priced_catalog(i))
+    return rows.select("date", "query", "page_url", "conversion_rate", "avg_ticket")
+
+
 @register("watch_report_join")
 def _(i):
     report = W.watch_report(i.view("fx_watch"), facts(i), AS_OF)
@@ -658,7 +666,7 @@ def _(i):
 
 @register("calibrate_ctr_curve")
 def _(i):
-    return ctr_curve.calibrate_curve(facts(i))
+    return calibrated(i)
 
 
 @register("distinct_subcategories")
@@ -709,6 +717,23 @@ def _(i):
     return O.page_opportunities(scored(i), sort_key="revenue_final", sort_dir="desc", page=3)
 
 
+def _history(i):
+    """Every active row of every date in display form."""
+    return O.displayed(filters.active(scored(i)), "date")
+
+
+@register("page_last_history")
+def _(i):
+    """The last page of the whole history."""
+    return O.page_by_count(_history(i), sort_key="revenue_final", sort_dir="desc", ties=("query", "page_url", "date"))
+
+
+@register("page_middle_history")
+def _(i):
+    """A page in the middle, by a sort key that many rows share."""
+    return O.page_by_count(_history(i), sort_key="agency_factor", sort_dir="asc", page=20, page_size=7, ties=("query", "page_url", "date"))
+
+
 @register("top_opportunity")
 def _(i):
     return KP.top_opportunity(D.snapshot(scored(i)))
@@ -735,7 +760,7 @@ def _(i):
 def _(i):
     in_use = diagnosed(i).select(F.col("agency_factor").alias("factor_name")).distinct()
     factors = D.ordered_params(i.view("fx_params").join(in_use, "factor_name", "left_semi"))
-    curve = D.ordered_curve(ctr_curve.calibrate_curve(facts(i)))
+    curve = D.ordered_curve(calibrated(i))
     return factors.withColumnRenamed("factor_name", "name").unionByName(
         curve.select(F.col("position").cast("string").alias("name"), "ctr_mid"), allowMissingColumns=True
     )

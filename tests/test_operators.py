@@ -2,13 +2,14 @@
 
 import datetime
 import random
+import re
 from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
 from searchlift.functions import scoring as S
-from searchlift.operators import bi, branding, ctr_curve, filters, gaps, kpis, opportunities as O, watchlist as W
+from searchlift.operators import bi, branding, ctr_curve, filters, gaps, kpis, opportunities as O, order_statistics, watchlist as W
 from searchlift.operators import dimensions as dim
 from searchlift.operators import whatif
 from searchlift.plans import catalog as C
@@ -430,3 +431,68 @@ def test_seed_keeps_present_rows(spark):
     present = seeds.where("query = 'a'").withColumn("agency_factor", F.lit("CONTENT")).withColumn("extra", F.lit(1))
     out = {r.query: (r.agency_factor, r.extra) for r in store.seed_gaps(present, seeds).collect()}
     assert out == {"a": ("CONTENT", 1), "b": ("NONE", None)}
+
+
+def listed(spark, n):
+    rng = random.Random(n)
+    values = [None, 0, 5, 5, 5, 7] + list(range(40))
+    rows = [(f"q{rng.randrange(n)}", f"u{k}", rng.choice(values)) for k in range(n)]
+    rows += [("same", "same", 5)] * 30  # rows that no mark can part
+    return rows, spark.createDataFrame(rows, "query string, page_url string, revenue_final long").repartition(6)
+
+
+@pytest.mark.parametrize("direction", ["asc", "desc"])
+def test_pages_found_by_counting_are_those_of_the_sorted_list(spark, monkeypatch, direction):
+    monkeypatch.setattr(O, "SORTED_ROWS", 25)
+    rows, df = listed(spark, 700)
+    # Nulls are the largest value.
+    key = (lambda r: (r[2] is None, r[2] or 0)) if direction == "asc" else (lambda r: (r[2] is not None, -(r[2] or 0)))
+    ordered = sorted(rows, key=lambda r: (key(r), r[0], r[1]))
+    for page, size in ((1, 10), (2, 10), (37, 10), (None, 10), (None, 7), (20, 33), (500, 10)):
+        got = [tuple(r) for r in O.page_by_count(df, sort_key="revenue_final", sort_dir=direction, page=page, page_size=size).collect()]
+        start = ((len(ordered) - 1) // size if page is None else page - 1) * size
+        assert got == ordered[start : start + size], (page, size)
+    assert O.page_by_count(df.limit(0), sort_key="revenue_final").collect() == []
+
+
+def test_a_deep_page_sorts_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(O, "SORTED_ROWS", 100)
+    _, df = listed(spark, 4000)
+    plan = O.page_by_count(df, sort_key="revenue_final", page=350)._jdf.queryExecution().optimizedPlan().toString()
+    offsets = [int(n) for n in re.findall(r"Offset (\d+)", plan)]
+    assert offsets and max(offsets) < 100
+
+
+def test_order_statistics_are_those_of_the_sorted_values(spark, monkeypatch):
+    monkeypatch.setattr(order_statistics, "PARTS", 5)
+    rng = random.Random(2)
+    values = {g: [rng.choice([0, 1, 7, 10**12, rng.randrange(10**12)]) for _ in range(200)] for g in range(4)} | {9: [3]}
+    df = spark.createDataFrame([(g, v) for g, own in values.items() for v in own], "g int, v long")
+    ranks = {g: {0, len(own) // 3, len(own) // 2, len(own) - 1} for g, own in values.items()}
+    found = order_statistics.order_statistics(df, "g", "v", ranks, order_statistics.extent(df, "g", "v"))
+    assert found == {(g, r): sorted(values[g])[r] for g, wanted in ranks.items() for r in wanted}
+    assert order_statistics.extent(df.where("g > 50"), "g", "v") == {}
+
+
+def test_a_curve_of_no_facts(spark):
+    assert ctr_curve.calibrate_curve(spark.createDataFrame([], FACTS)).collect() == []
+
+
+def test_rates_of_a_hot_page_are_spread(spark):
+    rows = [("hot" if k % 2 else f"p{k}", f"q{k}") for k in range(2000)] + [("gone", f"q{k}") for k in range(500)]
+    gaps_df = spark.createDataFrame(rows, "page_url string, query string").repartition(8)
+    catalog = spark.createDataFrame([("hot", 1, 10)] + [(f"p{k}", 2, k) for k in range(0, 2000, 4)], "page_url string, conversion_rate int, avg_ticket int")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        joined = bi.with_rates(gaps_df, catalog)
+        got = joined.collect()
+        sizes = [r.n for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    want = {"hot": (1, 10), "gone": (None, None)} | {f"p{k}": (2, k) if k % 4 == 0 else (None, None) for k in range(0, 2000, 2)}
+    assert len(got) == len(rows) and all((r.conversion_rate, r.avg_ticket) == want[r.page_url] for r in got)
+    assert max(sizes) <= 2 * sum(sizes) / 8

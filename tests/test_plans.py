@@ -39,6 +39,15 @@ def test_newest_date_is_a_partition_filter(stored):
     assert "PartitionFilters: [isnotnull(date" in text and "Subquery" in text.split("PartitionFilters")[1]
 
 
+def test_no_file_is_read_for_the_newest_date(stored):
+    newest = dim.snapshot(stored).select("query")._jdf.queryExecution().executedPlan().toString()
+    assert newest.count("FileScan") == 1 and "LocalTableScan [date" in newest.split("Subquery subquery")[-1]
+    assert dim.snapshot(stored).select("date").distinct().collect() == stored.agg(F.max(F.col("date").cast("string")).cast("date").alias("date")).collect()
+    # Behind a filter of rows the date depends on what the files hold.
+    kept = dim.snapshot(filters.ingest_filter(stored)).select("query")._jdf.queryExecution().executedPlan().toString()
+    assert kept.count("FileScan") == 2
+
+
 def test_explicit_date_prunes(stored):
     assert "PartitionFilters" in plan(dim.snapshot(stored, "2024-01-10"))
 

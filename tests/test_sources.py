@@ -168,7 +168,12 @@ def test_watchlist_upsert_keeps_id_and_note(spark):
     assert (out["q"].id, out["q"].notas, out["q"].agency_factor_aplicado) == (1, "keep", "LINK_BUILDING")
     assert out["q"].baseline_position == D(9) and out["q"].created_at == datetime.datetime(2024, 2, 1, 6)
     assert out["r"].created_at == old
-    assert out["n"].notas is None and out["n"].id is not None
+    assert out["n"].notas is None and out["n"].id == 3
+    many = spark.createDataFrame([(f"q{k:03}", "u", "BOTH", D(5), D(3), DAY, 0) for k in range(300)], schema).repartition(5)
+    new = store.upsert_watchlist(watch, many, now, "ord").where(F.col("notas").isNull() & F.col("query").startswith("q"))
+    assert [(r.query, r.id) for r in new.orderBy("id").collect()] == [(f"q{k:03}", k + 3) for k in range(300)]
+    none = spark.createDataFrame([], WATCHLIST)
+    assert [r.id for r in store.upsert_watchlist(none, updates.where("query = 'n'"), now, "ord").collect()] == [1]
 
 
 def test_export_quotes_commas(spark, tmp_path):
@@ -177,6 +182,21 @@ def test_export_quotes_commas(spark, tmp_path):
     assert spark.read.option("header", True).csv(path).first().keyword == "a, b"
 
 
+def test_an_export_keeps_its_order_over_the_parts(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    rows = [(f"k{(n * 7919) % 1000:04}", "a\"b, c") for n in range(1000)]
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(conf)
+    try:
+        spark.conf.set(conf, "false")
+        store.export_csv(spark.createDataFrame(rows, "keyword string, x string").orderBy("keyword"), path)
+    finally:
+        spark.conf.set(conf, before)
+    assert len(list((tmp_path / "csv").glob("part-*"))) > 1
+    read = store.read_exported(spark, path, spark.createDataFrame(rows[:1], "keyword string, x string").schema)
+    assert [(r.row_index, r.keyword, r.x) for r in read.orderBy("row_index").collect()] == [(k + 1, f"k{k:04}", "a\"b, c") for k in range(1000)]
+
+
 @pytest.fixture(scope="module")
 def month(spark, folder):
     return Inputs(spark, folder)
