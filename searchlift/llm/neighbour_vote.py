@@ -142,9 +142,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     Of more than `sample` labelled ids those with the least hash are taken. Null labels and ids count as absent; texts that
     repeat, or ids labelled twice, count as often as they come.
     """
-    known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").select(F.col("doc_id").alias("__id"), F.col("label").cast("int").alias("label"))
-    taken = known.orderBy(F.xxhash64("__id"), "__id", "label").limit(sample)  # at most `sample` rows of 12 bytes
-    rows = docs.join(F.broadcast(taken), docs["doc_id"] == taken["__id"]).select(F.col("__id").alias("doc_id"), "label", "text")
+    known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").select("doc_id", F.col("label").cast("int").alias("label"))
+    taken = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)  # at most `sample` rows of 12 bytes
+    rows = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").select("doc_id", "label", "text")
     found = rows.mapInArrow(_features, "doc_id long, label int, shares binary").orderBy("doc_id", "label", "shares").limit(sample).collect()
     shares = np.array([np.frombuffer(r["shares"], dtype=np.float32) for r in found], dtype=np.float32).reshape(len(found), WIDTH)
     return fit(shares, np.array([r["label"] for r in found], dtype=np.float64))

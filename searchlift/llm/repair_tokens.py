@@ -41,7 +41,7 @@ BLOCK_IDS = 1 << 20
 #: A pair that comes less often is not replaced.
 LEAST = 8
 #: Pairs replaced in a round.
-ROUND_PAIRS = 2048
+ROUND_PAIRS = 4096
 _SLOTS = 1 << 16
 
 #: Fixed value: the public pattern by which byte-level tokenizers cut a text into pre-tokens.

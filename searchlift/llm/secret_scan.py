@@ -286,4 +286,5 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
 
     every = F.array_sort(F.concat("base", random), compare)
     names = [n for n in kept if n != text]
-    return scanned.select(*unpacked(names), F.col("base").alias("base_spans"), every.alias("spans"))
+    found = scanned.select("row", "base", every.alias("every"))  # on its own, where no other column bears these names
+    return found.select(*unpacked(names), F.col("base").alias("base_spans"), F.col("every").alias("spans"))

@@ -165,3 +165,15 @@ def test_shards_of_odd_rows(docs_of, odd):
     assert got == sorted(zlib.crc32((t or "").encode()) for _, t in odd)
     assert {r["size"] for v in out.values() for r in v if r.text is None} == {1}
     assert shards(docs_of(odd[:0])) == {}
+
+
+def test_rows_without_id_and_with_one_text_are_dealt_over_shards(docs_of):
+    """Two thirds of the rows are alike in text and have no doc_id; a unit of them is parted like any other rows."""
+    rows = [(None, "the same text") if k % 3 else (k, f"text {k} " + "x" * (k % 50)) for k in range(3000)]
+    rows += [(7, "a copy")] * 500
+    out = shards(docs_of(rows).repartition(5))
+    sizes = [sum(r["size"] for r in out[k]) for k in range(8)]
+    largest = max(r["size"] for v in out.values() for r in v)
+    assert max(sizes) - min(sizes) <= 0.01 * sum(sizes) / 8 + 2 * largest
+    assert all(sorted(r.slot for r in v) == list(range(len(v))) for v in out.values())
+    assert sorted(str((r.doc_id, r.text)) for v in out.values() for r in v) == sorted(str(r) for r in rows)
