@@ -322,6 +322,12 @@ def _number(text: str) -> str:
     return f"COALESCE(CAST(list_last({plain}) AS DOUBLE), 0.0)"
 
 
+_UPSERTED = f"""
+SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM updates
+UNION ALL
+SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM kept k
+WHERE NOT EXISTS (SELECT 1 FROM updates u WHERE u.date = k.date AND u.query = k.query AND u.page = k.page)"""
+
 _SUMMARY = """
 SELECT date, COUNT(*) FILTER (WHERE branded) AS branded, COUNT(*) FILTER (WHERE NOT branded) AS diagnosed,
   COUNT(*) FILTER (WHERE NOT branded) AS classified, COUNT(*) FILTER (WHERE NOT branded) AS projected,
@@ -342,11 +348,8 @@ BODIES: dict[str, str] = {
     "scan_search_facts": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_fine",
     "scan_section": f"SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM fx_fine WHERE contains(page, '.cl/small/')",
     "scan_bi_csv": "SELECT dept, sub, CAST(tasa_conversion AS DOUBLE) AS tasa_conversion, CAST(ticket_promedio AS DOUBLE) AS ticket_promedio FROM fx_bi",
-    "upsert_facts": f"""
-SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM updates
-UNION ALL
-SELECT {_FACT_KEYS}, {_FACTS_OUT} FROM kept k
-WHERE NOT EXISTS (SELECT 1 FROM updates u WHERE u.date = k.date AND u.query = k.query AND u.page = k.page)""",
+    "upsert_facts": _UPSERTED,
+    "upsert_facts_bucketed": _UPSERTED,
     "insert_if_absent": """
 SELECT date, query, page AS page_url, impressions, CAST(position AS DOUBLE) AS avg_position, CAST(ctr AS DOUBLE) AS ctr_actual,
   CASE WHEN impressions >= 1000 THEN 'BOTH' ELSE 'NONE' END AS agency_factor FROM kept""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,7 +18,7 @@ from searchlift.plans import catalog as C
 from searchlift.plans import scoring as P
 from searchlift.schemas import CATALOG, FACT_KEYS, FACTORS, FACTS, GAPS
 from searchlift.session import scratch_folder
-from searchlift.sources import readers, store
+from searchlift.sources import bucketed, readers, store
 from searchlift.streaming import incremental
 from searchlift.suite.fixtures import AS_OF, HOME, NOW, Inputs
 
@@ -180,11 +181,22 @@ def _(i):
     return store.put(kept(i), fresh, FACT_KEYS)
 
 
+@register("upsert_facts_bucketed")
+def _(i):
+    """The same in a table whose days lie in buckets of keys."""
+    name, path = f"facts_{uuid.uuid4().hex}", scratch_folder(i.spark, "bucketed")
+    bucketed.create_facts_table(i.spark, name, path, int(i.spark.conf.get("spark.sql.shuffle.partitions")))
+    bucketed.write_bucketed(kept(i), name)
+    bucketed.upsert_table(i.spark, name, _updates(i), "ord")
+    i.spark.sql(f"DROP TABLE {name}")  # the folder stays
+    return store.read_table(i.spark, path, FACTS)
+
+
 def _twice(i):
-    """Every kept fact landed twice, the later copy behind the first in the same file: a day is in one task, days are in many."""
+    """Every kept fact landed twice, the later copy behind the first in the same file; a day lies in many files."""
     rows = kept(i)
     copies = rows.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("clicks", F.col("clicks") + F.col("copy"))
-    return copies.repartition("date").sortWithinPartitions("date", "copy", "query", "page")
+    return copies.repartition(*FACT_KEYS).sortWithinPartitions("date", "copy", "query", "page")
 
 
 @register("upsert_landed_order")
@@ -202,18 +214,29 @@ def _(i):
     return store.put(i.spark.createDataFrame([], FACTS), fresh, FACT_KEYS)
 
 
-@register("scan_search_responses")
-def _(i):
-    """One response document for each day (a fixture of bounded days), its rows in one array."""
-    folder = scratch_folder(i.spark, "responses")
+#: Rows that one response holds.
+RESPONSE_ROWS = 25_000
+
+
+def land_responses(rows: DataFrame, folder: str) -> None:
+    """Writes facts as landed responses, each fact twice: documents of about RESPONSE_ROWS rows, one in a file."""
     record = F.struct(
         F.array("query", "page").alias("keys"), "clicks", "impressions",
         F.col("ctr").cast("double").alias("ctr"), F.col("position").cast("double").alias("position"),
     )
     copies = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), record.withField("clicks", F.col("clicks") + n).alias("row")) for n in (1, 2)]))
-    days = kept(i).select("date", copies.alias("c")).groupBy("date").agg(F.sort_array(F.collect_list("c")).alias("copies"))
-    rows = F.transform("copies", lambda c: c["row"])
-    days.select("date", F.to_json(F.struct(rows.alias("rows"))).alias("value")).write.partitionBy("date").text(folder)
+    sizes = rows.groupBy("date").agg(F.ceil(F.count("*") * 2 / F.lit(RESPONSE_ROWS)).alias("responses"))
+    dealt = rows.join(F.broadcast(sizes), "date").withColumn("response", F.pmod(F.xxhash64("query", "page"), F.col("responses")))
+    found = dealt.select("date", "response", copies.alias("c")).groupBy("date", "response").agg(F.sort_array(F.collect_list("c")).alias("copies"))
+    body = F.to_json(F.struct(F.transform("copies", lambda c: c["row"]).alias("rows")))
+    found.select("date", body.alias("value")).write.option("maxRecordsPerFile", 1).partitionBy("date").text(folder)
+
+
+@register("scan_search_responses")
+def _(i):
+    """Whole responses, a few for each day; both copies of a fact are in one of them."""
+    folder = scratch_folder(i.spark, "responses")
+    land_responses(kept(i), folder)
     landed = readers.read_search_responses(i.spark, folder)
     return store.last_wins(landed, FACT_KEYS, "landing_order")
 

@@ -151,6 +151,37 @@ def test_a_report_from_weeks_reads_few_days_of_facts(spark, folder, tmp_path):
     assert sorted(map(str, sums.collect())) == sorted(map(str, W.weekly_sums(facts).collect()))
 
 
+def test_an_upsert_into_buckets_moves_no_row_of_the_target(spark, stored, tmp_path):
+    from searchlift.schemas import FACT_KEYS
+    from searchlift.sources import bucketed
+
+    conf = {bucketed.CO_LOCATED: "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in conf}
+    for name in ("facts_b", "updates_b"):
+        bucketed.create_facts_table(spark, name, str(tmp_path / name), 5)
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        days = store.touched_days(stored.where("date > '2024-01-20'"))
+        whole = store.on_days(stored, days).withColumn("clicks", F.col("clicks") + 1)
+        bucketed.write_bucketed(stored, "facts_b")
+        bucketed.write_bucketed(whole, "updates_b")
+        assert bucketed.buckets_of(spark, "facts_b") == 5
+        text = plan(bucketed.upserted(spark, "facts_b", "updates_b", days))
+        assert "Exchange" not in text and "SortMergeJoin" in text and "Bucketed: true" in text
+        again = whole.withColumn("ord", F.lit(0)).unionByName(whole.withColumn("clicks", F.col("clicks") + 1).withColumn("ord", F.lit(1)))
+        bucketed.upsert_table(spark, "facts_b", again, "ord")
+        got = sorted(map(str, spark.table("facts_b").collect()))
+        want = store.upsert(stored, again, FACT_KEYS, "ord").select(spark.table("facts_b").columns)
+        assert got == sorted(map(str, want.collect()))
+        assert spark.catalog.listTables(pattern="facts_b_*") == []
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+        for name in ("facts_b", "updates_b"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_share_of_max_uses_no_window(stored):
     rows = stored.select(F.col("clicks").alias("revenue_final"), "query")
     assert "Window" not in plan(O.share_of_max(rows)) and "SinglePartition" not in plan(O.share_of_max(rows)).split("Subquer")[0]

@@ -1,6 +1,7 @@
 """Every registered query against its check SQL on the small tables."""
 
 import glob
+import json
 import os
 
 import duckdb
@@ -8,6 +9,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check import table
+from searchlift.schemas import FACT_KEYS
+from searchlift.sources import readers, store
 from searchlift.suite import oracles, queries
 from searchlift.suite.fixtures import Inputs
 from searchlift.suite.queries import QUERIES
@@ -43,9 +46,32 @@ def test_matches_check_sql(spark, duck, key):
     assert mine[0], "the query should return rows"
 
 
-def test_landed_copies_are_spread_by_day(spark, tmp_path):
+def test_landed_copies_are_spread_and_stay_together(spark, tmp_path):
     rows = queries._twice(Inputs(spark, SMALL))
     assert "SinglePartition" not in rows._jdf.queryExecution().toString() and "RoundRobin" not in rows._jdf.queryExecution().toString()
-    queries.land(rows, str(tmp_path / "landing"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        queries.land(rows, str(tmp_path / "landing"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     for day in glob.glob(f"{tmp_path}/landing/date=*"):
-        assert len(glob.glob(f"{day}/*.json")) == 1
+        files = glob.glob(f"{day}/*.json")
+        assert len(files) > 1
+        for path in files:
+            with open(path, encoding="utf-8") as lines:
+                clicks = {}
+                for row in map(json.loads, lines):
+                    clicks.setdefault(tuple(row["keys"]), []).append(row["clicks"])
+            assert all(len(own) == 2 and own[1] == own[0] + 1 for own in clicks.values())
+
+
+def test_a_day_of_responses_lies_in_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "RESPONSE_ROWS", 50)
+    kept = queries.kept(Inputs(spark, SMALL))
+    queries.land_responses(kept, str(tmp_path / "landing"))
+    assert all(len(glob.glob(f"{day}/*.txt")) > 1 for day in glob.glob(f"{tmp_path}/landing/date=*"))
+    landed = readers.read_search_responses(spark, str(tmp_path / "landing"))
+    assert landed.count() == 2 * kept.count()
+    last = store.last_wins(landed, FACT_KEYS, "landing_order").select("date", "query", "page", "clicks")
+    assert sorted(map(str, last.collect())) == sorted(map(str, kept.select("date", "query", "page", (kept.clicks + 2).alias("clicks")).collect()))
