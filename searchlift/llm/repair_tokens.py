@@ -115,26 +115,18 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, limit: int) -> tuple[Bl
     while used < limit and len(seq) > 1:
         codes = (seq[:-1] << bits) | seq[1:]
         inside = ~last[:-1]
-        in_order = np.sort(codes[inside])
-        if not len(in_order):
-            break
-        cut = np.r_[0, np.flatnonzero(in_order[1:] != in_order[:-1]) + 1]
-        counts = np.diff(np.r_[cut, len(in_order)])
-        often = np.flatnonzero(counts >= LEAST)
-        if len(often) <= ROUND_PAIRS:
-            seq, last, late = _replace_the_rest(seq, last, in_order[cut[often]], used, limit, bits)
+        pairs, counts = _frequent(np.sort(codes[inside]))
+        if len(pairs) <= ROUND_PAIRS:
+            seq, last, late = _replace_the_rest(seq, last, pairs, used, limit, bits)
             for new in late:
                 known = np.concatenate(sizes)
                 rules.append(new)
                 sizes.append(known[new[:, 0].astype(np.int64)] + known[new[:, 1].astype(np.int64)])
             break
-        often = often[np.argsort(-counts[often], kind="stable")][: min(ROUND_PAIRS, limit - used)]
-        pairs = in_order[cut[often]]
+        pairs = pairs[np.argsort(-counts, kind="stable")[: min(ROUND_PAIRS, limit - used)]]
         # A table tells a pair's rule; of pairs that share a slot the most frequent stays, the others wait for a round.
         _, kept = np.unique(_slot(pairs), return_index=True)
         pairs = pairs[np.sort(kept)]
-        if not len(pairs):
-            break
         table = np.full(_SLOTS, np.iinfo(wide).max, dtype=wide)
         symbol = np.zeros(_SLOTS, dtype=wide)
         table[_slot(pairs)] = pairs
@@ -162,6 +154,15 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, limit: int) -> tuple[Bl
     return Block(base, table, lengths, seq), begins[:-1] if len(begins) > 1 else begins
 
 
+def _frequent(in_order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What comes LEAST times or more in a sorted array, and how often: only places LEAST apart are compared."""
+    if len(in_order) < LEAST:
+        return in_order[:0], np.zeros(0, np.int64)
+    own = in_order[np.flatnonzero(in_order[LEAST - 1 :] == in_order[: len(in_order) - LEAST + 1])]
+    own = own[np.r_[True, own[1:] != own[:-1]][: len(own)]]
+    return own, np.searchsorted(in_order, own, "right") - np.searchsorted(in_order, own, "left")
+
+
 def _replace_the_rest(seq: np.ndarray, last: np.ndarray, pairs: np.ndarray, used: int, limit: int, bits) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """The rounds from where all frequent pairs fit into one: sequence, ends of documents, and the rules of each round.
 
@@ -279,9 +280,11 @@ class ByteLevelEncoder:
     def _merge(self, words: list[str]) -> None:
         if len(self.merged) > 1 << 19:
             self.merged.clear()
-        model, spelled = self.tokenizer.model, self.spelled
+        model, spelled, blank = self.tokenizer.model, self.spelled, self.spelled[0x20]
         for word in set(words).difference(self.merged):
-            self.merged[word] = [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(spelled))]
+            # Printable ASCII is written as it is, but for the space.
+            plain = word.replace(" ", blank) if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(spelled)
+            self.merged[word] = [t.id for t in model.tokenize(plain)]
 
 
 def _byte_letters() -> dict[int, str]:
