@@ -7,6 +7,8 @@ as there are lengths, and terms that share a start, however many, are never trie
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: The start of a term has so many letters, at most.
@@ -15,6 +17,10 @@ KEY_LETTERS = 4
 INDEX_BYTES = 16 << 20
 #: Texts are read in pieces of so many places, since cutting at a place costs the way to it.
 PIECE = 256
+#: Bits for a term in the filter before the join, bytes it has at most, and bits in one of its chunks.
+FILTER_BITS = 64
+FILTER_BYTES = 16 << 20
+CHUNK_BITS = 1 << 16
 
 
 def clean_terms(terms: DataFrame) -> DataFrame:
@@ -32,10 +38,17 @@ def _starts(terms: DataFrame) -> DataFrame:
     return terms.groupBy(_key(F.col("term")).alias("key")).agg(F.array_sort(F.collect_set(F.length("term"))).alias("lengths"))
 
 
+def _begins(text: Column) -> Column:
+    return F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(PIECE))
+
+
+def _piece(text: Column, begin: Column, longest: Column) -> Column:
+    return F.substring(text, begin, longest + PIECE - 1)
+
+
 def _pieces(text: Column, longest: Column) -> Column:
     """Pieces of a text that begin every PIECE places and run on so far that each term is whole in one."""
-    begins = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(PIECE))
-    return F.transform(begins, lambda begin: F.substring(text, begin, longest + PIECE - 1))
+    return F.transform(_begins(text), lambda begin: _piece(text, begin, longest))
 
 
 def _places(piece: Column) -> Column:
@@ -90,31 +103,133 @@ def _flag_by_index(df: DataFrame, terms: DataFrame, text: str, out: str) -> Data
     return listed.withColumn(out, F.coalesce(hit, F.lit(False))).drop("brand_index")
 
 
-def _flag_by_join(df: DataFrame, terms: DataFrame, text: str, out: str) -> DataFrame:
-    # Each distinct piece of a text is cut once into the starts that terms may have, which meet the terms' starts in an
-    # equi-join; what comes back are places and lengths. The piece is cut there to these lengths, and the cuts meet the
-    # terms as wholes. Rows between are bounded by places and lengths, never by the number of terms.
-    # Texts and pieces go by two hashes of 64 bits.
-    def named(x: Column, name: str) -> Column:
-        return F.struct(F.xxhash64(x), F.xxhash64(F.lit(1), x)).alias(name)
+def term_filter(terms: DataFrame) -> DataFrame:
+    """One row: bits by which most places of a text are seen to begin no term, and the lengths of starts and terms.
 
-    lengths = terms.agg(F.collect_set(F.length(_key(F.col("term"))))).scalar()
-    longest = terms.agg(F.coalesce(F.max(F.length("term")), F.lit(0))).scalar()
-    texts = df.select(F.lower(text).alias("lowered")).where(F.col("lowered").isNotNull()).distinct()
-    known_longest = texts.select("lowered", longest.alias("longest"))
-    cut = known_longest.select(named(F.col("lowered"), "id"), F.explode(_pieces(F.col("lowered"), F.col("longest"))).alias("piece"))
-    cut = cut.select("id", named(F.col("piece"), "part"), "piece")
-    parts = cut.groupBy("part").agg(F.first("piece").alias("piece"))
-    sized = parts.select("part", "piece", F.explode(lengths).alias("size"))
-    starts = F.transform(_places(F.col("piece")), lambda place: F.struct(place.alias("place"), F.substring(F.col("piece"), place, F.col("size")).alias("key")))
-    met = sized.select("part", F.inline(starts)).join(_starts(terms), "key")
-    known = met.groupBy("part").agg(F.collect_list(F.struct("place", "lengths")).alias("met"))
-    cuts = F.transform("met", lambda m: F.transform(m["lengths"], lambda n: F.substring(F.col("piece"), m["place"], n)))
-    wholes = F.array_distinct(F.flatten(cuts))
-    held = parts.join(known, "part").select("part", F.explode(wholes).alias("term")).join(terms, "term", "left_semi")
-    hits = cut.select("id", "part").join(held.select("part").distinct(), "part", "left_semi").select("id").distinct()
-    hits = hits.select(F.col("id").alias("__branded"), F.lit(True).alias(out))
-    flagged = df.join(hits, named(F.lower(df[text]), "id") == hits["__branded"], "left").drop("__branded")
+    Two bits stand for each start and for each start with a length of its terms, four for each term. There are
+    FILTER_BITS bits for a term up to FILTER_BYTES; beyond, more cuts pass by chance, and the join looks them up.
+    """
+    chunks = terms.agg(F.least(F.ceil(F.count("*") * FILTER_BITS / CHUNK_BITS) + 1, F.lit(FILTER_BYTES * 8 // CHUNK_BITS)).cast("bigint")).scalar()
+    key, length = _key(F.col("term")), F.length("term")
+    hashes = (F.xxhash64(key), F.xxhash64(key, length), *_whole_hashes(F.col("term")))
+    marks = terms.select(F.explode(F.array(*[bit for h in hashes for bit in _bits(h, chunks * CHUNK_BITS)])).alias("bit"))
+    value = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit").bitwiseAND(63).cast("int"))
+    numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), chunks * (CHUNK_BITS // 64) - 1)).alias("word")
+    every = terms.sparkSession.range(1).select(numbers, F.lit(0).cast("bigint").alias("value"))
+    words = marks.select(F.shiftright("bit", 6).alias("word"), value.alias("value")).unionByName(every)
+    words = words.groupBy("word").agg(F.bit_or("value").alias("value"))
+
+    def in_order(number: str) -> Column:
+        return F.transform(F.array_sort(F.collect_list(F.struct(number, "value"))), lambda r: r["value"]).alias("value")
+
+    rows = words.groupBy(F.expr(f"word div {CHUNK_BITS // 64}").alias("chunk")).agg(in_order("word")).agg(in_order("chunk"))
+    starts = terms.agg(F.collect_set(F.length(key))).scalar()
+    lengths = terms.agg(F.array_sort(F.collect_set(length))).scalar()
+    longest = terms.agg(F.coalesce(F.max(length), F.lit(0))).scalar()
+    return rows.select(
+        F.struct(F.col("value").alias("chunks"), (chunks * CHUNK_BITS).alias("size"), starts.alias("starts"), lengths.alias("lengths"), longest.alias("longest"))
+    )
+
+
+def _whole_hashes(term: Column) -> tuple[Column, Column]:
+    return F.xxhash64(term), F.xxhash64(term, F.lit(0))
+
+
+def _bits(h: Column, size: Column) -> tuple[Column, Column]:
+    return F.pmod(h, size), F.pmod(F.shiftright(h, 29), size)
+
+
+def _may_be(index: Column, h: Column) -> Column:
+    def is_set(bit: Column) -> Column:
+        chunk = F.get(index["chunks"], F.shiftright(bit, CHUNK_BITS.bit_length() - 1).cast("int"))
+        word = F.get(chunk, F.shiftright(bit, 6).bitwiseAND(CHUNK_BITS // 64 - 1).cast("int"))
+        return F.getbit(word, bit.bitwiseAND(63).cast("int")) == 1
+
+    one, other = _bits(h, index["size"])
+    return is_set(one) & is_set(other)
+
+
+def _may_start(index: Column, piece: Column, place: Column, size: Column) -> Column:
+    return _may_be(index, F.xxhash64(F.substring(piece, place, size)))
+
+
+def _may_be_term(index: Column, piece: Column, place: Column, size: Column, length: Column) -> Column:
+    known = _may_be(index, F.xxhash64(F.substring(piece, place, size), length))
+    one, other = _whole_hashes(F.substring(piece, place, length))
+    return known & _may_be(index, one) & _may_be(index, other)
+
+
+def _first_of(items: Column, find: Callable[[Column], Column]) -> Column:
+    """The first text that is found; nothing is looked for behind it."""
+    return F.aggregate(items, F.lit(None).cast("string"), lambda found, item: F.coalesce(found, find(item)))
+
+
+def _first_cut(index: Column, text: Column) -> Column:
+    """The text with its first cut that the filter lets pass, in an array; empty where there is none."""
+
+    def at(x: Column, piece: Column, place: Column) -> Column:
+        def of_length(size: Column, length: Column) -> Column:
+            return F.when(_may_be_term(x["index"], piece, place, size, length), F.substring(piece, place, length))
+
+        def of_start(size: Column) -> Column:
+            whole = _first_of(x["index"]["lengths"], lambda length: of_length(size, length))
+            return F.when(_may_start(x["index"], piece, place, size), whole)
+
+        return _first_of(x["index"]["starts"], of_start)
+
+    def within(x: Column, piece: Column) -> Column:
+        return _first_of(_places(piece), lambda place: at(x, piece, place))
+
+    def of_text(x: Column) -> Column:
+        cut = lambda begin: F.array(_piece(x["text"], begin, x["index"]["longest"]))
+        return _first_of(_begins(x["text"]), lambda begin: _first_of(cut(begin), lambda piece: within(x, piece)))
+
+    # As in the lookup by index: the filter is named once, where it is used.
+    both = F.array(F.struct(index.alias("index"), text.alias("text")))
+    return F.filter(F.transform(both, lambda x: F.struct(x["text"].alias("text"), of_text(x).alias("term"))), lambda r: r["term"].isNotNull())
+
+
+def _all_cuts(index: Column, text: Column) -> Column:
+    """All distinct cuts of a text that the filter lets pass."""
+
+    def at(x: Column, piece: Column, place: Column, size: Column) -> Column:
+        lengths = F.filter(x["index"]["lengths"], lambda length: _may_be_term(x["index"], piece, place, size, length))
+        return F.transform(lengths, lambda length: F.substring(piece, place, length))
+
+    def within(x: Column, piece: Column) -> Column:
+        def starts(place: Column) -> Column:
+            return F.filter(x["index"]["starts"], lambda size: _may_start(x["index"], piece, place, size))
+
+        places = F.filter(_places(piece), lambda place: F.size(starts(place)) > 0)
+        return F.flatten(F.transform(places, lambda place: F.flatten(F.transform(starts(place), lambda size: at(x, piece, place, size)))))
+
+    def of_text(x: Column) -> Column:
+        return F.flatten(F.transform(_pieces(x["text"], x["index"]["longest"]), lambda piece: within(x, piece)))
+
+    return F.array_distinct(F.flatten(F.transform(F.array(F.struct(index.alias("index"), text.alias("text"))), of_text)))
+
+
+def _flag_by_join(df: DataFrame, terms: DataFrame, text: str, out: str) -> DataFrame:
+    # A bounded filter, sent along, leaves out places that begin no term. The first cut that passes meets the terms in an
+    # equi-join. Nearly always it is one, and its text is done; of the other texts all cuts that pass meet the terms.
+    # Each distinct text is cut once, and exchanged once more by its cut. Texts go by two hashes of 64 bits.
+    def named(x: Column) -> Column:
+        return F.struct(F.xxhash64(x), F.xxhash64(F.lit(1), x))
+
+    # Filter and text are named once and used once, so the filter is put where it is used and is no column of rows.
+    index, lowered = F.col("brand_index"), F.col("text")
+    texts = df.select(F.lower(text).alias("text")).where(F.col("text").isNotNull()).distinct()
+    listed = texts.withColumn("brand_index", term_filter(terms).scalar())
+    # Exploding a changed array keeps Spark from filtering by its size, for which all cuts would be worked out again.
+    first = listed.select(_first_cut(index, lowered).alias("cut")).select(F.inline(F.array_compact("cut")))
+    met = first.join(terms.select("term", F.lit(True).alias("known")), "term", "left")
+    again = met.withColumn("brand_index", term_filter(terms).scalar())
+    cuts = F.when(F.col("known"), F.array("term")).otherwise(_all_cuts(index, lowered))
+    held = again.select(named(lowered).alias("__branded"), cuts.alias("cuts"))
+    held = held.select("__branded", F.explode(F.array_compact("cuts")).alias("term")).join(terms, "term", "left_semi")
+    hits = held.select("__branded").distinct().withColumn(out, F.lit(True))
+    # The hashes are a column of their own, so a text that is not asked for later is not exchanged.
+    flagged = df.withColumn("__branded", named(F.lower(text))).join(hits, "__branded", "left").drop("__branded")
     return flagged.withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
@@ -123,8 +238,8 @@ def flag_branded(
 ) -> DataFrame:
     """Adds whether the text contains any term, ignoring case; every input row stays, once.
 
-    One lazy plan, whatever the list's size. ``by_join`` is for lists beyond INDEX_BYTES or for very long texts: it
-    exchanges the distinct texts instead of sending the list along.
+    One lazy plan, whatever the list's size. ``by_join`` is for lists beyond INDEX_BYTES: it exchanges texts instead of
+    sending the list along.
     """
     how = _flag_by_join if by_join else _flag_by_index
     return how(df, clean_terms(terms), text, out)

@@ -114,6 +114,20 @@ def test_branded_flag_without_terms(spark):
         assert branding.flag_branded(df, none, by_join=by_join).first().is_branded is False
 
 
+def test_a_crowded_filter_loses_no_term(spark, monkeypatch):
+    # One word of bits for all terms: nearly every cut passes by chance, and the join looks all of them up.
+    monkeypatch.setattr(branding, "CHUNK_BITS", 64)
+    monkeypatch.setattr(branding, "FILTER_BYTES", 8)
+    rng = random.Random(5)
+    terms = ["".join(rng.choice("abcd") for _ in range(rng.randint(3, 9))) for _ in range(40)]
+    texts = ["".join(rng.choice("abcde ") for _ in range(rng.randint(0, 60))) for _ in range(120)]
+    want = sorted((t, any(x in t for x in terms)) for t in texts)
+    assert {hit for _, hit in want} == {True, False}
+    df = spark.createDataFrame([(t,) for t in texts], "query string")
+    got = branding.flag_branded(df, spark.createDataFrame([(t,) for t in terms], "term string"), by_join=True).collect()
+    assert sorted((r["query"], r["is_branded"]) for r in got) == want
+
+
 def test_a_list_beyond_the_bound_is_refused(spark, monkeypatch):
     monkeypatch.setattr(branding, "INDEX_BYTES", 3)
     df, terms = spark.createDataFrame([("xabcdx",)], "query string"), spark.createDataFrame([("abcd",)], "term string")
