@@ -234,12 +234,16 @@ def _flag_by_join(df: DataFrame, terms: DataFrame, text: str, out: str) -> DataF
 
 
 def flag_branded(
-    df: DataFrame, terms: DataFrame, text: str = "query", out: str = "is_branded", by_join: bool = False
+    df: DataFrame, terms: DataFrame, text: str = "query", out: str = "is_branded", by_join: bool | None = False
 ) -> DataFrame:
     """Adds whether the text contains any term, ignoring case; every input row stays, once.
 
     One lazy plan, whatever the list's size. ``by_join`` is for lists beyond INDEX_BYTES: it exchanges texts instead of
-    sending the list along.
+    sending the list along. None takes the one that fits: the list's bytes are added up first, in a job of its own.
     """
+    listed = clean_terms(terms)
+    if by_join is None:
+        total = listed.agg(F.sum(F.octet_length("term"))).first()[0] or 0
+        by_join = total > INDEX_BYTES
     how = _flag_by_join if by_join else _flag_by_index
-    return how(df, clean_terms(terms), text, out)
+    return how(df, listed, text, out)

@@ -395,7 +395,7 @@ def _brand_words(i):
 @register("brand_table_words")
 def _(i):
     texts, terms = _brand_words(i)
-    return branding.flag_branded(texts, terms, text="text")
+    return branding.flag_branded(texts, terms, text="text", by_join=None)
 
 
 @register("brand_table_words_join")
@@ -413,7 +413,7 @@ def _whole_texts(i):
 @register("brand_table_texts")
 def _(i):
     texts, terms = _whole_texts(i)
-    return branding.flag_branded(texts, terms, text="text").select("doc_id", "is_branded")
+    return branding.flag_branded(texts, terms, text="text", by_join=None).select("doc_id", "is_branded")
 
 
 @register("brand_table_texts_join")
@@ -438,7 +438,7 @@ def _shared_starts(i):
 @register("brand_table_shared")
 def _(i):
     texts, terms = _shared_starts(i)
-    return branding.flag_branded(texts, terms, text="text").select("o_orderkey", "is_branded")
+    return branding.flag_branded(texts, terms, text="text", by_join=None).select("o_orderkey", "is_branded")
 
 
 @register("brand_table_shared_join")

@@ -136,6 +136,13 @@ def test_a_list_beyond_the_bound_is_refused(spark, monkeypatch):
     assert branding.flag_branded(df, terms, by_join=True).first().is_branded is True
 
 
+def test_a_list_beyond_the_bound_goes_through_the_join_when_the_size_decides(spark, monkeypatch):
+    monkeypatch.setattr(branding, "INDEX_BYTES", 3)
+    df, terms = spark.createDataFrame([("xabcdx",), ("xabcx",)], "query string"), spark.createDataFrame([("abcd",)], "term string")
+    got = branding.flag_branded(df, terms, by_join=None).collect()
+    assert sorted((r["query"], r.is_branded) for r in got) == [("xabcdx", True), ("xabcx", False)]
+
+
 def test_large_rates_and_tickets_are_kept(spark):
     rows = [("a", "x", 1e7, 2e12, 0), ("a", "y", 3e7, 4e12, 1), ("a", "z", float("nan"), 1.0, 2), ("a", "w", float("-inf"), 1.0, 3)]
     clean = bi.clean_bi(spark.createDataFrame(rows, BI))
