@@ -66,6 +66,14 @@ def test_landed_copies_are_spread_and_stay_together(spark, tmp_path):
             assert all(len(own) == 2 and own[1] == own[0] + 1 for own in clicks.values())
 
 
+def test_the_landed_month_broadcasts_no_part(spark):
+    i = Inputs(spark, SMALL)
+    month = queries._joined_apart(i)
+    plan = month._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    assert sorted(map(str, month.collect())) == sorted(map(str, queries.facts(i).collect()))
+
+
 def test_a_day_of_responses_lies_in_several_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(queries, "RESPONSE_ROWS", 50)
     kept = queries.kept(Inputs(spark, SMALL))
