@@ -386,7 +386,8 @@ def _(i):
 
 def _brand_words(i):
     """A list as long as a table, and texts that repeat (part names) and that don't (URLs, whole documents)."""
-    word = F.split_part(F.col("text"), F.lit(" "), F.lit(2))
+    # Cut behind the second word first: splitting would take every whole text apart, for each use of the terms.
+    word = F.split_part(F.substring_index("text", " ", 2), F.lit(" "), F.lit(2))
     terms = i.table("documents").select(word.alias("term")).where(F.length("term") >= 6)
     texts = i.table("part").select(F.col("p_name").alias("text")).unionByName(i.table("pages").select(F.col("url").alias("text")))
     return texts.unionByName(i.table("documents").select("text")), terms

@@ -74,6 +74,18 @@ def test_the_landed_month_broadcasts_no_part(spark):
     assert sorted(map(str, month.collect())) == sorted(map(str, queries.facts(i).collect()))
 
 
+def test_terms_of_texts_are_cut_without_splitting_the_texts(spark):
+    texts = ["", " ", "oneword", "secondword", "a secondword", "a secondword b c", "a  thirdword", " leading word", "a secondword ", "a\nlongline b", None]
+    i = Inputs(spark, SMALL)
+    i.keep("documents", lambda: spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
+    _, terms = queries._brand_words(i)
+    second = [(t or "").split(" ")[1:2] for t in texts]
+    assert sorted(r.term for r in terms.collect()) == sorted(w[0] for w in second if w and len(w[0]) >= 6)
+    plan = terms._jdf.queryExecution().optimizedPlan().toString()
+    assert "split_part(" not in plan.replace("split_part(substring_index(", "") and "split(text" not in plan
+    assert "substring_index(text" in plan
+
+
 def test_a_day_of_responses_lies_in_several_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(queries, "RESPONSE_ROWS", 50)
     kept = queries.kept(Inputs(spark, SMALL))
