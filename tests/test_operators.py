@@ -128,6 +128,14 @@ def test_a_crowded_filter_loses_no_term(spark, monkeypatch):
     assert sorted((r["query"], r["is_branded"]) for r in got) == want
 
 
+def test_a_text_is_exchanged_with_one_cut_however_many_terms_it_holds(spark):
+    terms = spark.createDataFrame([(f"start{k}",) for k in range(50)], "term string")
+    texts = spark.createDataFrame([(" ".join(f"start{k}" for k in range(50)),), ("nothing here",)], "text string")
+    listed = texts.withColumn("brand_index", branding.term_filter(terms).scalar())
+    cut = branding._first_cut(F.col("brand_index"), F.col("text")).alias("cut")
+    assert sorted([c["term"] for c in r.cut] for r in listed.select(cut).collect()) == [[], ["start0"]]
+
+
 def test_a_list_beyond_the_bound_is_refused(spark, monkeypatch):
     monkeypatch.setattr(branding, "INDEX_BYTES", 3)
     df, terms = spark.createDataFrame([("xabcdx",)], "query string"), spark.createDataFrame([("abcd",)], "term string")
