@@ -222,11 +222,15 @@ def _flag_by_join(df: DataFrame, terms: DataFrame, text: str, out: str) -> DataF
     listed = texts.withColumn("brand_index", term_filter(terms).scalar())
     # Exploding a changed array keeps Spark from filtering by its size, for which all cuts would be worked out again.
     first = listed.select(_first_cut(index, lowered).alias("cut")).select(F.inline(F.array_compact("cut")))
-    met = first.join(terms.select("term", F.lit(True).alias("known")), "term", "left")
+    # Terms lie by term where they were made distinct. A key of another kind has them exchanged for the join itself, which
+    # lets Spark split a cut that many texts have.
+    known = terms.select(F.struct("term").alias("cut"), F.lit(True).alias("known"))
+    met = first.withColumn("cut", F.struct("term")).join(known, "cut", "left").drop("cut")
     again = met.withColumn("brand_index", term_filter(terms).scalar())
     cuts = F.when(F.col("known"), F.array("term")).otherwise(_all_cuts(index, lowered))
     held = again.select(named(lowered).alias("__branded"), cuts.alias("cuts"))
-    held = held.select("__branded", F.explode(F.array_compact("cuts")).alias("term")).join(terms, "term", "left_semi")
+    held = held.select("__branded", F.explode(F.array_compact("cuts")).alias("term")).select("__branded", F.struct("term").alias("cut"))
+    held = held.join(known, "cut", "left_semi")
     hits = held.select("__branded").distinct().withColumn(out, F.lit(True))
     # The hashes are a column of their own, so a text that is not asked for later is not exchanged.
     flagged = df.withColumn("__branded", named(F.lower(text))).join(hits, "__branded", "left").drop("__branded")

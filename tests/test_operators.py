@@ -136,6 +136,30 @@ def test_a_text_is_exchanged_with_one_cut_however_many_terms_it_holds(spark):
     assert sorted([c["term"] for c in r.cut] for r in listed.select(cut).collect()) == [[], ["start0"]]
 
 
+def test_a_cut_of_most_texts_is_split_over_tasks(spark):
+    settings = {
+        "autoBroadcastJoinThreshold": "-1",
+        "shuffle.partitions": "16",
+        "files.maxPartitionBytes": "64k",
+        "adaptive.coalescePartitions.enabled": "false",
+        "adaptive.advisoryPartitionSizeInBytes": "16k",
+        "adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {name: spark.conf.get(f"spark.sql.{name}") for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(f"spark.sql.{name}", value)
+        texts = spark.range(20000).select(F.concat(F.lit("common "), F.sha2(F.col("id").cast("string"), 256)).alias("query"))
+        terms = spark.createDataFrame([("common",), ("rare",)], "term string")
+        flagged = branding.flag_branded(texts, terms, by_join=True)
+        assert {r.is_branded for r in flagged.collect()} == {True}
+        assert "SortMergeJoin(skew=true)" in flagged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(f"spark.sql.{name}", value)
+
+
 def test_a_list_beyond_the_bound_is_refused(spark, monkeypatch):
     monkeypatch.setattr(branding, "INDEX_BYTES", 3)
     df, terms = spark.createDataFrame([("xabcdx",)], "query string"), spark.createDataFrame([("abcd",)], "term string")
